@@ -6,7 +6,7 @@ import importlib
 
 from .base import REGISTRY, Entry
 
-FAMILIES = ["operational"]
+FAMILIES = ["operational", "verified", "questions", "spatial"]
 
 
 def load_all() -> dict[str, Entry]:

@@ -6,7 +6,7 @@ import importlib
 
 from .base import REGISTRY, Entry
 
-FAMILIES = ["operational", "verified", "questions", "spatial", "series", "planning"]
+FAMILIES = ["operational", "verified", "questions", "spatial", "series", "planning", "search"]
 
 
 def load_all() -> dict[str, Entry]:

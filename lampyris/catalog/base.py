@@ -180,8 +180,8 @@ def _series_cte(where: str) -> str:
         ]
     )
     return (
-        f"select ts, {zero}, dayofweek(ts) as day_of_week, dayofmonth(ts) as day_of_month, month(ts) as month, "
-        f"quarter(ts) as quarter, {season_sql('month(ts)')} as season, "
+        f"select ts, {zero}, cast(dayofweek(ts) as int) as day_of_week, cast(dayofmonth(ts) as int) as day_of_month, cast(month(ts) as int) as month, "
+        f"cast(quarter(ts) as int) as quarter, {season_sql('month(ts)')} as season, "
         "case when dayofweek(ts) in (0,6) then 1 else 0 end as is_weekend from ("
         f"select cast(unnest(generate_series(min(cast(reported_at as date)), max(cast(reported_at as date)), interval 1 day)) as date) as ts from requests where {where}) "
         f"left join (select cast(reported_at as date) as d, count(*) as total, count(distinct light_id) as unique_lights_affected, {counts} "
@@ -239,7 +239,7 @@ def _forecast_table(series: str, periods: int) -> str:
     return (
         f"select ts as forecast_date, {r0('forecast')} as predicted, {r0('lower_bound')} as lower_bound, "
         f"{r0('upper_bound')} as upper_bound, {rnd('forecast', 2)} as predicted_precise, "
-        f"dayofweek(ts) as day_of_week, {season_sql('month(ts)')} as season, "
+        f"cast(dayofweek(ts) as int) as day_of_week, {season_sql('month(ts)')} as season, "
         f"{r0('upper_bound - lower_bound')} as prediction_range, "
         "cast(date_trunc('week', ts) as date) as week_start, cast(date_trunc('month', ts) as date) as month_start "
         f"from ({forecast_cte(series, periods)})"
@@ -255,7 +255,7 @@ CTES["bulb_schedule"] = (
     "case when predicted >= 5 then 'HIGH' when predicted >= 3 then 'MEDIUM' else 'LOW' end as priority, "
     "case when predicted >= 5 then 'Full crew (3+ technicians)' when predicted >= 3 then "
     "'Standard crew (2 technicians)' else 'Minimal crew (1 technician)' end as staffing_recommendation, "
-    "cast(ceil(upper_bound * 1.2) as bigint) as bulbs_to_stock, week(forecast_date) as week_number, "
+    "cast(ceil(upper_bound * 1.2) as bigint) as bulbs_to_stock, cast(week(forecast_date) as int) as week_number, "
     "prediction_range as uncertainty_range from bulb_fc30"
 )
 CTES["all_schedule"] = (
@@ -265,7 +265,7 @@ CTES["all_schedule"] = (
     "'Full crew (3 technicians)' else 'Standard crew (2 technicians)' end as staffing_recommendation, "
     "cast(ceil(predicted * 0.5 * 1.2) as bigint) as bulbs_to_stock, "
     "cast(ceil(predicted * 0.2 * 1.2) as bigint) as wiring_kits_to_stock, "
-    "cast(ceil(predicted * 0.1 * 1.2) as bigint) as poles_to_stock, week(forecast_date) as week_number, "
+    "cast(ceil(predicted * 0.1 * 1.2) as bigint) as poles_to_stock, cast(week(forecast_date) as int) as week_number, "
     "prediction_range as uncertainty_range from all_fc30"
 )
 for _short in ("bulb", "all"):

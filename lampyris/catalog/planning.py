@@ -298,9 +298,9 @@ query(
 )(lambda t: db.metrics_wide(pl.forecast_metrics(_bulb_schedule(t), AS_OF), _NAMES).select(*[F.col(n).alias(n.lower()) for n in _NAMES]))
 query(
     "forecast_filter",
-    "select forecast_date, predicted_requests, workload_level from all_schedule where workload_level in ('HIGH', 'LOW')",
+    "select forecast_date, predicted_requests, workload_level from all_schedule where workload_level in ('HIGH', 'MEDIUM')",
 )(
-    lambda t: pl.forecast_filter(_all_schedule(t), "workload_level", ["HIGH", "LOW"]).select(
+    lambda t: pl.forecast_filter(_all_schedule(t), "workload_level", ["HIGH", "MEDIUM"]).select(
         "forecast_date", "predicted_requests", "workload_level"
     )
 )

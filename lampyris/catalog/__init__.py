@@ -6,7 +6,10 @@ import importlib
 
 from .base import REGISTRY, Entry
 
-FAMILIES = ["operational", "verified", "questions", "spatial", "series", "planning", "search"]
+FAMILIES = [
+    "operational", "verified", "questions", "spatial", "series", "planning", "search",
+    "enrich", "dashboard", "quality", "changes", "sources",
+]
 
 
 def load_all() -> dict[str, Entry]:

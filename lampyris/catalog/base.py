@@ -275,8 +275,8 @@ for _short in ("bulb", "all"):
         f"max(predicted) as peak_day, min(season) as primary_season from {_short}_fc90 group by week_start"
     )
 CTES["current_state"] = (
-    "select light_id, arg_max(op, version) as op, arg_max(status, version) as status, max(version) as version, "
-    "arg_max(changed_at, version) as changed_at from feed group by light_id"
+    "select light_id, op, status, version, changed_at from "
+    "(select *, row_number() over (partition by light_id order by version desc) as pos from feed) where pos = 1"
 )
 
 

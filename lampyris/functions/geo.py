@@ -20,28 +20,57 @@ def planar_sq(lon1: Column, lat1: Column, lon2: Column, lat2: Column) -> Column:
     return (lon1 - lon2) * (lon1 - lon2) + (lat1 - lat2) * (lat1 - lat2)
 
 
-def _central_angle(phi1: Column, phi2: Column, dlon: Column) -> Column:
-    h = F.pow(F.sin((phi2 - phi1) / 2), F.lit(2.0)) + F.cos(phi1) * F.cos(phi2) * F.pow(F.sin(dlon / 2), F.lit(2.0))
-    return 2 * F.asin(F.least(F.sqrt(h), F.lit(1.0)))
+def _sq(value: Column) -> Column:
+    return value * value
 
 
 def haversine_m(lon1: Column, lat1: Column, lon2: Column, lat2: Column) -> Column:
-    return MEAN_RADIUS_M * _central_angle(F.radians(lat1), F.radians(lat2), F.radians(lon2 - lon1))
+    phi1, phi2 = F.radians(lat1), F.radians(lat2)
+    h = _sq(F.sin((phi2 - phi1) / 2)) + F.cos(phi1) * F.cos(phi2) * _sq(F.sin(F.radians(lon2 - lon1) / 2))
+    return 2 * MEAN_RADIUS_M * F.asin(F.least(F.sqrt(h), F.lit(1.0)))
 
 
-def lambert_m(lon1: Column, lat1: Column, lon2: Column, lat2: Column) -> Column:
-    """Ellipsoidal metres in closed form (within centimetres at city scale)."""
-    b1 = F.atan((1 - FLATTENING) * F.tan(F.radians(lat1)))
-    b2 = F.atan((1 - FLATTENING) * F.tan(F.radians(lat2)))
-    angle = F.greatest(_central_angle(b1, b2, F.radians(lon2 - lon1)), F.lit(1e-15))
-    p, q = (b1 + b2) / 2, (b2 - b1) / 2
+def unit_vector(lon: Column, lat: Column) -> Column:
+    """Direction of a point on the auxiliary sphere (reduced latitude), with the latitude's cosine.
+
+    Worked out once per row before a join, it leaves one arc sine per pair.
+    """
+    beta = F.atan((1 - FLATTENING) * F.tan(F.radians(lat)))
+    lam = F.radians(lon)
+    c = F.cos(beta)
+    return F.struct((c * F.cos(lam)).alias("x"), (c * F.sin(lam)).alias("y"), F.sin(beta).alias("z"), c.alias("c"))
+
+
+def half_chord_sq(u: Column, v: Column) -> Column:
+    """sin^2 of half the central angle between two unit vectors."""
+    return (_sq(u["x"] - v["x"]) + _sq(u["y"] - v["y"]) + _sq(u["z"] - v["z"])) / 4
+
 
-    def sq(c: Column) -> Column:
-        return F.pow(c, F.lit(2.0))
+def vector_sphere_m(u: Column, v: Column) -> Column:
+    """Distance on the auxiliary sphere; within SPHERE_SLACK of the ellipsoidal one."""
+    return 2 * SEMI_MAJOR_M * F.asin(F.least(F.sqrt(half_chord_sq(u, v)), F.lit(1.0)))
 
-    x = (angle - F.sin(angle)) * sq(F.sin(p)) * sq(F.cos(q)) / sq(F.cos(angle / 2))
-    y = (angle + F.sin(angle)) * sq(F.cos(p)) * sq(F.sin(q)) / sq(F.sin(angle / 2))
-    return SEMI_MAJOR_M * (angle - FLATTENING / 2 * (x + y))
+
+def vector_m(u: Column, v: Column, half_chord: Column | None = None) -> Column:
+    """Ellipsoidal metres (Lambert's long-line formula) between two unit vectors.
+
+    With s the central angle, P and Q half sum and half difference of the reduced latitudes:
+    d = a (s - f/2 ((s - sin s) sin^2 P cos^2 Q / cos^2(s/2) + (s + sin s) cos^2 P sin^2 Q / sin^2(s/2))),
+    rearranged so that s is evaluated once. ``half_chord`` is ``half_chord_sq(u, v)`` where it is a column already.
+    """
+    raw = half_chord_sq(u, v) if half_chord is None else half_chord
+    h = F.least(F.greatest(raw, F.lit(1e-30)), F.lit(1 - 1e-12))
+    cos_sum = u["c"] * v["c"] - u["z"] * v["z"]
+    sin2_q = (_sq(u["z"] - v["z"]) + _sq(u["c"] - v["c"])) / 4
+    north = (1 - cos_sum) / 2 * (1 - sin2_q) / (1 - h)
+    across = (1 + cos_sum) / 2 * sin2_q / h
+    angle, sine = 2 * F.asin(F.sqrt(h)), 2 * F.sqrt(h * (1 - h))
+    return SEMI_MAJOR_M * (angle * (1 - FLATTENING / 2 * (north + across)) + FLATTENING / 2 * sine * (north - across))
+
+
+def lambert_m(lon1: Column, lat1: Column, lon2: Column, lat2: Column) -> Column:
+    """Ellipsoidal metres in closed form (within centimetres at city scale)."""
+    return vector_m(unit_vector(lon1, lat1), unit_vector(lon2, lat2))
 
 
 def distance_m(lon1: Column, lat1: Column, lon2: Column, lat2: Column, method: str = "lambert") -> Column:

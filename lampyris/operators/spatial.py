@@ -18,10 +18,9 @@ from ..functions import geo
 ZONE_CELL_DEG = 0.02
 RADIUS_CELL_DEG = 0.02
 
-# Up to this many right rows the k-nearest join compares every left block (not every left row) with
-# each of them; beyond, it narrows the right side level by level.
-KNN_DIRECT_ROWS = 1024
+# Right rows per finest cell of the k-nearest join (on average), and the finest left level.
 KNN_ROWS_PER_LEAF = 64
+KNN_MAX_LEVEL = 20
 _BOUND_SLACK = 1e-9
 
 
@@ -83,6 +82,12 @@ def _cos_lat(lat: Column) -> Column:
     return F.greatest(F.cos(F.radians(lat)), F.lit(0.01))
 
 
+def as_centers(df: DataFrame, *columns) -> DataFrame:
+    """Named columns plus the row's location as ``_slon``, ``_slat`` and unit vector ``_sv``."""
+    lon, lat = F.col("lon"), F.col("lat")
+    return df.select(*columns, lon.alias("_slon"), lat.alias("_slat"), geo.unit_vector(lon, lat).alias("_sv"))
+
+
 def circle_cover(centers: DataFrame, radius_m: Column, cell: float = RADIUS_CELL_DEG) -> DataFrame:
     """Grid cells touched by each centre's circle; ``_full`` marks cells wholly inside it.
 
@@ -92,14 +97,14 @@ def circle_cover(centers: DataFrame, radius_m: Column, cell: float = RADIUS_CELL
     r_lat = F.col("_r") / 110500.0
     far_lat = F.least(F.abs(F.col("_slat")) + r_lat, F.lit(89.0))
     r_lon = r_lat / _cos_lat(far_lat)
+    lon, lat = F.col("_slon"), F.col("_slat")
     cells = (
         centers.withColumn("_r", radius_m.cast("double"))
-        .withColumn("_cx", F.explode(F.sequence(_floor((F.col("_slon") - r_lon) / cell), _floor((F.col("_slon") + r_lon) / cell))))
-        .withColumn("_cy", F.explode(F.sequence(_floor((F.col("_slat") - r_lat) / cell), _floor((F.col("_slat") + r_lat) / cell))))
+        .withColumn("_cx", F.explode(F.sequence(_floor((lon - r_lon) / cell), _floor((lon + r_lon) / cell))))
+        .withColumn("_cy", F.explode(F.sequence(_floor((lat - r_lat) / cell), _floor((lat + r_lat) / cell))))
     )
     x0, y0 = F.col("_cx") * cell, F.col("_cy") * cell
     x1, y1 = x0 + cell, y0 + cell
-    lon, lat = F.col("_slon"), F.col("_slat")
     near = geo.haversine_m(lon, lat, F.least(F.greatest(lon, x0), x1), F.least(F.greatest(lat, y0), y1))
     far_x = F.when(F.abs(lon - x0) > F.abs(lon - x1), x0).otherwise(x1)
     far = F.greatest(geo.haversine_m(lon, lat, far_x, y0), geo.haversine_m(lon, lat, far_x, y1))
@@ -109,11 +114,28 @@ def circle_cover(centers: DataFrame, radius_m: Column, cell: float = RADIUS_CELL
 
 
 def _with_cell(points: DataFrame, cell: float) -> DataFrame:
-    return points.withColumn("_cx", _floor(F.col("lon") / cell)).withColumn("_cy", _floor(F.col("lat") / cell))
+    """Points with their grid cell and unit vector."""
+    return (
+        points.withColumn("_cx", _floor(F.col("lon") / cell))
+        .withColumn("_cy", _floor(F.col("lat") / cell))
+        .withColumn("_v", geo.unit_vector(F.col("lon"), F.col("lat")))
+    )
+
 
+def _with_distance(pairs: DataFrame, *columns: str) -> DataFrame:
+    """The kept columns with the radius ``_r`` and ``distance_m`` of a (centre, point) pair.
 
-def _exact_m(lon: str = "lon", lat: str = "lat") -> Column:
-    return geo.lambert_m(F.col("_slon"), F.col("_slat"), F.col(lon), F.col(lat))
+    Pairs beyond the radius on the sphere (plus slack) leave first. ``inline`` turns the half chord and the
+    distance into real columns: as plain expressions the optimizer would copy them into every use of the
+    radius test, which multiplies the work per pair and outgrows what the JVM compiles.
+    """
+    reach = F.least((1 + geo.SPHERE_SLACK) * F.col("_r") / (2 * geo.SEMI_MAJOR_M), F.lit(math.pi / 2))
+    chords = pairs.select(
+        *columns, "_r", "_sv", "_v",
+        F.inline_outer(F.array(F.struct(geo.half_chord_sq(F.col("_sv"), F.col("_v")).alias("_h")))),
+    ).where(F.col("_h") <= F.sin(reach) * F.sin(reach))
+    meters = geo.vector_m(F.col("_sv"), F.col("_v"), F.col("_h"))
+    return chords.select(*columns, "_r", F.inline_outer(F.array(F.struct(meters.alias("distance_m")))))
 
 
 def spatial_join_dwithin(
@@ -121,20 +143,12 @@ def spatial_join_dwithin(
 ) -> DataFrame:
     """(centre, point, distance_m) rows within each centre's own radius.
 
-    ``centers`` carries its location as ``_slon``/``_slat``. Points are not replicated; each centre is
-    repeated once per covered cell.
+    ``centers`` comes from ``as_centers``. Points are not replicated; each centre is repeated once per
+    covered cell. Both sides carry their trigonometry, so a pair costs a few products and one arc sine.
     """
-    return (
-        _with_cell(points, cell)
-        .join(circle_cover(centers, radius_m, cell), ["_cx", "_cy"])
-        .withColumn("distance_m", _exact_m())
-        .where(F.col("distance_m") <= F.col("_r"))
-        .drop("_cx", "_cy", "_full", "_r")
-    )
-
-
-def as_centers(suppliers: DataFrame, *columns: str) -> DataFrame:
-    return suppliers.select(*columns, F.col("lon").alias("_slon"), F.col("lat").alias("_slat"))
+    columns = [c for c in [*centers.columns, *points.columns] if c not in ("_slon", "_slat", "_sv", "_r")]
+    pairs = _with_cell(points, cell).join(circle_cover(centers, radius_m, cell), ["_cx", "_cy"])
+    return _with_distance(pairs, *columns).where(F.col("distance_m") <= F.col("_r")).drop("_r")
 
 
 def coverage_counts(suppliers: DataFrame, lights: DataFrame, cell: float = RADIUS_CELL_DEG) -> DataFrame:
@@ -149,8 +163,8 @@ def coverage_counts(suppliers: DataFrame, lights: DataFrame, cell: float = RADIU
     counts = points.groupBy("_cx", "_cy", "status").agg(F.count("*").alias("n"))
     inner = cover.where("_full").select("supplier_id", "_cx", "_cy").join(counts, ["_cx", "_cy"]).select("supplier_id", "status", "n")
     rim = (
-        points.join(cover.where(~F.col("_full")), ["_cx", "_cy"])
-        .where(_exact_m() <= F.col("_r"))
+        _with_distance(points.join(cover.where(~F.col("_full")), ["_cx", "_cy"]), "supplier_id", "status")
+        .where(F.col("distance_m") <= F.col("_r"))
         .select("supplier_id", "status", F.lit(1).cast("bigint").alias("n"))
     )
     return inner.unionByName(rim).groupBy("supplier_id", "status").agg(F.sum("n").alias("n"))
@@ -162,14 +176,9 @@ def uncovered_lights(lights: DataFrame, suppliers: DataFrame, cell: float = RADI
     cover = circle_cover(centers, F.col("service_radius_km") * 1000, cell)
     full = cover.where("_full").select("_cx", "_cy").distinct()
     rest = _with_cell(lights, cell).join(full, ["_cx", "_cy"], "left_anti")
-    reached = (
-        rest.select("light_id", "lon", "lat", "_cx", "_cy")
-        .join(cover.where(~F.col("_full")), ["_cx", "_cy"])
-        .where(_exact_m() <= F.col("_r"))
-        .select("light_id")
-        .distinct()
-    )
-    return rest.join(reached, "light_id", "left_anti").drop("_cx", "_cy")
+    rim = rest.select("light_id", "_v", "_cx", "_cy").join(cover.where(~F.col("_full")), ["_cx", "_cy"])
+    reached = _with_distance(rim, "light_id").where(F.col("distance_m") <= F.col("_r")).select("light_id").distinct()
+    return rest.join(reached, "light_id", "left_anti").drop("_cx", "_cy", "_v")
 
 
 def near_point(points: DataFrame, lon: float, lat: float, radius_m: float) -> DataFrame:
@@ -199,42 +208,51 @@ class _Grid:
         s = self.size / 2**level
         return _floor((lon - self.x0) / s), _floor((lat - self.y0) / s)
 
-    def center(self, bx: Column, by: Column, level: int) -> tuple[Column, Column]:
+    def center(self, bx: Column, by: Column, level: int) -> Column:
+        """The centre of a block, ready for ``distance``."""
         s = self.size / 2**level
-        return (bx + 0.5) * s + self.x0, (by + 0.5) * s + self.y0
+        return self.point((bx + 0.5) * s + self.x0, (by + 0.5) * s + self.y0)
+
+    def point(self, lon: Column, lat: Column) -> Column:
+        return F.struct(lon.alias("lon"), lat.alias("lat")) if self.metric == "planar" else geo.unit_vector(lon, lat)
 
     def reach(self, level: int) -> float:
         """Largest distance from a block's centre to a point in it."""
         half_diagonal = self.size / 2**level * math.sqrt(0.5) * (1 + _BOUND_SLACK) + _BOUND_SLACK
         return half_diagonal if self.metric == "planar" else half_diagonal * geo.MAX_M_PER_DEGREE
 
-    def distance(self, lon1: Column, lat1: Column, lon2: Column, lat2: Column) -> Column:
+    def distance(self, p: Column, q: Column) -> Column:
         if self.metric == "planar":
-            return F.sqrt(geo.planar_sq(lon1, lat1, lon2, lat2))
-        return geo.haversine_m(lon1, lat1, lon2, lat2)
+            return F.sqrt(geo.planar_sq(p["lon"], p["lat"], q["lon"], q["lat"]))
+        return geo.vector_sphere_m(p, q)
 
-    def bounds(self, d: Column, reach: float) -> tuple[Column, Column]:
-        """Lower and upper bound of the true distance given the distance of two centres."""
+    def exact(self, p: Column, q: Column) -> Column:
+        """The ordering measure: squared degrees or ellipsoidal metres."""
+        return geo.planar_sq(p["lon"], p["lat"], q["lon"], q["lat"]) if self.metric == "planar" else geo.vector_m(p, q)
+
+    def with_bounds(self, pairs: DataFrame, reach: float) -> DataFrame:
+        """``lo`` and ``hi`` of the true distance from that of the two centres ``_p`` and ``_q``."""
         slack = 0.0 if self.metric == "planar" else geo.SPHERE_SLACK
-        return d * (1 - slack) - reach, d * (1 + slack) + reach
+        d = self.distance(F.col("_p"), F.col("_q"))
+        return pairs.withColumn("lo", d * (1 - slack) - reach).withColumn("hi", d * (1 + slack) + reach)
 
 
-def _prune(pairs: DataFrame, k: int) -> DataFrame:
+def _prune(pairs: DataFrame, k: int, tag: str) -> DataFrame:
     """Keep the (block, candidate) rows that can still hold one of the block's k nearest.
 
-    ``hi`` bounds the distance to all ``n`` right rows of a candidate from above, ``lo`` from below.
+    ``hi`` bounds the distance to every right row of a candidate from above, ``lo`` from below. Candidates
+    are dealt into k classes by a hash of ``tag``; the largest of the classes' smallest ``hi`` is a distance
+    within which k different right rows exist. A block with an empty class keeps all its candidates.
     """
-    if k == 1:
-        limit = pairs.groupBy("bx", "by").agg(F.min("hi").alias("limit"))
-        return pairs.join(limit, ["bx", "by"]).where(F.col("lo") <= F.col("limit")).drop("limit")
-    running = Window.partitionBy("bx", "by").orderBy("hi").rowsBetween(Window.unboundedPreceding, 0)
     block = Window.partitionBy("bx", "by")
-    return (
-        pairs.withColumn("seen", F.sum("n").over(running))
-        .withColumn("limit", F.min(F.when(F.col("seen") >= k, F.col("hi"))).over(block))
-        .where(F.col("limit").isNull() | (F.col("lo") <= F.col("limit")))
-        .drop("seen", "limit")
-    )
+    deal = F.pmod(F.xxhash64(tag), F.lit(k))
+    limits = [F.min(F.when(deal == i, F.col("hi")) if k > 1 else F.col("hi")).over(block).alias(f"h{i}") for i in range(k)]
+    marked = pairs.select("*", *limits)
+    missing = F.col("h0").isNull()
+    for i in range(1, k):
+        missing = missing | F.col(f"h{i}").isNull()
+    limit = F.greatest(*[F.col(f"h{i}") for i in range(k)]) if k > 1 else F.col("h0")
+    return marked.where(missing | (F.col("lo") <= limit)).drop("lo", "hi", *[f"h{i}" for i in range(k)])
 
 
 def knn_join(
@@ -252,8 +270,9 @@ def knn_join(
     Ties go to the smaller ``right_key``. Left rows without a location have no neighbours.
 
     Left rows are grouped into blocks; blocks and right-hand cells are narrowed together by distance
-    bounds, so the exact distance is computed for a handful of candidates per left row. One aggregate
-    over the right side (row count and extent, one row) decides the number of levels.
+    bounds, all by equality on cells, so the exact distance is computed for a handful of candidates per
+    left row. One aggregate over the right side (row count and extent, one row) decides the number of
+    levels.
     """
     placed = right.where(F.col("lon").isNotNull() & F.col("lat").isNotNull())
     size = placed.agg(
@@ -266,102 +285,67 @@ def knn_join(
     points = placed.withColumnRenamed("lon", "r_lon").withColumnRenamed("lat", "r_lat")
     n = size["n"]
     if n == 0:
-        empty = left.join(points, F.lit(False)).withColumn("nn_rank", F.lit(1))
-        return empty
+        return left.limit(0).join(points.limit(0), F.lit(False)).withColumn("nn_rank", F.lit(1))
     extent = max(size["x1"] - size["x0"], size["y1"] - size["y0"], 1e-6) * (1 + 1e-6)
     grid = _Grid(size["x0"], size["y0"], extent, metric)
     per_axis = math.sqrt(n)
-    right_level = 0 if n <= KNN_DIRECT_ROWS else max(1, math.ceil(math.log2(per_axis / math.sqrt(KNN_ROWS_PER_LEAF))))
-    left_level = min(14, max(right_level, math.ceil(math.log2(2 * per_axis))))
+    right_level = max(1, math.ceil(math.log2(per_axis / math.sqrt(KNN_ROWS_PER_LEAF))))
+    left_level = min(KNN_MAX_LEVEL, max(right_level, math.ceil(math.log2(2 * per_axis))))
 
-    # candidates per left block, at block granularity only
     bx, by = grid.block(F.col("lon"), F.col("lat"), left_level)
-    left_blocks = (
-        left.where(F.col("lon").isNotNull() & F.col("lat").isNotNull())
-        .select(bx.alias("bx"), by.alias("by"))
-        .distinct()
+    blocks = (
+        left.where(F.col("lon").isNotNull() & F.col("lat").isNotNull()).select(bx.alias("bx"), by.alias("by")).distinct()
     )
-    slim = points.select("r_lon", "r_lat", F.col(right_key))
-    if right_level == 0:
-        # the right side was counted above: at most KNN_DIRECT_ROWS narrow rows
-        candidates = left_blocks.join(F.broadcast(slim), F.lit(True))
-    else:
-        candidates = _descend(grid, left_blocks, slim, left_level, right_level, k)
-    cx, cy = grid.center(F.col("bx"), F.col("by"), left_level)
-    d = grid.distance(cx, cy, F.col("r_lon"), F.col("r_lat"))
-    lo, hi = grid.bounds(d, grid.reach(left_level))
-    candidates = _prune(
-        candidates.withColumn("lo", lo).withColumn("hi", hi).withColumn("n", F.lit(1)), k
-    ).select("bx", "by", right_key)
-
-    if metric == "planar":
-        exact = geo.planar_sq(F.col("lon"), F.col("lat"), F.col("r_lon"), F.col("r_lat"))
-    else:
-        exact = geo.lambert_m(F.col("lon"), F.col("lat"), F.col("r_lon"), F.col("r_lat"))
+    slim = points.select("r_lon", "r_lat", F.col(right_key), grid.point(F.col("r_lon"), F.col("r_lat")).alias("_q"))
+    candidates = _candidates(grid, blocks, slim, left_level, right_level, right_key, k)
+
     best = Window.partitionBy(left_key).orderBy("_d", right_key)
     return (
         left.withColumn("bx", bx)
         .withColumn("by", by)
+        .withColumn("_p", grid.point(F.col("lon"), F.col("lat")))
         .join(candidates.join(points, right_key), ["bx", "by"])
-        .withColumn("_d", exact)
+        .withColumn("_d", grid.exact(F.col("_p"), F.col("_q")))
         .withColumn("nn_rank", F.row_number().over(best))
         .where(F.col("nn_rank") <= k)
-        .drop("bx", "by", "_d")
+        .drop("bx", "by", "_d", "_p", "_q")
     )
 
 
-def _descend(
-    grid: _Grid, left_blocks: DataFrame, slim: DataFrame, left_level: int, right_level: int, k: int
+def _candidates(
+    grid: _Grid, blocks: DataFrame, slim: DataFrame, left_level: int, right_level: int, right_key: str, k: int
 ) -> DataFrame:
-    """(finest left block, right row) candidates, narrowing two levels of both grids at a time."""
-    levels = sorted({right_level - step for step in range(0, right_level, 2)})
-    rx, ry = grid.block(F.col("r_lon"), F.col("r_lat"), right_level)
-    located = slim.withColumn("rx", rx).withColumn("ry", ry)
-    leaves = located.groupBy("rx", "ry").agg(F.count("*").alias("n"))
+    """(left block, right row, its point) that can be among the k nearest of a row in the block.
 
-    def left_at(level: int) -> DataFrame:
-        shift = left_level - level
-        return left_blocks.select(
-            F.shiftright("bx", shift).alias("bx"), F.shiftright("by", shift).alias("by")
-        ).distinct()
+    Descends the right side's grid two levels at a time and drops cells that cannot matter. The blocks stay
+    partitioned by (bx, by) throughout while the right side's cells are small enough to be broadcast;
+    beyond that the joins shuffle on the cell.
+    """
+    located = slim.withColumns(dict(zip(("rx", "ry"), grid.block(F.col("r_lon"), F.col("r_lat"), right_level))))
 
-    def right_at(level: int) -> DataFrame:
+    def cells_at(level: int, step: int) -> DataFrame:
         shift = right_level - level
-        return (
-            leaves.groupBy(F.shiftright("rx", shift).alias("rx"), F.shiftright("ry", shift).alias("ry"))
-            .agg(F.sum("n").alias("n"))
-        )
-
-    def bounded(pairs: DataFrame, left_lv: int, right_lv: int) -> DataFrame:
-        lx, ly = grid.center(F.col("bx"), F.col("by"), left_lv)
-        cx, cy = grid.center(F.col("rx"), F.col("ry"), right_lv)
-        lo, hi = grid.bounds(grid.distance(lx, ly, cx, cy), grid.reach(left_lv) + grid.reach(right_lv))
-        return _prune(pairs.withColumn("lo", lo).withColumn("hi", hi), k).select("bx", "by", "rx", "ry", "n")
-
-    # the right side has a single root cell, so every root block starts with that one candidate
-    pairs = left_at(0).withColumn("rx", F.lit(0).cast("bigint")).withColumn("ry", F.lit(0).cast("bigint"))
-    previous = 0
-    for level in levels:
-        step = level - previous
-        parents = pairs.select(
-            F.col("bx").alias("pbx"), F.col("by").alias("pby"), F.col("rx").alias("prx"), F.col("ry").alias("pry")
-        )
-        blocks = left_at(level).withColumn("pbx", F.shiftright("bx", step)).withColumn("pby", F.shiftright("by", step))
-        cells = right_at(level).withColumn("prx", F.shiftright("rx", step)).withColumn("pry", F.shiftright("ry", step))
-        pairs = bounded(
-            parents.join(blocks, ["pbx", "pby"]).join(cells, ["prx", "pry"]).select("bx", "by", "rx", "ry", "n"),
-            level,
-            level,
-        )
-        previous = level
-    if left_level > right_level:
-        shift = left_level - right_level
-        parents = pairs.withColumnRenamed("bx", "pbx").withColumnRenamed("by", "pby")
-        blocks = left_blocks.withColumn("pbx", F.shiftright("bx", shift)).withColumn("pby", F.shiftright("by", shift))
-        pairs = bounded(
-            parents.join(blocks, ["pbx", "pby"]).select("bx", "by", "rx", "ry", "n"), left_level, right_level
-        )
-    return pairs.select("bx", "by", "rx", "ry").join(located, ["rx", "ry"]).drop("rx", "ry")
+        cells = located.select(F.shiftright("rx", shift).alias("rx"), F.shiftright("ry", shift).alias("ry")).distinct()
+        return cells.select("rx", "ry", F.shiftright("rx", step).alias("px"), F.shiftright("ry", step).alias("py"))
+
+    def bounded(pairs: DataFrame, other: Column, reach: float, *columns: str) -> DataFrame:
+        placed = pairs.select("bx", "by", *columns, grid.center(F.col("bx"), F.col("by"), left_level).alias("_p"), other.alias("_q"))
+        return grid.with_bounds(placed, grid.reach(left_level) + reach).drop("_p")
+
+    # the right side's root is one cell: every block starts with its occupied children, at most 4 or 16
+    levels = sorted({right_level - step for step in range(0, right_level, 2)})
+    root = F.sequence(F.lit(0).cast("bigint"), F.lit(2 ** levels[0] - 1).cast("bigint"))
+    pairs = blocks.withColumn("rx", F.explode(root)).withColumn("ry", F.explode(root)).join(
+        cells_at(levels[0], 0).select("rx", "ry"), ["rx", "ry"]
+    )
+    for position, level in enumerate(levels):
+        if position:
+            step = level - levels[position - 1]
+            pairs = pairs.select("bx", "by", F.col("rx").alias("px"), F.col("ry").alias("py")).join(cells_at(level, step), ["px", "py"])
+        center = grid.center(F.col("rx"), F.col("ry"), level)
+        pairs = _prune(bounded(pairs, center, grid.reach(level), "rx", "ry"), k, "_q").select("bx", "by", "rx", "ry")
+    rows = pairs.join(located.drop("r_lon", "r_lat"), ["rx", "ry"])
+    return _prune(bounded(rows, F.col("_q"), 0.0, right_key), k, right_key)
 
 
 def nearest_supplier(
@@ -379,6 +363,4 @@ def nearest_supplier(
         "lat",
     )
     joined = knn_join(lights, right, "light_id", "supplier_id", k=k, metric=metric)
-    return joined.withColumn(
-        "distance_m", geo.lambert_m(F.col("lon"), F.col("lat"), F.col("r_lon"), F.col("r_lat"))
-    )
+    return joined.withColumn("distance_m", geo.lambert_m(F.col("lon"), F.col("lat"), F.col("r_lon"), F.col("r_lat")))

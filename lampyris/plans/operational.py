@@ -362,7 +362,7 @@ def zone_nearest_supplier(t: Tables) -> DataFrame:
         "supplier_id",
         metric="geodesic",
     ).withColumn("_r", geo.lambert_m(F.col("lon"), F.col("lat"), F.col("r_lon"), F.col("r_lat")) + 11)
-    around = nearest.select("zone_id", "neighborhood", "_r", F.col("lon").alias("_slon"), F.col("lat").alias("_slat"))
+    around = spatial.as_centers(nearest, "zone_id", "neighborhood", "_r")
     ties = spatial.spatial_join_dwithin(
         around,
         t.suppliers.select(F.col("name").alias("nearest_supplier"), "specialization", "lon", "lat"),

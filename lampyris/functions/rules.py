@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -136,6 +137,14 @@ def preview(text: Column, length: int) -> Column:
 
 
 def ilike_any(text: Column, patterns: list[str]) -> Column:
+    """Case-insensitive LIKE against any pattern.
+
+    Plain ``%word%`` patterns become one regular expression, so the text is evaluated and scanned once
+    however many words there are.
+    """
+    words = [p[1:-1] for p in patterns]
+    if all(len(p) > 2 and p[0] == p[-1] == "%" and not set(w) & set("%_\\") for p, w in zip(patterns, words)):
+        return F.lower(text).rlike("|".join(re.escape(w.lower()) for w in words))
     hits = [text.ilike(p) for p in patterns]
     out = hits[0]
     for hit in hits[1:]:

@@ -50,12 +50,19 @@ def build_index(corpus: DataFrame, key: str, column: str) -> DataFrame:
     """Postings: one row per (term, document) with term frequency and document length."""
     return (
         tokenized(corpus, key, column)
-        .select(key, "n_tokens", F.explode("tokens").alias("term"))
+        .select(key, "n_tokens", _terms())
+        .where(F.col("term").isNotNull())
         .groupBy("term", key, "n_tokens")
         .agg(F.count("*").alias("tf"))
     )
 
 
+def _terms() -> Column:
+    """One row per token. The outer form keeps the optimizer from adding an emptiness test that would
+    tokenise every text a second time."""
+    return F.explode_outer("tokens").alias("term")
+
+
 def index_documents(corpus: DataFrame, key: str, column: str) -> DataFrame:
     return tokenized(corpus, key, column).select(key, "n_tokens")
 
@@ -114,17 +121,39 @@ def bm25(matched: DataFrame, documents: DataFrame, key: str, weights: dict[str,
     return scored.groupBy(key).agg(rules.round_half_up(F.sum(part), SCORE_DIGITS).alias("score"))
 
 
-def scan_matches(corpus: DataFrame, key: str, column: str, terms: list[str]) -> DataFrame:
-    """Postings of the given terms straight from the text; only matching tokens are shuffled."""
-    return (
-        tokenized(corpus, key, column)
-        .select(key, "n_tokens", F.explode("tokens").alias("term"))
-        .where(F.col("term").isin(terms))
-        .groupBy(key, "n_tokens", "term")
-        .agg(F.count("*").alias("tf"))
+def scan_hits(corpus: DataFrame, key: str, column: str, terms: list[str]) -> DataFrame:
+    """(key, n_tokens, hits) per document; ``hits`` keeps only the tokens that are query terms."""
+    wanted = F.array(*[F.lit(t) for t in terms])
+    return tokenized(corpus, key, column).select(
+        key, "n_tokens", F.filter("tokens", lambda w: F.array_contains(wanted, w)).alias("hits")
     )
 
 
+def scan_scores(corpus: DataFrame, key: str, column: str, weights: dict[str, float]) -> DataFrame:
+    """BM25 of every matching document straight from the text.
+
+    A document's term counts are found inside its own row, so nothing is shuffled: one pass gathers the
+    corpus statistics (a single row), a second one scores.
+    """
+    terms = list(weights)
+    hits = scan_hits(corpus, key, column, terms)
+    stats = hits.agg(
+        F.struct(
+            F.count("*").alias("n"),
+            F.avg("n_tokens").alias("avgdl"),
+            *[F.count_if(F.array_contains("hits", t)).alias(f"df{i}") for i, t in enumerate(terms)],
+        )
+    ).scalar()
+    scored = hits.withColumn("s", stats).where(F.size("hits") > 0)
+    norm = K1 * (1 - B + B * F.col("n_tokens") / F.col("s.avgdl"))
+    total = F.lit(0.0)
+    for i, term in enumerate(terms):
+        df = F.col(f"s.df{i}")
+        tf = F.size("hits") - F.size(F.array_remove("hits", term))
+        total = total + weights[term] * F.log(1 + (F.col("s.n") - df + 0.5) / (df + 0.5)) * tf * (K1 + 1) / (tf + norm)
+    return scored.select(key, rules.round_half_up(total, SCORE_DIGITS).alias("score"))
+
+
 def top(scores: DataFrame, key: str, limit: int) -> DataFrame:
     return scores.orderBy(F.desc("score"), key).limit(limit)
 
@@ -137,8 +166,7 @@ def search_scores(
     ``filters`` restricts the results by attributes; the statistics stay those of the whole corpus.
     """
     weights = expand(query) if synonyms else {t: 1.0 for t in text.query_terms(query)}
-    matched = scan_matches(corpus, key, column, list(weights))
-    scores = bm25(matched, index_documents(corpus, key, column), key, weights if synonyms else None)
+    scores = scan_scores(corpus, key, column, weights)
     if filters is not None:
         scores = scores.join(corpus.where(filters).select(key), key, "left_semi")
     return scores
@@ -181,9 +209,9 @@ def similar_documents(corpus: DataFrame, key: str, column: str, doc_key, limit:
     The term list of one document is broadcast; postings without a shared term never leave their task.
     """
     words = tokenized(corpus, key, column)
-    terms = words.where(F.col(key) == F.lit(doc_key)).select(F.explode(F.array_distinct("tokens")).alias("term"))
+    terms = words.where(F.col(key) == F.lit(doc_key)).select(F.explode_outer(F.array_distinct("tokens")).alias("term"))
     matched = (
-        words.select(key, "n_tokens", F.explode("tokens").alias("term"))
+        words.select(key, "n_tokens", _terms())
         .join(F.broadcast(terms), "term")
         .groupBy(key, "n_tokens", "term")
         .agg(F.count("*").alias("tf"))
@@ -223,19 +251,11 @@ def hybrid_search(lexical: DataFrame, vector: DataFrame, key: str, limit: int =
 def topic_counts(corpus: DataFrame, column: str, concepts: dict[str, list[str]] | None = None) -> DataFrame:
     """Documents per concept, all concepts in one pass. A document may show several."""
     concepts = concepts or CONCEPTS
-    lowered = corpus.select(F.lower(column).alias("_t"))
-    counts = lowered.agg(*[F.count_if(_any_like(F.col("_t"), p)).alias(c) for c, p in concepts.items()])
+    counts = corpus.agg(*[F.count_if(rules.ilike_any(F.col(column), p)).alias(c) for c, p in concepts.items()])
     rows = F.array(*[F.struct(F.lit(c).alias("topic"), F.col(c).alias("documents")) for c in concepts])
     return counts.select(F.inline(rows))
 
 
-def _any_like(lowered: Column, patterns: list[str]) -> Column:
-    out = lowered.like(patterns[0])
-    for pattern in patterns[1:]:
-        out = out | lowered.like(pattern)
-    return out
-
-
 def hits_by(scores: DataFrame, corpus: DataFrame, key: str, dimension: str) -> DataFrame:
     """Feed search results into an aggregate: hits and open hits per attribute value."""
     return (

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import changes
+from ..operators import changes, search
 from ..plans import operational as op
 from ..plans.questions import LiveTables
 from ..session import shared_dir
@@ -30,7 +30,7 @@ def _state(t):
     )
 
 
-_APPLIED = f"""select coalesce(l.light_id, c.light_id) as light_id, case when c.light_id is null then l.status else coalesce(c.status, l.status) end as status,
+_APPLIED = f"""select coalesce(l.light_id, c.light_id) as light_id, case when c.light_id is null then l.status else c.status end as status,
     l.wattage, l.neighborhood_id, case when c.light_id is null then l.updated_at else c.changed_at end as updated_at,
     coalesce(c.op = 'delete', false) as _deleted, case when c.light_id is null then {_TS} else c.changed_at end as _updated_at,
     coalesce(c.version, -1) as _version from lights l full join current_state c on c.light_id = l.light_id"""
@@ -153,7 +153,7 @@ def stream_daily_counts(t):
 def stream_search_refresh(t):
     path = shared_dir(t.spark, "search-refresh")
     ss.stream_search_refresh(sc.read_table_stream(t.spark, t.path, "documents").select("doc_id", "text"), "doc_id", "text", path, interval=None)
-    postings, _ = ss.read_parts(t.spark, path)
+    postings, _ = search.read_index(t.spark, path)
     return postings.groupBy("term").agg(F.count("*").alias("documents"), F.sum("tf").alias("occurrences"))
 
 

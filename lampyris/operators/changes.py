@@ -34,9 +34,11 @@ def apply_changes(state: DataFrame, feed: DataFrame, key: str = "light_id") -> D
     """Fold a change feed into a table with change metadata.
 
     ``state`` carries ``_version``, ``_deleted``, ``_updated_at``; ``feed`` carries ``version``, ``op``
-    (insert, update, delete), ``changed_at`` and any of the table's columns, NULL meaning unchanged. A
-    delete only marks the row, so its version still outranks late older changes. A change not newer than
-    the row's version is ignored. Inserted keys without a snapshot row appear as new rows.
+    (insert, update, delete), ``changed_at`` and some of the table's columns. The change with the highest
+    version is the row's image for the columns the feed carries; other columns stay. A delete only marks
+    the row, so its version still outranks late older changes. A change not newer than the row's version
+    is ignored. Keys without a snapshot row appear as new rows. The result does not depend on how the
+    feed is split or ordered.
     """
     latest = latest_changes(feed, key)
     payload = [c for c in feed.columns if c not in (key, "version", "op", "changed_at")]
@@ -60,7 +62,7 @@ def apply_changes(state: DataFrame, feed: DataFrame, key: str = "light_id") -> D
         elif name in ("_updated_at", "updated_at"):
             columns.append(F.when(applies, F.col("_n_at")).otherwise(F.col(name)).alias(name))
         elif name in payload:
-            columns.append(F.when(applies, F.coalesce(F.col(f"_n_{name}"), F.col(name))).otherwise(F.col(name)).alias(name))
+            columns.append(F.when(applies, F.col(f"_n_{name}")).otherwise(F.col(name)).alias(name))
         else:
             columns.append(F.col(name))
     return joined.select(*columns)

@@ -67,15 +67,16 @@ def index_documents(corpus: DataFrame, key: str, column: str) -> DataFrame:
     return tokenized(corpus, key, column).select(key, "n_tokens")
 
 
-def write_index(corpus: DataFrame, key: str, column: str, path: str, buckets: int = 32, mode: str = "overwrite") -> None:
-    """Store postings by term bucket, so a query reads only its terms' buckets.
+def write_index(corpus: DataFrame, key: str, column: str, path: str, buckets: int = 32, part: int = 0) -> None:
+    """Store one part of the index, its postings by term bucket so that a query reads only its terms' buckets.
 
-    Rows are spread by bucket and document, so a bucket with a very common term is written by many tasks.
+    Writing a part again replaces it. Rows are spread by bucket and document, so a bucket with a very
+    common term is written by many tasks.
     """
     postings = build_index(corpus, key, column).withColumn("bucket", _bucket(F.col("term"), buckets))
     spread = postings.repartition("bucket", F.pmod(F.xxhash64(key), F.lit(8)))
-    spread.write.mode(mode).partitionBy("bucket").parquet(f"{path}/postings")
-    index_documents(corpus, key, column).write.mode(mode).parquet(f"{path}/documents")
+    spread.write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/postings/part={part}")
+    index_documents(corpus, key, column).write.mode("overwrite").parquet(f"{path}/documents/part={part}")
 
 
 def _bucket(term: Column, buckets: int) -> Column:
@@ -83,12 +84,12 @@ def _bucket(term: Column, buckets: int) -> Column:
 
 
 def read_index(spark, path: str, terms: list[str] | None = None, buckets: int = 32) -> tuple[DataFrame, DataFrame]:
-    """(postings, documents); with ``terms`` only their bucket folders are listed in the scan."""
+    """(postings, documents) of all parts; with ``terms`` only their bucket folders are listed in the scan."""
     postings = spark.read.parquet(f"{path}/postings")
     if terms is not None:
         wanted = [_bucket(F.lit(t), buckets) for t in terms]
         postings = postings.where(F.col("bucket").isin(wanted) & F.col("term").isin(terms))
-    return postings.drop("bucket"), spark.read.parquet(f"{path}/documents")
+    return postings.drop("bucket", "part"), spark.read.parquet(f"{path}/documents").drop("part")
 
 
 # -------------------------------------------------------------------------------- ranking

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import search
@@ -13,21 +12,12 @@ from .changes import run_batches
 def stream_search_refresh(
     corpus: DataFrame, key: str, column: str, path: str, buckets: int = 32, interval: str | None = "1 minute"
 ) -> StreamingQuery:
-    """Add each micro-batch's postings and lengths as one index part; a retried batch replaces its part."""
+    """Add each micro-batch's postings and lengths as one index part; a retried batch replaces its part.
+
+    The index is read with ``search.read_index`` and queried with ``search.search_index``.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        search.write_index(batch, key, column, f"{path}/part={batch_id}", buckets)
+        search.write_index(batch, key, column, path, buckets, part=batch_id)
 
     return run_batches(corpus, path, write, mode="append", interval=interval)
-
-
-def read_parts(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """(postings, documents) over all parts."""
-    postings = spark.read.option("basePath", path).parquet(f"{path}/part=*/postings").drop("bucket", "part")
-    documents = spark.read.option("basePath", path).parquet(f"{path}/part=*/documents").drop("part")
-    return postings, documents
-
-
-def search_parts(spark: SparkSession, path: str, key: str, terms: list[str], limit: int = 10) -> DataFrame:
-    postings, documents = read_parts(spark, path)
-    return search.top(search.bm25(postings.where(F.col("term").isin(terms)), documents, key), key, limit)

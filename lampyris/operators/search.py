@@ -42,8 +42,14 @@ CONCEPTS = {
 
 
 def tokenized(corpus: DataFrame, key: str, column: str) -> DataFrame:
-    """(key, n_tokens, tokens) per document."""
-    return corpus.select(key, text.tokens(F.col(column)).alias("tokens")).withColumn("n_tokens", F.size("tokens"))
+    """(key, tokens, n_tokens) per document."""
+    return corpus.select(key, _once(text.tokens(F.col(column)).alias("tokens"))).withColumn("n_tokens", F.size("tokens"))
+
+
+def _once(*columns: Column) -> Column:
+    """Columns that are worked out once per row. As plain expressions the optimizer would copy the
+    tokenizer into every filter and projection that uses its result."""
+    return F.inline_outer(F.array(F.struct(*columns)))
 
 
 def build_index(corpus: DataFrame, key: str, column: str) -> DataFrame:
@@ -125,9 +131,8 @@ def bm25(matched: DataFrame, documents: DataFrame, key: str, weights: dict[str,
 def scan_hits(corpus: DataFrame, key: str, column: str, terms: list[str]) -> DataFrame:
     """(key, n_tokens, hits) per document; ``hits`` keeps only the tokens that are query terms."""
     wanted = F.array(*[F.lit(t) for t in terms])
-    return tokenized(corpus, key, column).select(
-        key, "n_tokens", F.filter("tokens", lambda w: F.array_contains(wanted, w)).alias("hits")
-    )
+    hits = F.filter("tokens", lambda w: F.array_contains(wanted, w)).alias("hits")
+    return tokenized(corpus, key, column).select(key, _once(F.col("n_tokens"), hits))
 
 
 def scan_scores(corpus: DataFrame, key: str, column: str, weights: dict[str, float]) -> DataFrame:

@@ -139,11 +139,18 @@ query(
     specialization from nearest_planar""",
 )
 def nearest_supplier(t):
-    near = spatial.nearest_supplier(t.lights.select("light_id", "lon", "lat"), t.suppliers)
-    return near.select(
-        "light_id", "supplier_id", "supplier_name", _r(F.col("distance_m") / 1000, 2).alias("distance_km"),
-        "contact_phone", "avg_response_hours", "specialization",
-    )
+    return op.nearest_supplier_table(t)
+
+
+@query(
+    "nearest_supplier_function",
+    f"""select supplier_id, name as supplier_name, {rnd("meters/1000", 2)} as distance_km, contact_phone, avg_response_hours,
+    specialization from nearest_planar where light_id = 7""",
+)
+def nearest_supplier_function(t):
+    """The lookup as a SQL table function."""
+    name = op.register_nearest_supplier(t)
+    return t.spark.sql(f"select * from {name}(7)")
 
 
 query("nearest_distance", f"select light_id, {rnd('min(meters)/1000', 4)} as nearest_supplier_km from pairs group by 1")(

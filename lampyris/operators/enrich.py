@@ -45,13 +45,18 @@ def requests_enriched(t: Tables) -> DataFrame:
     """Requests of known lights with zone and the weather of the season they were reported in."""
     lights = t.lights.select("light_id", "lon", "lat", "wattage", "neighborhood_id")
     zones = t.zones.select("neighborhood_id", F.col("name").alias("neighborhood_name"), "population")
-    weather = t.weather.select("light_id", "season", "failure_risk_score", "avg_temperature_c", "rainfall_mm")
-    requests = t.requests.drop("_deleted", "_updated_at").withColumn("_s", rules.season(F.to_date("reported_at")))
-    per_light = lights.join(zones, "neighborhood_id", "left")
+    facts = ["failure_risk_score", "avg_temperature_c", "rainfall_mm"]
+    # one row per light with its (at most three) seasons, so the requests are shuffled by light_id only once
+    weather = t.weather.groupBy("light_id").agg(
+        F.map_from_entries(F.collect_list(F.struct("season", F.struct("season", *facts)))).alias("_seasons")
+    )
+    per_light = lights.join(weather, "light_id", "left").join(zones, "neighborhood_id", "left")
     return (
-        requests.join(per_light, "light_id")
-        .join(weather.withColumnRenamed("season", "_s").withColumn("season", F.col("_s")), ["light_id", "_s"], "left")
-        .drop("_s")
+        t.requests.drop("_deleted", "_updated_at")
+        .join(per_light, "light_id")
+        .withColumn("_w", F.try_element_at("_seasons", rules.season(F.to_date("reported_at"))))
+        .select("*", "_w.*")
+        .drop("_w", "_seasons")
         .withColumn("resolution_hours", rules.elapsed_hours(F.col("reported_at"), F.col("resolved_at")))
         .withColumn("status", rules.request_status(F.col("resolved_at")))
     )

@@ -15,6 +15,7 @@ from ..functions import rules, text
 K1, B = 1.2, 0.75
 RRF_K = 60
 SCORE_DIGITS = 6
+BROADCAST_TERMS = 200000
 
 # Words that describe the same trouble
 SYNONYMS = {
@@ -212,13 +213,16 @@ def expand(query: str) -> dict[str, float]:
 def similar_documents(corpus: DataFrame, key: str, column: str, doc_key, limit: int = 10) -> DataFrame:
     """Documents most like a given one: its distinct terms form the query.
 
-    The term list of one document is broadcast; postings without a shared term never leave their task.
+    The term list of the one document is counted first; up to ``BROADCAST_TERMS`` it is broadcast, so
+    postings without a shared term never leave their task. A longer list is joined by shuffling.
     """
     words = tokenized(corpus, key, column)
     terms = words.where(F.col(key) == F.lit(doc_key)).select(F.explode_outer(F.array_distinct("tokens")).alias("term"))
+    if terms.count() <= BROADCAST_TERMS:
+        terms = F.broadcast(terms)
     matched = (
         words.select(key, "n_tokens", _terms())
-        .join(F.broadcast(terms), "term")
+        .join(terms, "term")
         .groupBy(key, "n_tokens", "term")
         .agg(F.count("*").alias("tf"))
     )

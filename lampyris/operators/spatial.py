@@ -17,6 +17,10 @@ from ..functions import geo
 
 ZONE_CELL_DEG = 0.02
 RADIUS_CELL_DEG = 0.02
+COVER_CELLS = 16
+# Beyond this cell size the corner and clamping tests of a circle's cells are not safe on the sphere.
+NEAR_CELL_DEG = 0.5
+CELL = ["_lv", "_cx", "_cy"]
 
 # Right rows per finest cell of the k-nearest join (on average), and the finest left level.
 KNN_ROWS_PER_LEAF = 64
@@ -28,18 +32,62 @@ def _floor(value: Column) -> Column:
     return F.floor(value).cast("bigint")
 
 
+# -------------------------------------------------------------------------------- grid levels
+#
+# A shape is covered by cells of its own level: level n cells are 4^n times the base cell, and a shape takes
+# the lowest level that spans it with about COVER_CELLS cells per axis. One aggregate over the shapes (one
+# row) tells how many levels occur; a point is repeated once per level, which is once unless sizes differ
+# by more than COVER_CELLS times.
+
+
+def _level_of(span: Column, cell: float, levels: int) -> Column:
+    wanted = F.ceil(F.log(F.greatest(span, F.lit(cell)) / (COVER_CELLS * cell)) / math.log(4))
+    return F.greatest(F.least(wanted, F.lit(levels - 1)), F.lit(0)).cast("int")
+
+
+def _level_count(widest: float | None, cell: float) -> int:
+    return 1 if not widest else max(1, math.ceil(math.log(max(widest, cell) / (COVER_CELLS * cell), 4)) + 1)
+
+
+def _size(level: Column, cell: float) -> Column:
+    return F.lit(cell) * F.pow(F.lit(4.0), level)
+
+
+def _with_cells(points: DataFrame, cell: float, levels: int) -> DataFrame:
+    """Points with ``_lv``, ``_cx``, ``_cy``: one row per level."""
+    spots = [
+        F.struct(
+            F.lit(n).alias("_lv"),
+            _floor(F.col("lon") / (cell * 4**n)).alias("_cx"),
+            _floor(F.col("lat") / (cell * 4**n)).alias("_cy"),
+        )
+        for n in range(levels)
+    ]
+    if levels == 1:
+        return points.select("*", *[spots[0][f].alias(f) for f in CELL])
+    return points.select("*", F.inline(F.array(*spots)))
+
+
 # -------------------------------------------------------------------------------- containment
 
 
-def zone_cover(zones: DataFrame, cell: float = ZONE_CELL_DEG) -> DataFrame:
+def _spans(zones: DataFrame) -> DataFrame:
+    boxed = zones.withColumn("_b", geo.ring_bbox(F.col("ring")))
+    return boxed.withColumn(
+        "_span", F.greatest(F.col("_b.max_lon") - F.col("_b.min_lon"), F.col("_b.max_lat") - F.col("_b.min_lat"))
+    )
+
+
+def zone_cover(zones: DataFrame, cell: float = ZONE_CELL_DEG, levels: int = 1) -> DataFrame:
     """One row per (zone, grid cell of its bounding box), with the ring's edges ready for testing."""
-    box = geo.ring_bbox(F.col("ring"))
+    size = _size(F.col("_lv"), cell)
     return (
-        zones.withColumn("_b", box)
+        _spans(zones)
+        .withColumn("_lv", _level_of(F.col("_span"), cell, levels))
         .withColumn("_edges", geo.ring_edges(F.col("ring")))
-        .withColumn("_cx", F.explode(F.sequence(_floor(F.col("_b.min_lon") / cell), _floor(F.col("_b.max_lon") / cell))))
-        .withColumn("_cy", F.explode(F.sequence(_floor(F.col("_b.min_lat") / cell), _floor(F.col("_b.max_lat") / cell))))
-        .drop("_b", "ring")
+        .withColumn("_cx", F.explode(F.sequence(_floor(F.col("_b.min_lon") / size), _floor(F.col("_b.max_lon") / size))))
+        .withColumn("_cy", F.explode(F.sequence(_floor(F.col("_b.min_lat") / size), _floor(F.col("_b.max_lat") / size))))
+        .drop("_b", "_span", "ring")
     )
 
 
@@ -49,11 +97,12 @@ def spatial_join_within(points: DataFrame, zones: DataFrame, cell: float = ZONE_
     ``points`` carries ``lon``/``lat``; ``zones`` carries ``ring``. Column names must not collide.
     A point inside two overlapping zones gives two rows.
     """
-    cells = points.withColumn("_cx", _floor(F.col("lon") / cell)).withColumn("_cy", _floor(F.col("lat") / cell))
+    levels = _level_count(_spans(zones).agg(F.max("_span")).first()[0], cell)
     return (
-        cells.join(zone_cover(zones, cell), ["_cx", "_cy"])
+        _with_cells(points, cell, levels)
+        .join(zone_cover(zones, cell, levels), CELL)
         .where(geo.in_edges(F.col("lon"), F.col("lat"), F.col("_edges")))
-        .drop("_cx", "_cy", "_edges")
+        .drop(*CELL, "_edges")
     )
 
 
@@ -88,38 +137,48 @@ def as_centers(df: DataFrame, *columns) -> DataFrame:
     return df.select(*columns, lon.alias("_slon"), lat.alias("_slat"), geo.unit_vector(lon, lat).alias("_sv"))
 
 
-def circle_cover(centers: DataFrame, radius_m: Column, cell: float = RADIUS_CELL_DEG) -> DataFrame:
+def _lon_reach(radius: Column) -> Column:
+    """Degrees of longitude a circle reaches at its poleward end; never less than in latitude."""
+    r_lat = radius / 110500.0
+    return r_lat / _cos_lat(F.least(F.abs(F.col("_slat")) + r_lat, F.lit(89.0)))
+
+
+def circle_levels(centers: DataFrame, radius_m: Column, cell: float = RADIUS_CELL_DEG) -> int:
+    widest = centers.agg(F.max(2 * _lon_reach(radius_m.cast("double")))).first()[0]
+    return _level_count(widest, cell)
+
+
+def circle_cover(centers: DataFrame, radius_m: Column, cell: float = RADIUS_CELL_DEG, levels: int = 1) -> DataFrame:
     """Grid cells touched by each centre's circle; ``_full`` marks cells wholly inside it.
 
     Cell tests use the sphere with a slack, so a cell near the rim is kept as not full and its points
     are tested exactly.
     """
-    r_lat = F.col("_r") / 110500.0
-    far_lat = F.least(F.abs(F.col("_slat")) + r_lat, F.lit(89.0))
-    r_lon = r_lat / _cos_lat(far_lat)
+    r_lat, r_lon = F.col("_r") / 110500.0, _lon_reach(F.col("_r"))
     lon, lat = F.col("_slon"), F.col("_slat")
+    size = F.col("_size")
     cells = (
         centers.withColumn("_r", radius_m.cast("double"))
-        .withColumn("_cx", F.explode(F.sequence(_floor((lon - r_lon) / cell), _floor((lon + r_lon) / cell))))
-        .withColumn("_cy", F.explode(F.sequence(_floor((lat - r_lat) / cell), _floor((lat + r_lat) / cell))))
+        .withColumn("_lv", _level_of(2 * r_lon, cell, levels))
+        .withColumn("_size", _size(F.col("_lv"), cell))
+        .withColumn("_cx", F.explode(F.sequence(_floor((lon - r_lon) / size), _floor((lon + r_lon) / size))))
+        .withColumn("_cy", F.explode(F.sequence(_floor((lat - r_lat) / size), _floor((lat + r_lat) / size))))
     )
-    x0, y0 = F.col("_cx") * cell, F.col("_cy") * cell
-    x1, y1 = x0 + cell, y0 + cell
+    x0, y0 = F.col("_cx") * size, F.col("_cy") * size
+    x1, y1 = x0 + size, y0 + size
     near = geo.haversine_m(lon, lat, F.least(F.greatest(lon, x0), x1), F.least(F.greatest(lat, y0), y1))
     far_x = F.when(F.abs(lon - x0) > F.abs(lon - x1), x0).otherwise(x1)
     far = F.greatest(geo.haversine_m(lon, lat, far_x, y0), geo.haversine_m(lon, lat, far_x, y1))
-    return cells.where(near <= F.col("_r") * (1 + geo.SPHERE_SLACK)).withColumn(
-        "_full", far <= F.col("_r") * (1 - geo.SPHERE_SLACK)
+    return (
+        cells.where((near <= F.col("_r") * (1 + geo.SPHERE_SLACK)) | (size > NEAR_CELL_DEG))
+        .withColumn("_full", (far <= F.col("_r") * (1 - geo.SPHERE_SLACK)) & (size <= NEAR_CELL_DEG))
+        .drop("_size")
     )
 
 
-def _with_cell(points: DataFrame, cell: float) -> DataFrame:
-    """Points with their grid cell and unit vector."""
-    return (
-        points.withColumn("_cx", _floor(F.col("lon") / cell))
-        .withColumn("_cy", _floor(F.col("lat") / cell))
-        .withColumn("_v", geo.unit_vector(F.col("lon"), F.col("lat")))
-    )
+def _located(points: DataFrame, cell: float, levels: int) -> DataFrame:
+    """Points with their unit vector and grid cells."""
+    return _with_cells(points.withColumn("_v", geo.unit_vector(F.col("lon"), F.col("lat"))), cell, levels)
 
 
 def _with_distance(pairs: DataFrame, *columns: str) -> DataFrame:
@@ -139,15 +198,18 @@ def _with_distance(pairs: DataFrame, *columns: str) -> DataFrame:
 
 
 def spatial_join_dwithin(
-    centers: DataFrame, points: DataFrame, radius_m: Column, cell: float = RADIUS_CELL_DEG
+    centers: DataFrame, points: DataFrame, radius_m: Column, cell: float = RADIUS_CELL_DEG, levels: int | None = None
 ) -> DataFrame:
     """(centre, point, distance_m) rows within each centre's own radius.
 
+    ``levels`` is looked up from the widest circle unless given; a given one only affects speed.
+
     ``centers`` comes from ``as_centers``. Points are not replicated; each centre is repeated once per
     covered cell. Both sides carry their trigonometry, so a pair costs a few products and one arc sine.
     """
     columns = [c for c in [*centers.columns, *points.columns] if c not in ("_slon", "_slat", "_sv", "_r")]
-    pairs = _with_cell(points, cell).join(circle_cover(centers, radius_m, cell), ["_cx", "_cy"])
+    levels = levels or circle_levels(centers, radius_m, cell)
+    pairs = _located(points, cell, levels).join(circle_cover(centers, radius_m, cell, levels), CELL)
     return _with_distance(pairs, *columns).where(F.col("distance_m") <= F.col("_r")).drop("_r")
 
 
@@ -158,12 +220,14 @@ def coverage_counts(suppliers: DataFrame, lights: DataFrame, cell: float = RADIU
     lights. The supplier-light pairs inside a circle are never written out.
     """
     centers = as_centers(suppliers, "supplier_id", "service_radius_km")
-    cover = circle_cover(centers, F.col("service_radius_km") * 1000, cell)
-    points = _with_cell(lights.select("light_id", "status", "lon", "lat"), cell)
-    counts = points.groupBy("_cx", "_cy", "status").agg(F.count("*").alias("n"))
-    inner = cover.where("_full").select("supplier_id", "_cx", "_cy").join(counts, ["_cx", "_cy"]).select("supplier_id", "status", "n")
+    radius = F.col("service_radius_km") * 1000
+    levels = circle_levels(centers, radius, cell)
+    cover = circle_cover(centers, radius, cell, levels)
+    points = _located(lights.select("light_id", "status", "lon", "lat"), cell, levels)
+    counts = points.groupBy(*CELL, "status").agg(F.count("*").alias("n"))
+    inner = cover.where("_full").select("supplier_id", *CELL).join(counts, CELL).select("supplier_id", "status", "n")
     rim = (
-        _with_distance(points.join(cover.where(~F.col("_full")), ["_cx", "_cy"]), "supplier_id", "status")
+        _with_distance(points.join(cover.where(~F.col("_full")), CELL), "supplier_id", "status")
         .where(F.col("distance_m") <= F.col("_r"))
         .select("supplier_id", "status", F.lit(1).cast("bigint").alias("n"))
     )
@@ -171,14 +235,20 @@ def coverage_counts(suppliers: DataFrame, lights: DataFrame, cell: float = RADIU
 
 
 def uncovered_lights(lights: DataFrame, suppliers: DataFrame, cell: float = RADIUS_CELL_DEG) -> DataFrame:
-    """Lights outside every supplier's own radius."""
+    """Lights outside every supplier's own radius.
+
+    Lights in a cell wholly inside some circle leave without a pair being formed.
+    """
     centers = as_centers(suppliers, "supplier_id", "service_radius_km")
-    cover = circle_cover(centers, F.col("service_radius_km") * 1000, cell)
-    full = cover.where("_full").select("_cx", "_cy").distinct()
-    rest = _with_cell(lights, cell).join(full, ["_cx", "_cy"], "left_anti")
-    rim = rest.select("light_id", "_v", "_cx", "_cy").join(cover.where(~F.col("_full")), ["_cx", "_cy"])
-    reached = _with_distance(rim, "light_id").where(F.col("distance_m") <= F.col("_r")).select("light_id").distinct()
-    return rest.join(reached, "light_id", "left_anti").drop("_cx", "_cy", "_v")
+    radius = F.col("service_radius_km") * 1000
+    levels = circle_levels(centers, radius, cell)
+    cover = circle_cover(centers, radius, cell, levels)
+    spots = _located(lights.select("light_id", "lon", "lat"), cell, levels).drop("lon", "lat")
+    full = cover.where("_full").select(*CELL).distinct()
+    easy = spots.join(full, CELL, "left_semi").select("light_id")
+    rim = spots.join(full, CELL, "left_anti").join(cover.where(~F.col("_full")), CELL)
+    near = _with_distance(rim, "light_id").where(F.col("distance_m") <= F.col("_r")).select("light_id").distinct()
+    return lights.join(easy.unionByName(near), "light_id", "left_anti")
 
 
 def near_point(points: DataFrame, lon: float, lat: float, radius_m: float) -> DataFrame:

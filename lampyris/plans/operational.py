@@ -142,6 +142,32 @@ def faulty_nearest_geodesic(t: Tables) -> DataFrame:
     )
 
 
+def nearest_supplier_table(t: Tables) -> DataFrame:
+    """Nearest supplier of every light, with the columns of the lookup function."""
+    return spatial.nearest_supplier(t.lights.select("light_id", "lon", "lat"), t.suppliers).select(
+        "light_id", "supplier_id", "supplier_name", _km(F.col("distance_m")).alias("distance_km"),
+        "contact_phone", "avg_response_hours", "specialization",
+    )
+
+
+def register_nearest_supplier(t: Tables, name: str = "nearest_supplier") -> str:
+    """SQL table function ``name(light_id)`` with six output columns.
+
+    The light's id reaches the scan of the lights: it is the partition key of the ranking window.
+    """
+    view = f"v_{name}"
+    table = nearest_supplier_table(t)
+    table.createOrReplaceTempView(view)
+    columns = [f for f in table.schema if f.name != "light_id"]
+    returns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in columns)
+    key_type = table.schema["light_id"].dataType.simpleString()
+    t.spark.sql(
+        f"create or replace temporary function {name}(p_light_id {key_type}) returns table ({returns}) "
+        f"return select {', '.join(f.name for f in columns)} from {view} where light_id = p_light_id"
+    )
+    return name
+
+
 def highest_risk_lights(t: Tables, as_of: rules.AsOf = None, limit: int = 10) -> DataFrame:
     return (
         enrich.lights_enriched(t, as_of)
@@ -367,6 +393,7 @@ def zone_nearest_supplier(t: Tables) -> DataFrame:
         around,
         t.suppliers.select(F.col("name").alias("nearest_supplier"), "specialization", "lon", "lat"),
         F.col("_r"),
+        levels=4,  # given, so that the radii are not computed an extra time to size the grid
     )
     per_name = ties.groupBy("zone_id", "neighborhood", "nearest_supplier", "specialization").agg(
         _km(F.min("distance_m")).alias("distance_km")

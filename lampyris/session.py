@@ -22,6 +22,11 @@ def build_session(app: str = "lampyris", cores: str | int = "*", **extra: str) -
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # keyed stream state beyond the executors' heap
+        .config(
+            "spark.sql.streaming.stateStore.providerClass",
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        )
     )
     for key, value in extra.items():
         builder = builder.config(key.replace("__", "."), value)

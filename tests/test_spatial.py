@@ -136,6 +136,25 @@ def test_radius_join_counts_and_gaps_equal_brute_force(spark):
     assert bare
 
 
+def test_shapes_of_very_different_size(spark):
+    points = _scatter(150, 8) + [(500, 60.0, 0.0), (501, -170.0, 60.0), (502, 79.5, 14.9)]
+    suppliers = [(0, 77.6, 12.9, 1), (1, 77.55, 12.95, 40), (2, 77.6, 13.0, 300), (3, 75.0, 10.0, 2500), (4, 77.61, 12.95, 2)]
+    centers = spatial.as_centers(_suppliers(spark, suppliers), "supplier_id", "service_radius_km")
+    assert spatial.circle_levels(centers, F.col("service_radius_km") * 1000) > 2
+    got = spatial.spatial_join_dwithin(centers, _points(spark, points), F.col("service_radius_km") * 1000)
+    want = {(s[0], p[0]) for s in suppliers for p in points if _lambert(s[1], s[2], p[1], p[2]) <= s[3] * 1000}
+    assert {(r.supplier_id, r.light_id) for r in got.collect()} == want
+    ldf = _points(spark, points).withColumn("status", F.lit("faulty"))
+    counts = {r.supplier_id: r.n for r in spatial.coverage_counts(_suppliers(spark, suppliers), ldf).collect()}
+    assert counts == {s: sum(1 for a, _ in want if a == s) for s in {a for a, _ in want}}
+    country = [(70.0, 5.0), (85.0, 5.0), (85.0, 25.0), (70.0, 25.0), (70.0, 5.0)]
+    zones = _zones(spark, [country, [(77.6, 12.94), (77.62, 12.94), (77.62, 12.96), (77.6, 12.96), (77.6, 12.94)]])
+    inside = {(r.light_id, r.zone_id) for r in spatial.spatial_join_within(_points(spark, points), zones).collect()}
+    brute = {(p[0], 0) for p in points if 70 < p[1] < 85 and 5 < p[2] < 25}
+    brute |= {(p[0], 1) for p in points if 77.6 < p[1] < 77.62 and 12.94 < p[2] < 12.96}
+    assert inside == brute
+
+
 def test_near_point_is_exact(spark):
     points = _scatter(300, 5)
     got = {r.light_id for r in spatial.near_point(_points(spark, points), 77.61, 12.95, 3000).collect()}

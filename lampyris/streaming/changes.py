@@ -18,15 +18,14 @@ from ..sources.fixtures import PROJECTIONS, project
 
 
 def read_table_stream(spark: SparkSession, path: str, name: str, max_files: int = 1000) -> DataFrame:
-    """One raw table folder as an append-only file stream, schema taken from the stored files."""
-    pattern = f"{name}.parquet"
-    schema = spark.read.parquet(f"{path.rstrip('/')}/{pattern}").schema
-    return (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", pattern)
-        .option("maxFilesPerTrigger", max_files)
-        .parquet(path)
-    )
+    """One raw table as an append-only file stream, schema taken from the stored files.
+
+    The table may be a folder of files or a single file; the file source takes the latter only through a
+    glob, hence the one-letter bracket.
+    """
+    table = f"{path.rstrip('/')}/{name}.parquet"
+    schema = spark.read.parquet(table).schema
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(f"{table[:-1]}[t]")
 
 
 def read_domain_stream(spark: SparkSession, path: str, name: str) -> DataFrame:

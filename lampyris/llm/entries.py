@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard
+from . import jaccard, substrings
 from .registry import query, table
 
 
 @query("op1_ngram_jaccard_join")
 def ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, folder, "documents"))
+
+
+@query("op6_substring_dedup")
+def substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substrings.without_repeats(table(spark, folder, "documents")).drop("kept")

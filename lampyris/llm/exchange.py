@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .words import mix
+
 HEAVY = 255
 _LOW = 48
 
@@ -126,3 +128,36 @@ def frequencies(ids: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, np.nda
     return ids, tokens, np.bincount(run, weights=other).astype(np.int64)[run]
 
 
+GROUPS = "g int, ids binary, counts binary, vals binary"
+
+
+def to_groups(ids: np.ndarray, values: np.ndarray, groups: int) -> pa.RecordBatch:
+    """Values by document in packed rows of GROUPS, one for each group of documents."""
+    g = (mix(ids.astype(np.int64).view(np.uint64)) % np.uint64(groups)).astype(np.int32)
+    order = np.lexsort((ids, g))
+    ids, values, g = ids[order], values[order], g[order]
+    cuts = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]])) if len(g) else np.zeros(0, np.int64)
+    rows = []
+    for a, b in zip(cuts, np.append(cuts[1:], len(g))):
+        own, n = np.unique(ids[a:b], return_counts=True)
+        rows.append((int(g[a]), own.astype(np.int64).tobytes(), n.astype(np.uint32).tobytes(), values[a:b].tobytes()))
+    columns = list(zip(*rows)) if rows else [()] * 4
+    types = [pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["g", "ids", "counts", "vals"])
+
+
+def from_groups(batches: Iterator[pa.RecordBatch], kind: type) -> Iterator[tuple[int, np.ndarray]]:
+    """(document, its sorted distinct values) of a partition of GROUPS rows."""
+    parts = [x for batch in batches for x in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3)))]
+    if not parts:
+        return
+    ids = np.repeat(
+        np.concatenate([np.frombuffer(x[0], np.int64) for x in parts]),
+        np.concatenate([np.frombuffer(x[1], np.uint32) for x in parts]),
+    )
+    values = np.concatenate([np.frombuffer(x[2], kind) for x in parts])
+    order = np.lexsort((values, ids))
+    ids, values = ids[order], values[order]
+    cuts = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
+    for a, b in zip(cuts, np.append(cuts[1:], len(ids))):
+        yield int(ids[a]), np.unique(values[a:b])

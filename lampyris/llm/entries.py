@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard, substrings
+from . import jaccard, substrings, trie
 from .registry import query, table
 
 
@@ -16,3 +16,8 @@ def ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 @query("op6_substring_dedup")
 def substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substrings.without_repeats(table(spark, folder, "documents")).drop("kept")
+
+
+@query("op9_bpe_trie_round_trip")
+def bpe_trie_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    return trie.round_trip_digests(table(spark, folder, "documents"))

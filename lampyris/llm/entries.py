@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard, substrings, trie
+from . import jaccard, packing, substrings, trie
 from .registry import query, table
 
 
@@ -21,3 +21,8 @@ def substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query("op9_bpe_trie_round_trip")
 def bpe_trie_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return trie.round_trip_digests(table(spark, folder, "documents"))
+
+
+@query("op7_best_two_fit_packing")
+def best_two_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"), with_ids=False).drop("ids")

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import jaccard, packing, substrings, trie
+from . import jaccard, packing, substrings, trie, warc
 from .registry import query, table
 
 
@@ -26,3 +27,26 @@ def bpe_trie_round_trip(spark: SparkSession, folder: str) -> DataFrame:
 @query("op7_best_two_fit_packing")
 def best_two_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), with_ids=False).drop("ids")
+
+
+WARC_SQL = """
+with p as (
+  select page_id, coalesce(html, '') as html, strlen(coalesce(html, '')) as payload_bytes, sha1(coalesce(html, '')) as payload_digest
+  from (select distinct page_id, html from pages)
+), h as (select *, case when payload_bytes >= 1000 then max(page_id) over (partition by payload_digest) else page_id end as head from p)
+select page_id, payload_bytes, payload_digest, case when page_id = head then 'response' else 'revisit' end as record_type,
+  case when page_id <> head then head end as refers_to
+from h
+"""
+
+
+@query("op8_warc_transactions", WARC_SQL)
+def warc_transactions(spark: SparkSession, folder: str) -> DataFrame:
+    found = warc.round_trip(table(spark, folder, "pages"), with_payload=False)
+    return found.select(
+        "page_id",
+        F.col("response.payload_bytes").alias("payload_bytes"),
+        F.col("response.digest").alias("payload_digest"),
+        F.col("response.kind").alias("record_type"),
+        F.col("refers_to_page").alias("refers_to"),
+    )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, packing, substrings, trie, warc
+from . import jaccard, packing, substrings, trie, vptree, warc
 from .registry import query, table
 
 
@@ -50,3 +50,27 @@ def warc_transactions(spark: SparkSession, folder: str) -> DataFrame:
         F.col("response.kind").alias("record_type"),
         F.col("refers_to_page").alias("refers_to"),
     )
+
+
+def _total(a: str, b: str) -> str:
+    return f"list_reduce(list_transform(list_zip({a}, {b}), lambda z: z[1] * z[2]), lambda s, z: s + z)"
+
+
+NEAREST_SQL = f"""
+with v as (
+  select vec_id, cast(embedding as double[]) as e from embeddings
+  where embedding is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    and len(list_filter(embedding, lambda x: x <> 0)) > 0
+), n as (select vec_id, e, sqrt({_total("e", "e")}) as norm from v),
+s as (
+  select q.vec_id as query_id, c.vec_id, {_total("q.e", "c.e")} / (q.norm * c.norm) as score
+  from n q join n c on q.vec_id <> c.vec_id where q.vec_id % 50 = 0
+)
+select query_id, cast(rank as integer) as rank, vec_id, score
+from (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s) where rank <= 5
+"""
+
+
+@query("op5_vantage_point_search", NEAREST_SQL)
+def vantage_point_search(spark: SparkSession, folder: str) -> DataFrame:
+    return vptree.nearest(table(spark, folder, "embeddings"), "id % 50 = 0", k=5, factor=1.0)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, packing, substrings, trie, vptree, warc
+from . import jaccard, licences, packing, substrings, trie, vptree, warc
 from .registry import query, table
 
 
@@ -74,3 +74,32 @@ from (select *, row_number() over (partition by query_id order by score desc, ve
 @query("op5_vantage_point_search", NEAREST_SQL)
 def vantage_point_search(spark: SparkSession, folder: str) -> DataFrame:
     return vptree.nearest(table(spark, folder, "embeddings"), "id % 50 = 0", k=5, factor=1.0)
+
+
+def _canonical_sql(text: str) -> str:
+    c = rf"lower(regexp_replace(replace(coalesce({text}, ''), '©', '(c)'), '[^\x00-\x7F]+', ' ', 'g'))"
+    c = rf"regexp_replace({c}, '(^|\n)[^a-z0-9\n(]*(copyright[ \t]*(\(c\)|:|[0-9]{{4}}|<year>|\[year\])|\(c\)[ \t]*[0-9<\[])[^\n]*', '\1', 'g')"
+    c = rf"regexp_replace({c}, '(^|\n)[^a-z0-9\n]*all rights reserved[^a-z0-9\n]*(\n|$)', chr(10), 'g')"
+    c = f"regexp_replace({c}, '[^a-z0-9]+', ' ', 'g')"
+    for old, new in licences.SPELLINGS:
+        c = f"replace({c}, '{old}', '{new}')"
+    return f"trim({c})"
+
+
+_KNOWN_VALUES = ", ".join("('{}', '{}')".format(i, t.replace("'", "''")) for i, t in licences.KNOWN)
+LICENCE_SQL = f"""
+with k as (
+  select sha256(c) as known, min(licence_id) as licence_id
+  from (select licence_id, {_canonical_sql("t")} as c from (values {_KNOWN_VALUES}) as v(licence_id, t)) where c <> '' group by c
+), d as (select doc_id, text, sha256({_canonical_sql("text")}) as canonical_sha256 from documents),
+l as (select doc_id, {_canonical_sql("line")} as c from (select doc_id, unnest(string_split(text, chr(10))) as line from documents)),
+n as (select doc_id, count(*) as n_notices, string_agg(distinct licence_id, ',' order by licence_id) as notices
+  from l join k on sha256(l.c) = k.known where l.c <> '' group by doc_id)
+select d.doc_id, d.canonical_sha256, k.licence_id, coalesce(n.n_notices, 0) as n_notices, coalesce(n.notices, '') as notices
+from d left join k on k.known = d.canonical_sha256 left join n on n.doc_id = d.doc_id
+"""
+
+
+@query("op10_licence_digests", LICENCE_SQL)
+def licence_digests(spark: SparkSession, folder: str) -> DataFrame:
+    return licences.scan(table(spark, folder, "documents"), licences.known_texts(spark))

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, licences, packing, substrings, trie, vptree, warc
+from . import jaccard, licences, packing, secrets, substrings, trie, vptree, warc
 from .registry import query, table
+from .storage import shared_folder
 
 
 @query("op1_ngram_jaccard_join")
@@ -103,3 +104,42 @@ from d left join k on k.known = d.canonical_sha256 left join n on n.doc_id = d.d
 @query("op10_licence_digests", LICENCE_SQL)
 def licence_digests(spark: SparkSession, folder: str) -> DataFrame:
     return licences.scan(table(spark, folder, "documents"), licences.known_texts(spark))
+
+
+_ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
+
+
+def _spans_sql(kind: str, number: int, pattern: str, group: int, least: int) -> str:
+    ends = "list_sum(list_transform(gap[1:i], lambda x: length(x))) + list_sum(list_transform(m[1:i], lambda x: length(x)))"
+    return f"""select doc_id, {number} as number, '{kind}' as kind, e - length(m[i]) as s, e from (
+      select doc_id, m, v, i, cast({ends} as bigint) as e from (
+        select *, unnest(range(1, len(m) + 1)) as i from (
+          select doc_id, string_split_regex(text, '{pattern}') as gap, regexp_extract_all(text, '{pattern}') as m,
+            regexp_extract_all(text, '{pattern}', {group}) as v
+          from documents where regexp_matches(text, '{pattern}')))) where length(v[i]) >= {least}"""
+
+
+SECRETS_SQL = f"""
+with f as ({_spans_sql("assign", 0, _ASSIGN, 2, 12)} union all {_spans_sql("access", 1, "AKIA[A-Z0-9]+", 0, 18)}
+  union all {_spans_sql("hex", 2, "[0-9a-f]+", 0, 16)}),
+g as (select doc_id, count(*) filter (number = 0) as n_assign, count(*) filter (number = 1) as n_access,
+  count(*) filter (number = 2) as n_hex, string_agg(kind || ':' || s || ':' || e, ',' order by s, number) as spans from f group by doc_id)
+select d.doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access, coalesce(n_hex, 0) as n_hex,
+  sha256(coalesce(spans, '')) as base_sha256, coalesce(spans, '') as spans
+from documents d left join g on g.doc_id = d.doc_id
+"""
+
+
+@query("op4_secret_blob_ledger", SECRETS_SQL)
+def secret_blob_ledger(spark: SparkSession, folder: str) -> DataFrame:
+    found = secrets.scan(table(spark, folder, "documents"), shared_folder(spark, "ledger"), path_col="doc_id")
+    count = lambda i: F.size(F.filter("findings", lambda f: f["number"] == i)).cast("long")
+    spans = secrets.span_text(F.col("findings"))
+    return found.select(
+        F.col("path").alias("doc_id"),
+        count(0).alias("n_assign"),
+        count(1).alias("n_access"),
+        count(2).alias("n_hex"),
+        F.sha2(spans, 256).alias("base_sha256"),
+        spans.alias("spans"),
+    )

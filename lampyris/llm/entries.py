@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, licences, packing, secrets, substrings, trie, vptree, warc
+from . import chat, jaccard, licences, packing, secrets, substrings, trie, vptree, warc
 from .registry import query, table
 from .storage import shared_folder
 
@@ -143,3 +143,57 @@ def secret_blob_ledger(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(spans, 256).alias("base_sha256"),
         spans.alias("spans"),
     )
+
+
+_ESCAPED = "{}"
+for _plain, _code in chat.ESCAPES:
+    _old = _plain.replace("\n", "' || chr(10) || '")
+    _ESCAPED = f"replace({_ESCAPED}, '{_old}', '{_code}')"
+
+CHAT_SQL = f"""
+with t as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as raw from conversations
+  union all select -7, 0, 'user', '</s>[INST] ok [/INST]' union all select -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), r as (
+  select *, '<|' || replace({_ESCAPED.format("role")}, chr(10), '\\m') || '|>' || chr(10) || {_ESCAPED.format("raw")} || '<|end|>' || chr(10) as line,
+    row_number() over (partition by conv_id order by turn nulls first, role, raw) as i from t
+), k as (
+  select *, cast(ceil(strlen(line) / 4.0) as bigint) as tokens, i = 1 and role = 'system' as system from r
+), s as (
+  select *, sum(case when system then tokens else 0 end) over (partition by conv_id) as system_tokens,
+    sum(case when system then 0 else tokens end) over (partition by conv_id order by i) as until from k
+), p as (
+  select *, until - case when system then 0 else tokens end as since,
+    greatest(1, floor((512 - 96 - system_tokens) / 2.0)) as stride from s
+), n as (select *, floor(since / stride) as w from p where not system),
+g as (select conv_id, w, min(since) as first, min(i) as start, sum(length(line)) as chars,
+  least(96, 512 - min(system_tokens) - sum(tokens)) as room from n group by conv_id, w),
+h as (select g.conv_id, g.w, sum(length(n.line)) as chars from g join n on n.conv_id = g.conv_id and n.i < g.start and n.since >= g.first - g.room group by 1, 2),
+f as (
+  select g.conv_id, sum(g.chars + coalesce(h.chars, 0) + coalesce(y.chars, 0)) as chars from g
+  left join h on h.conv_id = g.conv_id and h.w = g.w
+  left join (select conv_id, length(line) as chars from p where system) y on y.conv_id = g.conv_id group by g.conv_id
+  union all select conv_id, length(line) from p where system and conv_id not in (select conv_id from n)
+)
+select k.conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || raw || chr(10), '' order by i)) as turns_sha256,
+  cast(coalesce(sum(length(raw)) filter (role = 'assistant'), 0) as bigint) as loss_chars,
+  sha256(coalesce(string_agg(raw, '' order by i) filter (role = 'assistant'), '')) as loss_sha256,
+  cast(min(f.chars) as bigint) as formatted_chars
+from k join f on f.conv_id = k.conv_id group by k.conv_id
+"""
+
+
+@query("op3_budgeted_chat_windows", CHAT_SQL)
+def budgeted_chat_windows(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    hard = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-7, 0, "user", hard), (-7, 1, "assistant", hard)], "conv_id long, turn long, role string, text string")
+    found = chat.read_back(chat.windows(rows.union(extra)))
+    return found.select(
+        "conv_id",
+        "n_turns",
+        F.sha2("turns", 256).alias("turns_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
+        "formatted_chars",
+    )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, jaccard, licences, packing, secrets, substrings, trie, vptree, warc
+from . import chat, jaccard, licences, packing, quality, secrets, substrings, trie, vptree, warc
 from .registry import query, table
 from .storage import shared_folder
 
@@ -197,3 +197,11 @@ def budgeted_chat_windows(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2("loss", 256).alias("loss_sha256"),
         "formatted_chars",
     )
+
+
+@query("op2_robust_outlier_rules")
+def robust_outlier_rules(spark: SparkSession, folder: str) -> DataFrame:
+    found = quality.judged(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.round("d2", 6).alias("distance2")
+    )

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .storage import stored
+from .storage import broadcast_up_to, stored
 
 SPACE = r"[\x09-\x0D\x20]+"
 BLANK = "\t\n\x0b\x0c\r "
@@ -194,6 +194,6 @@ def judged(
     border = _distanced(able, estimate).groupBy("group").agg(F.percentile(_class(F.col("d2")), core).alias("border"))
     scale = F.greatest(F.lit(1.0), F.expm1(F.col("border") / 256) / CHI_CORE[core])
     estimate = stored(estimate.join(border.select("group", scale.alias("scale")), "group"), "estimate")
-    out = _distanced(every, F.broadcast(estimate) if estimate.count() <= 20_000 else estimate, "left")
+    out = _distanced(every, broadcast_up_to(estimate, 20_000), "left")
     out = out.withColumn("d2", F.col("d2") / F.col("scale")).drop("scale", "group")
     return out.withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("d2") <= CHI_CUT, F.lit(True)))

@@ -9,6 +9,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
@@ -33,5 +34,10 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def broadcast_up_to(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` (stored, or cheap to count), to be broadcast if it has at most ``rows`` rows; else joins shuffle it."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

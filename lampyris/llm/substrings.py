@@ -28,6 +28,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import exchange, words
 from .storage import partitions, stored
@@ -283,9 +284,10 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows with a text and its spans: the spans' place is taken by the counts, the digest and the words kept."""
     for batch in batches:
         kept, n_words, n_removed = [], [], []
-        for text, spans in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist()):
+        for text, spans in zip(batch.column("_text").to_pylist(), batch.column("_spans").to_pylist()):
             own = (text or "").encode().split()
             left, at = [], 0
             for span in spans or ():
@@ -295,23 +297,36 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             n_words.append(len(own))
             n_removed.append(len(own) - len(left))
             kept.append(b" ".join(left))
+        rest = [c for c in batch.schema.names if c not in ("_text", "_spans")]
         yield pa.RecordBatch.from_arrays(
             [
-                batch.column("doc_id"),
+                *(batch.column(c) for c in rest),
                 pa.array(n_words, pa.int64()),
                 pa.array(n_removed, pa.int64()),
                 pa.array([hashlib.sha256(x).hexdigest() for x in kept]),
                 pa.array(kept, pa.binary()).cast(pa.string()),
             ],
-            ["doc_id", "n_words", "n_removed", "kept_sha256", "kept"],
+            [*rest, "_n_words", "_n_removed", "_kept_sha256", "_kept"],
         )
 
 
+def apply_spans(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """All columns of ``docs`` and _n_words, _n_removed, _kept_sha256, _kept (the kept words joined by one space).
+
+    ``spans`` has (doc_id, spans) rows; they are broadcast if they are few.
+    """
+    some = spans.where("size(spans) > 0").select(F.col("doc_id").alias("_id"), F.col("spans").alias("_spans"))
+    if (some.agg(F.sum(F.size("_spans"))).head()[0] or 0) <= SMALL_SPANS:
+        some = F.broadcast(some)
+    rows = docs.withColumn("_text", F.col(text_col).cast("string")).join(some, F.col(id_col).cast("long") == F.col("_id"), "left").drop("_id")
+    more = T.StructType().add("_n_words", "long").add("_n_removed", "long").add("_kept_sha256", "string").add("_kept", "string")
+    schema = T.StructType(docs.schema.fields + more.fields)
+    return rows.mapInArrow(_kept, schema)
+
+
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 50) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256, kept): the words kept, joined by one space, and their SHA-256."""
-    spans = stored(repeated_spans(docs, id_col, text_col, window), "spans")
-    some = spans.where("size(spans) > 0").select("doc_id", "spans")
-    if (some.agg(F.sum(F.size("spans"))).head()[0] or 0) <= SMALL_SPANS:
-        some = F.broadcast(some)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).where("doc_id is not null")
-    return rows.join(some, "doc_id", "left").mapInArrow(_kept, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string")
+    spans = stored(repeated_spans(rows, window=window), "spans")
+    found = apply_spans(rows, spans)
+    return found.select("doc_id", *[F.col(f"_{c}").alias(c) for c in ("n_words", "n_removed", "kept_sha256", "kept")])

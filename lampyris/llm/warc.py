@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .storage import shared_folder
+from .storage import broadcast_up_to, shared_folder
 
 END = "\r\n"
 SMALL_ROWS = 50_000  # up to here the table of revisits (100 bytes a row) is broadcast
@@ -61,9 +61,7 @@ def write_archives(
     heads = heads.where("least < head or (nulls > 0 and head is not null)").select("digest", "head")
     revisits = rows.where(bytes_ >= least_bytes).select("page", "digest").join(heads, "digest").where("not page <=> head").distinct()
     revisits = revisits.select(F.col("page").alias("r_page"), F.col("digest").alias("r_digest"), "head")
-    if revisits.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS:
-        revisits = F.broadcast(revisits)
-    rows = rows.join(revisits, F.col("page").eqNullSafe(F.col("r_page")) & (F.col("digest") == F.col("r_digest")), "left")
+    rows = rows.join(broadcast_up_to(revisits, SMALL_ROWS), F.col("page").eqNullSafe(F.col("r_page")) & (F.col("digest") == F.col("r_digest")), "left")
 
     own = record_id(F.col("page"), F.col("digest"))
     wrapped = lambda c: F.concat(F.lit("<"), c, F.lit(">"))

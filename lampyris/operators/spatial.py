@@ -15,16 +15,22 @@ from pyspark.sql import functions as F
 
 from ..functions import geo
 
-ZONE_CELL_DEG = 0.02
-RADIUS_CELL_DEG = 0.02
+# Cells of level 0; a level's cells have four times the side of the level below. Any level may occur, also negative ones.
+CELL_DEG = 0.02
 COVER_CELLS = 16
+# Shapes below that size are covered by about this many cells per axis.
+SMALL_COVER_CELLS = 2
+# The finest cells, about a metre: smaller shapes share them.
+FINEST_LEVEL = -6
 # Beyond this cell size the corner and clamping tests of a circle's cells are not safe on the sphere.
 NEAR_CELL_DEG = 0.5
 CELL = ["_lv", "_cx", "_cy"]
 
-# Right rows per finest cell of the k-nearest join (on average), and the finest left level.
-KNN_ROWS_PER_LEAF = 64
-KNN_MAX_LEVEL = 20
+# Right rows that share a finest cell of the k-nearest join (the mean over rows), and how much finer left blocks are.
+KNN_ROWS_PER_LEAF = 8
+KNN_FINER = 3
+# Deepest split of the right side's extent: under a metre for a globe. Rows closer than that share a cell.
+KNN_DEEPEST = 26
 _BOUND_SLACK = 1e-9
 
 
@@ -34,36 +40,40 @@ def _floor(value: Column) -> Column:
 
 # -------------------------------------------------------------------------------- grid levels
 #
-# A shape is covered by cells of its own level: level n cells are 4^n times the base cell, and a shape takes
-# the lowest level that spans it with about COVER_CELLS cells per axis. One aggregate over the shapes (one
-# row) tells how many levels occur; a point is repeated once per level, which is once unless sizes differ
-# by more than COVER_CELLS times.
+# A shape is covered by cells of its own level, which follows its size: about COVER_CELLS cells per axis for large
+# shapes, few for small ones. The levels that occur among the shapes (one small aggregate) are the ones at which points
+# are looked up; a point is repeated once for each of them, which is once or twice unless sizes differ a lot.
 
 
-def _level_of(span: Column, cell: float, levels: int) -> Column:
-    wanted = F.ceil(F.log(F.greatest(span, F.lit(cell)) / (COVER_CELLS * cell)) / math.log(4))
-    return F.greatest(F.least(wanted, F.lit(levels - 1)), F.lit(0)).cast("int")
+def _level_of(span: Column) -> Column:
+    def at(cells: int) -> Column:
+        return F.ceil(F.log(F.greatest(span, F.lit(1e-12)) / (cells * CELL_DEG)) / math.log(4))
 
+    large, small = at(COVER_CELLS), at(SMALL_COVER_CELLS)
+    return F.greatest(F.when(large > 0, large).otherwise(F.least(small, F.lit(0))), F.lit(FINEST_LEVEL)).cast("int")
 
-def _level_count(widest: float | None, cell: float) -> int:
-    return 1 if not widest else max(1, math.ceil(math.log(max(widest, cell) / (COVER_CELLS * cell), 4)) + 1)
 
+def _levels_in(shapes: DataFrame, span: Column) -> list[int]:
+    """The levels that occur, a few dozen at most."""
+    rows = shapes.select(_level_of(span).alias("n")).where("n is not null").distinct().collect()
+    return sorted(r.n for r in rows) or [0]
 
-def _size(level: Column, cell: float) -> Column:
-    return F.lit(cell) * F.pow(F.lit(4.0), level)
 
+def _size(level: Column) -> Column:
+    return F.lit(CELL_DEG) * F.pow(F.lit(4.0), level)
 
-def _with_cells(points: DataFrame, cell: float, levels: int) -> DataFrame:
+
+def _with_cells(points: DataFrame, levels: list[int]) -> DataFrame:
     """Points with ``_lv``, ``_cx``, ``_cy``: one row per level."""
     spots = [
         F.struct(
             F.lit(n).alias("_lv"),
-            _floor(F.col("lon") / (cell * 4**n)).alias("_cx"),
-            _floor(F.col("lat") / (cell * 4**n)).alias("_cy"),
+            _floor(F.col("lon") / (CELL_DEG * 4.0**n)).alias("_cx"),
+            _floor(F.col("lat") / (CELL_DEG * 4.0**n)).alias("_cy"),
         )
-        for n in range(levels)
+        for n in levels
     ]
-    if levels == 1:
+    if len(levels) == 1:
         return points.select("*", *[spots[0][f].alias(f) for f in CELL])
     return points.select("*", F.inline(F.array(*spots)))
 
@@ -78,12 +88,12 @@ def _spans(zones: DataFrame) -> DataFrame:
     )
 
 
-def zone_cover(zones: DataFrame, cell: float = ZONE_CELL_DEG, levels: int = 1) -> DataFrame:
+def zone_cover(zones: DataFrame) -> DataFrame:
     """One row per (zone, grid cell of its bounding box), with the ring's edges ready for testing."""
-    size = _size(F.col("_lv"), cell)
+    size = _size(F.col("_lv"))
     return (
         _spans(zones)
-        .withColumn("_lv", _level_of(F.col("_span"), cell, levels))
+        .withColumn("_lv", _level_of(F.col("_span")))
         .withColumn("_edges", geo.ring_edges(F.col("ring")))
         .withColumn("_cx", F.explode(F.sequence(_floor(F.col("_b.min_lon") / size), _floor(F.col("_b.max_lon") / size))))
         .withColumn("_cy", F.explode(F.sequence(_floor(F.col("_b.min_lat") / size), _floor(F.col("_b.max_lat") / size))))
@@ -91,16 +101,16 @@ def zone_cover(zones: DataFrame, cell: float = ZONE_CELL_DEG, levels: int = 1) -
     )
 
 
-def spatial_join_within(points: DataFrame, zones: DataFrame, cell: float = ZONE_CELL_DEG) -> DataFrame:
+def spatial_join_within(points: DataFrame, zones: DataFrame) -> DataFrame:
     """(point, zone) rows with the point strictly inside the ring.
 
     ``points`` carries ``lon``/``lat``; ``zones`` carries ``ring``. Column names must not collide.
     A point inside two overlapping zones gives two rows.
     """
-    levels = _level_count(_spans(zones).agg(F.max("_span")).first()[0], cell)
+    levels = _levels_in(_spans(zones), F.col("_span"))
     return (
-        _with_cells(points, cell, levels)
-        .join(zone_cover(zones, cell, levels), CELL)
+        _with_cells(points, levels)
+        .join(zone_cover(zones), CELL)
         .where(geo.in_edges(F.col("lon"), F.col("lat"), F.col("_edges")))
         .drop(*CELL, "_edges")
     )
@@ -138,47 +148,64 @@ def as_centers(df: DataFrame, *columns) -> DataFrame:
 
 
 def _lon_reach(radius: Column) -> Column:
-    """Degrees of longitude a circle reaches at its poleward end; never less than in latitude."""
+    """Degrees of longitude a circle reaches at its poleward end, never less than in latitude; all of them at a pole."""
     r_lat = radius / 110500.0
-    return r_lat / _cos_lat(F.least(F.abs(F.col("_slat")) + r_lat, F.lit(89.0)))
+    top = F.abs(F.col("_slat")) + r_lat
+    return F.when(top >= 89.9, F.lit(180.0)).otherwise(F.least(r_lat / _cos_lat(top), F.lit(180.0)))
+
+
+def circle_levels(centers: DataFrame, radius_m: Column) -> list[int]:
+    return _levels_in(centers, 2 * _lon_reach(radius_m.cast("double")))
+
+
+def _columns_of(lon: Column, reach: Column, size: Column) -> Column:
+    """Cell columns within ``reach`` degrees of a longitude, across the antimeridian too."""
 
+    def part(low: Column, high: Column) -> Column:
+        low, high = F.greatest(low, F.lit(-180.0)), F.least(high, F.lit(180.0))
+        return F.when(low <= high, F.sequence(_floor(low / size), _floor(high / size))).otherwise(F.array().cast("array<bigint>"))
 
-def circle_levels(centers: DataFrame, radius_m: Column, cell: float = RADIUS_CELL_DEG) -> int:
-    widest = centers.agg(F.max(2 * _lon_reach(radius_m.cast("double")))).first()[0]
-    return _level_count(widest, cell)
+    around = F.concat(part(lon - reach, lon + reach), part(lon + 360 - reach, lon + 360 + reach), part(lon - 360 - reach, lon - 360 + reach))
+    return F.when(reach >= 180, part(F.lit(-180.0), F.lit(180.0))).otherwise(F.array_distinct(around))
 
 
-def circle_cover(centers: DataFrame, radius_m: Column, cell: float = RADIUS_CELL_DEG, levels: int = 1) -> DataFrame:
+def circle_cover(centers: DataFrame, radius_m: Column) -> DataFrame:
     """Grid cells touched by each centre's circle; ``_full`` marks cells wholly inside it.
 
     Cell tests use the sphere with a slack, so a cell near the rim is kept as not full and its points
-    are tested exactly.
+    are tested exactly. Circles may cross the antimeridian or hold a pole.
     """
-    r_lat, r_lon = F.col("_r") / 110500.0, _lon_reach(F.col("_r"))
-    lon, lat = F.col("_slon"), F.col("_slat")
+    r_lat, r_lon = F.col("_r") / 110500.0, F.col("_r_lon")
+    lat = F.col("_slat")
     size = F.col("_size")
+    bottom, top = F.greatest(lat - r_lat, F.lit(-90.0)), F.least(lat + r_lat, F.lit(90.0))
     cells = (
         centers.withColumn("_r", radius_m.cast("double"))
-        .withColumn("_lv", _level_of(2 * r_lon, cell, levels))
-        .withColumn("_size", _size(F.col("_lv"), cell))
-        .withColumn("_cx", F.explode(F.sequence(_floor((lon - r_lon) / size), _floor((lon + r_lon) / size))))
-        .withColumn("_cy", F.explode(F.sequence(_floor((lat - r_lat) / size), _floor((lat + r_lat) / size))))
+        .withColumn("_r_lon", _lon_reach(F.col("_r")))
+        .withColumn("_lv", _level_of(2 * F.col("_r_lon")))
+        .withColumn("_size", _size(F.col("_lv")))
+        .withColumn("_cx", F.explode(_columns_of(F.col("_slon"), r_lon, size)))
+        .withColumn("_cy", F.explode(F.sequence(_floor(bottom / size), _floor(top / size))))
     )
     x0, y0 = F.col("_cx") * size, F.col("_cy") * size
     x1, y1 = x0 + size, y0 + size
+    # the centre's longitude on the cell's side of the antimeridian
+    lon = F.col("_slon") + 360 * F.round(((x0 + x1) / 2 - F.col("_slon")) / 360)
     near = geo.haversine_m(lon, lat, F.least(F.greatest(lon, x0), x1), F.least(F.greatest(lat, y0), y1))
     far_x = F.when(F.abs(lon - x0) > F.abs(lon - x1), x0).otherwise(x1)
     far = F.greatest(geo.haversine_m(lon, lat, far_x, y0), geo.haversine_m(lon, lat, far_x, y1))
+    # near a pole the nearest point of a cell need not be at the clamped longitude
+    plain = (size <= NEAR_CELL_DEG) & (r_lon < 90)
     return (
-        cells.where((near <= F.col("_r") * (1 + geo.SPHERE_SLACK)) | (size > NEAR_CELL_DEG))
-        .withColumn("_full", (far <= F.col("_r") * (1 - geo.SPHERE_SLACK)) & (size <= NEAR_CELL_DEG))
-        .drop("_size")
+        cells.where((near <= F.col("_r") * (1 + geo.SPHERE_SLACK)) | ~plain)
+        .withColumn("_full", (far <= F.col("_r") * (1 - geo.SPHERE_SLACK)) & plain)
+        .drop("_size", "_r_lon")
     )
 
 
-def _located(points: DataFrame, cell: float, levels: int) -> DataFrame:
+def _located(points: DataFrame, levels: list[int]) -> DataFrame:
     """Points with their unit vector and grid cells."""
-    return _with_cells(points.withColumn("_v", geo.unit_vector(F.col("lon"), F.col("lat"))), cell, levels)
+    return _with_cells(points.withColumn("_v", geo.unit_vector(F.col("lon"), F.col("lat"))), levels)
 
 
 def _with_distance(pairs: DataFrame, *columns: str) -> DataFrame:
@@ -198,22 +225,20 @@ def _with_distance(pairs: DataFrame, *columns: str) -> DataFrame:
 
 
 def spatial_join_dwithin(
-    centers: DataFrame, points: DataFrame, radius_m: Column, cell: float = RADIUS_CELL_DEG, levels: int | None = None
+    centers: DataFrame, points: DataFrame, radius_m: Column
 ) -> DataFrame:
     """(centre, point, distance_m) rows within each centre's own radius.
 
-    ``levels`` is looked up from the widest circle unless given; a given one only affects speed.
-
     ``centers`` comes from ``as_centers``. Points are not replicated; each centre is repeated once per
     covered cell. Both sides carry their trigonometry, so a pair costs a few products and one arc sine.
     """
     columns = [c for c in [*centers.columns, *points.columns] if c not in ("_slon", "_slat", "_sv", "_r")]
-    levels = levels or circle_levels(centers, radius_m, cell)
-    pairs = _located(points, cell, levels).join(circle_cover(centers, radius_m, cell, levels), CELL)
+    levels = circle_levels(centers, radius_m)
+    pairs = _located(points, levels).join(circle_cover(centers, radius_m), CELL)
     return _with_distance(pairs, *columns).where(F.col("distance_m") <= F.col("_r")).drop("_r")
 
 
-def coverage_counts(suppliers: DataFrame, lights: DataFrame, cell: float = RADIUS_CELL_DEG) -> DataFrame:
+def coverage_counts(suppliers: DataFrame, lights: DataFrame) -> DataFrame:
     """Lights per supplier and status within the supplier's radius.
 
     Cells wholly inside a circle contribute their pre-aggregated counts; only rim cells are expanded to
@@ -221,9 +246,9 @@ def coverage_counts(suppliers: DataFrame, lights: DataFrame, cell: float = RADIU
     """
     centers = as_centers(suppliers, "supplier_id", "service_radius_km")
     radius = F.col("service_radius_km") * 1000
-    levels = circle_levels(centers, radius, cell)
-    cover = circle_cover(centers, radius, cell, levels)
-    points = _located(lights.select("light_id", "status", "lon", "lat"), cell, levels)
+    levels = circle_levels(centers, radius)
+    cover = circle_cover(centers, radius)
+    points = _located(lights.select("light_id", "status", "lon", "lat"), levels)
     counts = points.groupBy(*CELL, "status").agg(F.count("*").alias("n"))
     inner = cover.where("_full").select("supplier_id", *CELL).join(counts, CELL).select("supplier_id", "status", "n")
     rim = (
@@ -234,16 +259,16 @@ def coverage_counts(suppliers: DataFrame, lights: DataFrame, cell: float = RADIU
     return inner.unionByName(rim).groupBy("supplier_id", "status").agg(F.sum("n").alias("n"))
 
 
-def uncovered_lights(lights: DataFrame, suppliers: DataFrame, cell: float = RADIUS_CELL_DEG) -> DataFrame:
+def uncovered_lights(lights: DataFrame, suppliers: DataFrame) -> DataFrame:
     """Lights outside every supplier's own radius.
 
     Lights in a cell wholly inside some circle leave without a pair being formed.
     """
     centers = as_centers(suppliers, "supplier_id", "service_radius_km")
     radius = F.col("service_radius_km") * 1000
-    levels = circle_levels(centers, radius, cell)
-    cover = circle_cover(centers, radius, cell, levels)
-    spots = _located(lights.select("light_id", "lon", "lat"), cell, levels).drop("lon", "lat")
+    levels = circle_levels(centers, radius)
+    cover = circle_cover(centers, radius)
+    spots = _located(lights.select("light_id", "lon", "lat"), levels).drop("lon", "lat")
     full = cover.where("_full").select(*CELL).distinct()
     easy = spots.join(full, CELL, "left_semi").select("light_id")
     rim = spots.join(full, CELL, "left_anti").join(cover.where(~F.col("_full")), CELL)
@@ -257,9 +282,18 @@ def near_point(points: DataFrame, lon: float, lat: float, radius_m: float) -> Da
     The bounding box goes first: plain range predicates on the stored columns reach the file statistics.
     """
     d_lat = radius_m / 110500.0
-    d_lon = d_lat / max(math.cos(math.radians(min(abs(lat) + d_lat, 89.0))), 0.01)
+    box = F.col("lat").between(lat - d_lat, lat + d_lat)
+    if abs(lat) + d_lat < 89.9:  # else the circle holds a pole and every longitude counts
+        d_lon = d_lat / max(math.cos(math.radians(abs(lat) + d_lat)), 0.001)
+        if d_lon < 180:
+            across = F.col("lon").between(lon - d_lon, lon + d_lon)
+            if lon - d_lon < -180:
+                across = across | (F.col("lon") >= lon - d_lon + 360)
+            if lon + d_lon > 180:
+                across = across | (F.col("lon") <= lon + d_lon - 360)
+            box = box & across
     return (
-        points.where(F.col("lon").between(lon - d_lon, lon + d_lon) & F.col("lat").between(lat - d_lat, lat + d_lat))
+        points.where(box)
         .withColumn("distance_m", geo.lambert_m(F.col("lon"), F.col("lat"), F.lit(lon), F.lit(lat)))
         .where(F.col("distance_m") <= radius_m)
     )
@@ -341,8 +375,9 @@ def knn_join(
 
     Left rows are grouped into blocks; blocks and right-hand cells are narrowed together by distance
     bounds, all by equality on cells, so the exact distance is computed for a handful of candidates per
-    left row. One aggregate over the right side (row count and extent, one row) decides the number of
-    levels.
+    left row. Two small aggregates over the right side decide the number of levels: its extent, and how
+    deep cells must be split until rows share them with few others. So clusters of any density and rows far
+    away from the rest cost levels, not pairs.
     """
     placed = right.where(F.col("lon").isNotNull() & F.col("lat").isNotNull())
     size = placed.agg(
@@ -358,9 +393,8 @@ def knn_join(
         return left.limit(0).join(points.limit(0), F.lit(False)).withColumn("nn_rank", F.lit(1))
     extent = max(size["x1"] - size["x0"], size["y1"] - size["y0"], 1e-6) * (1 + 1e-6)
     grid = _Grid(size["x0"], size["y0"], extent, metric)
-    per_axis = math.sqrt(n)
-    right_level = max(1, math.ceil(math.log2(per_axis / math.sqrt(KNN_ROWS_PER_LEAF))))
-    left_level = min(KNN_MAX_LEVEL, max(right_level, math.ceil(math.log2(2 * per_axis))))
+    right_level = _depth(grid, points, n)
+    left_level = right_level + KNN_FINER
 
     bx, by = grid.block(F.col("lon"), F.col("lat"), left_level)
     blocks = (
@@ -382,6 +416,23 @@ def knn_join(
     )
 
 
+def _depth(grid: _Grid, points: DataFrame, n: int) -> int:
+    """The level at which a row shares its cell with KNN_ROWS_PER_LEAF rows on average.
+
+    Rows with equal locations share a cell at any level: no deeper than where most of what can part has parted.
+    """
+    if n <= KNN_ROWS_PER_LEAF:
+        return 1
+    x, y = grid.block(F.col("r_lon"), F.col("r_lat"), KNN_DEEPEST)
+    fine = points.groupBy(x.alias("x"), y.alias("y")).agg(F.count("*").alias("c"))
+    steps = [(level, KNN_DEEPEST - level) for level in range(1, KNN_DEEPEST + 1)]
+    every = F.array(*[F.struct(F.lit(v).alias("lv"), F.shiftright("x", d).alias("cx"), F.shiftright("y", d).alias("cy")) for v, d in steps])
+    cells = fine.select("c", F.inline(every)).groupBy("lv", "cx", "cy").agg(F.sum("c").alias("c"))
+    shared = cells.groupBy("lv").agg((F.sum(F.col("c").cast("double") * F.col("c")) / n).alias("w"))
+    by_level = {r.lv: r.w for r in shared.collect()}  # one row for each level
+    return min(v for v, w in by_level.items() if w <= max(KNN_ROWS_PER_LEAF, 1.25 * by_level[KNN_DEEPEST]))
+
+
 def _candidates(
     grid: _Grid, blocks: DataFrame, slim: DataFrame, left_level: int, right_level: int, right_key: str, k: int
 ) -> DataFrame:

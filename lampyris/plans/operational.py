@@ -153,7 +153,6 @@ def nearest_supplier_table(t: Tables) -> DataFrame:
 def register_nearest_supplier(t: Tables, name: str = "nearest_supplier") -> str:
     """SQL table function ``name(light_id)`` with six output columns.
 
-    The light's id reaches the scan of the lights: it is the partition key of the ranking window.
     """
     view = f"v_{name}"
     table = nearest_supplier_table(t)
@@ -393,7 +392,6 @@ def zone_nearest_supplier(t: Tables) -> DataFrame:
         around,
         t.suppliers.select(F.col("name").alias("nearest_supplier"), "specialization", "lon", "lat"),
         F.col("_r"),
-        levels=4,  # given, so that the radii are not computed an extra time to size the grid
     )
     per_name = ties.groupBy("zone_id", "neighborhood", "nearest_supplier", "specialization").agg(
         _km(F.min("distance_m")).alias("distance_km")

@@ -140,7 +140,7 @@ def test_shapes_of_very_different_size(spark):
     points = _scatter(150, 8) + [(500, 60.0, 0.0), (501, -170.0, 60.0), (502, 79.5, 14.9)]
     suppliers = [(0, 77.6, 12.9, 1), (1, 77.55, 12.95, 40), (2, 77.6, 13.0, 300), (3, 75.0, 10.0, 2500), (4, 77.61, 12.95, 2)]
     centers = spatial.as_centers(_suppliers(spark, suppliers), "supplier_id", "service_radius_km")
-    assert spatial.circle_levels(centers, F.col("service_radius_km") * 1000) > 2
+    assert len(spatial.circle_levels(centers, F.col("service_radius_km") * 1000)) > 2
     got = spatial.spatial_join_dwithin(centers, _points(spark, points), F.col("service_radius_km") * 1000)
     want = {(s[0], p[0]) for s in suppliers for p in points if _lambert(s[1], s[2], p[1], p[2]) <= s[3] * 1000}
     assert {(r.supplier_id, r.light_id) for r in got.collect()} == want
@@ -178,3 +178,69 @@ def test_plans_have_no_nested_loops(spark):
             assert "NestedLoop" not in text and "Cartesian" not in text
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def _pairs_formed(df):
+    """Rows out of the last join below the exact test, from the executed plan's metrics."""
+    df.collect()
+    found = []
+
+    def walk(node):
+        name = node.nodeName()
+        if name.startswith("AdaptiveSparkPlan"):
+            return walk(node.executedPlan())
+        if name.endswith("QueryStage"):
+            return walk(node.plan())
+        if "Join" in name and node.metrics().contains("numOutputRows"):
+            found.append(node.metrics().apply("numOutputRows").value())
+        kids = node.children()
+        for i in range(kids.size()):
+            walk(kids.apply(i))
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return max(found)
+
+
+def test_a_cluster_with_one_outlier_forms_few_pairs(spark):
+    """One far row must not put all others into one cell."""
+    rnd = random.Random(3)
+    left = [(i, 77.6 + rnd.random() / 100, 12.9 + rnd.random() / 100) for i in range(2000)]
+    right = [(i, 77.6 + rnd.random() / 100, 12.9 + rnd.random() / 100) for i in range(2000)] + [(9999, -120.0, -45.0)]
+    joined = spatial.knn_join(_points(spark, left), _points(spark, right).withColumnRenamed("light_id", "supplier_id"), "light_id", "supplier_id")
+    # a constant for each left row: 16 children of the few cells that can matter; all pairs would be 2,000
+    assert _pairs_formed(joined) <= 160 * len(left)
+    got = {r.light_id: r.supplier_id for r in joined.collect()}
+    for i, x, y in left[::40]:
+        assert got[i] == min((((x - a) ** 2 + (y - b) ** 2), j) for j, a, b in right)[1]
+
+
+def test_small_circles_in_one_place_form_few_pairs(spark):
+    rnd = random.Random(4)
+    circles = [(i, 77.6 + rnd.random() / 60, 12.9 + rnd.random() / 60, 0.005) for i in range(3000)]
+    points = [(i, 77.6 + rnd.random() / 60, 12.9 + rnd.random() / 60) for i in range(3000)]
+    sdf = spark.createDataFrame(circles, "supplier_id int, lon double, lat double, service_radius_km double")
+    joined = spatial.spatial_join_dwithin(
+        spatial.as_centers(sdf, "supplier_id", "service_radius_km"), _points(spark, points), F.col("service_radius_km") * 1000
+    )
+    formed = _pairs_formed(joined)
+    assert formed <= 10 * (len(circles) + len(points))
+
+
+@pytest.mark.parametrize(
+    "center, radius_km",
+    [((179.99, 0.0), 10), ((-179.95, 40.0), 400), ((80.0, 89.9), 60), ((10.0, -89.99), 30), ((0.0, 89.0), 500), ((180.0, -70.0), 3000)],
+)
+def test_circles_across_the_antimeridian_and_poles(spark, center, radius_km):
+    rnd = random.Random(5)
+    points = [(-179.99, 0.0), (179.99, 0.0), (180.0, 0.01), (-180.0, 0.02), (-100.0, 89.9), (0.0, 90.0), (77.0, -90.0)]
+    points += [(rnd.uniform(-180, 180), rnd.choice([-1, 1]) * (90 - abs(rnd.gauss(0, 3)) % 90)) for _ in range(300)]
+    points += [(rnd.choice([-1, 1]) * (180 - rnd.random() * 5), rnd.uniform(-80, 80)) for _ in range(300)]
+    points = [(i, x, y) for i, (x, y) in enumerate(points)]
+    want = {i for i, x, y in points if _lambert(*center, x, y) <= radius_km * 1000}
+    df = _points(spark, points)
+    sdf = _suppliers(spark, [(1, *center, radius_km)])
+    got = [r.light_id for r in spatial.spatial_join_dwithin(spatial.as_centers(sdf, "supplier_id", "service_radius_km"), df, F.col("service_radius_km") * 1000).collect()]
+    assert sorted(got) == sorted(want)
+    assert {r.light_id for r in spatial.near_point(df, *center, radius_km * 1000).collect()} == want
+    counts = spatial.coverage_counts(sdf, df.withColumn("status", F.lit("x"))).collect()
+    assert sum(r.n for r in counts) == len(want)

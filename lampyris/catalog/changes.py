@@ -64,6 +64,7 @@ def _stream_apply(t):
     """Drain the feed through the streaming job and read its state back."""
     path = shared_dir(t.spark, "cdc")
     sc.stream_apply(sc.read_domain_stream(t.spark, t.path, "feed"), path)
+    sc.fold_state(t.spark, path)
     return sc.read_state(t.spark, path)
 
 
@@ -137,12 +138,13 @@ query("schedule_maintenance", _mutated_sql("maintenance_required", 5))(
     "stream_daily_counts",
     """select cast(reported_at as date) as ts, count(*) as total, count(*) filter (where issue_type = 'bulb_failure') as bulb_failures,
     count(*) filter (where issue_type = 'wiring') as wiring_issues, count(*) filter (where issue_type = 'pole_damage') as pole_damage,
-    count(*) filter (where issue_type = 'power_supply') as power_supply, count(*) filter (where issue_type = 'sensor_failure') as sensor_failures
-    from requests group by 1""",
+    count(*) filter (where issue_type = 'power_supply') as power_supply, count(*) filter (where issue_type = 'sensor_failure') as sensor_failures,
+    count(distinct light_id) as unique_lights_affected from requests where reported_at is not null group by 1""",
 )
 def stream_daily_counts(t):
     path = shared_dir(t.spark, "daily")
     st.stream_daily_counts(sc.read_domain_stream(t.spark, t.path, "requests"), path)
+    st.fold_daily(t.spark, path)
     return st.read_daily(t.spark, path)
 
 

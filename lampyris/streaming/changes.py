@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -67,12 +68,56 @@ def stream_apply(feed: DataFrame, path: str, key: str = "light_id", interval: st
     return run_batches(state, path, batch_writer(path), interval=interval)
 
 
+def _batches(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+
+
+def read_log(spark: SparkSession, path: str) -> DataFrame:
+    """All that was logged under ``path``: the newest fold and the batches after it."""
+    log, folds = spark.read.parquet(f"{path}/log"), _batches(spark, f"{path}/folds")
+    if folds is None:
+        return log.drop("batch")
+    upto = folds.agg(F.max("upto")).first()[0]
+    rest = log.where(F.col("batch") > upto).drop("batch")
+    return folds.where(F.col("upto") == upto).drop("upto").unionByName(rest)
+
+
+def fold_log(spark: SparkSession, path: str, combine: Callable[[DataFrame], DataFrame]) -> None:
+    """Combine the newest fold and the batches after it into a fold of its own.
+
+    Folds are added, never changed, so readers and a running stream are not disturbed. Batches below a fold are no
+    longer read, and ``drop_folded`` deletes them.
+    """
+    upto = spark.read.parquet(f"{path}/log").agg(F.max("batch")).first()[0]
+    combine(read_log(spark, path)).write.mode("overwrite").parquet(f"{path}/folds/upto={upto}")
+
+
+def drop_folded(spark: SparkSession, path: str) -> None:
+    """Delete the batches and folds that the newest fold stands for; not while a reader still uses them.
+
+    The newest folded batch stays, as the stream may repeat it after a failure.
+    """
+    upto = spark.read.parquet(f"{path}/folds").agg(F.max("upto")).first()[0]
+    jvm = spark._jvm.org.apache.hadoop.fs
+    for folder, column, below in ((f"{path}/log", "batch", upto), (f"{path}/folds", "upto", upto)):
+        root = jvm.Path(folder)
+        files = root.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+        for status in files.listStatus(root):
+            name = status.getPath().getName()
+            if name.startswith(f"{column}=") and int(name.partition("=")[2]) < below:
+                files.delete(status.getPath(), True)
+
+
 def read_state(spark: SparkSession, path: str, key: str = "light_id") -> DataFrame:
     """Current state: the latest logged row per key. Tombstones are included (``op`` = delete)."""
-    return latest_changes(spark.read.parquet(f"{path}/log").drop("batch"), key)
+    return latest_changes(read_log(spark, path), key)
 
 
-def compact(spark: SparkSession, path: str, target: str, key: str = "light_id") -> DataFrame:
-    """Fold the log into one snapshot folder for readers that do not need the history."""
-    read_state(spark, path, key).write.mode("overwrite").parquet(target)
-    return spark.read.parquet(target)
+def fold_state(spark: SparkSession, path: str, key: str = "light_id") -> None:
+    """Keep only the latest row per key of the batches so far."""
+    fold_log(spark, path, lambda log: latest_changes(log, key))

@@ -7,27 +7,39 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.series import ISSUE_COLUMNS
-from .changes import batch_writer, run_batches
-
-
-def stream_daily_counts(
-    requests: DataFrame, path: str, lateness: str = "30 days", interval: str | None = None
-) -> StreamingQuery:
-    """Tumbling one-day windows; rows later than ``lateness`` behind the newest are dropped with their state."""
-    timed = requests.withColumn("reported_at", F.col("reported_at").cast("timestamp"))
-    daily = (
-        timed.withWatermark("reported_at", lateness)
-        .groupBy(F.window("reported_at", "1 day").alias("w"))
-        .agg(
+from .changes import fold_log, read_log, run_batches
+
+_COUNTS = ("total", *ISSUE_COLUMNS)
+
+
+def stream_daily_counts(requests: DataFrame, path: str, interval: str | None = None) -> StreamingQuery:
+    """Each micro-batch adds its counts by day and light to the log; nothing is dropped, however late it is.
+
+    There is no keyed state: readers add the batches up, and ``fold_daily`` shortens what they read. A retried batch
+    replaces its folder.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        timed = batch.where("reported_at is not null").withColumn("ts", F.to_date("reported_at"))
+        counts = timed.groupBy("ts", "light_id").agg(
             F.count("*").alias("total"),
             *[F.count_if(F.col("issue_type") == value).alias(name) for name, value in ISSUE_COLUMNS.items()],
         )
-        .select(F.to_date("w.start").alias("ts"), "total", *ISSUE_COLUMNS)
-    )
-    return run_batches(daily, path, batch_writer(path), interval=interval)
+        counts.write.mode("overwrite").parquet(f"{path}/log/batch={batch_id}")
+
+    return run_batches(requests.select("reported_at", "light_id", "issue_type"), path, write, mode="append", interval=interval)
+
+
+def _by_light(log: DataFrame) -> DataFrame:
+    return log.groupBy("ts", "light_id").agg(*[F.sum(c).alias(c) for c in _COUNTS])
 
 
 def read_daily(spark: SparkSession, path: str) -> DataFrame:
-    """Latest counts per day. A day's counts only grow, so the largest logged row is the newest."""
-    log = spark.read.parquet(f"{path}/log").drop("batch")
-    return log.groupBy("ts").agg(*[F.max(c).alias(c) for c in ("total", *ISSUE_COLUMNS)])
+    """Counts and distinct lights per day, over everything that has arrived."""
+    days = _by_light(read_log(spark, path)).groupBy("ts")
+    return days.agg(*[F.sum(c).alias(c) for c in _COUNTS], F.count("light_id").alias("unique_lights_affected"))
+
+
+def fold_daily(spark: SparkSession, path: str) -> None:
+    """Add the batches so far up into one folder."""
+    fold_log(spark, path, _by_light)

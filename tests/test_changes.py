@@ -89,17 +89,35 @@ def test_stream_survives_restart_and_any_split(spark, tmp_path):
     drain()
     got = {r.light_id: (r.op, r.version) for r in sc.read_state(spark, out).collect()}
     assert got == {1: ("update", 10), 2: ("delete", 5), 3: ("insert", 9), 9: ("update", 4)}
-    assert sc.compact(spark, out, str(tmp_path / "snapshot")).count() == 4
+    sc.fold_state(spark, out)
+    assert sc.read_log(spark, out).count() == 4
+    sc.drop_folded(spark, out)
+    _feed(spark, [EVENTS[0]]).coalesce(1).write.mode("append").parquet(source)
+    drain()
+    assert {r.light_id: (r.op, r.version) for r in sc.read_state(spark, out).collect()} == got
 
 
 def test_daily_counts_grow_over_batches(spark, tmp_path):
     source, out = str(tmp_path / "req"), str(tmp_path / "daily")
-    schema = "reported_at timestamp_ntz, issue_type string"
-    for hour, issue in [(1, "wiring"), (5, "wiring"), (30, "bulb_failure"), (2, "bulb_failure")]:
-        spark.createDataFrame([(T0 + dt.timedelta(hours=hour), issue)], schema).coalesce(1).write.mode("append").parquet(source)
+    schema = "reported_at timestamp_ntz, light_id int, issue_type string"
+    for hour, light, issue in [(1, 7, "wiring"), (5, 7, "wiring"), (30, 7, "bulb_failure"), (2, 8, "bulb_failure"), (3, None, "wiring")]:
+        spark.createDataFrame([(T0 + dt.timedelta(hours=hour), light, issue)], schema).coalesce(1).write.mode("append").parquet(source)
         st.stream_daily_counts(spark.readStream.schema(schema).parquet(source), out)
-    got = {r.ts.day: (r.total, r.wiring_issues, r.bulb_failures) for r in st.read_daily(spark, out).collect()}
-    assert got == {1: (3, 2, 1), 2: (1, 0, 1)}
+        if hour == 30:
+            st.fold_daily(spark, out)
+    got = {r.ts.day: (r.total, r.wiring_issues, r.bulb_failures, r.unique_lights_affected) for r in st.read_daily(spark, out).collect()}
+    assert got == {1: (4, 3, 1, 2), 2: (1, 0, 1, 1)}
+
+
+def test_daily_counts_lose_nothing_when_the_newest_files_come_first(spark, tmp_path):
+    source, out = str(tmp_path / "req"), str(tmp_path / "daily")
+    schema = "reported_at timestamp_ntz, light_id int, issue_type string"
+    rows = [(T0 + dt.timedelta(days=40 * i, hours=h), h % 3, "wiring") for i in reversed(range(5)) for h in range(6)]
+    for i in range(5):
+        spark.createDataFrame(rows[6 * i : 6 * i + 6], schema).coalesce(1).write.mode("append").parquet(source)
+    st.stream_daily_counts(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source), out)
+    got = sorted((r.ts, r.total, r.unique_lights_affected) for r in st.read_daily(spark, out).collect())
+    assert got == [((T0 + dt.timedelta(days=40 * i)).date(), 6, 3) for i in range(5)]
 
 
 def test_search_index_is_extended(spark, tmp_path):

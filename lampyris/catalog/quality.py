@@ -119,8 +119,9 @@ query(
 @query(
     "metric_query",
     f"""select n.name, l.status, count(*) as lights, cast(sum(l.wattage) as bigint) as total_wattage, {rnd('avg(l.wattage)', 4)} as avg_wattage,
-    min(l.wattage) as min_wattage from lights l join zones n on l.neighborhood_id = n.neighborhood_id
-    where not l._deleted and not n._deleted group by 1, 2""",
+    min(l.wattage) as min_wattage, count(distinct l.wattage) as wattages
+    from lights l left join (select * from zones where not _deleted) n on l.neighborhood_id = n.neighborhood_id
+    where not l._deleted group by 1, 2""",
 )
 def metric_query(t):
     out = metrics.metric_query(
@@ -131,6 +132,7 @@ def metric_query(t):
             "total_wattage": ("sum", "power_consumption"),
             "avg_wattage": ("avg", "watts"),
             "min_wattage": ("min", "wattage"),
+            "wattages": ("count_distinct", "wattage"),
         },
         ["neighborhoods.area_name", "condition"],
     )
@@ -140,8 +142,9 @@ def metric_query(t):
 @query(
     "metric_query_filtered",
     f"""select n.name, w.season, {rnd('avg(w.failure_risk_score)', 4)} as avg_risk, cast(max(w.rainfall_mm) as double) as max_rain
-    from weather w join lights l on w.light_id = l.light_id join zones n on l.neighborhood_id = n.neighborhood_id
-    where not w._deleted and not l._deleted and not n._deleted and l.status in ('faulty', 'maintenance_required') and w.season <> 'winter'
+    from weather w join lights l on w.light_id = l.light_id
+    left join (select * from zones where not _deleted) n on l.neighborhood_id = n.neighborhood_id
+    where not w._deleted and not l._deleted and l.status in ('faulty', 'maintenance_required') and w.season <> 'winter'
     group by 1, 2""",
 )
 def metric_query_filtered(t):
@@ -157,8 +160,9 @@ def metric_query_filtered(t):
 
 @query(
     "metric_query_requests",
-    """select n.name, r.issue_type, count(*) as requests from requests r join lights l on r.light_id = l.light_id
-    join zones n on l.neighborhood_id = n.neighborhood_id where not r._deleted and not l._deleted and not n._deleted group by 1, 2""",
+    """select n.name, r.issue_type, count(*) as requests from requests r
+    left join (select * from lights where not _deleted) l on r.light_id = l.light_id
+    left join (select * from zones where not _deleted) n on l.neighborhood_id = n.neighborhood_id where not r._deleted group by 1, 2""",
 )
 def metric_query_requests(t):
     return metrics.metric_query(t, "maintenance_requests", {"requests": ("count", "*")}, ["neighborhoods.name", "fault_type"])

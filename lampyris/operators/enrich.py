@@ -42,21 +42,20 @@ def lights_enriched(t: Tables, as_of: rules.AsOf = None, season: str | None = No
 
 
 def requests_enriched(t: Tables) -> DataFrame:
-    """Requests of known lights with zone and the weather of the season they were reported in."""
+    """Requests of known lights with zone and the weather of the season they were reported in.
+
+    Each matching weather row gives a row, also if a light has several for one season.
+    """
     lights = t.lights.select("light_id", "lon", "lat", "wattage", "neighborhood_id")
     zones = t.zones.select("neighborhood_id", F.col("name").alias("neighborhood_name"), "population")
-    facts = ["failure_risk_score", "avg_temperature_c", "rainfall_mm"]
-    # one row per light with its (at most three) seasons, so the requests are shuffled by light_id only once
-    weather = t.weather.groupBy("light_id").agg(
-        F.map_from_entries(F.collect_list(F.struct("season", F.struct("season", *facts)))).alias("_seasons")
+    weather = t.weather.select(
+        F.col("light_id").alias("_light"), "season", "failure_risk_score", "avg_temperature_c", "rainfall_mm"
     )
-    per_light = lights.join(weather, "light_id", "left").join(zones, "neighborhood_id", "left")
     return (
         t.requests.drop("_deleted", "_updated_at")
-        .join(per_light, "light_id")
-        .withColumn("_w", F.try_element_at("_seasons", rules.season(F.to_date("reported_at"))))
-        .select("*", "_w.*")
-        .drop("_w", "_seasons")
+        .join(lights.join(zones, "neighborhood_id", "left"), "light_id")
+        .join(weather, (F.col("light_id") == F.col("_light")) & (rules.season(F.to_date("reported_at")) == F.col("season")), "left")
+        .drop("_light")
         .withColumn("resolution_hours", rules.elapsed_hours(F.col("reported_at"), F.col("resolved_at")))
         .withColumn("status", rules.request_status(F.col("resolved_at")))
     )

@@ -120,7 +120,7 @@ RELATIONSHIPS = [
     ("power_grid_enrichment", "light_id", "street_lights"),
 ]
 
-_AGGREGATES = ("count", "sum", "avg", "min", "max")
+_AGGREGATES = ("count", "count_distinct", "sum", "avg", "min", "max")
 
 
 def resolve(name: str, prefer: str | None = None) -> tuple[str, str]:
@@ -167,8 +167,10 @@ def metric_query(
     """Aggregate facts of one table by dimensions reachable over many-to-one relationships.
 
     ``metrics`` maps an output name to (aggregate, fact); ``("count", "*")`` counts rows. ``where`` keeps the
-    listed values per dimension. Soft-deleted rows are left out on every table. The fact rows are aggregated
-    by their own dimensions and the first foreign key before any join, and merged after it.
+    listed values per dimension. Soft-deleted rows are left out on every table; facts whose reference is missing
+    or deleted form a NULL group, so totals always cover all live facts (a filter on another table keeps only
+    facts with a match). The fact rows are aggregated by their own dimensions and the first foreign key before
+    any join, and merged after it; a counted-distinct fact joins those keys.
     """
     dims = [resolve(d, fact_table) for d in dimensions]
     filters = [(resolve(d, fact_table), values) for d, values in (where or {}).items()]
@@ -186,11 +188,15 @@ def metric_query(
         if agg not in _AGGREGATES:
             raise ValueError(f"unknown aggregate {agg}")
         value = F.lit(1) if fact == "*" else F.col(resolve(fact, fact_table)[1])
+        if agg == "count_distinct":
+            continue
         if agg == "avg":
             parts += [F.sum(value).alias(f"_s_{name}"), F.count(value).alias(f"_n_{name}")]
         else:
             parts.append(getattr(F, agg)(value).alias(f"_s_{name}"))
-    partial = base.groupBy(*dict.fromkeys(own + first_keys)).agg(*parts)
+    apart = {name: resolve(fact, fact_table)[1] for name, (agg, fact) in metrics.items() if agg == "count_distinct"}
+    kept = [F.col(c).alias(f"_d_{c}") for c in sorted(set(apart.values()))]
+    partial = base.groupBy(*dict.fromkeys(own + first_keys), *kept).agg(*(parts or [F.count("*").alias("_rows")]))
 
     joined, done = partial, {fact_table}
     names = {(tb, c): (c if tb == fact_table else f"{tb}__{c}") for tb, c in dims}
@@ -208,14 +214,17 @@ def metric_query(
                     F.col(key).alias("_k"), *[F.col(c).alias(f"{table}__{c}") for c in sorted(wanted)]
                 )
                 left_key = column if here == fact_table else f"{here}__{column}"
-                joined = joined.join(right, F.col(left_key) == F.col("_k")).drop("_k")
+                filtered = any(tb == table for (tb, _), _ in filters)
+                joined = joined.join(right, F.col(left_key) == F.col("_k"), "inner" if filtered else "left").drop("_k")
                 done.add(table)
             here = table
 
     merged: list[Column] = []
     for name, (agg, _) in metrics.items():
         part = F.col(f"_s_{name}")
-        if agg in ("count", "sum"):
+        if agg == "count_distinct":
+            merged.append(F.count_distinct(F.col(f"_d_{apart[name]}")).alias(name))
+        elif agg in ("count", "sum"):
             merged.append(F.sum(part).alias(name))
         elif agg == "avg":
             merged.append((F.sum(part).cast("double") / F.nullif(F.sum(f"_n_{name}"), F.lit(0))).alias(name))

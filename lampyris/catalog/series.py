@@ -38,16 +38,9 @@ def daily_counts_by_zone(t):
 
 
 query("date_spine", "select ts from all_series")(lambda t: series.date_spine(series.daily_counts(t.requests)))
-query(
-    "date_spine_400",
-    "select ts from all_series where ts < (select min(ts) from all_series) + 400",
-)(lambda t: series.date_spine(series.daily_counts(t.requests), max_days=400))
 query("gap_fill", f"select ts, {_COUNTS} from bulb_series")(
     lambda t: series.gap_fill(series.daily_counts(t.requests, "bulb_failure"))
 )
-query(
-    "gap_fill_400", f"select ts, {_COUNTS} from all_series where ts < (select min(ts) from all_series) + 400"
-)(lambda t: series.gap_fill(series.daily_counts(t.requests), max_days=400))
 
 
 @query(

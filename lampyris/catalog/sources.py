@@ -139,40 +139,8 @@ def register_views(t):
     )
 
 
-# ---- generators, sized by the given tables
+# ---- shares of the attributes that the generators imitate
 
-
-def _index(df, key):
-    return df.select(F.col(key).cast("bigint").alias("i"))
-
-
-def _zones(t):
-    return gen.gen_neighborhoods(_index(t.raw("nation"), "n_nationkey"))
-
-
-def _lights(t):
-    """As many generated lights as there are customers, shared over the given zones."""
-    return gen.gen_street_lights(t.zones, t.lights.count(), AS_OF)
-
-
-query("gen_neighborhoods")(
-    lambda t: _zones(t).select("neighborhood_id", "name", "population", geotext.polygon_to_wkt(F.col("ring")).alias("boundary"))
-)
-query("gen_street_lights")(_lights)
-query("gen_maintenance")(lambda t: gen.gen_maintenance(_lights(t), t.requests.count(), AS_OF))
-query("gen_suppliers")(lambda t: gen.gen_suppliers(_index(t.raw("supplier"), "s_suppkey")))
-query("gen_weather")(
-    lambda t: gen.gen_weather(t.lights, AS_OF).select(
-        "light_id", "season", *[F.col(c).cast("double").alias(c) for c in ("avg_temperature_c", "rainfall_mm", "failure_risk_score")],
-        "predicted_failure_date",
-    )
-)
-query("gen_demographics")(lambda t: gen.gen_demographics(t.zones))
-query("gen_power_grid")(
-    lambda t: gen.gen_power_grid(t.lights.withColumn("light_no", F.col("light_id"))).withColumn(
-        "avg_load_percent", F.col("avg_load_percent").cast("double")
-    )
-)
 query(
     "gen_summary",
     """select 'status' as attribute, status as value, count(*) as rows from lights group by 2

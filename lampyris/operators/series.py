@@ -44,14 +44,13 @@ def daily_counts(requests: DataFrame, issue: str | None = None, keys: list[str]
     )
 
 
-def date_spine(daily: DataFrame, keys: list[str] | None = None, max_days: int | None = None) -> DataFrame:
-    """Every day between each series' first and last day, optionally cut to its first ``max_days``."""
+def date_spine(daily: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """Every day between each series' first and last day."""
     bounds = daily.groupBy(*(keys or [])).agg(F.min("ts").alias("a"), F.max("ts").alias("b"))
-    last = F.least("b", F.date_add("a", max_days - 1)) if max_days else F.col("b")
-    return bounds.where(F.col("a").isNotNull()).select(*(keys or []), F.explode(F.sequence("a", last)).alias("ts"))
+    return bounds.where(F.col("a").isNotNull()).select(*(keys or []), F.explode(F.sequence("a", "b")).alias("ts"))
 
 
-def gap_fill(daily: DataFrame, keys: list[str] | None = None, max_days: int | None = None) -> DataFrame:
+def gap_fill(daily: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """The spine left-joined with the counts, missing days as 0.
 
     Each counted day is stretched over the gap up to the next one, so the counts are read once and the
@@ -62,11 +61,7 @@ def gap_fill(daily: DataFrame, keys: list[str] | None = None, max_days: int | No
     following = F.lead("ts").over(days)
     values = [c for c in daily.columns if c not in ("ts", *by)]
     stretched = daily.withColumn("_until", F.coalesce(F.date_sub(following, 1), F.col("ts")))
-    if max_days:
-        stretched = stretched.withColumn("_last", F.date_add(F.min("ts").over(Window.partitionBy(*by)), max_days - 1))
     filled = stretched.withColumn("_day", F.explode(F.sequence("ts", "_until")))
-    if max_days:
-        filled = filled.where(F.col("_day") <= F.col("_last"))
     return filled.select(
         *by, F.col("_day").alias("ts"), *[F.when(F.col("_day") == F.col("ts"), F.col(c)).otherwise(0).alias(c) for c in values]
     )
@@ -84,11 +79,9 @@ def calendar_features(df: DataFrame, day: str = "ts") -> DataFrame:
     )
 
 
-def daily_series(
-    requests: DataFrame, issue: str | None = None, keys: list[str] | None = None, max_days: int | None = None
-) -> DataFrame:
+def daily_series(requests: DataFrame, issue: str | None = None, keys: list[str] | None = None) -> DataFrame:
     """Gap-free daily series with calendar features."""
-    return calendar_features(gap_fill(daily_counts(requests, issue, keys), keys, max_days))
+    return calendar_features(gap_fill(daily_counts(requests, issue, keys), keys))
 
 
 def weekly_series(daily: DataFrame, keys: list[str] | None = None) -> DataFrame:

@@ -166,13 +166,14 @@ def gen_street_lights(zones: DataFrame, total: int, as_of: rules.AsOf = None, se
 def gen_maintenance(lights: DataFrame, count: int = 1500, as_of: rules.AsOf = None, seed: int = 42) -> DataFrame:
     """A year of requests: days drawn without replacement from season-weighted slots.
 
-    ``lights`` carries ``light_no`` = 1..n. There are at most 30 slots a day, which bounds the rows.
+    ``lights`` carries ``light_no`` = 1..n. The slots of a day grow with ``count``, so that there are always enough.
     """
     spark = lights.sparkSession
     today = rules.as_of_date(as_of)
+    more = -(-count // (365 * min(SEASON_SLOTS.values())))
     days = spark.range(1).select(F.explode(F.sequence(F.date_sub(today, 365), F.date_sub(today, 1))).alias("d"))
     slots = days.withColumn("season", rules.season(F.col("d"))).withColumn(
-        "slot", F.explode(F.sequence(F.lit(1), F.element_at(F.create_map(*[F.lit(x) for kv in SEASON_SLOTS.items() for x in kv]), F.col("season"))))
+        "slot", F.explode(F.sequence(F.lit(1), F.element_at(F.create_map(*[F.lit(x) for season, n in SEASON_SLOTS.items() for x in (season, n * more)]), F.col("season"))))
     )
     drawn = slots.orderBy(F.xxhash64("d", "slot", F.lit(seed)), "d", "slot").limit(count)
     no = F.row_number().over(Window.orderBy("d", "slot"))

@@ -36,8 +36,7 @@ def test_one_day_and_long_series(spark):
     assert series.gap_fill(one).collect()[0].total == 4
     long = _daily(spark, [("2001-01-01", 1), ("2002-02-05", 1)])  # 401 days
     assert series.gap_fill(long).count() == 401
-    assert series.gap_fill(long, max_days=400).count() == 400
-    assert series.date_spine(long, max_days=400).count() == 400
+    assert series.gap_fill(long).count() == series.date_spine(long).count() > 400
 
 
 def test_keyed_series_equal_single_ones(spark):

@@ -80,6 +80,7 @@ def test_generators_keep_their_rules(spark):
     requests = gen.gen_maintenance(lights, 300, "2001-08-01")
     assert requests.count() == 300
     assert requests.where("resolved_at <= reported_at or description is null").count() == 0
+    assert gen.gen_maintenance(lights, 20000, "2001-08-01").count() == 20000
     weather = gen.gen_weather(lights, "2001-08-01")
     assert weather.count() == 1500
     assert weather.where("status is not null" if "status" in weather.columns else "failure_risk_score not between 0 and 0.99").count() == 0

@@ -131,9 +131,9 @@ _HYBRID_DEPTH = 100
     from lex a full join vec b on a.id = b.id order by score desc, doc_id limit 10""",
 )
 def hybrid_search(t):
-    lexical = search.search(t.raw("documents"), "doc_id", "text", DOC_PHRASE, _HYBRID_DEPTH)
+    lexical = search.search_scores(t.raw("documents"), "doc_id", "text", DOC_PHRASE)
     vector = search.vector_search(t.raw("embeddings"), "vec_id", "embedding", 0, _HYBRID_DEPTH)
-    return search.hybrid_search(lexical, vector.withColumnRenamed("vec_id", "doc_id"), "doc_id", 10)
+    return search.hybrid_search(lexical, vector.withColumnRenamed("vec_id", "doc_id"), "doc_id", 10, _HYBRID_DEPTH)
 
 
 query(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import re
+import unicodedata
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -16,5 +16,6 @@ def tokens(text: Column) -> Column:
 
 
 def query_terms(text: str) -> list[str]:
-    """Distinct terms of a search phrase, split the same way as documents."""
-    return list(dict.fromkeys(w for w in re.split(r"[^\w]+|_", text.lower()) if w))
+    """Distinct terms of a search phrase, split the same way as documents: letters (category L) and digits 0-9."""
+    kept = "".join(c if c in "0123456789" or unicodedata.category(c)[0] == "L" else " " for c in text.lower())
+    return list(dict.fromkeys(kept.split()))

@@ -15,7 +15,6 @@ from ..functions import rules, text
 K1, B = 1.2, 0.75
 RRF_K = 60
 SCORE_DIGITS = 6
-BROADCAST_TERMS = 200000
 
 # Words that describe the same trouble
 SYNONYMS = {
@@ -106,6 +105,13 @@ def _corpus_stats(documents: DataFrame) -> Column:
     return documents.agg(F.struct(F.count("*").alias("n"), F.avg("n_tokens").alias("avgdl"))).scalar()
 
 
+def _part() -> Column:
+    """One term's share of a score, from ``tf``, ``df``, ``n_tokens`` and the corpus statistics ``s``."""
+    idf = F.log(1 + (F.col("s.n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    norm = K1 * (1 - B + B * F.col("n_tokens") / F.col("s.avgdl"))
+    return idf * F.col("tf") * (K1 + 1) / (F.col("tf") + norm)
+
+
 def bm25(matched: DataFrame, documents: DataFrame, key: str, weights: dict[str, float] | None = None) -> DataFrame:
     """(key, score) from the postings of the query's terms.
 
@@ -121,9 +127,7 @@ def bm25(matched: DataFrame, documents: DataFrame, key: str, weights: dict[str,
     scored = matched.withColumn("s", _corpus_stats(documents)).withColumn(
         "df", F.element_at(frequencies, F.col("term"))
     )
-    idf = F.log(1 + (F.col("s.n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    norm = K1 * (1 - B + B * F.col("n_tokens") / F.col("s.avgdl"))
-    part = idf * F.col("tf") * (K1 + 1) / (F.col("tf") + norm)
+    part = _part()
     if weights:
         part = part * F.element_at(F.create_map(*[F.lit(x) for kv in weights.items() for x in kv]), F.col("term"))
     return scored.groupBy(key).agg(rules.round_half_up(F.sum(part), SCORE_DIGITS).alias("score"))
@@ -213,20 +217,20 @@ def expand(query: str) -> dict[str, float]:
 def similar_documents(corpus: DataFrame, key: str, column: str, doc_key, limit: int = 10) -> DataFrame:
     """Documents most like a given one: its distinct terms form the query.
 
-    The term list of the one document is counted first; up to ``BROADCAST_TERMS`` it is broadcast, so
-    postings without a shared term never leave their task. A longer list is joined by shuffling.
+    ``limit`` is what "similar" means to a caller that goes on with the result. The terms and their frequencies
+    are joined as rows; no list of terms is gathered in one task.
     """
     words = tokenized(corpus, key, column)
     terms = words.where(F.col(key) == F.lit(doc_key)).select(F.explode_outer(F.array_distinct("tokens")).alias("term"))
-    if terms.count() <= BROADCAST_TERMS:
-        terms = F.broadcast(terms)
     matched = (
         words.select(key, "n_tokens", _terms())
         .join(terms, "term")
         .groupBy(key, "n_tokens", "term")
         .agg(F.count("*").alias("tf"))
     )
-    scores = bm25(matched, words, key)
+    frequencies = matched.groupBy("term").agg(F.count("*").alias("df"))
+    scored = matched.join(frequencies, "term").withColumn("s", _corpus_stats(words))
+    scores = scored.groupBy(key).agg(rules.round_half_up(F.sum(_part()), SCORE_DIGITS).alias("score"))
     return top(scores.where(F.col(key) != F.lit(doc_key)), key, limit)
 
 
@@ -245,11 +249,15 @@ def vector_search(vectors: DataFrame, key: str, column: str, query_key, limit: i
     return top(ranked, key, limit)
 
 
-def hybrid_search(lexical: DataFrame, vector: DataFrame, key: str, limit: int = 10) -> DataFrame:
-    """Reciprocal rank fusion of two already limited result lists."""
+def hybrid_search(lexical: DataFrame, vector: DataFrame, key: str, limit: int = 10, depth: int = 100) -> DataFrame:
+    """Reciprocal rank fusion of two score tables (key, score).
+
+    ``depth`` is part of the ranking's definition: a list counts down to that rank, and a document below it scores
+    as absent there. It also bounds what the two rank windows hold.
+    """
 
     def ranks(df: DataFrame, name: str) -> DataFrame:
-        return df.select(key, F.row_number().over(Window.orderBy(F.desc("score"), key)).alias(name))
+        return top(df, key, depth).select(key, F.row_number().over(Window.orderBy(F.desc("score"), key)).alias(name))
 
     def share(name: str) -> Column:
         return F.coalesce(1.0 / (RRF_K + F.col(name)), F.lit(0.0))

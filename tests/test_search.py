@@ -51,3 +51,9 @@ def test_vectors_and_fusion(spark):
 def test_topics(spark):
     got = {r.topic: r.documents for r in search.topic_counts(_docs(spark), "text").collect()}
     assert got["flicker"] == 3 and got["collision"] == 1 and got["sensor"] == 0
+
+
+def test_queries_split_as_documents_do(spark):
+    docs = spark.createDataFrame([(1, "m² lamps"), (2, "Ünder_score x٣y")], "doc_id int, text string")
+    for phrase, found in [("m²", {1}), ("score", {2}), ("٣ lamps", {1}), ("x", {2})]:
+        assert {r.doc_id for r in search.search(docs, "doc_id", "text", phrase).collect()} == found, phrase

@@ -56,7 +56,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     wanted = sys.argv[1:] or HEADLINE
-    spark = build_session("bench", cores=cpus)
+    spark = build_session("bench", cores=cpus, spark__sql__shuffle__partitions=cpus)
     registry = load_all()
     times: dict[str, float] = {}
     for key in wanted:

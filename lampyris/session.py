@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -19,7 +22,6 @@ def build_session(app: str = "lampyris", cores: str | int = "*", **extra: str) -
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         # keyed stream state beyond the executors' heap
@@ -36,21 +38,33 @@ def build_session(app: str = "lampyris", cores: str | int = "*", **extra: str) -
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Calendar rules are defined in UTC; nothing else of the caller's session is touched."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark
+    """A session in UTC, in which calendar rules are defined; the caller's session stays as it is."""
+    if spark.conf.get("spark.sql.session.timeZone") in ("UTC", "Etc/UTC", "Z", "+00:00"):
+        return spark
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if key.startswith("spark.sql.") and spark.conf.isModifiable(key):
+            own.conf.set(key, value)
+    own.conf.set("spark.sql.session.timeZone", "UTC")
+    return own
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder below the cluster's shared checkpoint folder.
 
-    ``spark.checkpoint.dir`` wins, then a checkpoint folder already set on the context. Only a
-    local session without either falls back to a folder of its own.
+    ``spark.checkpoint.dir`` wins, then a checkpoint folder already set on the context. Only a local session without
+    either gets a folder of its own, which goes when the process ends.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="lampyris-")
-        spark.sparkContext.setCheckpointDir(root)
+        root = _own_folder()
     return os.path.join(root.rstrip("/"), f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+@cache
+def _own_folder() -> str:
+    folder = tempfile.mkdtemp(prefix="lampyris-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder

@@ -83,7 +83,7 @@ def main():
     ap.add_argument("keys", nargs="*")
     args = ap.parse_args()
     registry = load_all()
-    spark = build_session("check", cores=8)
+    spark = build_session("check", cores=8, spark__sql__shuffle__partitions="8")
     con = connect(args.sf)
 
     def wanted(key):

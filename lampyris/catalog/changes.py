@@ -155,7 +155,7 @@ def stream_daily_counts(t):
 def stream_search_refresh(t):
     path = shared_dir(t.spark, "search-refresh")
     ss.stream_search_refresh(sc.read_table_stream(t.spark, t.path, "documents").select("doc_id", "text"), "doc_id", "text", path, interval=None)
-    postings, _ = search.read_index(t.spark, path)
+    postings, _ = search.read_index(t.spark, path, "doc_id")
     return postings.groupBy("term").agg(F.count("*").alias("documents"), F.sum("tf").alias("occurrences"))
 
 

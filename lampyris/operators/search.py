@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import rules, text
+from .changes import latest_changes
 
 K1, B = 1.2, 0.75
 RRF_K = 60
@@ -73,29 +74,43 @@ def index_documents(corpus: DataFrame, key: str, column: str) -> DataFrame:
     return tokenized(corpus, key, column).select(key, "n_tokens")
 
 
-def write_index(corpus: DataFrame, key: str, column: str, path: str, buckets: int = 32, part: int = 0) -> None:
-    """Store one part of the index, its postings by term bucket so that a query reads only its terms' buckets.
+def write_index(
+    corpus: DataFrame, key: str, column: str, path: str, buckets: int = 32, part: int = 0, attributes: list[str] | None = None, removed: str | None = None
+) -> None:
+    """Store one part of the index: postings by term bucket and in order of term, lengths and attributes by document.
 
-    Writing a part again replaces it. Rows are spread by bucket and document, so a bucket with a very
-    common term is written by many tasks.
+    A query reads only its terms' buckets, and in them the row groups with its terms. Writing a part again replaces
+    it. A document in a later part replaces the one with its key in earlier parts; where ``removed`` (a boolean column)
+    holds, it takes it out. ``buckets`` is stored with the index by part 0 and counts from then on: choose it from the
+    size of the postings. Rows are spread by bucket and document, so a very common term is written by many tasks.
     """
-    postings = build_index(corpus, key, column).withColumn("bucket", _bucket(F.col("term"), buckets))
-    spread = postings.repartition("bucket", F.pmod(F.xxhash64(key), F.lit(8)))
+    live = corpus.where(~F.coalesce(F.col(removed), F.lit(False))) if removed else corpus
+    postings = build_index(live, key, column).withColumn("bucket", _bucket(F.col("term"), buckets))
+    spread = postings.repartition("bucket", F.pmod(F.xxhash64(key), F.lit(8))).sortWithinPartitions("bucket", "term")
     spread.write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/postings/part={part}")
-    index_documents(corpus, key, column).write.mode("overwrite").parquet(f"{path}/documents/part={part}")
+    gone = F.coalesce(F.col(removed), F.lit(False)) if removed else F.lit(False)
+    texts = F.when(~F.col("removed"), F.col(column))
+    rows = corpus.select(key, F.col(column), gone.alias("removed"), *(attributes or []))
+    lengths = rows.select(key, "removed", *(attributes or []), _once(text.tokens(texts).alias("tokens"))).withColumn("n_tokens", F.size("tokens"))
+    lengths.drop("tokens").write.mode("overwrite").parquet(f"{path}/documents/part={part}")
+    if part == 0:
+        corpus.sparkSession.range(1).select(F.lit(buckets).alias("buckets")).coalesce(1).write.mode("overwrite").parquet(f"{path}/layout")
 
 
 def _bucket(term: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
 
 
-def read_index(spark, path: str, terms: list[str] | None = None, buckets: int = 32) -> tuple[DataFrame, DataFrame]:
-    """(postings, documents) of all parts; with ``terms`` only their bucket folders are listed in the scan."""
+def read_index(spark, path: str, key: str, terms: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(postings, documents) of the newest version of each document; with ``terms`` only their buckets are scanned."""
     postings = spark.read.parquet(f"{path}/postings")
     if terms is not None:
+        buckets = spark.read.parquet(f"{path}/layout").first().buckets
         wanted = [_bucket(F.lit(t), buckets) for t in terms]
         postings = postings.where(F.col("bucket").isin(wanted) & F.col("term").isin(terms))
-    return postings.drop("bucket", "part"), spark.read.parquet(f"{path}/documents").drop("part")
+    documents = latest_changes(spark.read.parquet(f"{path}/documents"), key, "part").where("not removed").drop("removed")
+    current = documents.select(key, "part")
+    return postings.drop("bucket").join(current, [key, "part"]).drop("part"), documents.drop("part")
 
 
 # -------------------------------------------------------------------------------- ranking
@@ -196,10 +211,26 @@ def search(
     return top(search_scores(corpus, key, column, query, filters, synonyms), key, limit)
 
 
-def search_index(spark, path: str, key: str, query: str, limit: int = 10, buckets: int = 32) -> DataFrame:
-    """The same ranking from a stored index."""
-    postings, documents = read_index(spark, path, text.query_terms(query), buckets)
-    return top(bm25(postings, documents, key), key, limit)
+def index_scores(
+    spark, path: str, key: str, query: str, filters: Column | None = None, synonyms: bool = False
+) -> DataFrame:
+    """(key, score) of every document that contains a query term, from a stored index; no text is read.
+
+    ``filters`` is a condition on the attributes stored with the index.
+    """
+    weights = expand(query) if synonyms else {t: 1.0 for t in text.query_terms(query)}
+    postings, documents = read_index(spark, path, key, list(weights))
+    scores = bm25(postings, documents, key, weights if synonyms else None)
+    if filters is not None:
+        scores = scores.join(documents.where(filters).select(key), key, "left_semi")
+    return scores
+
+
+def search_index(
+    spark, path: str, key: str, query: str, limit: int = 10, filters: Column | None = None, synonyms: bool = False
+) -> DataFrame:
+    """The ranking of ``search`` from a stored index."""
+    return top(index_scores(spark, path, key, query, filters, synonyms), key, limit)
 
 
 def expand(query: str) -> dict[str, float]:

@@ -1,4 +1,4 @@
-"""Search index refreshed from a stream of new documents."""
+"""Search index refreshed from a stream of new, changed and removed documents."""
 
 from __future__ import annotations
 
@@ -6,18 +6,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import search
+from ..operators.changes import latest_changes
 from .changes import run_batches
 
 
 def stream_search_refresh(
-    corpus: DataFrame, key: str, column: str, path: str, buckets: int = 32, interval: str | None = "1 minute"
+    corpus: DataFrame, key: str, column: str, path: str, buckets: int = 32, version: str | None = None, removed: str | None = None,
+    attributes: list[str] | None = None, interval: str | None = "1 minute",
 ) -> StreamingQuery:
-    """Add each micro-batch's postings and lengths as one index part; a retried batch replaces its part.
+    """Add each micro-batch as one index part; a retried batch replaces its part.
 
-    The index is read with ``search.read_index`` and queried with ``search.search_index``.
+    A document that comes again replaces itself, one whose ``removed`` column holds leaves. Within a batch the highest
+    ``version`` counts; without a version column a batch must not repeat a key. The index is queried with
+    ``search.search_index``.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        search.write_index(batch, key, column, path, buckets, part=batch_id)
+        rows = latest_changes(batch, key, version) if version else batch
+        search.write_index(rows, key, column, path, buckets, part=batch_id, attributes=attributes, removed=removed)
 
     return run_batches(corpus, path, write, mode="append", interval=interval)

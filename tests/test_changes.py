@@ -120,10 +120,31 @@ def test_daily_counts_lose_nothing_when_the_newest_files_come_first(spark, tmp_p
     assert got == [((T0 + dt.timedelta(days=40 * i)).date(), 6, 3) for i in range(5)]
 
 
-def test_search_index_is_extended(spark, tmp_path):
-    source, out = str(tmp_path / "docs"), str(tmp_path / "index")
-    for i, text in enumerate(["lamp dark", "spark and fire", "lamp fire fire"]):
-        spark.createDataFrame([(i, text)], "doc_id int, text string").coalesce(1).write.mode("append").parquet(source)
-        ss.stream_search_refresh(spark.readStream.schema("doc_id int, text string").parquet(source), "doc_id", "text", out, interval=None)
-    best = [r.doc_id for r in search.search_index(spark, out, "doc_id", "fire", 5).collect()]
-    assert best == [2, 1]
+def test_search_index_follows_new_changed_and_removed_documents(spark, tmp_path):
+    source, out, plain = str(tmp_path / "docs"), str(tmp_path / "index"), str(tmp_path / "plain")
+    schema = "doc_id int, text string, version int, gone boolean"
+    batches = [
+        [(0, "lamp dark", 1, False), (1, "spark and fire", 1, False), (3, "fire brigade", 1, False)],
+        [(2, "lamp fire fire", 2, None), (1, "calm now", 2, False), (1, "spark spark", 1, False)],
+        [(3, None, 3, True), (0, "fire lamp here", 3, False)],
+    ]
+    for rows in batches:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(schema).parquet(source)
+        ss.stream_search_refresh(stream, "doc_id", "text", out, version="version", removed="gone", interval=None)
+    now = spark.createDataFrame([(0, "fire lamp here"), (1, "calm now"), (2, "lamp fire fire")], "doc_id int, text string")
+    search.write_index(now, "doc_id", "text", plain, buckets=4)
+    for phrase in ("fire", "lamp", "spark", "calm fire"):
+        got = [tuple(r) for r in search.search_index(spark, out, "doc_id", phrase, 5).collect()]
+        assert got == [tuple(r) for r in search.search_index(spark, plain, "doc_id", phrase, 5).collect()], phrase
+        assert got == [tuple(r) for r in search.search(now, "doc_id", "text", phrase, 5).collect()]
+
+
+def test_a_query_scans_its_buckets_and_no_text(spark, tmp_path):
+    path = str(tmp_path / "index")
+    docs = spark.createDataFrame([(i, f"lamp word{i} fire", "a" if i % 2 else "b") for i in range(40)], "doc_id int, text string, zone string")
+    search.write_index(docs, "doc_id", "text", path, buckets=16, attributes=["zone"])
+    found = search.search_index(spark, path, "doc_id", "word7", 5, filters=F.col("zone") == "a")
+    assert [r.doc_id for r in found.collect()] == [7]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "text:string" not in plan and "PartitionFilters: [bucket#" in plan

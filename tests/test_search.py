@@ -21,7 +21,7 @@ def test_scan_and_index_agree(spark, tmp_path):
     search.write_index(_docs(spark), "doc_id", "text", path, buckets=4)
     for phrase in ["flicker", "lamp flicker", "lamp", "absent"]:
         a = search.search(_docs(spark), "doc_id", "text", phrase, 10).collect()
-        b = search.search_index(spark, path, "doc_id", phrase, 10, buckets=4).collect()
+        b = search.search_index(spark, path, "doc_id", phrase, 10).collect()
         assert a == b, phrase
     assert search.search(_docs(spark), "doc_id", "text", "absent").count() == 0
 

@@ -153,6 +153,11 @@ def nearest_supplier_function(t):
     return t.spark.sql(f"select * from {name}(7)")
 
 
+query(
+    "nearest_supplier_of_light",
+    f"""select supplier_id, name as supplier_name, {rnd("meters/1000", 2)} as distance_km, contact_phone, avg_response_hours,
+    specialization from nearest_planar where light_id = 7""",
+)(lambda t: op.nearest_supplier_of(t, 7))
 query("nearest_distance", f"select light_id, {rnd('min(meters)/1000', 4)} as nearest_supplier_km from pairs group by 1")(
     lambda t: op.nearest_km(t).select("light_id", _r(F.col("nearest_supplier_km"), 4).alias("nearest_supplier_km"))
 )

@@ -150,9 +150,27 @@ def nearest_supplier_table(t: Tables) -> DataFrame:
     )
 
 
+def nearest_supplier_of(t: Tables, light_id) -> DataFrame:
+    """The lookup for one light: its location is a scalar, the suppliers are read once for the best row.
+
+    No light but the wanted one is read, and nothing depends on where the suppliers are. Ties go to the smaller id; an
+    unknown light, or one without a location, has no row.
+    """
+    place = t.lights.where((F.col("light_id") == F.lit(light_id)) & F.col("lon").isNotNull() & F.col("lat").isNotNull())
+    place = place.agg(F.first(F.struct("lon", "lat"))).scalar()
+    there = t.suppliers.where(F.col("lon").isNotNull() & F.col("lat").isNotNull()).withColumn("_p", place).where(F.col("_p").isNotNull())
+    apart = geo.planar_sq(F.col("_p.lon"), F.col("_p.lat"), F.col("lon"), F.col("lat"))
+    best = there.orderBy(apart, "supplier_id").limit(1)
+    meters = geo.lambert_m(F.col("_p.lon"), F.col("_p.lat"), F.col("lon"), F.col("lat"))
+    return best.select(
+        "supplier_id", F.col("name").alias("supplier_name"), _km(meters).alias("distance_km"), "contact_phone", "avg_response_hours", "specialization",
+    )
+
+
 def register_nearest_supplier(t: Tables, name: str = "nearest_supplier") -> str:
-    """SQL table function ``name(light_id)`` with six output columns.
+    """SQL table function ``name(light_id)`` with six output columns, for joins with many lights.
 
+    It looks into the nearest supplier of every light; for one light use ``nearest_supplier_of``.
     """
     view = f"v_{name}"
     table = nearest_supplier_table(t)

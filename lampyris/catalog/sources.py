@@ -71,6 +71,12 @@ def polygon_from_wkt(t):
     return _poly(text.withColumn("r", geotext.polygon_from_wkt(F.col("boundary"))))
 
 
+@query("polygon_from_geojson", _POLY_SQL)
+def polygon_from_geojson(t):
+    text = t.zones.select("neighborhood_id", geo.geojson(F.col("ring")).alias("boundary"))
+    return _poly(text.withColumn("r", geo.ring_from_geojson(F.col("boundary"))))
+
+
 @F.pandas_udf(T.StringType())
 def _point_hex(lon: pd.Series, lat: pd.Series) -> pd.Series:
     head = struct.pack("<BII", 1, 0x20000001, 4326)

@@ -162,3 +162,15 @@ def geojson(ring: Column) -> Column:
     """Polygon as GeoJSON text."""
     coords = F.array(F.transform(ring, lambda p: F.array(p["lon"], p["lat"])))
     return F.to_json(F.struct(F.lit("Polygon").alias("type"), coords.alias("coordinates")))
+
+
+def ring_from_geojson(text: Column) -> Column:
+    """Outer ring of a GeoJSON polygon, or of a multi-polygon's first part; NULL for anything else."""
+    kind = F.get_json_object(text, "$.type")
+    path = F.when(kind == "Polygon", F.get_json_object(text, "$.coordinates[0]")).when(
+        kind == "MultiPolygon", F.get_json_object(text, "$.coordinates[0][0]")
+    )
+    points = F.from_json(path, "array<array<double>>")
+    ring = F.transform(points, lambda p: F.struct(F.get(p, F.lit(0)).alias("lon"), F.get(p, F.lit(1)).alias("lat")))
+    whole = F.forall(ring, lambda p: p["lon"].isNotNull() & p["lat"].isNotNull())
+    return F.when(whole & (F.size(points) > 0), ring)

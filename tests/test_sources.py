@@ -94,3 +94,13 @@ def test_big_rows_are_spread(spark):
     one = spark.createDataFrame([("z", 25000)], "zone string, n int")
     spread = gen._spread(one, F.col("n"), "j")
     assert spread.agg(F.count("*"), F.max("j"), F.count_distinct("j")).first() == (25000, 25000, 25000)
+
+
+def test_geojson_is_read_back(spark):
+    texts = [
+        '{"type":"Polygon","coordinates":[[[1.5,2],[3,4],[1.5,2]],[[9,9]]]}', '{"type":"MultiPolygon","coordinates":[[[[5,6],[7,8]]],[[[0,0]]]]}',
+        '{"type":"Point","coordinates":[1,2]}', "not json", None, '{"type":"Polygon","coordinates":[]}', '{"type":"Polygon","coordinates":[[[1]]]}',
+    ]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").withColumn("r", geo.ring_from_geojson(F.col("t")))
+    got = {r.i: r.r and [tuple(p) for p in r.r] for r in df.collect()}
+    assert got == {0: [(1.5, 2.0), (3.0, 4.0), (1.5, 2.0)], 1: [(5.0, 6.0), (7.0, 8.0)], 2: None, 3: None, 4: None, 5: None, 6: None}

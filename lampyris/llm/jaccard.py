@@ -115,7 +115,9 @@ def _packed(k: int, percent: int, heavy: np.ndarray, buckets: int, prefix: bool)
     return run
 
 
-def _shared_counts(buckets: int):
+def _shared_counts(buckets: int, groups: int):
+    """How many of a partition's shared tokens each document has, packed by group of documents."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = []
         for often, ids, tokens in exchange.unpack(batches, buckets):
@@ -125,11 +127,19 @@ def _shared_counts(buckets: int):
             found.append(ids)
         if found:
             ids, c = np.unique(np.concatenate(found), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(c.astype(np.int64))], ["doc_id", "c"])
+            yield exchange.to_groups(ids, c.astype(np.uint32), groups)
 
     return run
 
 
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    parts = [(a, b) for batch in batches for a, b in zip(*(batch.column(i).to_pylist() for i in (1, 3)))]
+    if parts:
+        ids, c = (np.concatenate([np.frombuffer(x, t) for x in col]) for col, t in zip(zip(*parts), (np.int64, np.uint32)))
+        ids, at = np.unique(ids, return_inverse=True)
+        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(np.bincount(at, weights=c).astype(np.int64))], ["doc_id", "c"])
+
+
 def _groups(ids: np.ndarray, n: int) -> np.ndarray:
     return (words.mix(ids.astype(np.int64).view(np.uint64)) % np.uint64(n)).astype(np.int32)
 
@@ -247,9 +257,10 @@ def candidate_sets(docs: DataFrame, signatures: DataFrame, k: int, percent: int)
     )
     sig = signatures.where("doc_id is not null and n > 0").groupBy("doc_id").agg(F.min(F.struct("key", "n")).alias("s")).select("doc_id", "s.*")
     postings = docs.mapInArrow(_packed(k, percent, heavy, buckets, True), exchange.POSTINGS)
-    counts = exchange.deal(postings, parts).mapInArrow(_shared_counts(buckets), "doc_id long, c long")
+    counts = exchange.deal(postings, parts).mapInArrow(_shared_counts(buckets, 4 * parts), exchange.GROUPS)
+    counts = counts.repartition(parts, "g").mapInArrow(_summed, "doc_id long, c long")
     enough = F.expr(f"c >= greatest(1, ceil(n * {percent} / 100) div 4)")
-    able = counts.groupBy("doc_id").agg(F.sum("c").alias("c")).join(sig, "doc_id").where(enough)
+    able = counts.join(sig, "doc_id").where(enough)
     classes = stored(able.groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.min("n").alias("n")), "classes")
     rows = docs.join(small(classes).select("doc_id", "key"), "doc_id")
     postings = rows.mapInArrow(_packed(k, percent, heavy, buckets, False), exchange.POSTINGS)

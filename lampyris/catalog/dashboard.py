@@ -67,3 +67,11 @@ query(
     (select min(service_radius_km) as lo, max(service_radius_km) as hi from suppliers) group by 1""",
 )(db.radius_histogram)
 query("sample_lights")(db.sample_lights)
+query(
+    "sample_lights_check",
+    "select least(500, count(*)) as rows, least(500, count(*)) as different, least(500, count(*)) as known from lights",
+)(
+    lambda t: db.sample_lights(t)
+    .join(t.lights.select(F.col("light_id").alias("known_id")), F.col("light_id") == F.col("known_id"), "left")
+    .agg(F.count("*").alias("rows"), F.count_distinct("light_id").alias("different"), F.count("known_id").alias("known"))
+)

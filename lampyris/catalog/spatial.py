@@ -201,6 +201,14 @@ query(
     "uncovered_lights",
     """select light_id from lights where light_id not in (select light_id from pairs where meters <= service_radius_km*1000)""",
 )(lambda t: spatial.uncovered_lights(t.lights, t.suppliers).select("light_id"))
+query(
+    "uncovered_lights_tight",
+    "select light_id from lights where light_id not in (select light_id from pairs where meters <= service_radius_km*10)",
+)(
+    lambda t: spatial.uncovered_lights(
+        t.lights, t.suppliers.withColumn("service_radius_km", F.col("service_radius_km").cast("double") / 100)
+    ).select("light_id")
+)
 
 query(
     "map_url",

@@ -168,6 +168,21 @@ def metric_query_requests(t):
     return metrics.metric_query(t, "maintenance_requests", {"requests": ("count", "*")}, ["neighborhoods.name", "fault_type"])
 
 
+@query(
+    "metric_query_monthly",
+    """select cast(date_trunc('month', r.reported_at) as date) as reported_at_month, cast(date_trunc('year', l.installation_date) as date) as
+    installation_date_year, count(*) as requests, count(distinct r.issue_type) as issue_types from requests r
+    left join (select * from lights where not _deleted) l on r.light_id = l.light_id where not r._deleted group by 1, 2""",
+)
+def metric_query_monthly(t):
+    return metrics.metric_query(
+        t,
+        "maintenance_requests",
+        {"requests": ("count", "*"), "issue_types": ("count_distinct", "issue_type")},
+        ["opened_at:month", "street_lights.install_date:year"],
+    )
+
+
 def _synonyms_sql() -> str:
     words = ", ".join(f"('{w}', '{t}', '{c}', '{k}')" for w, t, c, k in metrics.synonym_rows())
     counts = _union(

@@ -120,6 +120,7 @@ RELATIONSHIPS = [
     ("power_grid_enrichment", "light_id", "street_lights"),
 ]
 
+GRAINS = ("day", "week", "month", "quarter", "year")
 _AGGREGATES = ("count", "count_distinct", "sum", "avg", "min", "max")
 
 
@@ -166,15 +167,33 @@ def metric_query(
 ) -> DataFrame:
     """Aggregate facts of one table by dimensions reachable over many-to-one relationships.
 
-    ``metrics`` maps an output name to (aggregate, fact); ``("count", "*")`` counts rows. ``where`` keeps the
+    A time column takes a grain, as in ``reported_at:month``; the output column is ``reported_at_month``, the first day
+    of the period. ``metrics`` maps an output name to (aggregate, fact); ``("count", "*")`` counts rows. ``where`` keeps the
     listed values per dimension. Soft-deleted rows are left out on every table; facts whose reference is missing
     or deleted form a NULL group, so totals always cover all live facts (a filter on another table keeps only
     facts with a match). The fact rows are aggregated by their own dimensions and the first foreign key before
     any join, and merged after it; a counted-distinct fact joins those keys.
     """
-    dims = [resolve(d, fact_table) for d in dimensions]
+    dims, grains = [], {}
+    for name in dimensions:
+        name, _, grain = name.partition(":")
+        table, column = resolve(name, fact_table)
+        if grain:
+            if grain not in GRAINS or MODEL[table].columns()[column][0] != "time":
+                raise ValueError(f"no {grain!r} of {table}.{column}")
+            grains[table, f"{column}_{grain}"] = column, grain
+            column = f"{column}_{grain}"
+        dims.append((table, column))
+
+    def rows_of(table: str) -> DataFrame:
+        rows = live_rows(getattr(t, MODEL[table].source))
+        for (owner, name), (column, grain) in grains.items():
+            if owner == table:
+                rows = rows.withColumn(name, F.to_date(F.date_trunc(grain, F.col(column))))
+        return rows
+
     filters = [(resolve(d, fact_table), values) for d, values in (where or {}).items()]
-    base = live_rows(getattr(t, MODEL[fact_table].source))
+    base = rows_of(fact_table)
     for (table, column), values in filters:
         if table == fact_table:
             base = base.where(F.col(column).isin(values))
@@ -204,7 +223,7 @@ def metric_query(
         here = fact_table
         for column, table in path:
             if table not in done:
-                right = live_rows(getattr(t, MODEL[table].source))
+                right = rows_of(table)
                 for (tb, c), values in filters:
                     if tb == table:
                         right = right.where(F.col(c).isin(values))

@@ -15,6 +15,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .storage import broadcast_up_to, stored
+
+SMALL_ROWS = 20_000  # known texts: up to here their digests are broadcast
+
 # Equivalent spellings, left to right, in canonical words.
 SPELLINGS = [
     ("licenc", "licens"),
@@ -90,14 +94,25 @@ COPYRIGHT = r"(^|\n)[^a-z0-9\n(]*(copyright[ \t]*(\(c\)|:|[0-9]{4}|<year>|\[year
 RESERVED = r"(^|\n)[^a-z0-9\n]*all rights reserved[^a-z0-9\n]*(\n|$)"
 
 
-def canonical(text: Column) -> Column:
-    c = F.replace(F.coalesce(text, F.lit("")), F.lit("©"), F.lit("(c)"))
-    c = F.lower(F.regexp_replace(c, r"[^\x00-\x7F]+", " "))
-    c = F.regexp_replace(F.regexp_replace(c, COPYRIGHT, "$1"), RESERVED, "\n")
-    c = F.regexp_replace(c, "[^a-z0-9]+", " ")
+def _lines(text: Column) -> Column:
+    """Lines of [a-z0-9] words, copyright lines gone, before spellings are made one; the costly steps run where needed."""
+    c = F.coalesce(text, F.lit(""))
+    ascii_ = F.regexp_replace(F.replace(c, F.lit("©"), F.lit("(c)")), r"[^\x00-\x7F]+", " ")
+    c = F.lower(F.when(F.octet_length(c) == F.length(c), c).otherwise(ascii_))
+    marked = F.contains(c, F.lit("copyright")) | F.contains(c, F.lit("(c)")) | F.contains(c, F.lit("all rights reserved"))
+    without = F.regexp_replace(F.regexp_replace(c, COPYRIGHT, "$1"), RESERVED, "\n")
+    words = F.regexp_replace(F.when(marked, without).otherwise(c), r"[^a-z0-9\n]+", " ")
+    return F.filter(F.transform(F.split(words, "\n"), lambda x: F.trim(x)), lambda x: x != "")
+
+
+def _spelt(c: Column) -> Column:
     for old, new in SPELLINGS:
         c = F.replace(c, F.lit(old), F.lit(new))
-    return F.trim(c)
+    return c
+
+
+def canonical(text: Column) -> Column:
+    return _spelt(F.array_join(_lines(text), " "))
 
 
 def digest(text: Column) -> Column:
@@ -115,20 +130,26 @@ def scan(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text_col: st
     line of their own, sorted and comma-joined; ``n_notices`` counts such lines. ``known`` has (licence_id, text).
     """
     table = known.select("licence_id", canonical(F.col("text")).alias("c")).where("c <> ''")
-    table = table.groupBy("c").agg(F.min("licence_id").alias("licence_id")).select(digest(F.col("c")).alias("known"), "licence_id")
-    longest = known.agg(F.max(F.length("text"))).head()[0] or 0
+    table = stored(table.groupBy("c").agg(F.min("licence_id").alias("licence_id")), "known")
+    # a line can only be a known text if it is as long as one: at most as many lengths as the longest text has
+    lengths = [r.n for r in table.select(F.length("c").alias("n")).distinct().collect()]
+    table = table.select(digest(F.col("c")).alias("known"), "licence_id")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    # most rows hold no line short enough to be a known text once other signs are gone; lines are told apart first
-    whole = rows.select("doc_id", digest(canonical(F.col("text"))).alias("canonical_sha256"), "text")
-    lines = whole.select("doc_id", "canonical_sha256", F.explode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line"))
-    lines = lines.select("doc_id", "canonical_sha256", canonical(F.col("line")).alias("c")).where(F.length("c").between(1, 2 * longest + 64))
-    found = lines.select("doc_id", "canonical_sha256", digest(F.col("c")).alias("known")).join(table, "known")
-    notices = found.groupBy("doc_id", "canonical_sha256").agg(
+    rows = rows.select("doc_id", F.xxhash64("text").alias("row"), _lines(F.col("text")).alias("lines"))
+    spelt = F.filter(F.transform("lines", _spelt), lambda x: F.length(x).isin(lengths)) if lengths else F.array().cast("array<string>")
+    rows = rows.select(
+        "doc_id", "row", digest(_spelt(F.array_join("lines", " "))).alias("canonical_sha256"), F.transform(spelt, digest).alias("likely")
+    )
+    rows = stored(rows, "digests")
+    table = broadcast_up_to(table, SMALL_ROWS)
+    # rows that are alike in id and text have the same lines; they are looked up once
+    once = rows.where("size(likely) > 0").dropDuplicates(["doc_id", "row"])
+    found = once.select("doc_id", "row", F.explode("likely").alias("known")).join(table, "known")
+    notices = found.groupBy(F.col("doc_id").alias("n_doc"), F.col("row").alias("n_row")).agg(
         F.count("*").alias("n_notices"), F.array_join(F.array_sort(F.collect_set("licence_id")), ",").alias("notices")
     )
-    notices = notices.select(F.col("doc_id").alias("n_doc"), F.col("canonical_sha256").alias("n_sha"), "n_notices", "notices")
-    out = whole.drop("text").join(table.withColumnRenamed("known", "canonical_sha256"), "canonical_sha256", "left")
-    same = F.col("doc_id").eqNullSafe(F.col("n_doc")) & (F.col("canonical_sha256") == F.col("n_sha"))
+    out = rows.drop("likely").join(table.withColumnRenamed("known", "canonical_sha256"), "canonical_sha256", "left")
+    same = F.col("doc_id").eqNullSafe(F.col("n_doc")) & (F.col("row") == F.col("n_row"))
     return out.join(notices, same, "left").select(
-        "doc_id", "canonical_sha256", "licence_id", F.coalesce("n_notices", F.lit(0)).alias("n_notices"), F.coalesce("notices", F.lit("")).alias("notices")
+        "doc_id", "canonical_sha256", "licence_id", F.coalesce("n_notices", F.lit(0).cast("long")).alias("n_notices"), F.coalesce("notices", F.lit("")).alias("notices")
     )

@@ -34,6 +34,7 @@ FLOORS = (0.12, 0.16, 0.25, 0.12)
 #: quantiles of chi-square with four degrees of freedom
 CHI_CORE = {0.75: 5.385}
 CHI_CUT = 23.513
+SMALL_GROUPS = 20_000
 TOP = 4095  # distances are counted in this many classes, equal on a logarithmic scale
 
 
@@ -43,10 +44,14 @@ def _let(value: Column, body) -> Column:
 
 
 def repeated_words(hashes: Column) -> Column:
-    """Words covered by windows of WINDOW words that occur more than once."""
+    """Words covered by windows of WINDOW (1, 2, 4, 8) words that occur more than once."""
     at = lambda a, i: F.get(a, i.cast("int"))
-    starts = F.when(F.size(hashes) >= WINDOW, F.sequence(F.lit(0), F.size(hashes) - WINDOW)).otherwise(F.array().cast("array<int>"))
-    windows = F.transform(starts, lambda i: F.xxhash64(*[at(hashes, i + j) for j in range(WINDOW)]))
+
+    def doubled(h: Column, step: int) -> Column:
+        """From hashes of runs of ``step`` words to those of runs twice as long."""
+        n = F.size(h) - step
+        both = F.zip_with(F.slice(h, 1, n), F.slice(h, step + 1, n), lambda x, y: F.xxhash64(x, y))
+        return F.when(n > 0, both).otherwise(F.array().cast("array<bigint>"))
 
     def covered(places: Column) -> Column:
         return F.aggregate(
@@ -64,7 +69,7 @@ def repeated_words(hashes: Column) -> Column:
         pairs = F.sort_array(F.transform(w, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
         return F.when(F.size(F.array_distinct(w)) == F.size(w), 0).otherwise(_let(_let(pairs, twice), covered))
 
-    return _let(windows, count)
+    return _let(_let(_let(doubled(hashes, 1), lambda h: doubled(h, 2)), lambda h: doubled(h, 4)), count)
 
 
 def base_statistics(text: Column) -> list[Column]:
@@ -104,6 +109,11 @@ def statistics(docs: DataFrame, id_col: str, text_col: str, lang_col: str, sourc
     return rows.withColumn("base_failed", failed).select("*", *grid, group.alias("group"))
 
 
+def _by_group(df: DataFrame) -> DataFrame:
+    """A stored table with one row for each group, broadcast while it is small: a hot group's rows then stay where they are."""
+    return broadcast_up_to(stored(df, "groups"), SMALL_GROUPS)
+
+
 def _squared(own: list[Column], mean: list[Column], root: dict[tuple[int, int], Column]) -> Column:
     """Squared Mahalanobis distance by forward substitution with a Cholesky factor."""
     total, z = F.lit(0.0), []
@@ -145,7 +155,7 @@ def _class(d2: Column) -> Column:
 
 def _started(rows: DataFrame) -> DataFrame:
     """Medians and scaled median absolute deviations, without correlations."""
-    medians = rows.groupBy("group").agg(*[F.percentile(x, 0.5).alias(f"m{i}") for i, x in enumerate(STATISTICS)])
+    medians = _by_group(rows.groupBy("group").agg(*[F.percentile(x, 0.5).alias(f"m{i}") for i, x in enumerate(STATISTICS)]))
     off = rows.join(medians, "group").select("group", *[F.abs(F.col(x) - F.round(f"m{i}")).alias(x) for i, x in enumerate(STATISTICS)])
     spread = off.groupBy("group").agg(*[F.percentile(x, 0.5).alias(f"s{i}") for i, x in enumerate(STATISTICS)])
     both = medians.join(spread, "group")
@@ -159,7 +169,7 @@ def _started(rows: DataFrame) -> DataFrame:
 def _concentrated(rows: DataFrame, estimate: DataFrame, core: float) -> DataFrame:
     """Mean and covariance of the share ``core`` of each group that is nearest by ``estimate``."""
     near = _distanced(rows, estimate).withColumn("class", _class(F.col("d2")))
-    limit = near.groupBy("group").agg(F.percentile("class", core).alias("limit"))
+    limit = _by_group(near.groupBy("group").agg(F.percentile("class", core).alias("limit")))
     kept = near.join(limit, "group").where("class <= limit")
     wide = lambda c: F.sum(c.cast("decimal(19,0)"))
     sums = kept.groupBy("group").agg(
@@ -186,14 +196,14 @@ def judged(
     """
     every = stored(statistics(docs, id_col, text_col, lang_col, source_col), "statistics")
     able = every.where("not base_failed").select("group", *STATISTICS)
-    enough = able.groupBy("group").count().where(F.col("count") >= least).select("group")
+    enough = _by_group(able.groupBy("group").count().where(F.col("count") >= least).select("group"))
     able = able.join(enough, "group")
-    estimate = stored(_factored(_started(able)), "estimate")
+    estimate = _by_group(_factored(_started(able)))
     for _ in range(steps):
-        estimate = stored(_factored(_concentrated(able, estimate, core)), "estimate")
+        estimate = _by_group(_factored(_concentrated(able, estimate, core)))
     border = _distanced(able, estimate).groupBy("group").agg(F.percentile(_class(F.col("d2")), core).alias("border"))
     scale = F.greatest(F.lit(1.0), F.expm1(F.col("border") / 256) / CHI_CORE[core])
-    estimate = stored(estimate.join(border.select("group", scale.alias("scale")), "group"), "estimate")
-    out = _distanced(every, broadcast_up_to(estimate, 20_000), "left")
+    estimate = _by_group(estimate.join(border.select("group", scale.alias("scale")), "group"))
+    out = _distanced(every, estimate, "left")
     out = out.withColumn("d2", F.col("d2") / F.col("scale")).drop("scale", "group")
     return out.withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("d2") <= CHI_CUT, F.lit(True)))

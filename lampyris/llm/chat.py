@@ -21,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .storage import stored
+
 # The escape sign first, then the control strings of this and of other common templates.
 ESCAPES = [
     ("\\", "\\s"), ("<|", "\\l"), ("|>", "\\r"), ("</s>", "\\e"), ("<s>", "\\b"), ("[INST]", "\\i"), ("[/INST]", "\\j"),
@@ -67,6 +69,8 @@ def windows(
     turns = turns.withColumn("until", F.sum(own).over(order)).withColumn("since", F.col("until") - own)
     stride = F.greatest(F.lit(1), F.floor((F.lit(budget - history) - F.col("system_tokens")) / 2))
     turns = turns.withColumn("stride", stride).withColumn("window", F.floor(F.col("since") / F.col("stride")))
+    # several passes follow; the turns are numbered and summed up once
+    turns = stored(turns.drop("raw", "turn"), "turns")
     parts = ["conv_id", "i", "role", "tokens", "head", "lead", "body", "since", "until"]
     fresh = turns.where(~F.col("system"))
     # a system turn alone makes a window too

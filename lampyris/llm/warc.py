@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .storage import broadcast_up_to, shared_folder
+from .storage import broadcast_up_to, shared_folder, stored
 
 END = "\r\n"
 SMALL_ROWS = 50_000  # up to here the table of revisits (100 bytes a row) is broadcast
@@ -238,9 +238,11 @@ def round_trip(pages: DataFrame, with_payload: bool = True, **columns) -> DataFr
 
     Adds ``refers_to_page``, the page_id of the response that a revisit refers to.
     """
-    folder = shared_folder(pages.sparkSession, "warc")
+    spark = pages.sparkSession
+    folder = shared_folder(spark, "warc")
     write_archives(pages, folder, **columns)
-    found = captures(read_archives(pages.sparkSession, folder, with_payload))
-    heads = found.where("response.kind = 'response'").select(F.col("capture_id").alias("head_id"), F.col("page_id").alias("refers_to_page"))
-    named = found.where("response.kind = 'revisit'").select(F.col("response.refers_to").alias("head_id")).distinct().join(heads, "head_id")
+    light = stored(captures(read_archives(spark, folder, False)), "captures")
+    heads = light.where("response.kind = 'response'").select(F.col("capture_id").alias("head_id"), F.col("page_id").alias("refers_to_page"))
+    named = light.where("response.kind = 'revisit'").select(F.col("response.refers_to").alias("head_id")).distinct().join(heads, "head_id")
+    found = captures(read_archives(spark, folder)) if with_payload else light
     return found.join(named, F.col("response.refers_to") == F.col("head_id"), "left").drop("head_id")

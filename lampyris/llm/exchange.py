@@ -18,7 +18,9 @@ from pyspark.sql import functions as F
 from .words import mix
 
 HEAVY = 255
-_LOW = 48
+# low bits that travel beside the bucket's: wide where tokens are compared later, narrow where a rare mix-up only keeps a
+# document longer than needed
+WIDE, NARROW = 48, 32
 
 POSTINGS = "bucket int, ids binary, counts binary, low binary, mid binary"
 _POSTINGS = pa.schema(
@@ -48,7 +50,7 @@ def heavy_tokens(found: DataFrame, docs: int) -> np.ndarray:
     return np.sort(rows.column("token").to_numpy().astype(np.int64).view(np.uint64))
 
 
-def pack(ids: np.ndarray, tokens: np.ndarray, offsets: np.ndarray, heavy: np.ndarray, buckets: int) -> pa.RecordBatch:
+def pack(ids: np.ndarray, tokens: np.ndarray, offsets: np.ndarray, heavy: np.ndarray, buckets: int, bits: int = WIDE) -> pa.RecordBatch:
     """Rows of POSTINGS for one slice; ``offsets`` bound each document's tokens."""
     shift = np.uint64(64 - int(np.log2(buckets)))
     doc = np.repeat(np.arange(len(ids)), np.diff(offsets))
@@ -69,7 +71,7 @@ def pack(ids: np.ndarray, tokens: np.ndarray, offsets: np.ndarray, heavy: np.nda
         packed.append(ids[there].astype(np.int64).tobytes())
         n_of.append(n.astype(np.uint32).tobytes())
         low.append((tokens[a:b] & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes())
-        mid.append(((tokens[a:b] >> np.uint64(32)) & np.uint64(0xFFFF)).astype(np.uint16).tobytes())
+        mid.append(((tokens[a:b] >> np.uint64(32)) & np.uint64(0xFFFF)).astype(np.uint16).tobytes() if bits == WIDE else b"")
     return pa.RecordBatch.from_arrays(
         [pa.array(names, pa.int32()), *(pa.array(x, pa.binary()) for x in (packed, n_of, low, mid))], schema=_POSTINGS
     )
@@ -81,21 +83,23 @@ def deal(postings: DataFrame, parts: int) -> DataFrame:
     return postings.repartition(parts, key)
 
 
-def unpack(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[tuple[bool, np.ndarray, np.ndarray]]:
+def unpack(batches: Iterator[pa.RecordBatch], buckets: int, bits: int = WIDE) -> Iterator[tuple[bool, np.ndarray, np.ndarray]]:
     """(heavy, document ids, tokens) of each bucket of a partition, and of the heavy rows one by one.
 
-    Tokens keep 48 low bits and the bucket's bits on top.
+    Tokens keep ``bits`` low bits and the bucket's bits on top.
     """
     shift = np.uint64(64 - int(np.log2(buckets)))
-    mask = np.uint64((1 << _LOW) - 1)
+    mask = np.uint64((1 << bits) - 1)
     held: dict[int, list[tuple[bytes, bytes, bytes, bytes]]] = {}
 
     def rows(parts):
         ids = np.concatenate([np.frombuffer(x[0], np.int64) for x in parts])
         n = np.concatenate([np.frombuffer(x[1], np.uint32) for x in parts])
         low = np.concatenate([np.frombuffer(x[2], np.uint32) for x in parts]).astype(np.uint64)
-        mid = np.concatenate([np.frombuffer(x[3], np.uint16) for x in parts]).astype(np.uint64)
-        return np.repeat(ids, n), low | (mid << np.uint64(32))
+        if bits == WIDE:
+            mid = np.concatenate([np.frombuffer(x[3], np.uint16) for x in parts]).astype(np.uint64)
+            low |= mid << np.uint64(32)
+        return np.repeat(ids, n), low
 
     for batch in batches:
         for bucket, *rest in zip(*(batch.column(i).to_pylist() for i in range(5))):
@@ -110,10 +114,10 @@ def unpack(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[tuple[bo
         yield False, ids, (tokens & mask) | (np.uint64(bucket) << shift)
 
 
-def cut(tokens: np.ndarray, buckets: int) -> np.ndarray:
-    """Tokens as ``unpack`` gives them back: bits between the bucket's and the low 48 are lost."""
+def cut(tokens: np.ndarray, buckets: int, bits: int = WIDE) -> np.ndarray:
+    """Tokens as ``unpack`` gives them back: bits between the bucket's and the low ones are lost."""
     shift = np.uint64(64 - int(np.log2(buckets)))
-    return (tokens & np.uint64((1 << _LOW) - 1)) | ((tokens >> shift) << shift)
+    return (tokens & np.uint64((1 << bits) - 1)) | ((tokens >> shift) << shift)
 
 
 def frequencies(ids: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from . import exchange, words
 from .graph import components
-from .storage import partitions, stored
+from .storage import broadcast_up_to, partitions, stored
 
 SMALL_ROWS = 400_000  # up to here an id list (32 bytes a row at most) is broadcast; beyond it both sides are shuffled
 
@@ -110,7 +110,7 @@ def _packed(k: int, percent: int, heavy: np.ndarray, buckets: int, prefix: bool)
                 keys = batch.column("key").to_pylist()
                 sets = [x if set_key(x) == key else x[:0] for x, key in zip(sets, keys)]
             offsets = np.concatenate([[0], np.cumsum([len(x) for x in sets])])
-            yield exchange.pack(ids, np.concatenate(sets), offsets, heavy, buckets)
+            yield exchange.pack(ids, np.concatenate(sets), offsets, heavy, buckets, exchange.NARROW if prefix else exchange.WIDE)
 
     return run
 
@@ -120,7 +120,7 @@ def _shared_counts(buckets: int, groups: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = []
-        for often, ids, tokens in exchange.unpack(batches, buckets):
+        for often, ids, tokens in exchange.unpack(batches, buckets, exchange.NARROW):
             if not often:
                 ids, tokens, df = exchange.frequencies(ids, tokens)
                 ids = ids[df > 1]
@@ -241,11 +241,6 @@ def _linked(percent: int):
     return F.expr(f"100 * both >= {percent} * (a_n + b_n - both)")
 
 
-def small(df: DataFrame) -> DataFrame:
-    """``df`` (stored), to be broadcast if it has at most SMALL_ROWS rows."""
-    return F.broadcast(df) if df.count() <= SMALL_ROWS else df
-
-
 def candidate_sets(docs: DataFrame, signatures: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """Classes (key, doc_id, n) that may have a partner, and their sets (doc_id, n, tokens)."""
     spark = docs.sparkSession
@@ -262,7 +257,7 @@ def candidate_sets(docs: DataFrame, signatures: DataFrame, k: int, percent: int)
     enough = F.expr(f"c >= greatest(1, ceil(n * {percent} / 100) div 4)")
     able = counts.join(sig, "doc_id").where(enough)
     classes = stored(able.groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.min("n").alias("n")), "classes")
-    rows = docs.join(small(classes).select("doc_id", "key"), "doc_id")
+    rows = docs.join(broadcast_up_to(classes, SMALL_ROWS).select("doc_id", "key"), "doc_id")
     postings = rows.mapInArrow(_packed(k, percent, heavy, buckets, False), exchange.POSTINGS)
     shared = exchange.deal(postings, parts).mapInArrow(
         _shared_postings(buckets, 4 * parts), "g int, ids binary, tokens binary, ranks binary"
@@ -343,6 +338,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sig = signatures.where("doc_id is not null").groupBy("doc_id").agg(F.min(F.struct("key", "n")).alias("s")).select("doc_id", "s.*")
     copies = sig.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("c"))
     copies = copies.join(found.select(F.col("node").alias("class_id"), "component"), "class_id", "left").where("c > 1 or component is not null")
+    copies = stored(copies, "copies")  # a plain join, whose hot keys can be split
     out = sig.join(copies.select("key", "class_id", "component"), "key", "left")
     mine = F.coalesce("class_id", "doc_id")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", mine).alias("component_id"), mine.alias("class_id"))

@@ -99,6 +99,13 @@ def _signatures():
     return run
 
 
+def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which values are in ``known``, which is sorted."""
+    if not len(known):
+        return np.zeros(len(values), bool)
+    return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
+
+
 def _number(key: bytes) -> int:
     return int.from_bytes(key[:8], "little", signed=True)
 
@@ -110,12 +117,13 @@ def _packed(heavy: np.ndarray, buckets: int, window: int):
         for batch in words.slices(batches, "text"):
             h, first = _parsed(batch.column("text"))
             name, _, at = phrases(h, first)
+            rare = ~_among(name, heavy)
             own = [
-                np.setdiff1d(name[a:b], heavy) if f - e >= window else name[:0]
+                np.unique(name[a:b][rare[a:b]]) if f - e >= window else name[:0]
                 for a, b, e, f in zip(at[:-1], at[1:], first[:-1], first[1:])
             ]
             ids = np.array([_number(content(h[a:b])) for a, b in zip(first[:-1], first[1:])], np.int64)
-            yield exchange.pack(ids, np.concatenate(own), np.concatenate([[0], np.cumsum([len(x) for x in own])]), heavy[:0], buckets)
+            yield exchange.pack(ids, np.concatenate(own), np.concatenate([[0], np.cumsum([len(x) for x in own])]), heavy[:0], buckets, exchange.NARROW)
 
     return run
 
@@ -123,7 +131,7 @@ def _packed(heavy: np.ndarray, buckets: int, window: int):
 def _shared(buckets: int, groups: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = []
-        for _, ids, tokens in exchange.unpack(batches, buckets):
+        for _, ids, tokens in exchange.unpack(batches, buckets, exchange.NARROW):
             ids, tokens, df = exchange.frequencies(ids, tokens)
             found.append((ids[df > 1], tokens[df > 1]))
         if found:
@@ -167,21 +175,21 @@ def _candidates(heavy: np.ndarray, buckets: int, window: int):
     margin = LIMITS[-1] - 1 + CONTEXT
     zone = window - 2 * margin
     shift = np.uint64(64 - int(np.log2(buckets)))
-    often = np.unique(exchange.cut(heavy, buckets))
+    often = np.unique(exchange.cut(heavy, buckets, exchange.NARROW))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in words.slices(batches, "text"):
             h, first = _parsed(batch.column("text"))
             name, length, at = phrases(h, first)
-            name = exchange.cut(name, buckets)
-            known = np.isin(name, often)
+            name = exchange.cut(name, buckets, exchange.NARROW)
+            known = _among(name, often)
             keys = batch.column("key").to_pylist()
             for i, blob in enumerate(batch.column("shared").to_pylist()):
                 a, b = at[i], at[i + 1]
                 if content(h[first[i] : first[i + 1]]) != keys[i]:
                     known[a:b] = False
                 elif blob:
-                    known[a:b] |= np.isin(name[a:b], np.frombuffer(blob, np.uint64))
+                    known[a:b] |= _among(name[a:b], np.frombuffer(blob, np.uint64))
             total = np.concatenate([[0], np.cumsum(np.repeat(known, length))])
             names, offsets = words.window_hashes(h, first, window)
             doc = np.repeat(np.arange(batch.num_rows), np.diff(offsets))
@@ -272,7 +280,8 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     spans = found.repartition(parts, "g").mapInArrow(_spans(window), "doc_id long, spans array<struct<start: long, end: long>>")
 
     whole = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n").alias("end")))
-    first_of = firsts.select("key", F.col("doc_id").alias("head"))
+    # heads of classes with copies, stored: a plain join, whose hot keys can be split
+    first_of = stored(sig.where(F.col("n") >= window).groupBy("key").agg(F.min("doc_id").alias("head"), F.count("*").alias("c")).where("c > 1").drop("c"), "heads")
     copies = sig.join(first_of, "key", "left").join(spans, "doc_id", "left")
     return copies.select(
         "doc_id",

@@ -87,7 +87,7 @@ class Library:
 class Encoder:
     """Ids of whole texts; a worker keeps those of the units it has met, up to ``most`` of them."""
 
-    def __init__(self, source, most: int = 1_500_000):
+    def __init__(self, source, most: int = 800_000):
         self.source, self.most = source, most
         self.forget()
 

@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BLOCK = 1 << 22
+BLOCK = 1 << 20
 _BASE = 0x9E3779B97F4A7C15
 _WINDOW_BASE = 0xC2B2AE3D27D4EB4F
 
@@ -69,7 +69,7 @@ def text_buffer(column) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: str, most: int = 1 << 23) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], text: str, most: int = 1 << 22) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of at most ``most`` bytes of text (or one row)."""
     for batch in batches:
         if batch.num_rows == 0:

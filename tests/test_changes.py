@@ -1,5 +1,6 @@
 import datetime as dt
 import random
+import re
 
 from pyspark.sql import functions as F
 
@@ -147,4 +148,4 @@ def test_a_query_scans_its_buckets_and_no_text(spark, tmp_path):
     found = search.search_index(spark, path, "doc_id", "word7", 5, filters=F.col("zone") == "a")
     assert [r.doc_id for r in found.collect()] == [7]
     plan = found._jdf.queryExecution().executedPlan().toString()
-    assert "text:string" not in plan and "PartitionFilters: [bucket#" in plan
+    assert "text:string" not in plan and re.search(r"PartitionFilters: \[[^\]]*bucket#", plan)

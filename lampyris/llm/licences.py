@@ -12,6 +12,10 @@ empty form are left out. Other columns are ignored. An empty table gives an empt
 
 from __future__ import annotations
 
+import pkgutil
+import re
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,7 +40,7 @@ SPELLINGS = [
 ]
 
 # Public licence texts and notices.
-KNOWN = [
+SHORT = [
     (
         "MIT",
         """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
@@ -90,6 +94,90 @@ THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.""",
     ("CC-BY-NC-4.0-notice", "Licensed under CC BY-NC 4.0."),
 ]
 
+# The published texts in licence_texts, and the headings that short texts bear or lack.
+PUBLISHED = ["Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.0", "LGPL-2.1", "LGPL-3.0", "MPL-1.1", "MPL-2.0", "CC0-1.0", "Unlicense"]
+HEADINGS = {
+    "MIT": ["MIT", "MIT License", "The MIT License", "MIT License (MIT)", "The MIT License (MIT)", "The Expat License", "License (MIT)"],
+    "ISC": [
+        "ISC", "ISC License", "The ISC License", "ISC License (ISC)", "The ISC License (ISC)",
+        "ISC License\nThis license is approved by the OSI and FSF as GPL-compatible.\nhttp://opensource.org/licenses/isc-license.txt",
+    ],
+    "BSD-2-Clause": [
+        "BSD 2-Clause License", "The BSD 2-Clause License", "BSD-2-Clause", "Simplified BSD License", "The Simplified BSD License",
+        "BSD 2-Clause Simplified License", "FreeBSD License", "BSD License", "The BSD License", "License",
+    ],
+    "BSD-3-Clause": [
+        "BSD 3-Clause License", "The BSD 3-Clause License", "BSD-3-Clause", "New BSD License", "The New BSD License", "Modified BSD License",
+        "BSD 3-Clause New or Revised License", "Revised BSD License", "BSD License", "The BSD License", "License",
+    ],
+}
+THIRD = """
+3. Neither the name of {} nor the names of its contributors may be used to endorse or promote products derived from this
+software without specific prior written permission.
+"""
+HOLDERS = ["the copyright holder", "the copyright holders", "copyright holder", "the University", "the author", "the organization", "the project", "the company"]
+STREETS = [
+    "51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA", "51 Franklin St, Fifth Floor, Boston, MA 02110-1301 USA",
+    "59 Temple Place, Suite 330, Boston, MA 02111-1307 USA", "59 Temple Place - Suite 330, Boston, MA 02111-1307, USA", "675 Mass Ave, Cambridge, MA 02139, USA",
+]
+
+
+def _marks(text: str) -> list[str]:
+    """A list with its numbers, and with bullets."""
+    return [text, re.sub(r"(?m)^[0-9]\. ", "* ", text)]
+
+
+def _short_variants() -> Iterator[tuple[str, str]]:
+    body = dict(SHORT)
+    two = body["BSD-2-Clause"]
+    after = two.index("THIS SOFTWARE")
+    bodies = {
+        "MIT": [body["MIT"]],
+        "ISC": [body["ISC"], body["ISC"].replace("and/or distribute", "and distribute")],
+        "BSD-2-Clause": _marks(two),
+        "BSD-3-Clause": [x for name in HOLDERS for x in _marks(two[:after] + THIRD.format(name) + "\n" + two[after:])],
+    }
+    regents = bodies["BSD-3-Clause"][2 * HOLDERS.index("the University") :][:2]
+    bodies["BSD-3-Clause"] += [x.replace("COPYRIGHT HOLDERS AND", "REGENTS AND").replace("COPYRIGHT HOLDER OR", "REGENTS OR") for x in regents]
+    for licence_id, texts in bodies.items():
+        for text in texts:
+            yield from ((licence_id, f"{heading}\n\n{text}") for heading in HEADINGS[licence_id])
+            yield licence_id, text
+
+
+def _published_variants(licence_id: str, text: str) -> Iterator[str]:
+    """The text as published, and as it stands in repositories: other addresses, without heading, without appendix."""
+    forms = [text]
+    if "Franklin" in text:
+        street = r"51 Franklin Street, Fifth Floor, Boston, MA\s+02110-1301,?\s+USA"
+        forms = [re.sub(street, x, text) for x in STREETS]
+        forms.append(re.sub(r"(?m)^ *" + street + r"\n", "", text, count=1))
+    forms += [x.replace("licenses/why-not-lgpl", "philosophy/why-not-lgpl") for x in forms if "why-not-lgpl" in x]
+    if licence_id == "Apache-2.0":
+        filled = re.sub(r"(?m)^ *Copyright \[yyyy\].*\n", "", text)
+        forms += [filled, text.replace("Version 2.0, January 2004", "Version 2.0, January 2004\nhttps://www.apache.org/licenses/", 1)]
+    end = "END OF TERMS AND CONDITIONS"
+    forms += [x[: x.index(end) + keep] for x in forms if end in x for keep in (0, len(end))]
+    if licence_id == "MPL-2.0":
+        forms += [x.replace(" Version 2.0", ", version 2.0", 1) for x in forms]
+    # canonical() makes addresses at www alike, no others
+    forms += [re.sub(r"https?://(?!www)", scheme, x) for x in forms if re.search(r"https?://(?!www)", x) for scheme in ("http://", "https://")]
+    first = {"Apache-2.0": "1. Definitions", "MPL-2.0": "1. Definitions", "MPL-1.1": "1. Definitions", "CC0-1.0": "CC0 1.0 Universal"}.get(licence_id)
+    forms += [x[x.index(first) :] for x in forms if first and first in x]
+    return iter(dict.fromkeys(forms))
+
+
+def _known() -> list[tuple[str, str]]:
+    """All known texts; the short ones stand last as they are."""
+    found = list(_short_variants())
+    for licence_id in PUBLISHED:
+        text = pkgutil.get_data(__package__, f"licence_texts/{licence_id}.txt").decode()
+        found += [(licence_id, x) for x in _published_variants(licence_id, text)]
+    return found + SHORT
+
+
+KNOWN = _known()
+
 COPYRIGHT = r"(^|\n)[^a-z0-9\n(]*(copyright[ \t]*(\(c\)|:|[0-9]{4}|<year>|\[year\])|\(c\)[ \t]*[0-9<\[])[^\n]*"
 RESERVED = r"(^|\n)[^a-z0-9\n]*all rights reserved[^a-z0-9\n]*(\n|$)"
 

@@ -1,4 +1,5 @@
 import hashlib
+import pathlib
 import re
 
 from lampyris.llm import licences
@@ -30,3 +31,12 @@ def test_known_texts_are_a_parameter_and_tables_may_be_empty(spark):
     assert licences.scan(docs, known).head().licence_id == "a"
     assert licences.scan(docs, known.where("false")).head().licence_id is None
     assert licences.scan(docs.where("false"), known).count() == 0
+
+
+def test_real_licence_files_are_known(spark):
+    folder = pathlib.Path(__file__).parent / "licence_files"
+    rows = [(i, p.name, p.read_text()) for i, p in enumerate(sorted(folder.iterdir()))]
+    assert len(rows) > 10
+    docs = spark.createDataFrame([(i, t) for i, _, t in rows], "doc_id long, text string")
+    got = {r.doc_id: r.licence_id for r in licences.scan(docs, licences.known_texts(spark)).collect()}
+    assert {n: got[i] for i, n, _ in rows} == {n: n.split("_")[0] for _, n, _ in rows}

@@ -5,8 +5,10 @@ and source a minimum-covariance-determinant estimate is grown from medians and a
 steps: keep the share ``core`` of the group that is nearest in Mahalanobis distance, take its mean and covariance, and
 so on. A text whose distance is beyond the 0.9999 quantile of chi-square is rejected.
 
-Each variance is increased by the square of the statistic's FLOORS, the differences that are ordinary in clean text, so
-that groups whose core does not vary at all (no symbols anywhere, or one text many times over) reject nothing ordinary.
+Each variance is increased by the square of the statistic's FLOORS, so that groups whose core does not vary at all (no
+symbols anywhere, or one text many times over) reject nothing ordinary. Each floor is so low that its statistic alone can
+reject: if the core does not vary, words longer or shorter by a quarter, a symbol in five words, half of the lines
+repeated, or 15 % of the words in repeated windows are beyond the cut.
 
 Grid values make all sums exact and every order statistic a count over a few thousand values: results do not depend on
 how rows are spread, and no group meets in one task. Groups with fewer than ``least`` texts that pass the fixed limits
@@ -30,7 +32,7 @@ WINDOW = 8
 GRID = 0.001
 #: ln mean word length, ln(1 + symbols per word), share of repeated lines, share of words in repeated windows
 STATISTICS = ("x1", "x2", "x3", "x4")
-FLOORS = (0.12, 0.16, 0.25, 0.12)
+FLOORS = (0.05, 0.04, 0.1, 0.03)
 #: quantiles of chi-square with four degrees of freedom
 CHI_CORE = {0.75: 5.385}
 CHI_CUT = 23.513

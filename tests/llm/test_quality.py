@@ -86,3 +86,23 @@ def test_one_text_many_times_rejects_nothing_ordinary(spark):
     got = quality.judged(docs).collect()
     assert len(got) == 121 and all(r.kept for r in got)
     assert quality.judged(docs.where("false")).count() == 0
+
+
+def test_an_outlier_in_one_statistic_is_rejected(spark):
+    rnd = random.Random(9)
+    word = lambda size=5: "".join(rnd.choice("abcdefghij") for _ in range(size))
+    clean = [" ".join(word() for _ in range(100)) + "\n" + " ".join(word() for _ in range(20)) for _ in range(120)]
+    few, passage = [word() for _ in range(6)], " ".join(word() for _ in range(14))
+    odd = {
+        "x1": " ".join(word(8) for _ in range(100)),
+        "x2": " ".join(word(4) + "#" for _ in range(100)),
+        "x3": "\n".join(rnd.choice(few) for _ in range(60)),
+        "x4": " ".join([passage, *(word() for _ in range(72)), passage]),
+    }
+    rows = list(enumerate([*clean, *odd.values()]))
+    docs = spark.createDataFrame([(i, t, "en", "s") for i, t in rows], "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r for r in quality.judged(docs).collect()}
+    assert all(got[i].kept for i in range(len(clean)))
+    for i, name in enumerate(odd, len(clean)):
+        near = [x for x in quality.STATISTICS if x != name and abs(got[i][x] - got[0][x]) > 100]
+        assert not near and not got[i].base_failed and not got[i].kept, name

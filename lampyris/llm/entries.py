@@ -12,7 +12,7 @@ from .storage import shared_folder
 
 @query("op1_ngram_jaccard_join")
 def ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
-    return jaccard.near_duplicates(table(spark, folder, "documents"))
+    return jaccard.near_duplicates(table(spark, folder, "documents"), with_links=True)
 
 
 @query("op6_substring_dedup")

@@ -13,6 +13,8 @@
 6. Answer skipping: a pair is judged from its leaders' distance first. The Jaccard distance is a metric, so a
    leader pair that is too far or near enough settles its followers' pairs; only the rest are intersected.
 7. Components of all links by star contraction.
+8. If asked for, the number of links: those between leaders' components are known by then, those inside are counted
+   from all pairs of a component's sets, in salted pairs of blocks; copies count by their number.
 
 Shingles are compared as 64-bit hashes within a pair.
 
@@ -35,6 +37,8 @@ from . import exchange, words
 from .graph import components
 from .storage import broadcast_up_to, partitions, stored
 
+BLOCK = 128  # sets of a component that are intersected with each other or another block at once
+COLUMNS = 4096  # tokens of two blocks that are counted at once
 SMALL_ROWS = 400_000  # up to here an id list (32 bytes a row at most) is broadcast; beyond it both sides are shuffled
 
 
@@ -267,8 +271,58 @@ def candidate_sets(docs: DataFrame, signatures: DataFrame, k: int, percent: int)
     return classes, stored(sets.select("doc_id", "n", "tokens"), "sets")
 
 
-def links(sets: DataFrame, percent: int) -> DataFrame:
-    """Links (u, v) that connect every component of the similarity graph over ``sets``, all of them true links."""
+def _counted(percent: int):
+    """Links of each set with the sets of another block of its component, or of its own, by their copies."""
+
+    def run(key, table):
+        lo, hi = key[1].as_py(), key[2].as_py()
+        ids, n, c, block = (table.column(x).to_numpy() for x in ("doc_id", "n", "c", "block"))
+        tokens = [np.frombuffer(x, np.uint64) for x in table.column("tokens").to_pylist()]
+        a, b = np.flatnonzero(block == lo), np.flatnonzero(block == hi)
+        sums = np.zeros(len(ids), np.int64)
+        if len(a) and len(b):
+            names, column = np.unique(np.concatenate(tokens), return_inverse=True)
+            row = np.repeat(np.arange(len(ids)), [len(x) for x in tokens])
+            order = np.argsort(column, kind="stable")
+            row, column = row[order], column[order]
+            both = np.zeros((len(a), len(b)), np.int64)
+            for first in range(0, len(names), COLUMNS):
+                x, y = np.searchsorted(column, [first, first + COLUMNS])
+                held = np.zeros((len(ids), min(COLUMNS, len(names) - first)), np.float32)
+                held[row[x:y], column[x:y] - first] = 1
+                both += (held[a] @ held[b].T).astype(np.int64)
+            linked = 100 * both >= percent * (n[a][:, None] + n[b][None, :] - both)
+            if lo == hi:
+                np.fill_diagonal(linked, False)
+            sums[a] = linked @ c[b]
+            if lo != hi:
+                sums[b] = linked.T @ c[a]
+        return pa.table({"doc_id": pa.array(ids), "links": pa.array(sums)})
+
+    return run
+
+
+def link_counts(sets: DataFrame, copies: DataFrame, first: DataFrame, cross: DataFrame, percent: int) -> DataFrame:
+    """(doc_id, links) of the sets with links: how many documents of other classes each is linked with.
+
+    ``copies`` has (doc_id, c) of each class, ``first`` the leaders' components and ``cross`` all links between them.
+    Inside a component every two sets are intersected, in pairs of salted blocks of about BLOCK sets.
+    """
+    blocks = stored(first.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")), "blocks")
+    known = first.withColumnRenamed("node", "doc_id").join(blocks, "component").join(copies, "doc_id")
+    known = known.withColumn("block", F.expr("cast(pmod(xxhash64(doc_id), blocks) as int)"))
+    known = known.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+    known = known.withColumn("lo", F.least("block", "other")).withColumn("hi", F.greatest("block", "other"))
+    met = sets.join(known, "doc_id").select("doc_id", "n", "tokens", "c", "block", "component", "lo", "hi")
+    inside = met.groupBy("component", "lo", "hi").applyInArrow(_counted(percent), "doc_id long, links long")
+    pairs = cross.select("u", "v").union(cross.select("v", "u"))
+    outside = pairs.join(copies.select(F.col("doc_id").alias("v"), "c"), "v").select(F.col("u").alias("doc_id"), F.col("c").alias("links"))
+    return inside.union(outside).groupBy("doc_id").agg(F.sum("links").alias("links"))
+
+
+def links(sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Links (u, v) that connect every component of the similarity graph over ``sets``, all of them true links; the
+    components (node, component) of the leaders' links alone; and all links (u, v) between different ones of these."""
     index = stored(sets.mapInArrow(_index(percent), "token long, doc_id long, n long, pos long"), "index")
 
     # leaders
@@ -321,24 +375,37 @@ def links(sets: DataFrame, percent: int) -> DataFrame:
     sure = F.col("distance") + F.col("off") <= far - slack
     rest = compared(judged.where(~sure), sets).where(_linked(percent))
     pieces = led.select(F.col("a").alias("u"), F.col("b").alias("v"))
-    return pieces.union(judged.where(sure).select("a", "b")).union(rest.select("a", "b"))
+    cross = stored(judged.where(sure).select("a", "b").union(rest.select("a", "b")).toDF("u", "v"), "cross")
+    return pieces.union(cross), first, cross
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
-    """(doc_id, n_shingles, component_id, class_id) of each document.
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80, with_links: bool = False) -> DataFrame:
+    """(doc_id, n_shingles, component_id, class_id) of each document, and n_links if asked for.
 
     Two documents are linked when 100 * intersection >= percent * union of their sets of k-word shingles; words are
     lower-cased in A-Z only. ``component_id`` is the smallest id reachable by links, ``class_id`` the smallest id with
-    the same set. ``percent`` from 50 to 100.
+    the same set, ``n_links`` the number of other documents that it is linked with, copies too. ``percent`` from 50 to 100.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).where("doc_id is not null")
     signatures = stored(docs.mapInArrow(_signatures(k), "doc_id long, key binary, n long, token long, docs long"), "signatures")
     classes, sets = candidate_sets(docs, signatures, k, percent)
-    found = components(links(sets, percent))
+    pieces, first, cross = links(sets, percent)
+    found = components(pieces)
     sig = signatures.where("doc_id is not null").groupBy("doc_id").agg(F.min(F.struct("key", "n")).alias("s")).select("doc_id", "s.*")
     copies = sig.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("c"))
+    own = F.lit(0).cast("long")
+    if with_links:
+        copies = stored(copies, "counts")
+        several = link_counts(sets, copies.select(F.col("class_id").alias("doc_id"), "c"), first, cross, percent)
+        copies = copies.join(several.withColumnRenamed("doc_id", "class_id"), "class_id", "left")
+        own = F.coalesce("links", own) + F.col("c") - 1
+    copies = copies.withColumn("n_links", own)
     copies = copies.join(found.select(F.col("node").alias("class_id"), "component"), "class_id", "left").where("c > 1 or component is not null")
     copies = stored(copies, "copies")  # a plain join, whose hot keys can be split
-    out = sig.join(copies.select("key", "class_id", "component"), "key", "left")
+    out = sig.join(copies.select("key", "class_id", "component", "n_links"), "key", "left")
     mine = F.coalesce("class_id", "doc_id")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", mine).alias("component_id"), mine.alias("class_id"))
+    out = out.select(
+        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", mine).alias("component_id"), mine.alias("class_id"),
+        F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
+    )
+    return out if with_links else out.drop("n_links")

@@ -50,3 +50,22 @@ def test_repeated_rows_null_ids_and_empty_table(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert sorted(map(tuple, jaccard.near_duplicates(docs).collect())) == [(1, 3, 1, 1), (2, 3, 1, 1), (3, 0, 3, 3)]
     assert jaccard.near_duplicates(docs.where("false")).count() == 0
+
+
+@pytest.mark.parametrize("block", [3, 128])
+def test_every_link_is_counted(spark, monkeypatch, block):
+    monkeypatch.setattr(jaccard, "BLOCK", block)
+    rnd = random.Random(5)
+    base = [f"v{i}" for i in range(150)]
+    rows = near_copies() + HARD
+    for i in range(30):  # all led by one text, many near enough to each other too
+        copy = list(base)
+        copy[rnd.randrange(150)] = copy[rnd.randrange(150)] = "other"
+        rows.append((2000 + i, " ".join(copy)))
+    rows.append((3000, rows[-1][1]))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.n_links for r in jaccard.near_duplicates(docs, with_links=True).collect()}
+    sets = {i: brute.shingles(t) for i, t in rows}
+    want = {a: sum(a != b and 100 * len(x & y) >= 80 * len(x | y) for b, y in sets.items() if x and y) for a, x in sets.items()}
+    assert max(want.values()) > 20
+    assert got == want

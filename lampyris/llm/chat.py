@@ -66,7 +66,7 @@ def windows(
     turns = turns.withColumn("system", is_system)
     turns = turns.withColumn("system_tokens", F.sum(F.when(F.col("system"), F.col("tokens")).otherwise(0)).over(whole))
     own = F.when(F.col("system"), 0).otherwise(F.col("tokens"))
-    turns = turns.withColumn("until", F.sum(own).over(order)).withColumn("since", F.col("until") - own)
+    turns = turns.withColumn("until", F.sum(own).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))).withColumn("since", F.col("until") - own)
     stride = F.greatest(F.lit(1), F.floor((F.lit(budget - history) - F.col("system_tokens")) / 2))
     turns = turns.withColumn("stride", stride).withColumn("window", F.floor(F.col("since") / F.col("stride")))
     # several passes follow; the turns are numbered and summed up once

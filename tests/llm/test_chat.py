@@ -48,3 +48,10 @@ def test_windows_read_back_and_keep_the_budget(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert chat.windows(df).count() == 0 and chat.read_back(chat.windows(df)).count() == 0
+
+
+def test_equal_rows_are_turns_of_their_own_in_the_budget(spark):
+    df = spark.createDataFrame([(1, 0, "user", "the same words")] * 300, "conv_id long, turn long, role string, text string")
+    found = chat.windows(df).collect()
+    assert len(found) > 5 and not any(w.over_budget for w in found)
+    assert chat.read_back(chat.windows(df)).head().n_turns == 300

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, jaccard, licences, packing, quality, secrets, substrings, trie, vptree, warc
+from . import chat, jaccard, licences, mixture, packing, quality, secrets, substrings, trie, vptree, warc
 from .registry import query, table
 from .storage import shared_folder
 
@@ -30,6 +30,11 @@ def best_two_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), with_ids=False).drop("ids")
 
 
+@query("op11_mixture_packing")
+def mixture_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixture.pack(table(spark, folder, "documents"), with_ids=False).drop("ids")
+
+
 WARC_SQL = """
 with p as (
   select page_id, coalesce(html, '') as html, strlen(coalesce(html, '')) as payload_bytes, sha1(coalesce(html, '')) as payload_digest

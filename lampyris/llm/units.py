@@ -84,11 +84,28 @@ class Library:
         return [x.ids for x in self.tokenizer.encode_batch([x.decode() for x in found], add_special_tokens=False)]
 
 
+def same_bytes(x: np.ndarray, xs: np.ndarray, n: np.ndarray, y: np.ndarray, ys: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """Whether the words of ``n`` bytes at ``xs`` equal those of ``m`` bytes at ``ys``."""
+    same = n == m
+    x, y, k, rows = words.lanes(x), words.lanes(y), 0, np.flatnonzero(same)
+    while len(rows) and k < words.LONG:
+        same[rows] = words.lane(x, xs[rows], n[rows], k) == words.lane(y, ys[rows], n[rows], k)
+        k += 8
+        rows = rows[same[rows] & (n[rows] > k)]
+    for i in rows.tolist():
+        a, b = xs[i] + n[i] - 8, ys[i] + n[i] - 8  # the last whole lanes
+        same[i] = x[a] == y[b] and np.array_equal(x[xs[i] + k : a : 8], y[ys[i] + k : b : 8])
+    return same
+
+
 class Encoder:
-    """Ids of whole texts; a worker keeps those of the units it has met, up to ``most`` of them."""
+    """Ids of whole texts; a worker keeps those of the units it has met, up to ``most`` of them or ``most_bytes``.
 
-    def __init__(self, source, most: int = 800_000):
-        self.source, self.most = source, most
+    Units are found by hash and then compared byte by byte; one whose hash belongs to another unit is kept by its bytes.
+    """
+
+    def __init__(self, source, most: int = 800_000, most_bytes: int = 1 << 25):
+        self.source, self.most, self.most_bytes = source, most, most_bytes
         self.forget()
 
     def forget(self):
@@ -96,9 +113,13 @@ class Encoder:
         self.at = np.zeros(0, np.int64)
         self.n = np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.uint32)
+        self.bytes = np.zeros(0, np.uint8)
+        self.starts = np.zeros(0, np.int64)
+        self.sizes = np.zeros(0, np.int64)
+        self.others: dict[bytes, tuple[int, int]] = {}
 
-    def _learn(self, keys, buf, start, end, plain):
-        raw = [buf[a:b].tobytes() for a, b in zip(start, end)]
+    def _encoded(self, raw: list[bytes], plain: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place in ``ids`` and number of the ids of each unit."""
         ids: list = [None] * len(raw)
         for kind, encode in ((True, self.source.pieces), (False, self.source.chunks)):
             rows = np.flatnonzero(plain == kind)
@@ -106,29 +127,43 @@ class Encoder:
                 for i, x in zip(rows.tolist(), encode([raw[i] for i in rows])):
                     ids[i] = x
         n = np.array([len(x) for x in ids], np.int64)
-        flat = np.array([t for x in ids for t in x], np.uint32)
         at = len(self.ids) + np.cumsum(n) - n
-        self.ids = np.concatenate([self.ids, flat])
-        every = np.concatenate([self.known, keys])
-        order = np.argsort(every, kind="stable")
-        self.known, self.at, self.n = every[order], np.concatenate([self.at, at])[order], np.concatenate([self.n, n])[order]
+        self.ids = np.concatenate([self.ids, np.array([t for x in ids for t in x], np.uint32)])
+        return at, n
+
+    def _learn(self, keys, raw: list[bytes], plain):
+        at, n = self._encoded(raw, plain)
+        sizes = np.array([len(x) for x in raw], np.int64)
+        starts = len(self.bytes) + np.cumsum(sizes) - sizes
+        self.bytes = np.concatenate([self.bytes, np.frombuffer(b"".join(raw), np.uint8)])
+        order = np.argsort(np.concatenate([self.known, keys]), kind="stable")
+        for name, more in (("known", keys), ("at", at), ("n", n), ("starts", starts), ("sizes", sizes)):
+            setattr(self, name, np.concatenate([getattr(self, name), more])[order])
 
     def __call__(self, column) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and the n + 1 offsets of each text's ids."""
         buf, offsets = words.text_buffer(column)
         buf, start, end, plain, first = split(buf, offsets)
+        size = end - start
         keys, row, back = np.unique(words.word_hashes(buf, start, end), return_index=True, return_inverse=True)
-        if len(self.known) + len(keys) > self.most:
+        if len(self.known) + len(keys) > self.most or len(self.bytes) > self.most_bytes:
             self.forget()
+        raw = lambda i: buf[start[i] : end[i]].tobytes()
         at = np.searchsorted(self.known, keys)
         new = np.ones(len(keys), bool)
         there = at < len(self.known)
         new[there] = self.known[at[there]] != keys[there]
         if new.any():
-            rows = row[new]
-            self._learn(keys[new], buf, start[rows], end[rows], plain[rows])
-        at = np.searchsorted(self.known, keys)
-        n, at = self.n[at][back], self.at[at][back]
+            self._learn(keys[new], [raw(i) for i in row[new].tolist()], plain[row[new]])
+        at = np.searchsorted(self.known, keys)[back]
+        right = same_bytes(buf, start, size, self.bytes, self.starts[at], self.sizes[at])
+        n, at = self.n[at], self.at[at]
+        for i in np.flatnonzero(~right).tolist():
+            found = self.others.get(raw(i))
+            if found is None:
+                where, count = self._encoded([raw(i)], plain[i : i + 1])
+                found = self.others[raw(i)] = int(where[0]), int(count[0])
+            at[i], n[i] = found
         total = np.concatenate([[0], np.cumsum(n)])
         return self.ids[np.repeat(at - total[:-1], n) + np.arange(total[-1])], total[first]
 

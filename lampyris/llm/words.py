@@ -1,7 +1,8 @@
 """Words of whole texts as 64-bit hashes, a batch of documents at a time (numpy).
 
-A word is a maximal run of bytes other than space and 0x09-0x0D. Hashes are sums of byte values times powers of
-an odd base modulo 2**64, so that any slice of a text costs one subtraction, followed by a bit mixer.
+A word is a maximal run of bytes other than space and 0x09-0x0D. Its bytes are mixed eight at a time, those of very
+long words by xxh3. Hashes of runs of words are sums of word hashes times powers of an odd base modulo 2**64, followed
+by a bit mixer.
 """
 
 from __future__ import annotations
@@ -11,10 +12,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
-BLOCK = 1 << 20
-_BASE = 0x9E3779B97F4A7C15
+LONG = 256  # bytes; longer words are hashed one by one
+_SEED = 0x9E3779B97F4A7C15
 _WINDOW_BASE = 0xC2B2AE3D27D4EB4F
+_MASKS = np.array([(1 << 8 * i) - 1 for i in range(9)], np.uint64)
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -32,24 +37,6 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-_CACHE: dict = {}
-
-
-def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse; kept in the worker, grown as needed."""
-    if _CACHE.get("n", 0) < n:
-        n = max(n, 1 << 16)
-        _CACHE.update(n=n, up=_powers(_BASE, n + 1), down=_powers(pow(_BASE, -1, 1 << 64), n + 1))
-    return _CACHE["up"], _CACHE["down"]
-
-
-def byte_values(lower: bool) -> np.ndarray:
-    codes = np.arange(256, dtype=np.uint64)
-    if lower:
-        codes[65:91] += np.uint64(32)
-    return mix(codes + np.uint64(0x165667B19E3779F9))
-
-
 def separators() -> np.ndarray:
     out = np.zeros(256, dtype=bool)
     out[[9, 10, 11, 12, 13, 32]] = True
@@ -101,17 +88,31 @@ def word_spans(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     return starts, ends, np.searchsorted(starts, offsets)
 
 
+def lanes(buf: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place of ``buf`` on as one number; behind its end stand zeros."""
+    padded = np.concatenate([buf, np.zeros(8, np.uint8)])
+    return np.ndarray(len(buf) + 1, "<u8", buffer=padded, strides=(1,))
+
+
+def lane(eight: np.ndarray, starts: np.ndarray, n: np.ndarray, k: int) -> np.ndarray:
+    """Bytes ``k`` to ``k + 8`` of the words at ``starts``, which have ``n`` > k bytes."""
+    return eight[starts + k] & _MASKS[np.minimum(n - k, 8)]
+
+
 def word_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = False) -> np.ndarray:
-    values, out, at = byte_values(lower), np.empty(len(starts), np.uint64), 0
-    while at < len(starts):
-        to = max(at + 1, int(np.searchsorted(ends, starts[at] + BLOCK, side="right")))
-        part = values[buf[starts[at] : ends[to - 1]]]
-        up, down = _tables(len(part))
-        total = np.zeros(len(part) + 1, np.uint64)
-        np.cumsum(part * up[: len(part)], out=total[1:])
-        s, e = starts[at:to] - starts[at], ends[at:to] - starts[at]
-        out[at:to] = mix((total[e] - total[s]) * down[s] + (e - s).astype(np.uint64))
-        at = to
+    """A hash of each word: its bytes mixed in eight by eight, so that no arithmetic pattern in them cancels out."""
+    if lower:
+        buf = _LOWER[buf]
+    n, eight = ends - starts, lanes(buf)
+    out = mix(n.astype(np.uint64) + np.uint64(_SEED))
+    rows = np.arange(len(n))
+    for k in range(0, LONG, 8):
+        rows = rows[n[rows] > k]
+        if not len(rows):
+            return out
+        out[rows] = mix(out[rows] * np.uint64(_WINDOW_BASE) + mix(lane(eight, starts[rows], n[rows], k) + np.uint64(_SEED)))
+    for i in rows[n[rows] > LONG].tolist():
+        out[i] = xxhash.xxh3_64_intdigest(buf[starts[i] : ends[i]].tobytes())
     return out
 
 

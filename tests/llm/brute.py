@@ -68,3 +68,11 @@ def base_statistics(text):
 
 def sha(text):
     return hashlib.sha256(text if isinstance(text, bytes) else text.encode()).hexdigest()
+
+
+def doubling_pair(n):
+    """Two different words of n letters whose byte sums times powers of any odd base agree modulo 2**64 for long n."""
+    one = "a"
+    while len(one) < n:
+        one += one.translate(str.maketrans("ab", "ba"))
+    return one[:n], one.translate(str.maketrans("ab", "ba"))[:n]

@@ -69,3 +69,10 @@ def test_every_link_is_counted(spark, monkeypatch, block):
     want = {a: sum(a != b and 100 * len(x & y) >= 80 * len(x | y) for b, y in sets.items() if x and y) for a, x in sets.items()}
     assert max(want.values()) > 20
     assert got == want
+
+
+def test_long_words_of_one_pattern(spark):
+    rows = [(10 * n + i, w) for n in (1024, 16_384, 20_000) for i, w in enumerate(brute.doubling_pair(n))]
+    rows += [(7, rows[0][1])]
+    found = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found == brute.near_duplicates(rows)

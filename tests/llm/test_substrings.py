@@ -67,3 +67,11 @@ def test_repeated_rows_and_empty_table(spark):
     assert substrings.without_repeats(docs.where("false")).count() == 0
     with pytest.raises(ValueError):
         substrings.repeated_spans(docs, window=20)
+
+
+def test_long_words_of_one_pattern(spark):
+    rest = " ".join(f"w{i}" for i in range(30))
+    rows = [(n + i, f"{rest} {w} {rest}") for n in (1024, 16_384, 20_000) for i, w in enumerate(brute.doubling_pair(n))]
+    rows += [(7, rows[-1][1])]
+    found = {r.doc_id: (r.n_words, r.kept_sha256) for r in substrings.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found == {i: (len(w), brute.sha(b" ".join(kept))) for i, (w, kept) in brute.repeats(rows).items()}

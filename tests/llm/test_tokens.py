@@ -56,6 +56,25 @@ def ids_of_kept(texts):
     return [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:])]
 
 
+@pytest.mark.parametrize("make", [trie.Trie, units.Library])
+@pytest.mark.parametrize("n", [64, 1024, 16_384, 20_000])
+def test_long_words_of_one_pattern(library, make, n):
+    texts = [f"x {w} y" for w in brute.doubling_pair(n)]
+    assert ids_of(make, texts) == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+
+
+@pytest.mark.parametrize("bits", [0, 3, 8])
+def test_units_of_equal_hashes_are_told_apart(library, monkeypatch, bits):
+    hashes = units.words.word_hashes
+    monkeypatch.setattr(units.words, "word_hashes", lambda *a, **k: hashes(*a, **k) & np.uint64((1 << bits) - 1))
+    texts = TEXTS + ["b" * 300 + c for c in "xy"] + ["b" * 305 + "x", "c" + "b" * 300] + ["one two three four five six seven eight " * 3]
+    encoder = units.Encoder(units.Library(public_tokenizers.path(units.VOCABULARY)))
+    want = [e.ids for e in library.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    for part in (texts, texts[::-1], texts):
+        ids, at = encoder(pa.array(part, pa.string()))
+        assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:])] == (want if part is texts or part == texts else want[::-1])
+
+
 def test_encoder_forgets_and_still_answers(library):
     encoder = units.Encoder(units.Library(public_tokenizers.path(units.VOCABULARY)), most=3)
     for text in ("one two three", "four five six seven", "one five"):

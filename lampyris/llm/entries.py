@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, jaccard, licences, mixture, packing, quality, secrets, substrings, trie, vptree, warc
+from . import chat, collocations, jaccard, licences, mixture, packing, quality, secrets, substrings, trie, variants, vptree, warc
 from .registry import query, table
 from .storage import shared_folder
 
@@ -35,6 +35,78 @@ def mixture_packing(spark: SparkSession, folder: str) -> DataFrame:
     return mixture.pack(table(spark, folder, "documents"), with_ids=False).drop("ids")
 
 
+# crc32 byte by byte: a table of 256 remainders made from the polynomial, and a letter of the run is one byte or two
+VARIANTS_SQL = r"""
+with recursive t as (
+  select list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k: case when c % 2 = 1 then xor(c // 2, 3988292384) else c // 2 end, i)) as t
+), r as (
+  select coalesce(cast(doc_id as varchar), '') || ':' as d, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{C0}-\x{FF}]+')) as w from documents
+), c as (select d, w, count(*) as n from r where length(w) >= 6 group by d, w),
+b as (
+  select d, w, n, list_transform(string_split(d, ''), lambda x: unicode(x)) || flatten(list_transform(string_split(w, ''),
+    lambda x: case when unicode(x) < 128 then [unicode(x)] else [195, unicode(x) - 64] end)) as bytes from c
+), h as (
+  select w, n, xor(list_reduce(bytes, lambda s, x: xor(s // 256, t[cast(xor(s, x) % 256 as bigint) + 1]), 4294967295), 4294967295) as h
+  from (select w, n, list_transform(bytes, lambda x: cast(x as bigint)) as bytes, t from b, t)
+), v as (
+  select case when h % 199 = 0 then substr(w, 1, h % length(w)) || substr(w, h % length(w) + 2) else w end as word, n from h
+), k as (select word, cast(sum(n) as bigint) as n from v where length(word) >= 6 group by word having sum(n) >= 5),
+x as (
+  select word, n, -1 as i, word as cut from k
+  union all select word, n, i, substr(word, 1, i) || substr(word, i + 2) from (select word, n, unnest(range(length(word))) as i from k)
+), p as (
+  select distinct a.word, a.n, b.word as near, b.n as near_n from x a join x b on a.cut = b.cut and a.word <> b.word
+  where a.i = b.i or a.i = -1 or b.i = -1
+), f as (
+  select word, count(*) as n_near, first(near order by near_n desc, near) as near, max(near_n) as near_n from p group by word
+), g as (
+  select k.word, k.n, coalesce(n_near, 0) as n_near, case when near_n >= 5 * k.n then near end as form,
+    case when near_n >= 5 * k.n then near_n end as form_n from k left join f on f.word = k.word
+), o as (
+  select word, word as root, form as next from g
+  union all select o.word, g.word, g.form from o join g on g.word = o.next
+)
+select g.*, o.root from g join o on o.word = g.word and o.next is null
+"""
+
+
+@query("op12_spelling_variants", VARIANTS_SQL)
+def spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return variants.groups(table(spark, folder, "documents"))
+
+
+PHRASES_SQL = r"""
+with p as (
+  select coalesce(lang, 'und') as lang, unnest(string_split_regex(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as p from documents
+), w as (select lang, list_filter(string_split_regex(p, '[\x20\x09]+'), lambda x: x <> '') as w from p),
+g as (select lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) as phrase from w, range(1, 5) as t(k)),
+f as (select lang, cast(k as integer) as k, phrase, count(*) as f from g group by all),
+c as (select lang, k, phrase, f as a, string_split(phrase, ' ') as w from f where k >= 2 and f >= 30),
+u as (
+  select lang, phrase, max(a) as over from (
+    select lang, a, array_to_string(w[i:i + m - 1], ' ') as phrase
+    from (select *, unnest(range(1, k - m + 2)) as i from (select *, unnest(range(2, k)) as m from c))) group by all
+), s as (
+  select c.lang, c.phrase, a, l.f as l, r.f as r, i, cast(2000000 * cast(a as hugeint) // (l.f + r.f) as bigint) as score
+  from (select *, unnest(range(1, k)) as i from c) c
+  join f l on l.lang = c.lang and l.phrase = array_to_string(w[1:i], ' ')
+  join f r on r.lang = c.lang and r.phrase = array_to_string(w[i + 1:], ' ')
+), b as (select * from (select *, row_number() over (partition by lang, phrase order by score, i) as o from s) where o = 1),
+n as (select lang, cast(sum(f) as bigint) as n from f where k = 1 group by lang)
+select * from (
+  select b.lang, cast(row_number() over (partition by b.lang order by score desc, a desc, b.phrase) as integer) as rank, b.phrase, a, l, r, n, score
+  from b join n on n.lang = b.lang left join u on u.lang = b.lang and u.phrase = b.phrase
+  where over is null or 100 * cast(over as hugeint) < 80 * cast(a as hugeint)) where rank <= 2000
+"""
+
+
+@query("op13_phrase_collocations", PHRASES_SQL)
+def phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.mine(table(spark, folder, "documents"))
+
+
 WARC_SQL = """
 with p as (
   select page_id, coalesce(html, '') as html, strlen(coalesce(html, '')) as payload_bytes, sha1(coalesce(html, '')) as payload_digest

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import rules
+from ..operators import boosting
 from ..operators import forecast as fc
 from ..operators import series
 from ..plans import dashboard as db
@@ -23,6 +24,10 @@ query("training_series", "select ts, cast(total as double) as y from bulb_series
 query("training_series_all", "select ts, cast(total as double) as y from all_series")(_train)
 
 
+def _targets(t):
+    return series.training_series(series.target_series(t.requests), keys=["target"])
+
+
 def _check_sql(table: str, label: str) -> str:
     return f"""select '{label}' as check_name, count(*) as total_records, min(ts) as start_date, max(ts) as end_date,
     cast(sum(total) as bigint) as total, {rnd("avg(total)", 2)} as avg_daily from {table}"""
@@ -100,6 +105,57 @@ def evaluation_metrics(t):
     return fc.evaluation_metrics(_train(t))
 
 
+@query(
+    "boosting_features",
+    f"""with d as (select 'all' as target, ts, cast(total as double) as y from all_series union all
+      select 'bulb', ts, cast(total as double) from bulb_series),
+    w as (select *, lag(y, 1) over o as l1, lag(y, 7) over o as l7, lag(y, 14) over o as l14,
+      avg(y) over (partition by target order by ts rows between 7 preceding and 1 preceding) as r7,
+      avg(y) over (partition by target order by ts rows between 14 preceding and 1 preceding) as r14,
+      greatest(avg(y) over (partition by target order by ts rows between 30 preceding and 1 preceding), 1) as level,
+      stddev_samp(y) over (partition by target order by ts rows between 7 preceding and 1 preceding) as s7
+      from d window o as (partition by target order by ts))
+    select target, ts, y, {rnd("level", 6)} as level, {rnd("l1/level", 6)} as lag_1d, {rnd("l7/level", 6)} as lag_7d, {rnd("l14/level", 6)} as lag_14d,
+    {rnd("r7/level", 6)} as rolling_7d_avg, {rnd("r14/level", 6)} as rolling_14d_avg, {rnd("s7/level", 6)} as rolling_7d_stddev,
+    cast(dayofweek(ts) as double) as day_of_week, cast(month(ts) as double) as month,
+    case when dayofweek(ts) in (0, 6) then 1.0 else 0.0 end::double as is_weekend from w where l14 is not null""",
+)
+def boosting_features(t):
+    """What the boosted model learns from, both targets in one job."""
+    rows = boosting.lagged_features(_targets(t), "y", ["target"])
+    return rows.select("target", "ts", "y", *[rules.round_half_up(F.col(c), 6).alias(c) for c in ("level", *boosting.FEATURES)])
+
+
+@query(
+    "evaluation_metrics_both",
+    """with s as (select 'all' as target, ts from all_series union all select 'bulb', ts from bulb_series),
+    n as (select target, count(*) filter (where ts > last - 30) as days from (select *, max(ts) over (partition by target) as last from s) group by target)
+    select target, model, days, true as scored from n cross join (values ('boosted'), ('trend')) as m(model)""",
+)
+def evaluation_metrics_both(t):
+    """Both forecasters on the same held-out days of both targets; ``scored`` if the errors are finite and ordered."""
+    rows = _targets(t)
+    found = [
+        fc.evaluation_metrics(rows, keys=["target"], forecaster=f).withColumn("model", F.lit(name))
+        for name, f in (("trend", fc.forecast_series), ("boosted", boosting.forecast_series))
+    ]
+    finite = (F.col("mae") >= 0) & (F.col("rmse") >= F.col("mae")) & (F.col("rmse") < 1e9)
+    return found[0].union(found[1]).select("target", "model", "days", finite.alias("scored"))
+
+
+@query(
+    "boosted_forecast",
+    """select target, cast(last + n as date) as ts, true as inside from (
+      select 'all' as target, max(ts) as last from all_series union all select 'bulb', max(ts) from bulb_series)
+    cross join (select cast(range as int) as n from range(1, 31))""",
+)
+def boosted_forecast(t):
+    """Thirty days of both targets, day by day from the days before; ``inside`` if the band holds the forecast."""
+    rows = boosting.forecast_series(_targets(t), 30, keys=["target"])
+    inside = (F.col("forecast") >= 0) & F.col("forecast").between(F.col("lower_bound"), F.col("upper_bound"))
+    return rows.select("target", "ts", inside.alias("inside"))
+
+
 def _t30(noun: str, table: str) -> str:
     return f"""select forecast_date, predicted as {noun}, lower_bound, upper_bound, predicted_precise as {noun}_precise, day_of_week,
     season, prediction_range from {table}"""

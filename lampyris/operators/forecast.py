@@ -1,11 +1,13 @@
 """Forecasting many daily series in one job: linear trend + weekday effect + normal interval.
 
-Fitting is one aggregation over (series, day) rows; the model of a series is a handful of numbers, so
+``boosting`` has the model of trees trained on rolling features; both are scored by ``evaluation_metrics``. Fitting is one aggregation over (series, day) rows; the model of a series is a handful of numbers, so
 forecasting is a projection over the future days. No per-series Python, no loop over series.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -74,14 +76,17 @@ def forecast_series(series: DataFrame, periods: int, interval: float = 0.95, key
     return forecast(fit_forecast(series, keys), periods, interval, keys)
 
 
-def evaluation_metrics(series: DataFrame, holdout: int = 30, keys: list[str] | None = None) -> DataFrame:
-    """Fit without the last ``holdout`` days and score them: MAE, RMSE, MAPE (days with y = 0 left out)."""
+def evaluation_metrics(series: DataFrame, holdout: int = 30, keys: list[str] | None = None, forecaster: Callable[..., DataFrame] = forecast_series) -> DataFrame:
+    """Fit without the last ``holdout`` days and score them: MAE, RMSE, MAPE (days with y = 0 left out).
+
+    ``forecaster(train, periods, keys=keys)`` gives the forecast to be scored.
+    """
     by = keys or []
     marked = series.withColumn("_end", F.max("ts").over(Window.partitionBy(*by)))
     cut = F.date_sub("_end", holdout)
     train = marked.where(F.col("ts") <= cut).drop("_end")
     test = marked.where(F.col("ts") > cut).drop("_end")
-    scored = test.join(forecast_series(train, holdout, keys=keys), [*by, "ts"])
+    scored = test.join(forecaster(train, holdout, keys=keys), [*by, "ts"])
     error = F.col("y") - F.col("forecast")
     return scored.groupBy(*by).agg(
         F.count("*").alias("days"),

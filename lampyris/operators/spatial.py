@@ -10,10 +10,12 @@ from __future__ import annotations
 
 import math
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geo
+from . import rings
 
 # Cells of level 0; a level's cells have four times the side of the level below. Any level may occur, also negative ones.
 CELL_DEG = 0.02
@@ -31,6 +33,8 @@ KNN_ROWS_PER_LEAF = 8
 KNN_FINER = 3
 # Deepest split of the right side's extent: under a metre for a globe. Rows closer than that share a cell.
 KNN_DEEPEST = 26
+# A right side of up to so many rows goes to every task as two arrays of numbers.
+KNN_SMALL = 4096
 _BOUND_SLACK = 1e-9
 
 
@@ -41,22 +45,18 @@ def _floor(value: Column) -> Column:
 # -------------------------------------------------------------------------------- grid levels
 #
 # A shape is covered by cells of its own level, which follows its size: about COVER_CELLS cells per axis for large
-# shapes, few for small ones. The levels that occur among the shapes (one small aggregate) are the ones at which points
+# shapes (more for rings of many edges), few for small ones. The levels that occur among the shapes (one small aggregate) are the ones at which points
 # are looked up; a point is repeated once for each of them, which is once or twice unless sizes differ a lot.
 
 
-def _level_of(span: Column) -> Column:
-    def at(cells: int) -> Column:
-        return F.ceil(F.log(F.greatest(span, F.lit(1e-12)) / (cells * CELL_DEG)) / math.log(4))
-
-    large, small = at(COVER_CELLS), at(SMALL_COVER_CELLS)
-    return F.greatest(F.when(large > 0, large).otherwise(F.least(small, F.lit(0))), F.lit(FINEST_LEVEL)).cast("int")
+def _level_with(span: Column, cells: Column | float) -> Column:
+    """The level at which a span has about so many cells, at least a quarter of them."""
+    return F.ceil(F.log(F.greatest(span, F.lit(1e-12)) / (cells * CELL_DEG)) / math.log(4))
 
 
-def _levels_in(shapes: DataFrame, span: Column) -> list[int]:
-    """The levels that occur, a few dozen at most."""
-    rows = shapes.select(_level_of(span).alias("n")).where("n is not null").distinct().collect()
-    return sorted(r.n for r in rows) or [0]
+def _level_of(span: Column) -> Column:
+    large, small = _level_with(span, COVER_CELLS), _level_with(span, SMALL_COVER_CELLS)
+    return F.greatest(F.when(large > 0, large).otherwise(F.least(small, F.lit(0))), F.lit(FINEST_LEVEL)).cast("int")
 
 
 def _size(level: Column) -> Column:
@@ -82,37 +82,48 @@ def _with_cells(points: DataFrame, levels: list[int]) -> DataFrame:
 
 
 def _spans(zones: DataFrame) -> DataFrame:
-    boxed = zones.withColumn("_b", geo.ring_bbox(F.col("ring")))
-    return boxed.withColumn(
-        "_span", F.greatest(F.col("_b.max_lon") - F.col("_b.min_lon"), F.col("_b.max_lat") - F.col("_b.min_lat"))
-    )
+    """Zones with their box, level, cell size and edges in place of the ring."""
+    rest = [c for c in zones.columns if c != "ring"]
+    ends = [f"array_{f}(transform(ring, p -> p.{c})) as {f}_{c}" for f in ("min", "max") for c in ("lon", "lat")]
+    boxed = zones.where("size(ring) > 1").selectExpr("*", f"inline(array(struct({', '.join(ends)})))")
+    span = "greatest(max_lon - min_lon, max_lat - min_lat, 1e-12D)"
+    at = lambda cells: f"ceil(ln({span} / ({cells} * {CELL_DEG}D)) / ln(4))"
+    level = f"greatest(if({at(COVER_CELLS)} > 0, {at(COVER_CELLS)}, least({at(SMALL_COVER_CELLS)}, 0)), {FINEST_LEVEL})"
+    # rings of many edges have about as many cells as edges, so that a rim cell holds few of them
+    finer = f"if(size(ring) > {COVER_CELLS**2}, greatest(least({level}, {at('sqrt(size(ring))')}), {FINEST_LEVEL}), {level})"
+    edges = "transform(slice(ring, 1, size(ring) - 1), (p, i) -> struct(p.lon as x1, p.lat as y1, ring[i + 1].lon as x2, ring[i + 1].lat as y2))"
+    box = "struct(min_lon, min_lat, max_lon, max_lat) as _b"
+    shaped = boxed.selectExpr(*rest, box, f"inline(array(struct(cast({finer} as int) as _lv, {edges} as _edges)))")
+    return shaped.selectExpr("*", f"{CELL_DEG}D * pow(4D, _lv) as _size")
+
+
+def _zone_cover(shaped: DataFrame, large: bool) -> DataFrame:
+    few = F.size("_edges") <= rings.SMALL_RING
+    if not large:
+        return rings.small_cover(shaped)
+    return rings.small_cover(shaped.where(few)).unionByName(rings.large_cover(shaped.where(~few)))
 
 
 def zone_cover(zones: DataFrame) -> DataFrame:
-    """One row per (zone, grid cell of its bounding box), with the ring's edges ready for testing."""
-    size = _size(F.col("_lv"))
-    return (
-        _spans(zones)
-        .withColumn("_lv", _level_of(F.col("_span")))
-        .withColumn("_edges", geo.ring_edges(F.col("ring")))
-        .withColumn("_cx", F.explode(F.sequence(_floor(F.col("_b.min_lon") / size), _floor(F.col("_b.max_lon") / size))))
-        .withColumn("_cy", F.explode(F.sequence(_floor(F.col("_b.min_lat") / size), _floor(F.col("_b.max_lat") / size))))
-        .drop("_b", "_span", "ring")
-    )
+    """One row per (zone, grid cell that is not wholly outside): the edges in the cell and its corner's parity."""
+    return _zone_cover(_spans(zones), True)
 
 
 def spatial_join_within(points: DataFrame, zones: DataFrame) -> DataFrame:
     """(point, zone) rows with the point strictly inside the ring.
 
-    ``points`` carries ``lon``/``lat``; ``zones`` carries ``ring``. Column names must not collide.
-    A point inside two overlapping zones gives two rows.
+    ``points`` carries ``lon``/``lat``; ``zones`` carries ``ring``, closed. Column names must not collide.
+    A point inside two overlapping zones gives two rows. Inner cells settle their points without an edge test.
     """
-    levels = _levels_in(_spans(zones), F.col("_span"))
+    shaped = _spans(zones)
+    found = shaped.groupBy("_lv").agg(F.max(F.size("_edges")).alias("n")).collect()  # one row for each level
+    levels = sorted(r["_lv"] for r in found) or [0]
+    cover = _zone_cover(shaped, any(r.n > rings.SMALL_RING for r in found))
     return (
         _with_cells(points, levels)
-        .join(zone_cover(zones), CELL)
-        .where(geo.in_edges(F.col("lon"), F.col("lat"), F.col("_edges")))
-        .drop(*CELL, "_edges")
+        .join(cover, CELL)
+        .where(rings.inside_cell())
+        .drop(*CELL, "_edges", "_odd", "_size")
     )
 
 
@@ -154,8 +165,32 @@ def _lon_reach(radius: Column) -> Column:
     return F.when(top >= 89.9, F.lit(180.0)).otherwise(F.least(r_lat / _cos_lat(top), F.lit(180.0)))
 
 
-def circle_levels(centers: DataFrame, radius_m: Column) -> list[int]:
-    return _levels_in(centers, 2 * _lon_reach(radius_m.cast("double")))
+def _shaped(centers: DataFrame, radius_m: Column) -> DataFrame:
+    """Centres with what depends on them alone: radius, reach, level, cell size and the limits of the cell tests."""
+    first = centers.select(
+        *[c for c in centers.columns if c != "_r"], F.inline(F.array(F.struct(radius_m.cast("double").alias("_r"), _lon_reach(radius_m.cast("double")).alias("_r_lon"))))
+    ).where("_r is not null")
+
+    def half_chord(r: Column) -> Column:
+        angle = F.least(r / (2 * geo.MEAN_RADIUS_M), F.lit(math.pi / 2))
+        return F.sin(angle) * F.sin(angle)
+
+    level = _level_of(2 * F.col("_r_lon"))
+    more = F.struct(
+        level.alias("_lv"),
+        _size(level).alias("_size"),
+        F.cos(F.radians("_slat")).alias("_cos"),
+        half_chord(F.col("_r") * (1 + geo.SPHERE_SLACK)).alias("_near"),
+        half_chord(F.col("_r") * (1 - geo.SPHERE_SLACK)).alias("_far"),
+    )
+    return first.select("*", F.inline(F.array(more)))
+
+
+def circle_levels(centers: DataFrame, radius_m: Column) -> tuple[list[int], bool]:
+    """The levels that occur, and whether any circle crosses the antimeridian or holds a pole."""
+    around = (F.abs("_slon") + F.col("_r_lon") > 180) | (F.col("_r_lon") >= 180)
+    rows = _shaped(centers, radius_m).groupBy("_lv").agg(F.max(around).alias("around")).collect()  # one row for each level
+    return sorted(r["_lv"] for r in rows) or [0], any(r.around for r in rows)
 
 
 def _columns_of(lon: Column, reach: Column, size: Column) -> Column:
@@ -169,37 +204,44 @@ def _columns_of(lon: Column, reach: Column, size: Column) -> Column:
     return F.when(reach >= 180, part(F.lit(-180.0), F.lit(180.0))).otherwise(F.array_distinct(around))
 
 
-def circle_cover(centers: DataFrame, radius_m: Column) -> DataFrame:
+def circle_cover(centers: DataFrame, radius_m: Column, around: bool = True) -> DataFrame:
     """Grid cells touched by each centre's circle; ``_full`` marks cells wholly inside it.
 
     Cell tests use the sphere with a slack, so a cell near the rim is kept as not full and its points
-    are tested exactly. Circles may cross the antimeridian or hold a pole.
+    are tested exactly. Circles may cross the antimeridian or hold a pole; ``around=False`` if none does.
     """
-    r_lat, r_lon = F.col("_r") / 110500.0, F.col("_r_lon")
-    lat = F.col("_slat")
-    size = F.col("_size")
+    r_lat, r_lon, size = F.col("_r") / 110500.0, F.col("_r_lon"), F.col("_size")
+    lat, slon = F.col("_slat"), F.col("_slon")
     bottom, top = F.greatest(lat - r_lat, F.lit(-90.0)), F.least(lat + r_lat, F.lit(90.0))
+    straight = F.sequence(_floor((slon - r_lon) / size), _floor((slon + r_lon) / size))
     cells = (
-        centers.withColumn("_r", radius_m.cast("double"))
-        .withColumn("_r_lon", _lon_reach(F.col("_r")))
-        .withColumn("_lv", _level_of(2 * F.col("_r_lon")))
-        .withColumn("_size", _size(F.col("_lv")))
-        .withColumn("_cx", F.explode(_columns_of(F.col("_slon"), r_lon, size)))
+        _shaped(centers, radius_m)
+        .withColumn("_cx", F.explode(_columns_of(slon, r_lon, size) if around else straight))
         .withColumn("_cy", F.explode(F.sequence(_floor(bottom / size), _floor(top / size))))
     )
     x0, y0 = F.col("_cx") * size, F.col("_cy") * size
-    x1, y1 = x0 + size, y0 + size
     # the centre's longitude on the cell's side of the antimeridian
-    lon = F.col("_slon") + 360 * F.round(((x0 + x1) / 2 - F.col("_slon")) / 360)
-    near = geo.haversine_m(lon, lat, F.least(F.greatest(lon, x0), x1), F.least(F.greatest(lat, y0), y1))
+    lon = slon + 360 * F.round((x0 + size / 2 - slon) / 360) if around else slon
+    box = F.struct(x0.alias("_x0"), (x0 + size).alias("_x1"), y0.alias("_y0"), (y0 + size).alias("_y1"), lon.alias("_lon"))
+    # ``inline`` makes columns of what the tests share: copied into each of their uses, it outgrows what the JVM compiles
+    cells = cells.select("*", F.inline(F.array(box)))
+    x0, x1, y0, y1, lon = (F.col(c) for c in ("_x0", "_x1", "_y0", "_y1", "_lon"))
+
+    def half_chord(x: Column, y: Column) -> Column:
+        up, across = F.sin(F.radians(y - lat) / 2), F.sin(F.radians(x - lon) / 2)
+        return up * up + F.col("_cos") * F.cos(F.radians(y)) * across * across
+
     far_x = F.when(F.abs(lon - x0) > F.abs(lon - x1), x0).otherwise(x1)
-    far = F.greatest(geo.haversine_m(lon, lat, far_x, y0), geo.haversine_m(lon, lat, far_x, y1))
-    # near a pole the nearest point of a cell need not be at the clamped longitude
-    plain = (size <= NEAR_CELL_DEG) & (r_lon < 90)
-    return (
-        cells.where((near <= F.col("_r") * (1 + geo.SPHERE_SLACK)) | ~plain)
-        .withColumn("_full", (far <= F.col("_r") * (1 - geo.SPHERE_SLACK)) & plain)
-        .drop("_size", "_r_lon")
+    tests = F.struct(
+        half_chord(F.least(F.greatest(lon, x0), x1), F.least(F.greatest(lat, y0), y1)).alias("_h0"),
+        F.greatest(half_chord(far_x, y0), half_chord(far_x, y1)).alias("_h1"),
+        # near a pole the nearest point of a cell need not be at the clamped longitude
+        ((size <= NEAR_CELL_DEG) & (r_lon < 90)).alias("_plain"),
+    )
+    own = [*[c for c in centers.columns if c != "_r"], "_r"]
+    tested = cells.select(*own, *CELL, "_near", "_far", F.inline(F.array(tests)))
+    return tested.where((F.col("_h0") <= F.col("_near")) | ~F.col("_plain")).select(
+        *own, *CELL, ((F.col("_h1") <= F.col("_far")) & F.col("_plain")).alias("_full")
     )
 
 
@@ -233,8 +275,8 @@ def spatial_join_dwithin(
     covered cell. Both sides carry their trigonometry, so a pair costs a few products and one arc sine.
     """
     columns = [c for c in [*centers.columns, *points.columns] if c not in ("_slon", "_slat", "_sv", "_r")]
-    levels = circle_levels(centers, radius_m)
-    pairs = _located(points, levels).join(circle_cover(centers, radius_m), CELL)
+    levels, around = circle_levels(centers, radius_m)
+    pairs = _located(points, levels).join(circle_cover(centers, radius_m, around), CELL)
     return _with_distance(pairs, *columns).where(F.col("distance_m") <= F.col("_r")).drop("_r")
 
 
@@ -246,8 +288,8 @@ def coverage_counts(suppliers: DataFrame, lights: DataFrame) -> DataFrame:
     """
     centers = as_centers(suppliers, "supplier_id", "service_radius_km")
     radius = F.col("service_radius_km") * 1000
-    levels = circle_levels(centers, radius)
-    cover = circle_cover(centers, radius)
+    levels, around = circle_levels(centers, radius)
+    cover = circle_cover(centers, radius, around)
     points = _located(lights.select("light_id", "status", "lon", "lat"), levels)
     counts = points.groupBy(*CELL, "status").agg(F.count("*").alias("n"))
     inner = cover.where("_full").select("supplier_id", *CELL).join(counts, CELL).select("supplier_id", "status", "n")
@@ -266,8 +308,8 @@ def uncovered_lights(lights: DataFrame, suppliers: DataFrame) -> DataFrame:
     """
     centers = as_centers(suppliers, "supplier_id", "service_radius_km")
     radius = F.col("service_radius_km") * 1000
-    levels = circle_levels(centers, radius)
-    cover = circle_cover(centers, radius)
+    levels, around = circle_levels(centers, radius)
+    cover = circle_cover(centers, radius, around)
     spots = _located(lights.select("light_id", "lon", "lat"), levels).drop("lon", "lat")
     full = cover.where("_full").select(*CELL).distinct()
     easy = spots.join(full, CELL, "left_semi").select("light_id")
@@ -373,7 +415,7 @@ def knn_join(
     names must differ. ``metric`` orders by degrees (``planar``) or ellipsoidal metres (``geodesic``).
     Ties go to the smaller ``right_key``. Left rows without a location have no neighbours.
 
-    Left rows are grouped into blocks; blocks and right-hand cells are narrowed together by distance
+    A right side of KNN_SMALL rows at most goes to the left side's tasks. Else left rows are grouped into blocks; blocks and right-hand cells are narrowed together by distance
     bounds, all by equality on cells, so the exact distance is computed for a handful of candidates per
     left row. Two small aggregates over the right side decide the number of levels: its extent, and how
     deep cells must be split until rows share them with few others. So clusters of any density and rows far
@@ -392,6 +434,8 @@ def knn_join(
     if n == 0:
         return left.limit(0).join(points.limit(0), F.lit(False)).withColumn("nn_rank", F.lit(1))
     extent = max(size["x1"] - size["x0"], size["y1"] - size["y0"], 1e-6) * (1 + 1e-6)
+    if n <= KNN_SMALL:
+        return _knn_of_few(left, points, right_key, k, metric)
     grid = _Grid(size["x0"], size["y0"], extent, metric)
     right_level = _depth(grid, points, n)
     left_level = right_level + KNN_FINER
@@ -416,6 +460,66 @@ def knn_join(
     )
 
 
+def _nearest_few(x: list[float], y: list[float], k: int, metric: str):
+    """An Arrow function from locations to the positions of their k nearest of a few, with all that come close to the k-th."""
+
+    # the function is sent by value: executors need no copy of this package
+    flat, share = 1 - geo.FLATTENING, geo.SPHERE_SLACK
+
+    def run(lon: pa.Array, lat: pa.Array) -> pa.Array:
+        import numpy as np
+
+        def placed(a, b):
+            if metric == "planar":
+                return np.stack([a, b], axis=1)
+            beta, lam = np.arctan(flat * np.tan(np.radians(b))), np.radians(a)
+            return np.stack([np.cos(beta) * np.cos(lam), np.cos(beta) * np.sin(lam), np.sin(beta)], axis=1)
+
+        right = placed(np.array(x), np.array(y))
+        own = placed(*(c.to_numpy(zero_copy_only=False).astype(float) for c in (lon, lat)))
+        # the sphere's chord differs from the ellipsoid's distance by a share of SPHERE_SLACK, squared here
+        slack = 1e-9 if metric == "planar" else 5 * share
+        rows, columns, at = [], [], 0
+        while at < len(own):
+            part = own[at : at + max(1, (1 << 20) // len(right))]
+            d = sum((part[:, i, None] - right[None, :, i]) ** 2 for i in range(right.shape[1]))
+            limit = np.partition(d, min(k, len(right)) - 1, axis=1)[:, min(k, len(right)) - 1]
+            r, c = np.nonzero(d <= limit[:, None] * (1 + slack) + 1e-18)
+            rows.append(r + at)
+            columns.append(c)
+            at += len(part)
+        counts = np.bincount(np.concatenate(rows) if rows else np.zeros(0, int), minlength=len(own))
+        offsets = np.concatenate([[0], np.cumsum(counts)])
+        values = np.concatenate(columns) if columns else np.zeros(0, int)
+        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, pa.int32()))
+
+    return F.arrow_udf(run, "array<int>")
+
+
+def _knn_of_few(left: DataFrame, points: DataFrame, right_key: str, k: int, metric: str) -> DataFrame:
+    """``knn_join`` with KNN_SMALL right rows at most: no row of the left side is shuffled.
+
+    Vectorised distances choose candidates with room for rounding; the exact measure decides between them in the row.
+    """
+    places = points.select(right_key, "r_lon", "r_lat").orderBy(right_key, "r_lon", "r_lat")
+    rows = places.collect()
+    choose = _nearest_few([r.r_lon for r in rows], [r.r_lat for r in rows], k, metric)
+    grid = _Grid(0.0, 0.0, 1.0, metric)
+    spot = F.struct(F.col(right_key).alias("key"), F.col("r_lon").alias("lon"), F.col("r_lat").alias("lat"))
+    few = points.agg(F.transform(F.array_sort(F.collect_list(spot)), lambda p: F.struct(p["key"].alias("key"), grid.point(p["lon"], p["lat"]).alias("q"))))
+    located = left.where(F.col("lon").isNotNull() & F.col("lat").isNotNull())
+    near = located.select("*", choose("lon", "lat").alias("_near"), grid.point(F.col("lon"), F.col("lat")).alias("_p"), few.scalar().alias("_few"))
+    measured = F.transform(
+        F.transform("_near", lambda i: F.get("_few", i)), lambda s: F.struct(grid.exact(F.col("_p"), s["q"]).alias("d"), s["key"].alias("key"))
+    )
+    best = F.slice(F.array_sort(measured), 1, k)
+    ranked = near.select(*left.columns, F.posexplode(best).alias("_at", "_best")).select(
+        *left.columns, (F.col("_at") + 1).alias("nn_rank"), F.col("_best.key").alias(right_key)
+    )
+    joined = ranked.join(F.broadcast(points), right_key)
+    return joined.select(*left.columns, *points.columns, "nn_rank")
+
+
 def _depth(grid: _Grid, points: DataFrame, n: int) -> int:
     """The level at which a row shares its cell with KNN_ROWS_PER_LEAF rows on average.
 

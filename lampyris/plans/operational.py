@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geo, rules
 from ..operators import enrich, spatial
+from ..session import stored
 from ..sources.fixtures import DOMAIN_TABLES, Tables
 
 # Search patterns of the two text searches, the reference location of the radius search
@@ -405,7 +406,8 @@ def zone_nearest_supplier(t: Tables) -> DataFrame:
         "supplier_id",
         metric="geodesic",
     ).withColumn("_r", geo.lambert_m(F.col("lon"), F.col("lat"), F.col("r_lon"), F.col("r_lat")) + 11)
-    around = spatial.as_centers(nearest, "zone_id", "neighborhood", "_r")
+    # one row for each zone, which the radius join reads several times
+    around = stored(spatial.as_centers(nearest, "zone_id", "neighborhood", "_r"), "nearest")
     ties = spatial.spatial_join_dwithin(
         around,
         t.suppliers.select(F.col("name").alias("nearest_supplier"), "specialization", "lon", "lat"),

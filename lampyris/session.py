@@ -9,7 +9,7 @@ import tempfile
 import uuid
 from functools import cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "lampyris", cores: str | int = "*", **extra: str) -> SparkSession:
@@ -63,6 +63,13 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return os.path.join(root.rstrip("/"), f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back: what follows reads it any number of times."""
+    path = shared_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 @cache
 def _own_folder() -> str:
     folder = tempfile.mkdtemp(prefix="lampyris-")

@@ -80,8 +80,9 @@ def _scatter(n, seed, hot=0.33):
 
 @pytest.mark.parametrize("metric", ["planar", "geodesic"])
 @pytest.mark.parametrize("k", [1, 3])
-@pytest.mark.parametrize("n_right", [2, 40, 3000])
-def test_knn_equals_brute_force(spark, metric, k, n_right):
+@pytest.mark.parametrize("n_right, few", [(2, 0), (2, 4096), (40, 0), (3000, 0), (3000, 4096)])
+def test_knn_equals_brute_force(spark, monkeypatch, metric, k, n_right, few):
+    monkeypatch.setattr(spatial, "KNN_SMALL", few)
     left = _scatter(60, 1) + [(1000, 80.0, 20.0), (1001, 77.61, 12.95)]
     right = _scatter(n_right, 2)
     right.append((n_right, right[0][1], right[0][2]))  # identical location: the smaller key wins
@@ -140,7 +141,7 @@ def test_shapes_of_very_different_size(spark):
     points = _scatter(150, 8) + [(500, 60.0, 0.0), (501, -170.0, 60.0), (502, 79.5, 14.9)]
     suppliers = [(0, 77.6, 12.9, 1), (1, 77.55, 12.95, 40), (2, 77.6, 13.0, 300), (3, 75.0, 10.0, 2500), (4, 77.61, 12.95, 2)]
     centers = spatial.as_centers(_suppliers(spark, suppliers), "supplier_id", "service_radius_km")
-    assert len(spatial.circle_levels(centers, F.col("service_radius_km") * 1000)) > 2
+    assert len(spatial.circle_levels(centers, F.col("service_radius_km") * 1000)[0]) > 2
     got = spatial.spatial_join_dwithin(centers, _points(spark, points), F.col("service_radius_km") * 1000)
     want = {(s[0], p[0]) for s in suppliers for p in points if _lambert(s[1], s[2], p[1], p[2]) <= s[3] * 1000}
     assert {(r.supplier_id, r.light_id) for r in got.collect()} == want
@@ -161,7 +162,9 @@ def test_near_point_is_exact(spark):
     assert got == {p[0] for p in points if _lambert(77.61, 12.95, p[1], p[2]) <= 3000}
 
 
-def test_plans_have_no_nested_loops(spark):
+@pytest.mark.parametrize("few", [0, 4096])
+def test_plans_have_no_nested_loops(spark, monkeypatch, few):
+    monkeypatch.setattr(spatial, "KNN_SMALL", few)
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
@@ -201,8 +204,9 @@ def _pairs_formed(df):
     return max(found)
 
 
-def test_a_cluster_with_one_outlier_forms_few_pairs(spark):
+def test_a_cluster_with_one_outlier_forms_few_pairs(spark, monkeypatch):
     """One far row must not put all others into one cell."""
+    monkeypatch.setattr(spatial, "KNN_SMALL", 0)
     rnd = random.Random(3)
     left = [(i, 77.6 + rnd.random() / 100, 12.9 + rnd.random() / 100) for i in range(2000)]
     right = [(i, 77.6 + rnd.random() / 100, 12.9 + rnd.random() / 100) for i in range(2000)] + [(9999, -120.0, -45.0)]

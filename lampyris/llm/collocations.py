@@ -30,9 +30,9 @@ from . import words
 from .storage import partitions, stored
 from .units import same_bytes
 
-SHARD = 8 << 20  # bytes of text of one language in a shard
+SHARD = 6 << 20  # bytes of text of one language in a shard
 HELD = 3  # shards' worth of text that a task holds while it fills them
-ENTRIES = 1 << 20  # n-grams of all shards that meet in one bucket, about
+ENTRIES = 1 << 19  # n-grams of all shards that meet in one bucket, about
 _WORD, _SPACE, _BREAK = 0, 1, 2
 
 

@@ -13,9 +13,9 @@ but near their ends: after three rounds a phrase depends on at most ``CONTEXT``
 
 Exact copies (equal word sequences) leave first: but for the smallest id all of a copy's words go, if they make a window.
 
-Defined results: null or blank texts have no words; texts under ``window`` words lose none. Rows that repeat a doc_id
-count once (with different texts: the one whose words have the smallest digest). Rows without a doc_id are left out.
-Other columns are ignored. An empty table gives an empty result.
+Defined results: null or blank texts have no words; texts under ``window`` words lose none. Rows that repeat a doc_id and
+a text count once; differing texts of one doc_id are judged each on its own and never against each other. Rows without
+a doc_id are left out. Other columns are ignored. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -25,8 +25,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -75,6 +76,14 @@ _SIGNATURES = pa.schema(
 )
 
 
+def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows with a text, and the digest of its words as their last column."""
+    for batch in words.slices(batches, "_text"):
+        h, first = _parsed(batch.column("_text"))
+        keys = pa.array([content(h[a:b]) for a, b in zip(first[:-1], first[1:])], pa.binary())
+        yield pa.RecordBatch.from_arrays([*batch.columns, keys], [*batch.schema.names, "_key"])
+
+
 def _signatures():
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in words.slices(batches, "text"):
@@ -145,23 +154,32 @@ def _by_content(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([cid], pa.int64()), pa.array([tokens.tobytes()], pa.binary())], ["cid", "shared"])
 
 
-_WINDOWS = "bucket int, ids binary, counts binary, names binary, checks binary, places binary"
+_WINDOWS = "bucket int, ids binary, counts binary, names binary, checks binary, places binary, variant int"
 
 
-def _window_rows(bucket, ids, names, checks, places, cuts):
+def _window_rows(bucket, ids, names, checks, places, cuts, variant):
     """Packed rows of candidates that are in order of bucket and id."""
     rows = []
     for a, b in zip(cuts, np.append(cuts[1:], len(ids))):
         fresh = np.flatnonzero(np.concatenate([[True], ids[a + 1 : b] != ids[a : b - 1]]))
         n = np.diff(np.append(fresh, b - a)).astype(np.uint32)
-        rows.append((int(bucket[a]), ids[a:b][fresh].tobytes(), n.tobytes(), names[a:b].tobytes(), checks[a:b].tobytes(), places[a:b].tobytes()))
-    columns = list(zip(*rows)) if rows else [()] * 6
+        rows.append((int(bucket[a]), ids[a:b][fresh].tobytes(), n.tobytes(), names[a:b].tobytes(), checks[a:b].tobytes(), places[a:b].tobytes(), variant))
+    columns = list(zip(*rows)) if rows else [()] * 7
     return pa.RecordBatch.from_arrays(
-        [pa.array(c, t) for c, t in zip(columns, [pa.int32()] + [pa.binary()] * 5)],
-        ["bucket", "ids", "counts", "names", "checks", "places"],
+        [pa.array(c, t) for c, t in zip(columns, [pa.int32()] + [pa.binary()] * 5 + [pa.int32()])],
+        ["bucket", "ids", "counts", "names", "checks", "places", "variant"],
     )
 
 
+def _of_one_variant(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        there = pc.unique(batch.column("variant"))
+        if len(there) < 2:
+            yield batch
+        else:
+            yield from (batch.filter(pc.equal(batch.column("variant"), v)) for v in there)
+
+
 def _later(ids, names, checks):
     """Order by window and id, and which rows in it have a smaller id with the same window."""
     order = np.lexsort((ids, checks, names))
@@ -178,7 +196,7 @@ def _candidates(heavy: np.ndarray, buckets: int, window: int):
     often = np.unique(exchange.cut(heavy, buckets, exchange.NARROW))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in words.slices(batches, "text"):
+        for batch in words.slices(_of_one_variant(batches), "text"):
             h, first = _parsed(batch.column("text"))
             name, length, at = phrases(h, first)
             name = exchange.cut(name, buckets, exchange.NARROW)
@@ -207,55 +225,73 @@ def _candidates(heavy: np.ndarray, buckets: int, window: int):
             bucket = np.sort(bucket)
             ids, names, checks, places = ids[order], names[order], checks[order], places[order]
             cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
-            yield _window_rows(bucket, ids, names, checks, places, cuts)
+            yield _window_rows(bucket, ids, names, checks, places, cuts, batch.column("variant")[0].as_py())
 
     return run
 
 
+_PLACES = "g int, ids binary, counts binary, vals binary, variant int"
+
+
 def _repeated(groups: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list] = {}
         found = []
         for batch in batches:
-            for bucket, *rest in zip(*(batch.column(i).to_pylist() for i in range(6))):
+            for bucket, *rest, variant in zip(*(batch.column(i).to_pylist() for i in range(7))):
                 ids = np.repeat(np.frombuffer(rest[0], np.int64), np.frombuffer(rest[1], np.uint32))
-                row = (ids, *(np.frombuffer(x, t) for x, t in zip(rest[2:], (np.uint64, np.uint32, np.uint32))))
+                names, checks, places = (np.frombuffer(x, t) for x, t in zip(rest[2:], (np.uint64, np.uint32, np.uint32)))
+                row = (ids, names, checks, places, np.full(len(ids), variant, np.int32))
                 if bucket < 0:
-                    found.append((ids, row[3]))
+                    found.append((ids, places, row[4]))
                 else:
                     held.setdefault(bucket, []).append(row)
         while held:
-            ids, names, checks, places = (np.concatenate(x) for x in zip(*held.popitem()[1]))
+            ids, names, checks, places, variants = (np.concatenate(x) for x in zip(*held.popitem()[1]))
             order, later = _later(ids, names, checks)
             order = order[later]
-            found.append((ids[order], places[order]))
+            found.append((ids[order], places[order], variants[order]))
         if found:
-            yield exchange.to_groups(*(np.concatenate(x) for x in zip(*found)), groups)
+            ids, places, variants = (np.concatenate(x) for x in zip(*found))
+            for v in np.unique(variants).tolist():
+                rows = exchange.to_groups(ids[variants == v], places[variants == v], groups)
+                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array([v] * rows.num_rows, pa.int32())], [*rows.schema.names, "variant"])
 
     return run
 
 
 def _spans(window: int):
-    """Covered words of each document as (start, end) pairs, in order and apart."""
+    """Covered words of each text as (start, end) pairs, in order and apart."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for doc, places in exchange.from_groups(batches, np.uint32):
-            places = places.astype(np.int64)
-            fresh = np.flatnonzero(np.concatenate([[True], places[1:] > places[:-1] + window]))
-            ends = places[np.append(fresh[1:] - 1, len(places) - 1)] + window
-            spans = [{"start": int(a), "end": int(b)} for a, b in zip(places[fresh], ends)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([doc], pa.int64()), pa.array([spans], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))],
-                ["doc_id", "spans"],
-            )
+        by: dict[int, list[pa.RecordBatch]] = {}
+        for batch in _of_one_variant(batches):
+            if batch.num_rows:
+                by.setdefault(batch.column("variant")[0].as_py(), []).append(batch)
+        for variant, own in by.items():
+            for doc, places in exchange.from_groups(iter(own), np.uint32):
+                places = places.astype(np.int64)
+                fresh = np.flatnonzero(np.concatenate([[True], places[1:] > places[:-1] + window]))
+                ends = places[np.append(fresh[1:] - 1, len(places) - 1)] + window
+                spans = [{"start": int(a), "end": int(b)} for a, b in zip(places[fresh], ends)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([doc], pa.int64()), pa.array([variant], pa.int32()), pa.array([spans], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))],
+                    ["doc_id", "variant", "spans"],
+                )
 
     return run
 
 
+def _with_keys(docs: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
+    """The rows of ``docs`` (with ``_text``) whose id is in the one column of ``ids``, and their ``_key``."""
+    rows = docs.join(ids.toDF("_odd"), F.col(id_col).cast("long") == F.col("_odd"), "left_semi")
+    return rows.mapInArrow(_keyed, T.StructType([*rows.schema.fields, T.StructField("_key", T.BinaryType())]))
+
+
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 50) -> DataFrame:
-    """(doc_id, n_words, spans) of each document: word ranges [start, end) to remove; empty if none.
+    """(doc_id, key, n_words, spans) of each text: word ranges [start, end) to remove; empty if none.
 
-    ``window`` must be more than twice the words that a phrase may depend on (38 at least).
+    ``key`` is null but for ids that have several texts: there it is the digest of the text's words. ``window`` must be more than twice the words that a phrase may depend on (38 at least).
     """
     if window < 2 * (LIMITS[-1] - 1 + CONTEXT) + 2:
         raise ValueError("window too short for the phrases")
@@ -268,23 +304,41 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         signatures.where("token is not null").select("token", F.col("docs").alias("n")),
         signatures.where("doc_id is not null").count(),
     )
-    sig = signatures.where("doc_id is not null").groupBy("doc_id").agg(F.min(F.struct("key", "n", "cid")).alias("s")).select("doc_id", "s.*")
-    firsts = sig.where(F.col("n") >= window).groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.min("cid").alias("cid"))
+    sig = signatures.where("doc_id is not null").groupBy("doc_id", "key").agg(F.first("n").alias("n"), F.first("cid").alias("cid"))
+    # ids with several texts, each of which is judged: their texts are told apart by number
+    odd = stored(sig.groupBy("doc_id").count().where("count > 1").select("doc_id"), "odd")
+    some_odd = odd.limit(1).count() > 0
+    one = sig.withColumn("variant", F.lit(0))
+    if some_odd:
+        number = F.row_number().over(Window.partitionBy("doc_id").orderBy("key"))
+        one = one.join(odd, "doc_id", "left_anti").union(sig.join(odd, "doc_id", "left_semi").withColumn("variant", number))
+    sig = stored(one, "texts") if some_odd else one
+    smallest = F.min(F.struct("doc_id", "variant")).alias("s")
+    firsts = sig.where(F.col("n") >= window).groupBy("key").agg(smallest, F.min("cid").alias("cid")).select("key", "s.*", "cid")
 
     postings = exchange.deal(docs.mapInArrow(_packed(heavy, buckets, window), exchange.POSTINGS), parts)
     shared = postings.mapInArrow(_shared(buckets, 4 * parts), exchange.GROUPS).repartition(parts, "g").mapInArrow(_by_content, "cid long, shared binary")
-    known = firsts.join(shared, "cid", "left").select("doc_id", "key", "shared")
-    names = docs.join(known, "doc_id").mapInArrow(_candidates(heavy, buckets, window), _WINDOWS)
+    known = firsts.join(shared, "cid", "left").select("doc_id", "key", "shared", "variant")
+    if some_odd:
+        known = stored(known, "known")
+        parsed = _with_keys(docs.withColumn("_text", F.col("text")), odd, "doc_id").select("doc_id", "text", F.col("_key").alias("key"))
+        rows = docs.join(known.where("variant = 0"), "doc_id").union(
+            parsed.join(known.where("variant > 0"), ["doc_id", "key"]).select("doc_id", "text", "key", "shared", "variant")
+        )
+    else:
+        rows = docs.join(known, "doc_id")
+    names = rows.mapInArrow(_candidates(heavy, buckets, window), _WINDOWS)
     key = F.when(F.col("bucket") >= 0, F.col("bucket").cast("long")).otherwise(F.xxhash64("ids"))
-    found = names.repartition(parts, key).mapInArrow(_repeated(4 * parts), exchange.GROUPS)
-    spans = found.repartition(parts, "g").mapInArrow(_spans(window), "doc_id long, spans array<struct<start: long, end: long>>")
+    found = names.repartition(parts, key).mapInArrow(_repeated(4 * parts), _PLACES)
+    spans = found.repartition(parts, "g").mapInArrow(_spans(window), "doc_id long, variant int, spans array<struct<start: long, end: long>>")
 
     whole = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n").alias("end")))
     # heads of classes with copies, stored: a plain join, whose hot keys can be split
     first_of = stored(sig.where(F.col("n") >= window).groupBy("key").agg(F.min("doc_id").alias("head"), F.count("*").alias("c")).where("c > 1").drop("c"), "heads")
-    copies = sig.join(first_of, "key", "left").join(spans, "doc_id", "left")
+    copies = sig.join(first_of, "key", "left").join(spans, ["doc_id", "variant"], "left")
     return copies.select(
         "doc_id",
+        F.when(F.col("variant") > 0, F.col("key")).alias("key"),
         F.col("n").alias("n_words"),
         F.when(F.col("head") < F.col("doc_id"), whole)
         .otherwise(F.coalesce("spans", F.array().cast("array<struct<start: long, end: long>>")))
@@ -322,14 +376,22 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def apply_spans(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """All columns of ``docs`` and _n_words, _n_removed, _kept_sha256, _kept (the kept words joined by one space).
 
-    ``spans`` has (doc_id, spans) rows; they are broadcast if they are few.
+    ``spans`` has (doc_id, key, spans) rows, stored; they are broadcast if they are few.
     """
-    some = spans.where("size(spans) > 0").select(F.col("doc_id").alias("_id"), F.col("spans").alias("_spans"))
-    if (some.agg(F.sum(F.size("_spans"))).head()[0] or 0) <= SMALL_SPANS:
-        some = F.broadcast(some)
-    rows = docs.withColumn("_text", F.col(text_col).cast("string")).join(some, F.col(id_col).cast("long") == F.col("_id"), "left").drop("_id")
+    some = spans.where("size(spans) > 0").select(F.col("doc_id").alias("_id"), F.col("key").alias("_own"), F.col("spans").alias("_spans"))
+    few = (some.agg(F.sum(F.size("_spans"))).head()[0] or 0) <= SMALL_SPANS
+    sent = lambda df: F.broadcast(df) if few else df
+    given, docs = docs.schema.fields, docs.withColumn("_text", F.col(text_col).cast("string"))
+    same_id = F.col(id_col).cast("long") == F.col("_id")
+    rows = docs.join(sent(some.where("_own is null").drop("_own")), same_id, "left").drop("_id")
+    odd = spans.where("key is not null").select(F.col("doc_id").alias("_odd")).distinct()
+    if odd.limit(1).count():
+        plain = docs.join(odd, F.col(id_col).cast("long") == F.col("_odd"), "left_anti")
+        several = _with_keys(docs, odd, id_col).join(sent(some.where("_own is not null")), same_id & (F.col("_key") == F.col("_own")), "left")
+        plain = plain.join(sent(some.where("_own is null").drop("_own")), same_id, "left").drop("_id")
+        rows = plain.union(several.drop("_id", "_own", "_key"))
     more = T.StructType().add("_n_words", "long").add("_n_removed", "long").add("_kept_sha256", "string").add("_kept", "string")
-    schema = T.StructType(docs.schema.fields + more.fields)
+    schema = T.StructType(given + more.fields)
     return rows.mapInArrow(_kept, schema)
 
 

@@ -75,3 +75,23 @@ def test_long_words_of_one_pattern(spark):
     rows += [(7, rows[-1][1])]
     found = {r.doc_id: (r.n_words, r.kept_sha256) for r in substrings.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert found == {i: (len(w), brute.sha(b" ".join(kept))) for i, (w, kept) in brute.repeats(rows).items()}
+
+
+def test_differing_texts_of_one_id(spark):
+    rnd = random.Random(6)
+    passage = [" ".join(f"{c}{rnd.randrange(40)}" for _ in range(60)) for c in "abc"]
+    other = lambda n: " ".join(f"x{rnd.randrange(10**6)}" for _ in range(n))
+    rows = [(1, passage[0]), (5, other(40)), (5, f"{other(20)} {passage[0]} {other(20)}"), (5, f"{passage[1]} {other(3)}"), (5, passage[1]), (5, None)]
+    rows += [(7, f"{passage[1]} {other(5)}"), (7, f"{other(5)} {passage[2]}"), (3, passage[2]), (7, rows[2][1]), (9, passage[0]), (9, passage[0]), (5, rows[1][1])]
+    docs = spark.createDataFrame([(t, i, "x", b"y") for i, t in rows], "text string, doc_id long, key string, variant binary").repartition(3)
+    found = sorted((r.doc_id, r.n_words, r.kept_sha256) for r in substrings.without_repeats(docs).collect())
+    want = []
+    for i, text in rows:
+        w = brute.words(text)
+        earlier = {tuple(v[j : j + 50]) for k, t in rows if k < i for v in [brute.words(t)] for j in range(len(v) - 49)}
+        covered = [False] * len(w)
+        for j in range(len(w) - 49):
+            if tuple(w[j : j + 50]) in earlier:
+                covered[j : j + 50] = [True] * 50
+        want.append((i, len(w), brute.sha(b" ".join(x for x, c in zip(w, covered) if not c))))
+    assert found == sorted(want)

@@ -1,9 +1,13 @@
 """WARC archives of pages: written as records, read back, and assembled into one row per capture.
 
-A capture has three records: the response (or a revisit, if a later page has the same payload), the request and
-metadata, both of which name the first one in WARC-Concurrent-To. Archives are gzipped files in the shared folder,
-written by Spark's text sink with the two line ends that close a record as its separator; reading goes by
-Content-Length, so payloads may hold anything.
+A capture that is written has three records: the response (or a revisit, if a later page has the same payload), the
+request and metadata, both of which name the first one in WARC-Concurrent-To. Archives are gzipped files in the shared
+folder, written by Spark's text sink with the two line ends that close a record as its separator; files are bounded by
+bytes, as each is read whole. Reading goes by Content-Length, so payloads may hold anything.
+
+Archives of others may name any record of a capture from any other, several times: records meet in the connected parts
+of these links, and a capture has arrays of its requests and metadata. Digests may be in hexadecimal or base 32. What
+can't be read is reported in ``problem`` and stops nothing but its own record, or the rest of its file.
 
 Of records with equal payloads of at least ``least_bytes`` the one with the largest page_id is the response and the
 others refer to it; smaller payloads are all responses.
@@ -23,11 +27,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .graph import components
 from .storage import broadcast_up_to, shared_folder, stored
 
 END = "\r\n"
 SMALL_ROWS = 50_000  # up to here the table of revisits (100 bytes a row) is broadcast
-ROWS_PER_FILE = 20_000
+FILE_BYTES = 128 << 20  # of payload in an archive, or one page
+SIZES = [1 << 16, 1 << 20, 1 << 24, FILE_BYTES]  # pages up to these sizes are written to files of their own
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -93,9 +99,14 @@ def write_archives(
         F.when(F.col("r_digest").isNull(), response).otherwise(revisit), F.lit(END + END),
         beside("metadata", "application/warc-fields", fields),
     )
-    rows.select(three.alias("value")).write.option("lineSep", END + END).option("compression", "gzip").option(
-        "maxRecordsPerFile", ROWS_PER_FILE
-    ).text(folder)
+    size = F.lit(len(SIZES))
+    for i in reversed(range(len(SIZES))):
+        size = F.when(bytes_ <= SIZES[i], i).otherwise(size)
+    there = [r.size for r in pages.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("payload")).select(size.alias("size")).distinct().collect()]
+    for i in sorted(there) or [0]:
+        most = max(1, FILE_BYTES // SIZES[i]) if i < len(SIZES) else 1
+        own = rows if len(there) < 2 else rows.where(size == i)
+        own.select(three.alias("value")).write.mode("append").option("lineSep", END + END).option("compression", "gzip").option("maxRecordsPerFile", most).text(folder)
 
 
 class _Stream:
@@ -135,63 +146,86 @@ class _Stream:
         return out
 
 
-def records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(headers with names in lower case, block) of each record of an archive."""
+def records(data: bytes) -> Iterator[tuple[dict[str, list[str]], bytes]]:
+    """(values of each header by its name in lower case, block) of each record of an archive."""
     stream = _Stream(memoryview(data))
     while (head := stream.until(b"\r\n\r\n")) is not None:
         lines = head.decode().strip().split("\r\n")
         if not lines[0].startswith("WARC/"):
             raise ValueError("no record where one should start")
-        headers = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines[1:])}
-        block = stream.take(int(headers["content-length"]))
+        headers: dict[str, list[str]] = {}
+        for name, _, value in (x.partition(":") for x in lines[1:]):
+            headers.setdefault(name.strip().lower(), []).append(value.strip())
+        if "content-length" not in headers:
+            raise ValueError("a record without its length")
+        block = stream.take(int(headers["content-length"][0]))
         if stream.take(4) != b"\r\n\r\n":
             raise ValueError("a record does not end where its length says")
         yield headers, block
 
 
 RECORDS = (
-    "kind string, record_id string, concurrent_to string, refers_to string, target string, date string, digest string, "
-    "payload_bytes long, payload binary, block string"
+    "kind string, record_id string, concurrent_to array<string>, refers_to string, target string, date string, digest string, "
+    "payload_bytes long, payload binary, block string, problem string"
 )
 
 
 def _parsed(with_payload: bool):
+    import base64
     import hashlib
 
     names = [x.split()[0] for x in RECORDS.split(", ")]
-    types = [pa.int64() if n == "payload_bytes" else pa.binary() if n == "payload" else pa.string() for n in names]
+    special = {"payload_bytes": pa.int64(), "payload": pa.binary(), "concurrent_to": pa.list_(pa.string())}
+    types = [special.get(n, pa.string()) for n in names]
 
     def batch(rows):
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def hexadecimal(digest: str | None) -> str | None:
+        """A SHA-1 in hexadecimal; other digests as they are."""
+        kind, _, value = (digest or "").rpartition(":")
+        if kind.lower() not in ("sha1", "sha-1"):
+            return digest
+        try:
+            return base64.b32decode(value.upper()).hex() if len(value) == 32 else value.lower()
+        except ValueError:
+            return digest
+
+    def row(head: dict[str, list[str]], block: bytes) -> tuple:
+        one = lambda name: head.get(name, [None])[0]
         bare = lambda x: x and x.strip("<>")
+        kind, payload, size, text, problem = one("warc-type"), None, None, None, None
+        digest = hexadecimal(one("warc-payload-digest"))
+        if kind in ("response", "revisit", "resource"):
+            http, _, payload = block.partition(b"\r\n\r\n") if kind != "resource" else (b"", b"", block)
+            if kind == "revisit":
+                said = [x[15:] for x in http.split(b"\r\n") if x.lower().startswith(b"content-length:")]
+                size, payload = int(said[0]) if said and said[0].strip().isdigit() else None, None
+            else:
+                size, own = len(payload), hashlib.sha1(payload).hexdigest()
+                if digest is None:
+                    digest = own
+                elif ":" not in digest and digest != own:
+                    problem = "payload and digest differ"
+        else:
+            text = block.decode(errors="replace")
+        to = [bare(x) for x in head.get("warc-concurrent-to", [])]
+        keep = payload if with_payload else None
+        return kind, bare(one("warc-record-id")), to, bare(one("warc-refers-to")), bare(one("warc-target-uri")), one("warc-date"), digest, size, keep, text, problem
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches:
             for data in part.column("content"):
                 rows, held = [], 0
-                for head, block in records(data.as_buffer()):
-                    kind, payload, digest, size, text = head["warc-type"], None, None, None, None
-                    if kind in ("response", "revisit"):
-                        http, _, payload = block.partition(b"\r\n\r\n")
-                        digest = head["warc-payload-digest"].removeprefix("sha1:")
-                        if kind == "response":
-                            size = len(payload)
-                            if hashlib.sha1(payload).hexdigest() != digest:
-                                raise ValueError(f"{head['warc-record-id']}: payload and digest differ")
-                        else:
-                            size = next(int(x[15:]) for x in http.split(b"\r\n") if x.lower().startswith(b"content-length:"))
-                            payload = None
-                    else:
-                        text = block.decode()
-                    keep = payload if with_payload else None
-                    rows.append(
-                        (kind, bare(head["warc-record-id"]), bare(head.get("warc-concurrent-to")), bare(head.get("warc-refers-to")),
-                         head.get("warc-target-uri"), head["warc-date"], digest, size, keep, text)
-                    )
-                    held += len(block)
-                    if held > 1 << 22:
-                        yield batch(rows)
-                        rows, held = [], 0
+                try:
+                    for head, block in records(data.as_buffer()):
+                        rows.append(row(head, block))
+                        held += len(block)
+                        if held > 1 << 22:
+                            yield batch(rows)
+                            rows, held = [], 0
+                except (ValueError, zlib.error) as error:
+                    rows.append((*[None] * (len(names) - 1), str(error)))
                 if rows:
                     yield batch(rows)
 
@@ -199,37 +233,62 @@ def _parsed(with_payload: bool):
 
 
 def read_archives(spark, folder: str, with_payload: bool = True) -> DataFrame:
-    """All records of the archives below ``folder``; payloads are checked against their digests on the way."""
+    """All records of the archives below ``folder``; payloads are checked against their digests on the way.
+
+    ``problem`` says what is wrong with a record; where a file can't be read on, a row of nulls has it alone.
+    """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(folder).select("content")
     return files.mapInArrow(_parsed(with_payload), RECORDS)
 
 
+_MAIN = ("response", "revisit", "resource")
+
+
+def capture_ids(found: DataFrame) -> DataFrame | None:
+    """(record_id, capture_id) of records that more than their own first link ties to a capture; None if there is none.
+
+    The usual record names its response and that is all; then the name is the capture. Else records are joined over all links.
+    """
+    main = F.col("kind").isin(*_MAIN)
+    several = found.where((main & (F.size("concurrent_to") > 0)) | (F.size("concurrent_to") > 1)).limit(1).count() > 0
+    named = found.where(~main & (F.size("concurrent_to") > 0)).select(F.col("concurrent_to")[0].alias("record_id")).distinct()
+    if not several and named.join(found.where(main), "record_id", "left_anti").limit(1).count() == 0:
+        return None
+    number = found.where("record_id is not null").select("record_id").distinct()
+    links = found.select("record_id", F.explode("concurrent_to").alias("other")).where("record_id is not null")
+    # a response's id stands for its capture, the smallest if there are several
+    parts = components(links.select(F.col("record_id").alias("u"), F.col("other").alias("v")))
+    heads = found.where(main).select(F.col("record_id").alias("node")).join(parts, "node").groupBy("component").agg(F.min("node").alias("head"))
+    placed = parts.join(heads, "component", "left").select(F.col("node").alias("record_id"), F.coalesce("head", "component").alias("capture_id"))
+    return placed.join(number, "record_id", "left_semi")
+
+
 def captures(found: DataFrame) -> DataFrame:
-    """(capture_id, page_id, target, date, request, response, metadata), one nested row per capture.
+    """(capture_id, page_id, target, date, requests, response, metadata), one nested row per capture.
 
-    Records meet under the id of the response or revisit that they are concurrent to.
+    ``found`` is stored, or cheap to read twice. Records meet over their concurrent-to links, whichever end names the
+    other. Requests and metadata are in order of their record ids; equal records count once.
     """
-    one = lambda kinds, c: F.first(F.when(F.col("kind").isin(*kinds), F.col(c)), ignorenulls=True)
-    main = ("response", "revisit")
-    by = found.groupBy(F.coalesce("concurrent_to", "record_id").alias("capture_id")).agg(
-        one(main, "target").alias("target"),
-        one(main, "date").alias("date"),
-        one(main, "kind").alias("kind"),
-        one(main, "refers_to").alias("refers_to"),
-        one(main, "digest").alias("digest"),
-        one(main, "payload_bytes").alias("payload_bytes"),
-        one(main, "payload").alias("payload"),
-        one(("request",), "block").alias("request"),
-        one(("metadata",), "block").alias("fields"),
+    found = found.where("kind is not null")
+    ids = capture_ids(found)
+    if ids is None:
+        placed = found.withColumn("capture_id", F.coalesce(F.get("concurrent_to", F.lit(0)), "record_id"))
+    else:
+        placed = found.join(ids, "record_id", "left").withColumn("capture_id", F.coalesce("capture_id", "record_id"))
+    main = F.col("kind").isin(*_MAIN)
+    first = F.min(F.when(main, F.struct("record_id", "target", "date", "kind", "refers_to", "digest", "payload_bytes", "payload", "problem"))).alias("m")
+    blocks = lambda kind: F.transform(
+        F.array_sort(F.collect_set(F.when(F.col("kind") == kind, F.struct("record_id", "block")))), lambda r: r["block"]
     )
+    by = placed.groupBy("capture_id").agg(first, blocks("request").alias("requests"), blocks("metadata").alias("metadata"))
     return by.select(
         "capture_id",
-        F.expr(r"cast(nullif(regexp_extract(fields, '(?m)^page-id: (-?[0-9]+)', 1), '') as long)").alias("page_id"),
-        "target",
-        "date",
-        "request",
-        F.struct("kind", "refers_to", "digest", "payload_bytes", "payload").alias("response"),
-        F.col("fields").alias("metadata"),
+        F.expr(r"cast(nullif(regexp_extract(array_join(metadata, '\n'), '(?m)^page-id: (-?[0-9]+)', 1), '') as long)").alias("page_id"),
+        "m.target",
+        "m.date",
+        "requests",
+        F.when(F.col("m").isNotNull(), F.struct("m.kind", "m.refers_to", "m.digest", "m.payload_bytes", "m.payload", "m.problem")).alias("response"),
+        "metadata",
     )
 
 
@@ -241,8 +300,8 @@ def round_trip(pages: DataFrame, with_payload: bool = True, **columns) -> DataFr
     spark = pages.sparkSession
     folder = shared_folder(spark, "warc")
     write_archives(pages, folder, **columns)
-    light = stored(captures(read_archives(spark, folder, False)), "captures")
+    light = stored(captures(stored(read_archives(spark, folder, False), "records")), "captures")
     heads = light.where("response.kind = 'response'").select(F.col("capture_id").alias("head_id"), F.col("page_id").alias("refers_to_page"))
     named = light.where("response.kind = 'revisit'").select(F.col("response.refers_to").alias("head_id")).distinct().join(heads, "head_id")
-    found = captures(read_archives(spark, folder)) if with_payload else light
+    found = captures(stored(read_archives(spark, folder), "records")) if with_payload else light
     return found.join(named, F.col("response.refers_to") == F.col("head_id"), "left").drop("head_id")

@@ -1,9 +1,10 @@
 """Quality rules: fixed limits, then robust multivariate outliers per language and source. DataFrame expressions only.
 
 Each text gives a vector of transformed statistics (STATISTICS), rounded to a grid of GRID. For every group of language
-and source a minimum-covariance-determinant estimate is grown from medians and absolute deviations by concentration
-steps: keep the share ``core`` of the group that is nearest in Mahalanobis distance, take its mean and covariance, and
-so on. A text whose distance is beyond the 0.9999 quantile of chi-square is rejected.
+and source a minimum-covariance-determinant estimate is sought from several starts, the quartiles with the absolute
+deviations from the median, by concentration steps: keep the share ``core`` of the group that is nearest in Mahalanobis
+distance, take its mean and covariance, and so on until no determinant falls. The start with the least one wins. Distances
+are scaled by the core's border, and a text beyond the 0.9999 quantile of chi-square is rejected.
 
 Each variance is increased by the square of the statistic's FLOORS, so that groups whose core does not vary at all (no
 symbols anywhere, or one text many times over) reject nothing ordinary. Each floor is so low that its statistic alone can
@@ -11,8 +12,8 @@ reject: if the core does not vary, words longer or shorter by a quarter, a symbo
 repeated, or 15 % of the words in repeated windows are beyond the cut.
 
 Grid values make all sums exact and every order statistic a count over a few thousand values: results do not depend on
-how rows are spread, and no group meets in one task. Groups with fewer than ``least`` texts that pass the fixed limits
-reject nothing.
+how rows are spread, and no group meets in one task. Texts of a group with fewer than ``least`` texts that pass the fixed
+limits are judged by the estimate of their language, and by that of all texts if it has too few as well.
 
 Defined results: a null text has no words and fails. Null languages and sources are groups like any other. Every row
 gives one row, also rows that repeat or lack a doc_id. Other columns are ignored. An empty table gives an empty result.
@@ -37,6 +38,7 @@ FLOORS = (0.05, 0.04, 0.1, 0.03)
 CHI_CORE = {0.75: 5.385}
 CHI_CUT = 23.513
 SMALL_GROUPS = 20_000
+STARTS = (0.5, 0.25, 0.75)  # quantiles
 TOP = 4095  # distances are counted in this many classes, equal on a logarithmic scale
 
 
@@ -156,18 +158,24 @@ def _class(d2: Column) -> Column:
 
 
 def _started(rows: DataFrame) -> DataFrame:
-    """Medians and scaled median absolute deviations, without correlations."""
-    medians = _by_group(rows.groupBy("group").agg(*[F.percentile(x, 0.5).alias(f"m{i}") for i, x in enumerate(STATISTICS)]))
-    off = rows.join(medians, "group").select("group", *[F.abs(F.col(x) - F.round(f"m{i}")).alias(x) for i, x in enumerate(STATISTICS)])
+    """Quartiles as centres and scaled median absolute deviations without correlations, under ``group`` and start."""
+    centres = F.percentile  # exact: grid values are counted
+    middle = rows.groupBy("group").agg(*[centres(x, F.array(*map(F.lit, STARTS))).alias(f"q{i}") for i, x in enumerate(STATISTICS)])
+    middle = _by_group(middle)
+    off = rows.join(middle, "group").select("group", *[F.abs(F.col(x) - F.round(F.col(f"q{i}")[0])).alias(x) for i, x in enumerate(STATISTICS)])
     spread = off.groupBy("group").agg(*[F.percentile(x, 0.5).alias(f"s{i}") for i, x in enumerate(STATISTICS)])
-    both = medians.join(spread, "group")
+    both = middle.join(spread, "group").withColumn("start", F.explode(F.sequence(F.lit(0), F.lit(len(STARTS) - 1))))
     return both.select(
-        "group",
-        *[(F.col(f"m{i}") * GRID).alias(f"m{i}") for i in range(len(STATISTICS))],
+        _started_key(F.col("start")).alias("group"),
+        *[(F.element_at(f"q{i}", F.col("start") + 1) * GRID).alias(f"m{i}") for i in range(len(STATISTICS))],
         *[(F.pow(F.col(f"s{i}") * (GRID * 1.4826), F.lit(2.0)) if i == j else F.lit(0.0)).alias(f"c{i}{j}") for i, j in _pairs()],
     )
 
 
+def _started_key(start: Column) -> Column:
+    return F.concat(F.col("group"), F.lit("#"), start.cast("string"))
+
+
 def _concentrated(rows: DataFrame, estimate: DataFrame, core: float) -> DataFrame:
     """Mean and covariance of the share ``core`` of each group that is nearest by ``estimate``."""
     near = _distanced(rows, estimate).withColumn("class", _class(F.col("d2")))
@@ -187,25 +195,69 @@ def _concentrated(rows: DataFrame, estimate: DataFrame, core: float) -> DataFram
     )
 
 
+def _log_determinant() -> Column:
+    """Of the floored covariance, from its factor."""
+    total = F.lit(0.0)
+    for i in range(len(STATISTICS)):
+        total = total + 2 * F.log(f"l{i}{i}")
+    return total
+
+
+def _least_determinant(rows: DataFrame, core: float, steps: int) -> DataFrame:
+    """The estimate of each group of ``rows``: from every start until no determinant falls, then the least one."""
+    everywhere = rows.withColumn("group", F.explode(F.array(*[_started_key(F.lit(i)) for i in range(len(STARTS))])))
+    best = _by_group(_factored(_concentrated(everywhere, _by_group(_factored(_started(rows))), core)).withColumn("logdet", _log_determinant()))
+    for _ in range(steps):
+        new = _factored(_concentrated(everywhere, best.drop("logdet"), core)).withColumn("logdet", _log_determinant())
+        old = best.select(*[F.col(c).alias(c if c == "group" else f"old_{c}") for c in best.columns])
+        falls = F.col("logdet") < F.col("old_logdet") - 1e-9
+        kept = [F.when(falls, F.col(c)).otherwise(F.col(f"old_{c}")).alias(c) for c in best.columns if c != "group"]
+        best = stored(new.join(old, "group").select("group", *kept, falls.alias("falls")), "groups")
+        fallen = best.where("falls").limit(1).count()
+        best = broadcast_up_to(best.drop("falls"), SMALL_GROUPS)
+        if not fallen:
+            break
+    values = [c for c in best.columns if c not in ("group", "logdet")]
+    start = F.substring_index("group", "#", -1).cast("int")
+    least = best.groupBy(F.substring_index("group", "#", 1).alias("group")).agg(F.min(F.struct("logdet", start.alias("start"), *values)).alias("e"))
+    return least.select("group", *[F.col(f"e.{c}") for c in values])
+
+
+def _assigned(able: DataFrame, least: int) -> DataFrame:
+    """(group, judge, estimate, feeds): by whose estimate a group is judged, of which kind, and into which its texts go."""
+    sizes = stored(able.groupBy("group", "language").count(), "sizes")
+    spoken = sizes.groupBy("language").agg(F.sum("count").alias("spoken"), F.max(F.col("count") < least).alias("small"))
+    rows = sizes.join(spoken, "language").withColumn("own", F.col("count") >= least)
+    kind = F.when(F.col("own"), "group").when(F.col("spoken") >= least, "language").otherwise("all")
+    rows = stored(rows.withColumn("estimate", kind), "kinds")
+    by_all = rows.where("estimate = 'all'").limit(1).count() > 0
+    judge = F.when(F.col("own"), F.col("group")).when(F.col("estimate") == "language", F.col("language")).otherwise(F.lit("all"))
+    feeds = F.array_compact(F.array(
+        F.when(F.col("own"), F.col("group")), F.when(F.col("small") & (F.col("spoken") >= least), F.col("language")), F.when(F.lit(by_all), F.lit("all"))
+    ))
+    return rows.select("group", judge.alias("judge"), "estimate", feeds.alias("feeds"))
+
+
 def judged(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source",
-    core: float = 0.75, steps: int = 4, least: int = 40,
+    core: float = 0.75, steps: int = 12, least: int = 40,
 ) -> DataFrame:
-    """(doc_id, lang, source, statistics, base_failed, d2, kept) of each row.
+    """(doc_id, lang, source, statistics, base_failed, d2, estimate, kept) of each row.
 
-    ``d2`` is the squared distance, scaled so that the core's border lies where it does for normal data (never down);
-    null where there is no estimate.
+    ``d2`` is the squared distance, scaled so that the core's border lies where it does for normal data (never down).
+    ``estimate`` says whose it is: that of the ``group``, its ``language`` or ``all``. Both are null where every text of
+    the group fails the fixed limits.
     """
     every = stored(statistics(docs, id_col, text_col, lang_col, source_col), "statistics")
-    able = every.where("not base_failed").select("group", *STATISTICS)
-    enough = _by_group(able.groupBy("group").count().where(F.col("count") >= least).select("group"))
-    able = able.join(enough, "group")
-    estimate = _by_group(_factored(_started(able)))
-    for _ in range(steps):
-        estimate = _by_group(_factored(_concentrated(able, estimate, core)))
+    language = F.sha2(F.to_json(F.struct("lang"), {"ignoreNullFields": "false"}), 256).alias("language")
+    able = every.where("not base_failed").select("group", language, *STATISTICS)
+    assigned = _by_group(_assigned(able, least))
+    able = able.join(assigned.select("group", "feeds"), "group").select(F.explode("feeds").alias("group"), *STATISTICS)
+    estimate = _by_group(_least_determinant(able, core, steps))
     border = _distanced(able, estimate).groupBy("group").agg(F.percentile(_class(F.col("d2")), core).alias("border"))
     scale = F.greatest(F.lit(1.0), F.expm1(F.col("border") / 256) / CHI_CORE[core])
     estimate = _by_group(estimate.join(border.select("group", scale.alias("scale")), "group"))
-    out = _distanced(every, estimate, "left")
+    placed = every.join(assigned.select("group", "judge", "estimate"), "group", "left").drop("group").withColumnRenamed("judge", "group")
+    out = _distanced(placed, estimate, "left")
     out = out.withColumn("d2", F.col("d2") / F.col("scale")).drop("scale", "group")
     return out.withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("d2") <= CHI_CUT, F.lit(True)))

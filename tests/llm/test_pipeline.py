@@ -80,5 +80,5 @@ def test_registered():
     import __spark_entry__ as contract
 
     names = [k for k in contract.queries() if re.match(r"op\d+_", k)]
-    assert sorted(int(re.match(r"op(\d+)_", k)[1]) for k in names) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", k)[1]) for k in names) == list(range(1, 14))
     assert "pipeline" in contract.queries() and set(registry.SQL) <= set(contract.oracle_sql())

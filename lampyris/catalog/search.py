@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import rules, text
-from ..operators import enrich, search
+from ..operators import enrich, search, segments
 from ..operators.changes import live_rows
 from ..plans import operational as op
 from ..session import shared_dir
@@ -50,21 +50,18 @@ query(
     f"""with {_postings('documents', 'doc_id', 'text')} select p.term, p.id as doc_id, l.n_tokens as n_tokens, p.tf
     from post p join lens l on l.id = p.id""",
 )(lambda t: search.build_index(t.raw("documents"), "doc_id", "text").withColumn("n_tokens", F.col("n_tokens").cast("bigint")))
-query("search", search_sql("searchable", "request_id", "search_description", PHRASE, 10))(
+query("search_scan", search_sql("searchable", "request_id", "search_description", PHRASE, 10))(
     lambda t: search.search(enrich.maintenance_searchable(t), "request_id", "search_description", PHRASE, 10)
 )
-query("search_documents", search_sql("documents", "doc_id", "text", DOC_PHRASE, 20))(
-    lambda t: search.search(t.raw("documents"), "doc_id", "text", DOC_PHRASE, 20)
-)
 
 
-_STORED: dict[tuple[str, str, str], str] = {}
+_STORED: dict[tuple, str] = {}
 _ATTRIBUTES = ["issue_type", "request_status", "neighborhood_name"]
 
 
 def _stored_index(t, name: str) -> str:
-    """The index of one corpus of a data folder, written once in an application and queried from then on."""
-    known = (t.spark.sparkContext.applicationId, t.path, name)
+    """The index of one corpus of a data folder, written once for the files that lie there and queried from then on."""
+    known = (t.spark.sparkContext.applicationId, t.path, name, segments.marks(t.spark, t.path))
     if known not in _STORED:
         path = shared_dir(t.spark, f"index-{name}")
         if name == "documents":
@@ -75,6 +72,12 @@ def _stored_index(t, name: str) -> str:
     return _STORED[known]
 
 
+query("search", search_sql("searchable", "request_id", "search_description", PHRASE, 10))(
+    lambda t: search.search_index(t.spark, _stored_index(t, "requests"), "request_id", PHRASE, 10)
+)
+query("search_documents", search_sql("documents", "doc_id", "text", DOC_PHRASE, 20))(
+    lambda t: search.search_index(t.spark, _stored_index(t, "documents"), "doc_id", DOC_PHRASE, 20)
+)
 query("search_index", search_sql("documents", "doc_id", "text", DOC_PHRASE, 20))(
     lambda t: search.search_index(t.spark, _stored_index(t, "documents"), "doc_id", DOC_PHRASE, 20)
 )
@@ -125,13 +128,28 @@ def _similar_sql(source: str, key: str, col: str, doc: str, limit: int) -> str:
     select id as {key}, score from scores where id <> {doc} order by score desc, id limit {limit}"""
 
 
-query("similar_requests", _similar_sql("searchable", "request_id", "search_description", "8", 10))(
-    lambda t: search.similar_documents(enrich.maintenance_searchable(t), "request_id", "search_description", 8, 10)
-)
+def _similar_requests(t, request_id: int, limit: int):
+    one = enrich.maintenance_searchable(t).where(F.col("request_id") == request_id)
+    return search.similar_in_index(t.spark, _stored_index(t, "requests"), "request_id", one, "search_description", limit)
+
+
+query("similar_requests", _similar_sql("searchable", "request_id", "search_description", "8", 10))(lambda t: _similar_requests(t, 8, 10))
 query("similar_documents", _similar_sql("documents", "doc_id", "text", "4", 10))(
-    lambda t: search.similar_documents(t.raw("documents"), "doc_id", "text", 4, 10)
+    lambda t: search.similar_in_index(t.spark, _stored_index(t, "documents"), "doc_id", t.raw("documents").where("doc_id = 4"), "text", 10)
 )
 
+
+@query("search_merged", search_sql("documents", "doc_id", "text", DOC_PHRASE, 20))
+def search_merged(t):
+    """An index that came in seven parts, some documents several times, merged three at a time."""
+    path, docs = shared_dir(t.spark, "index-parts"), t.raw("documents").select("doc_id", "text")
+    for part in range(7):
+        own = docs.where(F.col("doc_id") % 7 == part).withColumn("gone", F.lit(False))
+        early = docs.where((F.col("doc_id") % 7 > part) & (F.col("doc_id") % 5 == 0)).withColumn("text", F.lit("thing thing early")).withColumn("gone", F.lit(part % 2 == 1))
+        search.write_index(own.union(early), "doc_id", "text", path, buckets=4, part=part, removed="gone")
+        segments.merge(t.spark, path, "doc_id", below=part, fanout=3)
+    return search.search_index(t.spark, path, "doc_id", DOC_PHRASE, 20)
+
 _HYBRID_DEPTH = 100
 
 
@@ -145,7 +163,7 @@ _HYBRID_DEPTH = 100
     from lex a full join vec b on a.id = b.id order by score desc, doc_id limit 10""",
 )
 def hybrid_search(t):
-    lexical = search.search_scores(t.raw("documents"), "doc_id", "text", DOC_PHRASE)
+    lexical = search.index_scores(t.spark, _stored_index(t, "documents"), "doc_id", DOC_PHRASE)
     vector = search.vector_search(t.raw("embeddings"), "vec_id", "embedding", 0, _HYBRID_DEPTH)
     return search.hybrid_search(lexical, vector.withColumnRenamed("vec_id", "doc_id"), "doc_id", 10, _HYBRID_DEPTH)
 
@@ -181,7 +199,7 @@ def search_then_aggregate(t):
 )
 def similar_issue_fix_time(t, request_id: int = 8, limit: int = 50):
     """Mean repair time of the requests most like a given one."""
-    near = search.similar_documents(enrich.maintenance_searchable(t), "request_id", "search_description", request_id, limit)
+    near = _similar_requests(t, request_id, limit)
     done = live_rows(t.requests).where(F.col("resolved_at").isNotNull())
     hours = rules.elapsed_hours(F.col("reported_at"), F.col("resolved_at"))
     return done.join(near.select("request_id"), "request_id", "left_semi").agg(

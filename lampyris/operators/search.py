@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import rules, text
+from . import segments
 from .changes import latest_changes
 
 K1, B = 1.2, 0.75
@@ -86,8 +87,7 @@ def write_index(
     """
     live = corpus.where(~F.coalesce(F.col(removed), F.lit(False))) if removed else corpus
     postings = build_index(live, key, column).withColumn("bucket", _bucket(F.col("term"), buckets))
-    spread = postings.repartition("bucket", F.pmod(F.xxhash64(key), F.lit(8))).sortWithinPartitions("bucket", "term")
-    spread.write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/postings/part={part}")
+    segments.write_postings(postings, key, f"{path}/postings/part={part}")
     gone = F.coalesce(F.col(removed), F.lit(False)) if removed else F.lit(False)
     texts = F.when(~F.col("removed"), F.col(column))
     rows = corpus.select(key, F.col(column), gone.alias("removed"), *(attributes or []))
@@ -102,13 +102,16 @@ def _bucket(term: Column, buckets: int) -> Column:
 
 
 def read_index(spark, path: str, key: str, terms: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """(postings, documents) of the newest version of each document; with ``terms`` only their buckets are scanned."""
-    postings = spark.read.parquet(f"{path}/postings")
+    """(postings, documents) of the newest version of each document; with ``terms`` only their buckets are scanned.
+
+    Parts that have been merged (``segments.merge``) are read from their runs.
+    """
+    postings, documents = segments.read_live(spark, path, key)
     if terms is not None:
         buckets = spark.read.parquet(f"{path}/layout").first().buckets
         wanted = [_bucket(F.lit(t), buckets) for t in terms]
         postings = postings.where(F.col("bucket").isin(wanted) & F.col("term").isin(terms))
-    documents = latest_changes(spark.read.parquet(f"{path}/documents"), key, "part").where("not removed").drop("removed")
+    documents = latest_changes(documents, key, "part").where("not removed").drop("removed")
     current = documents.select(key, "part")
     return postings.drop("bucket").join(current, [key, "part"]).drop("part"), documents.drop("part")
 
@@ -265,6 +268,21 @@ def similar_documents(corpus: DataFrame, key: str, column: str, doc_key, limit:
     return top(scores.where(F.col(key) != F.lit(doc_key)), key, limit)
 
 
+def similar_in_index(spark, path: str, key: str, text_of: DataFrame, column: str, limit: int = 10) -> DataFrame:
+    """``similar_documents`` from a stored index: ``text_of`` has the one document that others are compared with.
+
+    Only that document is tokenised; the others come as postings of its terms.
+    """
+    postings, documents = read_index(spark, path, key)
+    own = tokenized(text_of, key, column)
+    terms = own.select(F.explode_outer(F.array_distinct("tokens")).alias("term")).where("term is not null")
+    matched = postings.join(terms, "term")
+    frequencies = matched.groupBy("term").agg(F.count("*").alias("df"))
+    scored = matched.join(frequencies, "term").withColumn("s", _corpus_stats(documents))
+    scores = scored.groupBy(key).agg(rules.round_half_up(F.sum(_part()), SCORE_DIGITS).alias("score"))
+    return top(scores.join(own.select(key), key, "left_anti"), key, limit)
+
+
 def vector_search(vectors: DataFrame, key: str, column: str, query_key, limit: int = 10) -> DataFrame:
     """Exact cosine top-k against the stored vector of ``query_key``: one pass, one heap per task."""
     probe = vectors.where(F.col(key) == F.lit(query_key)).agg(F.first(column)).scalar()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import rules, text
-from ..operators import enrich, search, segments
+from ..operators import enrich, search, segments, vectors
 from ..operators.changes import live_rows
 from ..plans import operational as op
 from ..session import shared_dir
@@ -123,6 +123,30 @@ def _vector_sql(limit: int) -> str:
 query("vector_search", _vector_sql(10))(lambda t: search.vector_search(t.raw("embeddings"), "vec_id", "embedding", 0, 10))
 
 
+def _stored_vectors(t) -> str:
+    known = (t.spark.sparkContext.applicationId, t.path, "vectors", segments.marks(t.spark, t.path))
+    if known not in _STORED:
+        path = shared_dir(t.spark, "index-vectors")
+        vectors.write_vector_index(t.raw("embeddings"), "vec_id", "embedding", path)
+        _STORED[known] = path
+    return _STORED[known]
+
+
+query("vector_index_search", _vector_sql(10))(
+    lambda t: vectors.search_vectors(t.spark, _stored_vectors(t), "vec_id", 0, 10, probes=None)
+)
+
+
+@query("vector_index_recall", "select count(*) * 10 as neighbours, true as enough from embeddings where vec_id % 20 = 0")
+def vector_index_recall(t):
+    """Share of the true ten nearest that the probed cells have, over many queries; ``enough`` from 0.95 on."""
+    path = _stored_vectors(t)
+    wanted = t.raw("embeddings").where("vec_id % 20 = 0").select(F.col("vec_id").alias("q"), "embedding")
+    near = lambda probes: vectors.nearest_in_index(t.spark, path, "vec_id", wanted, "q", "embedding", 10, probes).select("q", "vec_id")
+    both = near(None).withColumn("true", F.lit(1)).join(near(0).withColumn("found", F.lit(1)), ["q", "vec_id"], "left")
+    return both.agg(F.count("*").alias("neighbours"), (F.sum(F.coalesce("found", F.lit(0))) >= 0.95 * F.count("*")).alias("enough"))
+
+
 def _similar_sql(source: str, key: str, col: str, doc: str, limit: int) -> str:
     return f"""with {_postings(source, key, col)}, {_bm25(f"select term from post where id = {doc}")}
     select id as {key}, score from scores where id <> {doc} order by score desc, id limit {limit}"""

@@ -44,18 +44,19 @@ def marks(spark: SparkSession, path: str) -> tuple:
     return tuple(sorted(out))
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def delete(spark: SparkSession, path: str) -> None:
     place, files = _files(spark, path)
     files.delete(place, True)
 
 
-def _numbered(spark: SparkSession, path: str, column: str) -> list[int]:
+def folder_numbers(spark: SparkSession, path: str, column: str) -> list[int]:
+    """The numbers in the names ``column=number`` of a folder's subfolders."""
     return sorted(int(n.partition("=")[2]) for n in folders(spark, path) if n.startswith(f"{column}="))
 
 
 def manifest(spark: SparkSession, path: str) -> tuple[int, list]:
     """Number and runs, oldest first, of the newest whole version; 0 and none before the first merge."""
-    for version in reversed(_numbered(spark, f"{path}/manifest", "version")):
+    for version in reversed(folder_numbers(spark, f"{path}/manifest", "version")):
         place, files = _files(spark, f"{path}/manifest/version={version}/_SUCCESS")
         if files.exists(place):
             return version, spark.read.schema(MANIFEST).parquet(f"{path}/manifest/version={version}").orderBy("position").collect()
@@ -63,7 +64,7 @@ def manifest(spark: SparkSession, path: str) -> tuple[int, list]:
 
 
 def parts_after(spark: SparkSession, path: str, last: int, below: int | None = None) -> list[int]:
-    return [n for n in _numbered(spark, f"{path}/documents", "part") if n > last and (below is None or n < below)]
+    return [n for n in folder_numbers(spark, f"{path}/documents", "part") if n > last and (below is None or n < below)]
 
 
 def _union(tables: list[DataFrame]) -> DataFrame:
@@ -138,11 +139,11 @@ def _forget(spark: SparkSession, path: str, version: int, named: set[str], last:
     """Delete what the version before the newest did not read any more."""
     for name in folders(spark, f"{path}/runs"):
         if name not in named:
-            _delete(spark, f"{path}/runs/{name}")
-    for n in _numbered(spark, f"{path}/documents", "part"):
+            delete(spark, f"{path}/runs/{name}")
+    for n in folder_numbers(spark, f"{path}/documents", "part"):
         if n <= last:
-            _delete(spark, f"{path}/documents/part={n}")
-            _delete(spark, f"{path}/postings/part={n}")
-    for n in _numbered(spark, f"{path}/manifest", "version"):
+            delete(spark, f"{path}/documents/part={n}")
+            delete(spark, f"{path}/postings/part={n}")
+    for n in folder_numbers(spark, f"{path}/manifest", "version"):
         if n < version:
-            _delete(spark, f"{path}/manifest/version={n}")
+            delete(spark, f"{path}/manifest/version={n}")

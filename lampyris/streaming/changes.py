@@ -1,8 +1,9 @@
 """Continuous change application with Structured Streaming.
 
-The stream keeps the highest version per key in keyed state (max over a struct is insensitive to order and
-duplicates, and a delete stays as a tombstone with its version). Every micro-batch writes the keys it touched
-to its own folder, replacing that folder on a retry, so the result is exactly-once after a restart.
+Every micro-batch writes the highest version of each key it touched to its own folder, replacing that folder on a
+retry, so the result is exactly-once after a restart. The stream keeps no keyed state: the highest version wins when the
+log is read (which is insensitive to order and duplicates, and a delete stays as a tombstone with its version), and the
+log is folded by the stream as it grows.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators import segments
 from ..operators.changes import latest_changes
 from ..sources.fixtures import PROJECTIONS, project
 
@@ -58,14 +60,18 @@ def batch_writer(path: str) -> Callable[[DataFrame, int], None]:
 
 
 def stream_apply(feed: DataFrame, path: str, key: str = "light_id", interval: str | None = None) -> StreamingQuery:
-    """Maintain the latest change per key under ``path``."""
-    rest = [c for c in feed.columns if c not in (key, "version")]
-    state = (
-        feed.groupBy(key)
-        .agg(F.max(F.struct("version", *rest)).alias("c"))
-        .select(key, "c.version", *[f"c.{c}" for c in rest])
-    )
-    return run_batches(state, path, batch_writer(path), interval=interval)
+    """Maintain the latest change per key under ``path``.
+
+    Each batch logs its own latest change per key and the stream keeps no state: the highest version wins when the log is
+    read, however late it came. The stream folds the log itself (``fold_if_due``), so what is read is one row per key
+    and a bounded number of batches.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        latest_changes(batch, key).write.mode("overwrite").parquet(f"{path}/log/batch={batch_id}")
+        fold_if_due(batch.sparkSession, path, lambda log: latest_changes(log, key), below=batch_id)
+
+    return run_batches(feed, path, write, mode="append", interval=interval)
 
 
 def _batches(spark: SparkSession, path: str) -> DataFrame | None:
@@ -77,9 +83,11 @@ def _batches(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
-def read_log(spark: SparkSession, path: str) -> DataFrame:
-    """All that was logged under ``path``: the newest fold and the batches after it."""
+def read_log(spark: SparkSession, path: str, last: int | None = None) -> DataFrame:
+    """All that was logged under ``path`` (up to batch ``last``): the newest fold and the batches after it."""
     log, folds = spark.read.parquet(f"{path}/log"), _batches(spark, f"{path}/folds")
+    if last is not None:
+        log = log.where(F.col("batch") <= last)
     if folds is None:
         return log.drop("batch")
     upto = folds.agg(F.max("upto")).first()[0]
@@ -87,14 +95,45 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
     return folds.where(F.col("upto") == upto).drop("upto").unionByName(rest)
 
 
-def fold_log(spark: SparkSession, path: str, combine: Callable[[DataFrame], DataFrame]) -> None:
-    """Combine the newest fold and the batches after it into a fold of its own.
+def fold_if_due(
+    spark: SparkSession, path: str, combine: Callable[[DataFrame], DataFrame], below: int, batches: int = 16, most: int = 256, share: float = 0.25
+) -> bool:
+    """Fold the batches under ``below`` when ``batches`` have gathered and hold ``share`` of the fold's rows, or ``most`` have.
+
+    So a key is rewritten a number of times that grows with the logarithm of the log. What the fold before stood for
+    is deleted then: readers of that one, which is still there, need it no more.
+    """
+    done, numbers = _folded(spark, path), segments.folder_numbers(spark, f"{path}/log", "batch")
+    new = [n for n in numbers if done < n < below]
+    if len(new) < batches:
+        return False
+    if len(new) < most and done >= 0:
+        log = spark.read.parquet(*[f"{path}/log/batch={n}" for n in new])
+        if log.count() < share * spark.read.parquet(f"{path}/folds/upto={done}").count():
+            return False
+    fold_log(spark, path, combine, below)
+    for n in numbers:
+        if n < done:
+            segments.delete(spark, f"{path}/log/batch={n}")
+    for n in segments.folder_numbers(spark, f"{path}/folds", "upto"):
+        if n < done:
+            segments.delete(spark, f"{path}/folds/upto={n}")
+    return True
+
+
+def _folded(spark: SparkSession, path: str) -> int:
+    return max(segments.folder_numbers(spark, f"{path}/folds", "upto"), default=-1)
+
+
+def fold_log(spark: SparkSession, path: str, combine: Callable[[DataFrame], DataFrame], below: int | None = None) -> None:
+    """Combine the newest fold and the batches after it (under ``below``) into a fold of its own.
 
     Folds are added, never changed, so readers and a running stream are not disturbed. Batches below a fold are no
     longer read, and ``drop_folded`` deletes them.
     """
-    upto = spark.read.parquet(f"{path}/log").agg(F.max("batch")).first()[0]
-    combine(read_log(spark, path)).write.mode("overwrite").parquet(f"{path}/folds/upto={upto}")
+    numbers = [n for n in segments.folder_numbers(spark, f"{path}/log", "batch") if below is None or n < below]
+    upto = max(numbers)
+    combine(read_log(spark, path, upto)).write.mode("overwrite").parquet(f"{path}/folds/upto={upto}")
 
 
 def drop_folded(spark: SparkSession, path: str) -> None:

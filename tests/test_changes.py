@@ -149,3 +149,21 @@ def test_a_query_scans_its_buckets_and_no_text(spark, tmp_path):
     assert [r.doc_id for r in found.collect()] == [7]
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "text:string" not in plan and re.search(r"PartitionFilters: \[[^\]]*bucket#", plan)
+
+
+def test_fifty_batches_leave_a_bounded_log_and_the_batch_result(spark, tmp_path):
+    """Each file is a batch; versions come in any order, and nothing is held between batches but what was written."""
+    rnd, source, out = random.Random(3), str(tmp_path / "feed"), str(tmp_path / "out")
+    events = [(rnd.randrange(40), v, rnd.choice(["insert", "update", "delete"]), rnd.choice(["faulty", "operational"])) for v in range(250)]
+    rnd.shuffle(events)
+    for i in range(50):
+        _feed(spark, events[5 * i : 5 * i + 5]).coalesce(1).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(_feed(spark, []).schema).option("maxFilesPerTrigger", 1).parquet(source)
+    query = sc.stream_apply(stream, out)
+    assert all(not p["stateOperators"] for p in query.recentProgress)
+    batches, folds = list((tmp_path / "out" / "log").glob("batch=*")), list((tmp_path / "out" / "folds").glob("upto=*"))
+    assert len(batches) < 40 and 1 <= len(folds) <= 2
+    got = {r.light_id: (r.version, r.op, r.status) for r in sc.read_state(spark, out).collect()}
+    want = {r.light_id: (r.version, r.op, r.status) for r in changes.latest_changes(_feed(spark, events), "light_id").collect()}
+    assert got == want
+    assert spark.read.parquet(f"{out}/folds").groupBy("upto").count().agg(F.max("count")).first()[0] <= 40

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import rules
 from ..plans.operational import one_row_counts
 from ..sources.fixtures import Tables
-from . import spatial
+from . import rings, spatial
 
 # Keys, references, required columns, allowed values
 PRIMARY_KEYS = {
@@ -133,22 +133,18 @@ def history_length(t: Tables, min_days: int = 30) -> DataFrame:
 
 
 def polygon_validity(t: Tables) -> DataFrame:
-    """Unclosed and self-intersecting rings, from edge pairs inside each ring's own array."""
+    """Unclosed and self-intersecting rings. Edges of large rings are only tested against those they share a cell with."""
     ring = F.col("ring")
     closed = (ring[0]["lon"] == F.element_at(ring, -1)["lon"]) & (ring[0]["lat"] == F.element_at(ring, -1)["lat"])
-    n = F.size(ring)
-
-    def side(a: Column, b: Column, c: Column) -> Column:
-        return F.signum((b["lon"] - a["lon"]) * (c["lat"] - a["lat"]) - (b["lat"] - a["lat"]) * (c["lon"] - a["lon"]))
-
-    def proper_cross(i: Column, j: Column) -> Column:
-        a, b, c, d = ring[i], ring[i + 1], ring[j], ring[j + 1]
-        return (side(a, b, c) * side(a, b, d) < 0) & (side(c, d, a) * side(c, d, b) < 0)
-
-    edges = F.sequence(F.lit(0), n - 2)
-    crossing = F.exists(edges, lambda i: F.exists(edges, lambda j: (j > i + 1) & proper_cross(i, j)))
-    return t.zones.select(
-        "neighborhood_id", n.alias("ring_points"), closed.alias("is_closed"), crossing.alias("self_intersects")
+    # by their own rows, so that rings without an edge and large ones have one too
+    basic = t.zones.select("neighborhood_id", F.size("ring").alias("ring_points"), closed.alias("is_closed"))
+    shaped = spatial.shaped_rings(t.zones.select("neighborhood_id", "ring"))
+    few = F.size("_edges") <= rings.SMALL_RING
+    crossing = shaped.where(few).where(rings.crosses_itself("_edges")).select("neighborhood_id")
+    large = rings.crossing_rings(shaped.where(~few), "neighborhood_id")
+    found = crossing.union(large).distinct().withColumn("self_intersects", F.lit(True))
+    return basic.join(found, "neighborhood_id", "left").select(
+        "neighborhood_id", "ring_points", "is_closed", F.coalesce("self_intersects", F.lit(False)).alias("self_intersects")
     )
 
 

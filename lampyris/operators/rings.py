@@ -123,3 +123,33 @@ def large_cover(zones: DataFrame) -> DataFrame:
     own = "if(c = _cx, own, slice(own, 1, 0)) as _edges"
     out = cells.selectExpr("*", filled).selectExpr("_a.*", "_lv", "_size", "c as _cx", "_cy", own, "_odd")
     return out.where("size(_edges) > 0 or _odd = 1")
+
+
+def _cross(a: str, b: str) -> str:
+    """Two edges cross in a point inside both."""
+
+    def side(e: str, x: str, y: str) -> str:
+        return f"signum({_raw(e, x, y)})"
+
+    one = f"{side(a, f'{b}.x1', f'{b}.y1')} * {side(a, f'{b}.x2', f'{b}.y2')} < 0"
+    return f"({one} and {side(b, f'{a}.x1', f'{a}.y1')} * {side(b, f'{a}.x2', f'{a}.y2')} < 0)"
+
+
+def crosses_itself(edges: str) -> Column:
+    """Some two edges of an array cross, every pair tested: for few edges."""
+    numbered = f"transform({edges}, (e, i) -> struct(i, e))"
+    return F.expr(f"exists({numbered}, p -> exists({numbered}, q -> q.i > p.i + 1 and {_cross('p.e', 'q.e')}))")
+
+
+def crossing_rings(zones: DataFrame, key: str) -> DataFrame:
+    """The keys of rings that cross themselves: edges are dealt to the cells they reach and tested with those they meet there.
+
+    ``zones`` has ``_edges``, ``_lv`` and ``_size``. Where two edges cross, both reach the cell of that point.
+    """
+    edges = zones.select(key, "_size", F.posexplode("_edges").alias("i", "e"))
+    rows = f"explode(sequence(floor(least(e.y1, e.y2) / _size - {_PAD}D), floor(greatest(e.y1, e.y2) / _size + {_PAD}D))) as _cy"
+    first, last = _columns_in("e", f"((_cy - {_PAD}D) * _size)", f"((_cy + 1 + {_PAD}D) * _size)")
+    dealt = edges.selectExpr("*", rows).selectExpr("*", f"explode(sequence({first}, {last})) as _cx")
+    cells = dealt.groupBy(key, "_cy", "_cx").agg(F.collect_list(F.struct("i", "e")).alias("own")).where("size(own) > 1")
+    met = f"exists(own, p -> exists(own, q -> q.i > p.i + 1 and {_cross('p.e', 'q.e')}))"
+    return cells.where(met).select(key).distinct()

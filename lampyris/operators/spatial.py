@@ -81,7 +81,7 @@ def _with_cells(points: DataFrame, levels: list[int]) -> DataFrame:
 # -------------------------------------------------------------------------------- containment
 
 
-def _spans(zones: DataFrame) -> DataFrame:
+def shaped_rings(zones: DataFrame) -> DataFrame:
     """Zones with their box, level, cell size and edges in place of the ring."""
     rest = [c for c in zones.columns if c != "ring"]
     ends = [f"array_{f}(transform(ring, p -> p.{c})) as {f}_{c}" for f in ("min", "max") for c in ("lon", "lat")]
@@ -106,7 +106,7 @@ def _zone_cover(shaped: DataFrame, large: bool) -> DataFrame:
 
 def zone_cover(zones: DataFrame) -> DataFrame:
     """One row per (zone, grid cell that is not wholly outside): the edges in the cell and its corner's parity."""
-    return _zone_cover(_spans(zones), True)
+    return _zone_cover(shaped_rings(zones), True)
 
 
 def spatial_join_within(points: DataFrame, zones: DataFrame) -> DataFrame:
@@ -115,7 +115,7 @@ def spatial_join_within(points: DataFrame, zones: DataFrame) -> DataFrame:
     ``points`` carries ``lon``/``lat``; ``zones`` carries ``ring``, closed. Column names must not collide.
     A point inside two overlapping zones gives two rows. Inner cells settle their points without an edge test.
     """
-    shaped = _spans(zones)
+    shaped = shaped_rings(zones)
     found = shaped.groupBy("_lv").agg(F.max(F.size("_edges")).alias("n")).collect()  # one row for each level
     levels = sorted(r["_lv"] for r in found) or [0]
     cover = _zone_cover(shaped, any(r.n > rings.SMALL_RING for r in found))

@@ -2,12 +2,13 @@
 
 import math
 import random
+import types
 
 import pytest
 from pyspark.sql import functions as F
 
 from lampyris.functions import geo
-from lampyris.operators import rings, spatial
+from lampyris.operators import quality, rings, spatial
 
 
 def _zones(spark, shapes):
@@ -83,6 +84,38 @@ def test_equal_zones_and_other_columns_stay(spark, small):
     assert [(r.light_id, r.zone_id) for r in got.collect()] == [(0, 7), (0, 7)]
 
 
+def _validity(spark, shapes):
+    zones = _zones(spark, shapes).withColumnRenamed("zone_id", "neighborhood_id")
+    return {r.neighborhood_id: r.self_intersects for r in quality.polygon_validity(types.SimpleNamespace(zones=zones)).collect()}
+
+
+def _crosses(ring):
+    def side(a, b, c):
+        v = (b[0] - a[0]) * (c[1] - a[1]) - (b[1] - a[1]) * (c[0] - a[0])
+        return (v > 0) - (v < 0)
+
+    edges = list(zip(ring, ring[1:]))
+    return any(
+        side(a, b, c) * side(a, b, d) < 0 and side(c, d, a) * side(c, d, b) < 0
+        for i, (a, b) in enumerate(edges) for c, d in edges[i + 2 :]
+    )
+
+
+def test_crossings_equal_all_pairs(spark, small):
+    shapes = [_on_the_grid(n, 10 * n + k) for n in (3, 4, 5, 6, 9, 40) for k in range(4)] + [_star(n, n) for n in (5, 100)]
+    got = _validity(spark, [*shapes, None, [(0.0, 0.0)]])
+    assert got == {**{i: _crosses(s) for i, s in enumerate(shapes)}, len(shapes): False, len(shapes) + 1: False}
+    assert 3 < sum(got.values()) < len(shapes)
+
+
+def test_one_crossing_in_a_large_ring_is_found(spark):
+    ring = _star(20_000, 6)
+    broken = [*ring]
+    broken[7000], broken[7003] = broken[7003], broken[7000]
+    assert _crosses(broken[6990:7015])
+    assert _validity(spark, [ring, broken]) == {0: False, 1: True}
+
+
 def test_a_coastline_costs_few_edge_tests(spark):
     """20,000 edges and 100,000 points: two thousand million pairs of them, of which few are tested."""
     n = 20_000

@@ -20,6 +20,10 @@ LABOR, TRANSPORT, OVERHEAD = 500, 150, 100
 JOB_FLAT, JOB_FLAT_WEEKLY = 1750, 1650
 BULB_STAFF = ("Full crew (3+ technicians)", "Standard crew (2 technicians)", "Minimal crew (1 technician)")
 ALL_STAFF = ("Full crew + backup (4+ technicians)", "Full crew (3 technicians)", "Standard crew (2 technicians)")
+# Notes of the daily briefing
+SEASON_NOTES = {"monsoon": "Monsoon season - expect weather delays", "summer": "Summer heat - schedule early morning/evening"}
+OTHER_NOTE = "Favorable conditions"
+# Short day names from Sunday on
 DAY_NAMES = ["Sun", "Mon", "Tue", "Wed", "Thu", "Fri", "Sat"]
 
 
@@ -146,11 +150,9 @@ def next_7_days(schedule: DataFrame, as_of: rules.AsOf = None) -> DataFrame:
 
 
 def today_briefing(schedule: DataFrame, as_of: rules.AsOf = None) -> DataFrame:
-    note = (
-        F.when(F.col("season") == "monsoon", F.lit("Monsoon season - expect weather delays"))
-        .when(F.col("season") == "summer", F.lit("Summer heat - schedule early morning/evening"))
-        .otherwise(F.lit("Favorable conditions"))
-    )
+    note = F.lit(OTHER_NOTE)
+    for season, text in SEASON_NOTES.items():
+        note = F.when(F.col("season") == season, F.lit(text)).otherwise(note)
     return schedule.where(F.col("forecast_date") == rules.as_of_date(as_of)).select(
         F.col("forecast_date").alias("today"),
         F.col("predicted_failures").alias("expected_failures"),

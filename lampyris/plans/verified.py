@@ -262,34 +262,25 @@ def faulty_locations_nullsafe(t: Tables) -> DataFrame:
     )
 
 
-# key -> (short name, question); the catalogue of verified questions
+# key -> (short name, question), in our own words: nothing depends on them
 VERIFIED = {
-    "lights_by_status": ("Total street lights by status", "How many street lights do we have by status?"),
-    "lights_per_zone": ("Lights per neighborhood", "Show me how many lights are in each neighborhood"),
-    "open_requests": ("Open maintenance requests", "How many maintenance requests are currently open?"),
-    "issues_with_open": ("Maintenance by issue type", "What are the most common maintenance issues?"),
-    "avg_resolution_by_issue": ("Average resolution time by issue type", "What is the average resolution time for each issue type?"),
-    "requests_by_zone": ("Maintenance requests by neighborhood", "Which neighborhoods have the most maintenance issues?"),
-    "high_risk_lights": ("High risk lights", "Which lights have the highest failure risk?"),
-    "risk_by_season": ("Average risk by season", "What is the average failure risk by season?"),
-    "outages_by_grid_zone": ("Outages by grid zone", "Which power grid zones have the most outages?"),
-    "supplier_response": ("Supplier response times", "What are the average response times by supplier?"),
-    "suppliers_by_specialization": ("Suppliers by specialization", "How many suppliers do we have for each specialization?"),
-    "lights_by_urban_class": ("Lights by urban classification", "How are lights distributed across urban, suburban, and rural areas?"),
-    "recent_changes": ("Recently synced changes", "Show me records modified today via CDC"),
-    "power_by_zone": ("Total power consumption", "What is the total power consumption by neighborhood?"),
-    "faulty_locations": ("Where are the faulty street lights?", "Where are the faulty street lights?"),
-    "common_issues": ("What are the most common issues reported?", "What are the most common issues reported?"),
-    "faulty_by_zone_fk": (
-        "show me count of faulty street lights by neighborhood, ordered by highest count first",
-        "show me count of faulty street lights by neighborhood, ordered by highest count first",
-    ),
-    "all_lights_status": (
-        "show me all street lights and their status without any date filters",
-        "show me all street lights and their status without any date filters",
-    ),
-    "faulty_locations_nullsafe": (
-        "show me all faulty street lights with their locations and neighborhoods",
-        "show me all faulty street lights with their locations and neighborhoods",
-    ),
+    "lights_by_status": ("Status totals", "For each status, how many lights have it?"),
+    "lights_per_zone": ("Lights in each zone", "How are the lights spread over the zones?"),
+    "open_requests": ("Unresolved requests", "Which number of repair requests has not been resolved yet?"),
+    "issues_with_open": ("Issue types with open cases", "How often does each issue type occur, and how many cases are open?"),
+    "avg_resolution_by_issue": ("Repair hours by issue type", "How long does a repair take on average, by issue type?"),
+    "requests_by_zone": ("Zones by requests", "In which zones do requests pile up?"),
+    "high_risk_lights": ("Riskiest lights", "Which lights are the likeliest to fail?"),
+    "risk_by_season": ("Risk in each season", "How does the mean failure risk differ between seasons?"),
+    "outages_by_grid_zone": ("Grid zones by outages", "Where in the power grid have outages been frequent?"),
+    "supplier_response": ("Suppliers by reaction time", "How fast does each supplier react?"),
+    "suppliers_by_specialization": ("Suppliers in each trade", "How are suppliers divided among the trades?"),
+    "lights_by_urban_class": ("Lights by kind of area", "How many lights stand in urban, suburban and rural areas?"),
+    "recent_changes": ("Latest changes", "Which rows has the change feed touched since yesterday?"),
+    "power_by_zone": ("Wattage of each zone", "How much power do the lights of each zone draw together?"),
+    "faulty_locations": ("Places of faulty lights", "At which coordinates do faulty lights stand?"),
+    "common_issues": ("Issue types by frequency", "Which issue types are reported the most?"),
+    "faulty_by_zone_fk": ("Zones by faulty lights", "Count the faulty lights of each zone, most first."),
+    "all_lights_status": ("Every light with its status", "List all lights and their status, whatever the date."),
+    "faulty_locations_nullsafe": ("Faulty lights with their zone", "List faulty lights with place and zone, also those without a zone."),
 }

@@ -6,8 +6,10 @@ after the system turn are cut where the sum passes multiples of a stride. Every
 repeats the last turns before its span as far as ``history`` and the budget allow, and then has its span. Only
 assistant texts of the span itself are targets; what is repeated is masked. No group is larger than a conversation.
 
-The stride is half of what the budget leaves beside system turn and history. A span then fits if no turn is longer than
-the stride; a longer turn is kept whole, and its window is marked ``over_budget``.
+The first window has the system turn whole; later ones retain of it what fits a quarter of the budget. So a long system
+turn costs the output a bounded part of every window, and only the first one may pass the budget for it. The stride is
+half of what the budget leaves beside the retained system turn and history. A span then fits if no turn is longer than
+the stride; a longer turn is kept whole. Windows beyond the budget are marked ``over_budget``.
 
 Tokens are estimated as a quarter of a rendered turn's bytes, rounded up.
 
@@ -64,7 +66,11 @@ def windows(
     is_system = (F.col("i") == 1) & (F.col("role") == "system")
     whole = Window.partitionBy("conv_id")
     turns = turns.withColumn("system", is_system)
-    turns = turns.withColumn("system_tokens", F.sum(F.when(F.col("system"), F.col("tokens")).otherwise(0)).over(whole))
+    # what later windows retain: whole characters, no cut code
+    most = F.when(F.octet_length("body") == F.length("body"), F.lit(budget)).otherwise(F.lit(budget // 4))
+    turns = turns.withColumn("short", F.when(F.col("system"), F.regexp_replace(F.substring(F.col("body"), F.lit(1), most), r"\\$", "")))
+    turns = turns.withColumn("short_tokens", F.ceil((F.octet_length("head") + F.octet_length("short") + len(END)) / 4))
+    turns = turns.withColumn("system_tokens", F.sum(F.when(F.col("system"), F.col("short_tokens")).otherwise(0)).over(whole))
     own = F.when(F.col("system"), 0).otherwise(F.col("tokens"))
     turns = turns.withColumn("until", F.sum(own).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))).withColumn("since", F.col("until") - own)
     stride = F.greatest(F.lit(1), F.floor((F.lit(budget - history) - F.col("system_tokens")) / 2))
@@ -85,8 +91,10 @@ def windows(
     info = span.select(F.col("conv_id").alias("c"), F.col("window").alias("w"), "first", "room", "least", F.col("from"))
     past = past.drop("window").join(info, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("into") == F.col("w")))
     past = past.where((F.col("i") < F.col("from")) & (F.col("since") >= F.col("first") - F.col("room"))).select(*parts, F.col("w").alias("window"), F.lit(1).alias("kind"))
+    is_first = F.col("w") == F.col("least")
+    retained = {"body": F.when(is_first, F.col("body")).otherwise(F.col("short")), "tokens": F.when(is_first, F.col("tokens")).otherwise(F.col("short_tokens"))}
     system = turns.where("system").join(info, F.col("conv_id").eqNullSafe(F.col("c"))).select(
-        *parts, F.col("w").alias("window"), F.when(F.col("w") == F.col("least"), 2).otherwise(0).alias("kind")
+        *[retained.get(c, F.col(c)).alias(c) for c in parts], F.col("w").alias("window"), F.when(is_first, 2).otherwise(0).alias("kind")
     )
     every = fresh.select(*parts, "window", F.lit(2).alias("kind")).union(past).union(system).union(alone.select(*parts, F.lit(0).alias("window"), F.lit(2).alias("kind")))
     rows = every.groupBy("conv_id", "window").agg(

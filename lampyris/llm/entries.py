@@ -231,13 +231,17 @@ CHAT_SQL = f"""
 with t as (
   select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as raw from conversations
   union all select -7, 0, 'user', '</s>[INST] ok [/INST]' union all select -7, 1, 'assistant', '</s>[INST] ok [/INST]'
-), r as (
-  select *, '<|' || replace({_ESCAPED.format("role")}, chr(10), '\\m') || '|>' || chr(10) || {_ESCAPED.format("raw")} || '<|end|>' || chr(10) as line,
+), q as (
+  select *, '<|' || replace({_ESCAPED.format("role")}, chr(10), '\\m') || '|>' || chr(10) as head, {_ESCAPED.format("raw")} as body,
     row_number() over (partition by conv_id order by turn nulls first, role, raw) as i from t
+), r as (
+  select *, head || body || '<|end|>' || chr(10) as line, head || regexp_replace(
+    substr(body, 1, case when strlen(body) = length(body) then 512 else 128 end), '\\\\$', '') || '<|end|>' || chr(10) as short from q
 ), k as (
-  select *, cast(ceil(strlen(line) / 4.0) as bigint) as tokens, i = 1 and role = 'system' as system from r
+  select *, cast(ceil(strlen(line) / 4.0) as bigint) as tokens, cast(ceil(strlen(short) / 4.0) as bigint) as short_tokens,
+    i = 1 and role = 'system' as system from r
 ), s as (
-  select *, sum(case when system then tokens else 0 end) over (partition by conv_id) as system_tokens,
+  select *, sum(case when system then short_tokens else 0 end) over (partition by conv_id) as system_tokens,
     sum(case when system then 0 else tokens end) over (partition by conv_id order by i) as until from k
 ), p as (
   select *, until - case when system then 0 else tokens end as since,
@@ -247,9 +251,10 @@ g as (select conv_id, w, min(since) as first, min(i) as start, sum(length(line))
   least(96, 512 - min(system_tokens) - sum(tokens)) as room from n group by conv_id, w),
 h as (select g.conv_id, g.w, sum(length(n.line)) as chars from g join n on n.conv_id = g.conv_id and n.i < g.start and n.since >= g.first - g.room group by 1, 2),
 f as (
-  select g.conv_id, sum(g.chars + coalesce(h.chars, 0) + coalesce(y.chars, 0)) as chars from g
+  select g.conv_id, sum(g.chars + coalesce(h.chars, 0) + coalesce(case when g.w = g.least then y.chars else y.short end, 0)) as chars
+  from (select *, min(w) over (partition by conv_id) as least from g) g
   left join h on h.conv_id = g.conv_id and h.w = g.w
-  left join (select conv_id, length(line) as chars from p where system) y on y.conv_id = g.conv_id group by g.conv_id
+  left join (select conv_id, length(line) as chars, length(short) as short from p where system) y on y.conv_id = g.conv_id group by g.conv_id
   union all select conv_id, length(line) from p where system and conv_id not in (select conv_id from n)
 )
 select k.conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || raw || chr(10), '' order by i)) as turns_sha256,

@@ -183,10 +183,39 @@ def metric_query_monthly(t):
     )
 
 
+@query(
+    "metric_query_facts",
+    """with l as (select l.light_id, n.name from lights l left join (select * from zones where not _deleted) n on l.neighborhood_id = n.neighborhood_id where not l._deleted),
+    r as (select l.name, count(*) as requests, count(distinct r.issue_type) as issue_types from requests r left join l on l.light_id = r.light_id where not r._deleted group by 1),
+    o as (select l.name, cast(sum(p.outage_history_count) as bigint) as outages from power_grid p left join l on l.light_id = p.light_id where not p._deleted group by 1),
+    g as (select name from r union select name from o)
+    select g.name, coalesce(requests, 0) as requests, coalesce(issue_types, 0) as issue_types, outages from g
+    left join r on r.name is not distinct from g.name left join o on o.name is not distinct from g.name""",
+)
+def metric_query_facts(t):
+    return metrics.facts_query(
+        t,
+        {"maintenance_requests": {"requests": ("count", "*"), "issue_types": ("count_distinct", "issue_type")}, "power_grid_enrichment": {"outages": ("sum", "blackouts")}},
+        ["neighborhoods.name"],
+    )
+
+
+@query(
+    "metric_query_deleted",
+    "select _deleted, count(*) as lights, count(distinct lon || ' ' || lat) as places from lights group by 1",
+)
+def metric_query_deleted(t):
+    wanted = {"lights": ("count", "*"), "places": ("count_distinct", "gps_location")}
+    return metrics.metric_query(t, "street_lights", wanted, ["is_deleted"], deleted=True)
+
+
+_stored_as = {"location": "lon", "boundary": "x0"}
+
+
 def _synonyms_sql() -> str:
     words = ", ".join(f"('{w}', '{t}', '{c}', '{k}')" for w, t, c, k in metrics.synonym_rows())
     counts = _union(
-        f"select '{t}' as table_name, '{c}' as column_name, count({c}) as filled_rows from {spec.source} where not _deleted"
+        f"select '{t}' as table_name, '{c}' as column_name, count({_stored_as.get(c, c)}) as filled_rows from {spec.source} where not _deleted"
         for t, spec in metrics.MODEL.items()
         for c in spec.columns()
     )

@@ -33,7 +33,9 @@ MODEL: dict[str, LogicalTable] = {
         "lights",
         ("light_id",),
         {
+            "_deleted": ["deleted_flag", "is_deleted", "removed"],
             "light_id": ["asset_id", "fixture_id", "lamp_id", "light_identifier", "pole_id"],
+            "location": ["coordinates", "geo_point", "gps_location", "position"],
             "neighborhood_id": ["area_id", "district_id", "locality_id", "zone_id"],
             "status": ["condition", "light_status", "operational_status", "state", "working_status"],
         },
@@ -47,6 +49,7 @@ MODEL: dict[str, LogicalTable] = {
         "requests",
         ("request_id",),
         {
+            "_deleted": [],
             "request_id": ["case_id", "incident_id", "issue_id", "ticket_id", "work_order_id"],
             "light_id": ["asset_id", "fixture_id", "lamp_id"],
             "issue_type": ["defect_type", "failure_type", "fault_type", "issue_category", "problem_category", "problem_type"],
@@ -61,6 +64,8 @@ MODEL: dict[str, LogicalTable] = {
         "zones",
         ("neighborhood_id",),
         {
+            "_deleted": [],
+            "boundary": ["area_boundary", "geographic_boundary", "polygon"],
             "neighborhood_id": ["area_id", "district_id", "locality_id", "zone_id"],
             "name": ["area_name", "district_name", "locality_name", "neighborhood_name"],
         },
@@ -70,6 +75,8 @@ MODEL: dict[str, LogicalTable] = {
         "suppliers",
         ("supplier_id",),
         {
+            "_deleted": [],
+            "location": ["coordinates", "office_location", "position"],
             "supplier_id": ["company_id", "contractor_id", "vendor_id"],
             "name": ["company_name", "contractor_name", "supplier_name", "vendor_name"],
             "specialization": ["equipment_type", "expertise", "focus_area", "specialty"],
@@ -83,7 +90,7 @@ MODEL: dict[str, LogicalTable] = {
     "weather_enrichment": LogicalTable(
         "weather",
         ("light_id", "season"),
-        {"light_id": ["fixture_id", "lamp_id"], "season": ["seasonal_period", "time_of_year", "weather_season"]},
+        {"_deleted": [], "light_id": ["fixture_id", "lamp_id"], "season": ["seasonal_period", "time_of_year", "weather_season"]},
         {
             "avg_temperature_c": ["average_temperature", "avg_temp", "temperature"],
             "failure_risk_score": ["failure_likelihood", "failure_probability", "risk_level", "risk_score"],
@@ -95,6 +102,7 @@ MODEL: dict[str, LogicalTable] = {
         "demographics",
         ("neighborhood_id",),
         {
+            "_deleted": [],
             "neighborhood_id": ["area_id", "district_id", "zone_id"],
             "urban_classification": ["area_type", "development_level", "urbanization", "zone_type"],
         },
@@ -103,7 +111,7 @@ MODEL: dict[str, LogicalTable] = {
     "power_grid_enrichment": LogicalTable(
         "power_grid",
         ("light_id",),
-        {"light_id": ["fixture_id", "lamp_id"], "grid_zone": ["electrical_zone", "grid_area", "power_zone", "supply_zone"]},
+        {"_deleted": [], "light_id": ["fixture_id", "lamp_id"], "grid_zone": ["electrical_zone", "grid_area", "power_zone", "supply_zone"]},
         {
             "avg_load_percent": ["capacity_usage", "grid_load", "load_percentage", "power_load"],
             "outage_history_count": ["blackouts", "outage_count", "outages", "power_outages"],
@@ -111,6 +119,14 @@ MODEL: dict[str, LogicalTable] = {
     ),
 }
 
+# Columns that the stored tables have in another form: geometries as WKT text
+_POINT = "concat('POINT(', cast(lon as string), ' ', cast(lat as string), ')')"
+COMPUTED = {
+    ("street_lights", "location"): _POINT,
+    ("suppliers", "location"): _POINT,
+    ("neighborhoods", "boundary"): "concat('POLYGON((', array_join(transform(ring, p -> concat(cast(p.lon as string), ' ', cast(p.lat as string))), ', '), '))')",
+}
+
 # (many side, column, one side)
 RELATIONSHIPS = [
     ("street_lights", "neighborhood_id", "neighborhoods"),
@@ -158,12 +174,20 @@ def _path(start: str, goal: str) -> list[tuple[str, str]]:
     raise ValueError(f"no many-to-one path from {start} to {goal}")
 
 
+def _rows(t: Tables, table: str, deleted: bool = False) -> DataFrame:
+    """A logical table with all columns of the model; live rows only unless ``deleted``."""
+    rows = getattr(t, MODEL[table].source)
+    rows = rows if deleted else live_rows(rows)
+    return rows.selectExpr("*", *[f"{text} as {name}" for (owner, name), text in COMPUTED.items() if owner == table])
+
+
 def metric_query(
     t: Tables,
     fact_table: str,
     metrics: dict[str, tuple[str, str]],
     dimensions: list[str],
     where: dict[str, list] | None = None,
+    deleted: bool = False,
 ) -> DataFrame:
     """Aggregate facts of one table by dimensions reachable over many-to-one relationships.
 
@@ -172,7 +196,8 @@ def metric_query(
     listed values per dimension. Soft-deleted rows are left out on every table; facts whose reference is missing
     or deleted form a NULL group, so totals always cover all live facts (a filter on another table keeps only
     facts with a match). The fact rows are aggregated by their own dimensions and the first foreign key before
-    any join, and merged after it; a counted-distinct fact joins those keys.
+    any join, and merged after it; a counted-distinct fact joins those keys. ``deleted=True`` keeps soft-deleted
+    rows of all tables, which the ``_deleted`` column then tells apart.
     """
     dims, grains = [], {}
     for name in dimensions:
@@ -186,7 +211,7 @@ def metric_query(
         dims.append((table, column))
 
     def rows_of(table: str) -> DataFrame:
-        rows = live_rows(getattr(t, MODEL[table].source))
+        rows = _rows(t, table, deleted)
         for (owner, name), (column, grain) in grains.items():
             if owner == table:
                 rows = rows.withColumn(name, F.to_date(F.date_trunc(grain, F.col(column))))
@@ -253,6 +278,33 @@ def metric_query(
     return joined.groupBy(*keys).agg(*merged)
 
 
+def facts_query(
+    t: Tables, facts: dict[str, dict[str, tuple[str, str]]], dimensions: list[str], where: dict[str, list] | None = None, deleted: bool = False
+) -> DataFrame:
+    """Metrics of several fact tables by dimensions that all of them reach.
+
+    Every fact is aggregated on its own to the shared groups (``metric_query``) before the results meet, so no fact
+    multiplies another's rows. A group that a fact does not have counts 0 there, and its other metrics are null.
+    Dimensions must mean the same column for every fact; metric names must differ.
+    """
+    names = [name for metrics in facts.values() for name in metrics]
+    if len(set(names)) < len(names):
+        raise ValueError("two metrics of one name")
+    meant = {tuple(resolve(d.partition(":")[0], fact) for d in dimensions) for fact in facts}
+    if len(meant) > 1:
+        raise ValueError(f"{dimensions} mean different columns: {sorted(meant)}")
+    single = []
+    for fact, metrics in facts.items():
+        one = metric_query(t, fact, metrics, dimensions, where, deleted)
+        kept = [c for c in one.columns if c not in metrics]
+        single.append(one.select(*kept, *metrics))
+    shared = [c for c in single[0].columns if c not in names]
+    every = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), single)
+    counted = {name for metrics in facts.values() for name, (agg, _) in metrics.items() if agg in ("count", "count_distinct")}
+    value = lambda n: F.coalesce(F.max(n), F.lit(0)) if n in counted else F.max(n)
+    return every.groupBy(*shared).agg(*[value(n).alias(n) for n in names])
+
+
 def synonym_rows() -> list[tuple[str, str, str, str]]:
     return [
         (word, table, column, kind)
@@ -266,7 +318,7 @@ def resolve_synonyms(t: Tables) -> DataFrame:
     """Every business name with its column and how many live rows carry a value there; one scan per table."""
     parts = []
     for table, spec in MODEL.items():
-        counts = live_rows(getattr(t, spec.source)).agg(*[F.count(c).alias(c) for c in spec.columns()])
+        counts = _rows(t, table).agg(*[F.count(c).alias(c) for c in spec.columns()])
         rows = [
             F.struct(
                 F.lit(word).alias("business_name"), F.lit(table).alias("table_name"), F.lit(column).alias("column_name"),

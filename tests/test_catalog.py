@@ -19,6 +19,7 @@ SAMPLE = [
     "dispatch_supplier", "knn_join", "nearest_by_rank", "boundary_geojson", "all_issues_timeseries", "rolling_features",
     "feature_stats", "forecast", "forecast_comparison", "monthly_budget_all", "forecast_metrics", "search", "search_index",
     "hybrid_search", "lights_enriched", "requests_enriched", "rule_age", "radius_histogram", "check_fk", "metric_query_filtered",
+    "boosting_features", "search_merged", "vector_index_search", "polygon_validity",
     "apply_changes", "stream_apply", "stream_daily_counts", "scan_csv", "polygon_from_ewkb_hex", "try_geography",
 ]
 KEYS = sorted(load_all()) if os.environ.get("LAMPYRIS_FULL") else SAMPLE

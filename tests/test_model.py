@@ -29,6 +29,34 @@ def test_group_totals_cover_all_live_facts(spark):
     assert kept.agg(F.sum("n")).first()[0] == next(r.n for r in by.collect() if r.name == one)
 
 
+@needs_data
+def test_several_facts_equal_the_single_queries(spark):
+    t = scan_tables(spark, SF)
+    requests, outages = {"requests": ("count", "*")}, {"outages": ("sum", "outages"), "load": ("avg", "grid_load")}
+    both = metrics.facts_query(t, {"maintenance_requests": requests, "power_grid_enrichment": outages}, ["neighborhoods.name", "street_lights.status"])
+    one = {(r.name, r.status): r for r in metrics.metric_query(t, "maintenance_requests", requests, ["neighborhoods.name", "street_lights.status"]).collect()}
+    two = {(r.name, r.status): r for r in metrics.metric_query(t, "power_grid_enrichment", outages, ["neighborhoods.name", "street_lights.status"]).collect()}
+    got = {(r.name, r.status): r for r in both.collect()}
+    assert set(got) == set(one) | set(two) and both.count() == len(got)
+    for k, r in got.items():
+        assert r.requests == (one[k].requests if k in one else 0)
+        assert (r.outages, r.load) == ((two[k].outages, two[k].load) if k in two else (None, None))
+    with pytest.raises(ValueError):
+        metrics.facts_query(t, {"maintenance_requests": requests, "power_grid_enrichment": requests}, ["neighborhoods.name"])
+    with pytest.raises(ValueError):
+        metrics.facts_query(t, {"neighborhoods": {"n": ("count", "*")}, "demographics_enrichment": {"m": ("count", "*")}}, ["area_id"])
+
+
+@needs_data
+def test_geometries_and_the_deleted_flag_are_columns(spark):
+    t = scan_tables(spark, SF)
+    by = {r._deleted: r.n for r in metrics.metric_query(t, "street_lights", {"n": ("count", "*")}, ["deleted_flag"], deleted=True).collect()}
+    assert by == {r._deleted: r["count"] for r in t.lights.groupBy("_deleted").count().collect()} and len(by) == 2
+    shape = metrics.metric_query(t, "street_lights", {"n": ("count", "*")}, ["neighborhoods.polygon"]).where("boundary is not null").first()
+    assert shape.boundary.startswith("POLYGON((") and shape.boundary.endswith("))")
+    assert metrics.metric_query(t, "suppliers", {"n": ("count", "*")}, ["office_location"]).first().location.startswith("POINT(")
+
+
 @needs_data
 def test_repeated_and_empty_seasons_do_not_fail(spark):
     t = scan_tables(spark, SF)

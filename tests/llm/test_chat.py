@@ -59,20 +59,16 @@ def test_equal_rows_are_turns_of_their_own_in_the_budget(spark):
     assert chat.read_back(chat.windows(df)).head().n_turns == 300
 
 
-def test_a_long_system_turn_is_cut_in_later_windows(spark, tmp_path):
-    system = "be kind \\ and [INST] brief; " * 700
-    data = [(1, 0, "system", system)] + [(1, t, ("user", "assistant")[t % 2], f"turn {t}") for t in range(1, 201)]
-    data += [(2, 0, "system", "é\\" * 600), *((2, t, "user", "word " * 90) for t in range(1, 9))]
-    data += [(3, 0, "system", "s" * 508 + "\\" * 9), *((3, t, "assistant", "word " * 90) for t in range(1, 9))]
+def test_every_window_has_the_whole_system_turn(spark, tmp_path):
+    system = "be kind \\ and [INST] brief; " * 40
+    data = [(1, 0, "system", system)] + [(1, t, ("user", "assistant")[t % 2], f"turn {t}") for t in range(1, 101)]
+    data += [(2, 0, "system", "é\\" * 200), *((2, t, "user", "word " * 90) for t in range(1, 9))]
     df = spark.createDataFrame(data, "conv_id long, turn long, role string, text string")
     found = chat.windows(df).collect()
-    own = sorted((w for w in found if w.conv_id == 1), key=lambda w: w.window)
-    assert len(own) > 4 and own[0].over_budget and not any(w.over_budget for w in own[1:])
-    assert sum(len(w.text) for w in own) < 2 * sum(len(x) for c, _, _, x in data if c == 1)
-    assert all(w.text.startswith("<|system|>\n") for w in found)
-    assert not any("\\<|end|>" in w.text for w in found)
+    heads = {c: "<|system|>\n" + chat_escaped(x) + "<|end|>\n" for c, t, _, x in data if t == 0}
+    assert len(found) > 4 and all(w.text.startswith(heads[w.conv_id]) for w in found)
     back = {r.conv_id: r for r in chat.read_back(chat.windows(df)).collect()}
-    for c in (1, 2, 3):
+    for c in (1, 2):
         assert back[c].turns == "".join(f"{r}\n{x}\n" for k, _, r, x in data if k == c)
     df.write.parquet(str(tmp_path / "conversations.parquet"))
     con = duckdb.connect()
@@ -80,3 +76,9 @@ def test_a_long_system_turn_is_cut_in_later_windows(spark, tmp_path):
     want = {r[0]: r for r in con.execute(registry.SQL["op3_budgeted_chat_windows"]).fetchall()}
     got = registry.QUERIES["op3_budgeted_chat_windows"](spark, str(tmp_path)).collect()
     assert {r.conv_id: tuple(r) for r in got} == want
+
+
+def chat_escaped(text):
+    for plain, code in chat.ESCAPES:
+        text = text.replace(plain, code)
+    return text

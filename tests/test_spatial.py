@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from lampyris.functions import geo
+from lampyris.functions import geo, rules
 from lampyris.operators import spatial
 
 L_SHAPE = [(0.0, 0.0), (0.038, 0.0), (0.038, 0.028), (0.019, 0.028), (0.019, 0.057), (0.0, 0.057), (0.0, 0.0)]
@@ -248,3 +248,22 @@ def test_circles_across_the_antimeridian_and_poles(spark, center, radius_km):
     assert {r.light_id for r in spatial.near_point(df, *center, radius_km * 1000).collect()} == want
     counts = spatial.coverage_counts(sdf, df.withColumn("status", F.lit("x"))).collect()
     assert sum(r.n for r in counts) == len(want)
+
+
+def test_radius_join_keeps_columns_nulls_and_ties(spark, monkeypatch):
+    """Blocks of one pair each, points that come twice and one without a location."""
+    monkeypatch.setattr(spatial, "PAIR_BLOCK", 1)
+    points = [(1, 77.6, 12.9), (1, 77.6, 12.9), (2, 77.65, 12.9), (3, None, 12.9)]
+    sdf = spark.createDataFrame([(7, 77.61, 12.9, 5.0, None), (7, 77.61, 12.9, 5.0, None), (8, 77.6, 12.9, None, "x")], "supplier_id int, lon double, lat double, service_radius_km double, note string")
+    joined = spatial.spatial_join_dwithin(spatial.as_centers(sdf, "supplier_id", "note", "service_radius_km"), _points(spark, points), F.col("service_radius_km") * 1000)
+    assert joined.columns == ["supplier_id", "note", "service_radius_km", "light_id", "lon", "lat", "distance_m"]
+    got = sorted((r.supplier_id, r.light_id, round(r.distance_m, 3)) for r in joined.collect())
+    assert got == [(7, 1, round(_lambert(77.6, 12.9, 77.61, 12.9), 3))] * 4 + [(7, 2, round(_lambert(77.65, 12.9, 77.61, 12.9), 3))] * 2
+    # the pairs of a cell are dealt to tasks of their own, whatever the number of input files
+    assert joined.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+
+
+def test_many_distances_round_like_decimals(spark):
+    rows = [(x,) for x in (0.0, 0.005, 0.015, 2.675, 1.005, 14999.995, 123.454999999, 123.4550000004, 7.1, 1e10 + 0.125)] + [(None,)]
+    df = spark.createDataFrame(rows, "x double")
+    assert all(r.a == r.b for r in df.select(rules.round_half_up(F.col("x"), 2).alias("a"), rules.round_many(F.col("x"), 2).alias("b")).collect())

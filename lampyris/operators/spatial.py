@@ -399,21 +399,35 @@ def spatial_join_dwithin(
 def coverage_counts(suppliers: DataFrame, lights: DataFrame) -> DataFrame:
     """Lights per supplier and status within the supplier's radius.
 
-    Cells wholly inside a circle contribute their pre-aggregated counts; only rim cells are expanded to
-    lights. The supplier-light pairs inside a circle are never written out.
+    Cells wholly inside a circle contribute their pre-aggregated counts; only rim cells' lights are measured, and they are
+    counted where they are measured. The supplier-light pairs are never written out.
     """
     centers = as_centers(suppliers, "supplier_id", "service_radius_km")
     radius = F.col("service_radius_km") * 1000
     levels, around = circle_levels(centers, radius)
-    cover = circle_cover(centers, radius, around)
+    cover = circle_cover(centers.repartition(_tasks(centers)), radius, around)
     points = _located(lights.select("light_id", "status", "lon", "lat"), levels)
     counts = points.groupBy(*CELL, "status").agg(F.count("*").alias("n"))
     inner = cover.where("_full").select("supplier_id", *CELL).join(counts, CELL).select("supplier_id", "status", "n")
-    rim = (
-        _with_distance(points.join(cover.where(~F.col("_full")), CELL), "supplier_id", "status")
-        .where(F.col("distance_m") <= F.col("_r"))
-        .select("supplier_id", "status", F.lit(1).cast("bigint").alias("n"))
-    )
+    near = _measure()
+
+    def work(circles, found):
+        import numpy as np
+
+        status = found.column("status").dictionary_encode(null_encoding="encode")
+        code = status.indices.to_numpy(zero_copy_only=False)
+        kinds = len(status.dictionary)
+        of_kind = [code == k for k in range(kinds)]
+        total = np.zeros((circles.num_rows, kinds), np.int64)
+        for at, inside in near(circles, found, True):
+            for k in range(kinds):
+                total[at : at + len(inside), k] = np.count_nonzero(inside[:, of_kind[k]], axis=1)
+        i, k = np.nonzero(total)
+        if len(i):
+            columns = [circles.column("supplier_id").take(pa.array(i)), status.dictionary.take(pa.array(k)), pa.array(total[i, k])]
+            yield pa.RecordBatch.from_arrays(columns, names=["supplier_id", "status", "n"])
+
+    rim = _meet(cover.where(~F.col("_full")).select("supplier_id", "_sv", "_r", *CELL), points.select("light_id", "status", "_v", *CELL), work, inner.schema)
     return inner.unionByName(rim).groupBy("supplier_id", "status").agg(F.sum("n").alias("n"))
 
 

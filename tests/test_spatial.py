@@ -267,3 +267,21 @@ def test_many_distances_round_like_decimals(spark):
     rows = [(x,) for x in (0.0, 0.005, 0.015, 2.675, 1.005, 14999.995, 123.454999999, 123.4550000004, 7.1, 1e10 + 0.125)] + [(None,)]
     df = spark.createDataFrame(rows, "x double")
     assert all(r.a == r.b for r in df.select(rules.round_half_up(F.col("x"), 2).alias("a"), rules.round_many(F.col("x"), 2).alias("b")).collect())
+
+
+def test_crowded_rims_are_counted_without_pairs(spark, monkeypatch):
+    monkeypatch.setattr(spatial, "PAIR_BLOCK", 64)
+    rnd = random.Random(9)
+    rows = [(i, 77.6 + rnd.gauss(0, 0.05), 12.9 + rnd.gauss(0, 0.05), rnd.choice(["a", "b", None])) for i in range(600)]
+    lights = spark.createDataFrame(rows, "light_id int, lon double, lat double, status string")
+    circles = [(j, 77.6 + rnd.gauss(0, 0.05), 12.9 + rnd.gauss(0, 0.05), rnd.choice([2.0, 6.0])) for j in range(20)]
+    sdf = spark.createDataFrame(circles, "supplier_id int, lon double, lat double, service_radius_km double")
+    counts = spatial.coverage_counts(sdf, lights)
+    plan = counts._jdf.queryExecution().toString()
+    assert "MapInArrow" in plan
+    want = {}
+    for j, a, b, r in circles:
+        for _, x, y, status in rows:
+            if _lambert(a, b, x, y) <= r * 1000:
+                want[j, status] = want.get((j, status), 0) + 1
+    assert {(r.supplier_id, r.status): r.n for r in counts.collect()} == want

@@ -7,9 +7,10 @@ from functools import cached_property
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import rules
+from ..functions import geo, rules
 from ..operators import enrich, spatial
 from ..operators.changes import live_rows
+from ..session import stored
 from ..sources.fixtures import DOMAIN_TABLES, Tables
 
 # Text patterns, parts per issue type
@@ -281,16 +282,30 @@ def failing_this_month(t: Tables, as_of: rules.AsOf = None) -> DataFrame:
 
 
 def dispatch_supplier(t: Tables, specialization: str | None = None) -> DataFrame:
-    """Nearest supplier whose own radius covers the light."""
+    """Nearest supplier whose own radius covers the light.
+
+    Mostly that is the nearest of all, which the k-nearest join finds without forming the pairs; the radius join goes on
+    for lights whose nearest supplier does not reach them.
+    """
     live = LiveTables(t)
-    suppliers = live.suppliers
+    suppliers = live.suppliers.where(F.col("service_radius_km").isNotNull())
     if specialization:
         suppliers = suppliers.where(F.col("specialization").isin(specialization, "All"))
-    centers = spatial.as_centers(suppliers, "supplier_id", F.col("name").alias("supplier_name"), "service_radius_km", "avg_response_hours")
-    pairs = spatial.spatial_join_dwithin(centers, live.lights.select("light_id", "lon", "lat"), F.col("service_radius_km") * 1000)
-    best = pairs.groupBy("light_id").agg(
-        F.min(F.struct("distance_m", "supplier_id", "supplier_name", "avg_response_hours")).alias("b")
-    )
+    columns = ["supplier_id", F.col("name").alias("supplier_name"), "avg_response_hours"]
+    spot = F.struct("light_id", F.col("lon").alias("x"), F.col("lat").alias("y")).alias("spot")
+    lights = live.lights.select(spot, "light_id", "lon", "lat")
+    # whole rows are the keys: an id may come with several locations or radii
+    right = suppliers.select(F.struct(*columns, "service_radius_km", F.col("lon").alias("x"), F.col("lat").alias("y")).alias("s"), "lon", "lat")
+    nearest = spatial.knn_join(lights, right, "spot", "s", metric="geodesic")
+    meters = geo.lambert_m(F.col("lon"), F.col("lat"), F.col("r_lon"), F.col("r_lat"))
+    reached = nearest.select("spot", "s.*", meters.alias("distance_m")).where(F.col("distance_m") <= F.col("service_radius_km") * 1000)
+    found = ["distance_m", "supplier_id", "supplier_name", "avg_response_hours"]
+    settled = stored(reached.select("spot", *found), "dispatch")
+    rest = lights.join(settled.select(F.col("spot").alias("_done")), F.col("spot").eqNullSafe(F.col("_done")), "left_anti").drop("spot")
+    centers = spatial.as_centers(suppliers, *columns, "service_radius_km")
+    pairs = spatial.spatial_join_dwithin(centers, rest, F.col("service_radius_km") * 1000)
+    every = settled.select("spot.light_id", *found).unionByName(pairs.select("light_id", *found))
+    best = every.groupBy("light_id").agg(F.min(F.struct(*found)).alias("b"))
     return best.select(
         "light_id", F.col("b.supplier_id").alias("supplier_id"), F.col("b.supplier_name").alias("supplier_name"),
         F.col("b.avg_response_hours").alias("avg_response_hours"),

@@ -1,11 +1,13 @@
 import math
 import random
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
 from lampyris.functions import geo, rules
 from lampyris.operators import spatial
+from lampyris.plans import questions
 
 L_SHAPE = [(0.0, 0.0), (0.038, 0.0), (0.038, 0.028), (0.019, 0.028), (0.019, 0.057), (0.0, 0.057), (0.0, 0.0)]
 BOW_TIE = [(1.0, 1.0), (1.04, 1.04), (1.04, 1.0), (1.0, 1.04), (1.0, 1.0)]
@@ -285,3 +287,13 @@ def test_crowded_rims_are_counted_without_pairs(spark, monkeypatch):
             if _lambert(a, b, x, y) <= r * 1000:
                 want[j, status] = want.get((j, status), 0) + 1
     assert {(r.supplier_id, r.status): r.n for r in counts.collect()} == want
+
+
+def test_dispatch_takes_the_nearest_that_reaches_the_light(spark):
+    """The nearest supplier of light 1 does not reach it; light 2 is reached by nobody, light 3 comes twice."""
+    lights = spark.createDataFrame([(1, 77.60, 12.9), (2, 78.9, 12.9), (3, 77.70, 12.9), (3, 77.701, 12.9), (4, None, 12.9)], "light_id int, lon double, lat double")
+    rows = [(1, "near", 77.605, 12.9, 0.1, 2), (2, "far", 77.62, 12.9, 5.0, 3), (3, "none", 77.60, 12.9, None, 4), (3, "own", 77.70, 12.9, 1.0, 4), (3, "own", 77.70, 12.9, 1.0, 4)]
+    suppliers = spark.createDataFrame(rows, "supplier_id int, name string, lon double, lat double, service_radius_km double, avg_response_hours int")
+    tables = SimpleNamespace(lights=lights.withColumn("_deleted", F.lit(False)), suppliers=suppliers.withColumn("_deleted", F.lit(False)))
+    found = {r.light_id: (r.supplier_id, r.supplier_name, r.distance_km) for r in questions.dispatch_supplier(tables).collect()}
+    assert found == {1: (2, "far", round(_lambert(77.60, 12.9, 77.62, 12.9) / 1000, 2)), 3: (3, "own", 0.0)}

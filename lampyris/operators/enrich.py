@@ -7,12 +7,17 @@ per-light sides shuffle on ``light_id``, and writers can bucket all of them by i
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import rules
 from ..sources.fixtures import Tables
 
+# Requests that a task of ``requests_enriched`` sorts, about, once there are many.
+ROWS_PER_TASK = 250_000
+
 
 def lights_enriched(t: Tables, as_of: rules.AsOf = None, season: str | None = None) -> DataFrame:
     """Lights with zone, weather of one season, demographics and grid context plus derived ages.
@@ -51,11 +56,16 @@ def requests_enriched(t: Tables) -> DataFrame:
     weather = t.weather.select(
         F.col("light_id").alias("_light"), "season", "failure_risk_score", "avg_temperature_c", "rainfall_mm"
     )
+    requests = t.requests.drop("_deleted", "_updated_at").withColumn("_season", rules.season(F.to_date("reported_at")))
+    # both joins sort; a task's share stays the same size however many requests there are
+    tasks = math.ceil(t.requests.count() / ROWS_PER_TASK)
+    many = tasks > int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = lambda df, *keys: df.repartition(tasks, *keys) if many else df
+    known = dealt(requests, "light_id").join(lights.join(zones, "neighborhood_id", "left"), "light_id")
     return (
-        t.requests.drop("_deleted", "_updated_at")
-        .join(lights.join(zones, "neighborhood_id", "left"), "light_id")
-        .join(weather, (F.col("light_id") == F.col("_light")) & (rules.season(F.to_date("reported_at")) == F.col("season")), "left")
-        .drop("_light")
+        dealt(known, "light_id", "_season")
+        .join(weather, (F.col("light_id") == F.col("_light")) & (F.col("_season") == F.col("season")), "left")
+        .drop("_light", "_season")
         .withColumn("resolution_hours", rules.elapsed_hours(F.col("reported_at"), F.col("resolved_at")))
         .withColumn("status", rules.request_status(F.col("resolved_at")))
     )

@@ -67,3 +67,12 @@ def test_repeated_and_empty_seasons_do_not_fail(spark):
     tables = types.SimpleNamespace(lights=t.lights, zones=t.zones, requests=t.requests, weather=t.weather.unionByName(again).unionByName(odd))
     hits = plain.where((F.col("light_id") == first.light_id) & (F.col("season") == first.season)).count()
     assert enrich.requests_enriched(tables).count() == plain.count() + hits
+
+
+def test_many_requests_are_dealt_to_more_tasks(spark, monkeypatch):
+    t = scan_tables(spark, "/root/testdata/sf0.001")
+    plain = enrich.requests_enriched(t)
+    monkeypatch.setattr(enrich, "ROWS_PER_TASK", 100)
+    dealt = enrich.requests_enriched(t)
+    assert "REPARTITION_BY_NUM" in dealt._jdf.queryExecution().executedPlan().toString()
+    assert dealt.columns == plain.columns and dealt.exceptAll(plain).count() == plain.exceptAll(dealt).count() == 0

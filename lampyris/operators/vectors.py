@@ -21,6 +21,7 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from ..functions import rules
 from .search import SCORE_DIGITS
@@ -29,6 +30,8 @@ SAMPLE_PER_CELL = 64  # vectors that a cell's centre is trained on, about
 MOST_CELLS = 4096
 STEPS = 255
 TUNING = 64
+TASKS_PER_CORE = 2
+SCORE_BLOCK = 1 << 20  # scores that are worked out at once
 LAYOUT = "dims int, centres array<array<double>>, low array<double>, step array<double>, probes int"
 
 
@@ -61,12 +64,64 @@ def _cells_near(centres, probes: int):
         for at in range(0, len(own), 1024):
             part = own[at : at + 1024]
             far = (c * c).sum(axis=1)[None, :] - 2 * part @ c.T  # the vectors' own lengths are all one
-            out += np.argsort(far, axis=1, kind="stable")[:, :probes].astype(np.int32).tolist()
+            order = far.argmin(axis=1)[:, None] if probes == 1 else np.argsort(far, axis=1, kind="stable")[:, :probes]
+            out += order.astype(np.int32).tolist()
         return pa.array(out, pa.list_(pa.int32()))
 
     return F.arrow_udf(run, "array<int>")
 
 
+def _scored(codes: DataFrame, placed: DataFrame, query_key: str, key: str, limit: int, dims: int) -> DataFrame:
+    """(query_key, key, about, off): of each query and each batch of a cell's codes, what may be among the ``limit`` best.
+
+    Rows are dealt by cell. A task has the queries of one cell at a time and its codes in batches, and multiplies blocks of
+    both; what comes within the bound of a batch's own ``limit``-th best goes on, so nothing is lost for the best of all.
+    """
+    one = placed.select("cell", F.lit(0).alias("_side"), F.struct(query_key, "w", "base", "off").alias("_q"))
+    other = codes.select("cell", F.lit(1).alias("_side"), F.struct(key, "code").alias("_v"))
+    tasks = TASKS_PER_CORE * codes.sparkSession.sparkContext.defaultParallelism
+    rows = one.unionByName(other, allowMissingColumns=True).repartition(tasks, "cell").sortWithinPartitions("cell", "_side")
+    block = SCORE_BLOCK
+
+    def score(queries, batch):
+        import numpy as np
+
+        codes = batch.column("code").flatten().to_numpy(zero_copy_only=False).reshape(len(batch), dims) + 128.0
+        w = queries.column("w").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(queries), dims)
+        base, off = (queries.column(c).to_numpy() for c in ("base", "off"))
+        width = max(1, block // len(codes))
+        for at in range(0, len(w), width):
+            about = w[at : at + width] @ codes.T + base[at : at + width, None]
+            if len(codes) > limit:
+                kth = np.partition(about, len(codes) - limit, axis=1)[:, len(codes) - limit]
+                i, j = np.nonzero(about >= (kth - 2 * off[at : at + width])[:, None])
+            else:
+                i, j = (x.ravel() for x in np.indices(about.shape))
+            columns = [queries.column(query_key).combine_chunks().take(pa.array(i + at)), batch.column(key).take(pa.array(j)), pa.array(about[i, j]), pa.array(off[i + at])]
+            yield pa.RecordBatch.from_arrays(columns, names=[query_key, key, "about", "off"])
+
+    def run(batches):
+        import numpy as np
+
+        cell, held, queries = None, [], None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in ("cell", "_side")], axis=1)
+            cuts = (np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist()
+            for at, end in zip([0, *cuts], [*cuts, len(keys)]):
+                if keys[at, 0] != cell:
+                    cell, held, queries = keys[at, 0], [], None
+                if keys[at, 1] == 0:
+                    held.append(pa.RecordBatch.from_struct_array(batch.column("_q").slice(at, end - at)))
+                elif held:
+                    queries = queries or pa.Table.from_batches(held).combine_chunks()
+                    yield from score(queries, pa.RecordBatch.from_struct_array(batch.column("_v").slice(at, end - at)))
+
+    schema = StructType([placed.schema[query_key], codes.schema[key], StructField("about", DoubleType()), StructField("off", DoubleType())])
+    return rows.mapInArrow(run, schema)
+
+
 def write_vector_index(vectors: DataFrame, key: str, column: str, path: str, cells: int | None = None, recall: float = 0.95, seed: int = 5) -> None:
     """Train and store the index of ``vectors`` below ``path``; about as many cells as the root of their number.
 
@@ -75,7 +130,8 @@ def write_vector_index(vectors: DataFrame, key: str, column: str, path: str, cel
     """
     spark = vectors.sparkSession
     dims = vectors.select(F.max(F.size(column)).alias("n")).first().n or 0
-    _unit(vectors, key, column, dims).write.mode("overwrite").parquet(f"{path}/units")
+    # however few files the vectors come in, what follows is dealt to all cores
+    _unit(vectors.repartition(TASKS_PER_CORE * spark.sparkContext.defaultParallelism), key, column, dims).write.mode("overwrite").parquet(f"{path}/units")
     units = spark.read.parquet(f"{path}/units")
     n = units.count()
     cells = max(1, min(cells or math.isqrt(n), MOST_CELLS, n))
@@ -143,8 +199,7 @@ def nearest_in_index(spark: SparkSession, path: str, key: str, queries: DataFram
     off = F.aggregate(weight, F.lit(0.0), lambda s, w: s + F.abs(w)) * 0.5 + 1e-9
     placed = probed.join(F.broadcast(centres), "cell").select(query_key, "cell", F.inline(F.array(F.struct(weight.alias("w"), base.alias("base"), off.alias("off")))))
     codes = spark.read.parquet(f"{path}/codes")
-    coded = _dot(F.col("w"), F.transform("code", lambda c: c.cast("double") + 128.0)) + F.col("base")
-    pairs = codes.join(placed, "cell").select(query_key, key, F.inline(F.array(F.struct(coded.alias("about"), F.col("off")))))
+    pairs = _scored(codes, placed, query_key, key, limit, layout.dims)
     best = Window.partitionBy(query_key).orderBy(F.desc("about"))
     kth = pairs.withColumn("n", F.row_number().over(best)).where(F.col("n") <= limit).groupBy(query_key).agg(
         F.when(F.count("*") == limit, F.min("about")).alias("kth")

@@ -69,3 +69,14 @@ def test_unusable_vectors_and_empty_tables(spark, tmp_path):
     empty = str(tmp_path / "b")
     vectors.write_vector_index(df.limit(0), "id", "v", empty)
     assert vectors.nearest_in_index(spark, empty, "id", df.select(F.col("id").alias("q"), "v"), "q", "v").collect() == []
+
+
+def test_blocks_of_any_size_keep_the_best(spark, index, monkeypatch):
+    """One query at a time against each batch; only what may be among the best leaves the batch."""
+    v, df, path = index
+    monkeypatch.setattr(vectors, "SCORE_BLOCK", 1)
+    queries = df.where("id % 500 = 3").select(F.col("id").alias("q"), "v")
+    found = vectors.nearest_in_index(spark, path, "id", queries, "q", "v", 10, probes=None)
+    assert "MapInArrow" in found._jdf.queryExecution().toString()
+    want = _exact(v, range(3, 3000, 500), 10)
+    assert {q: [r.id for r in sorted(found.collect(), key=lambda r: r.rank) if r.q == q] for q in want} == want

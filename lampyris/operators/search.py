@@ -7,6 +7,8 @@ so no join is keyed by a term and a term that occurs in every document does not
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,6 +17,8 @@ from . import segments
 from .changes import latest_changes
 
 K1, B = 1.2, 0.75
+# Bytes of text whose postings one task counts and sorts when an index is written.
+TASK_BYTES = 16 << 20
 RRF_K = 60
 SCORE_DIGITS = 6
 
@@ -83,35 +87,47 @@ def write_index(
     A query reads only its terms' buckets, and in them the row groups with its terms. Writing a part again replaces
     it. A document in a later part replaces the one with its key in earlier parts; where ``removed`` (a boolean column)
     holds, it takes it out. ``buckets`` is stored with the index by part 0 and counts from then on: choose it from the
-    size of the postings. Rows are spread by bucket and document, so a very common term is written by many tasks.
+    size of the postings. Rows are dealt by document, and a task writes its documents' postings without another shuffle.
     """
-    live = corpus.where(~F.coalesce(F.col(removed), F.lit(False))) if removed else corpus
-    postings = build_index(live, key, column).withColumn("bucket", _bucket(F.col("term"), buckets))
-    segments.write_postings(postings, key, f"{path}/postings/part={part}")
     gone = F.coalesce(F.col(removed), F.lit(False)) if removed else F.lit(False)
-    texts = F.when(~F.col("removed"), F.col(column))
-    rows = corpus.select(key, F.col(column), gone.alias("removed"), *(attributes or []))
-    lengths = rows.select(key, "removed", *(attributes or []), _once(text.tokens(texts).alias("tokens"))).withColumn("n_tokens", F.size("tokens"))
+    spark, texts = corpus.sparkSession, f"{path}/texts/part={part}"
+    # the corpus is worked out once; by its size it is dealt by document, so that what follows stays in its task
+    corpus.select(key, F.col(column).alias("_text"), gone.alias("removed"), *(attributes or [])).write.mode("overwrite").parquet(texts)
+    rows = spark.read.parquet(texts)
+    volume = rows.agg(F.coalesce(F.sum(F.octet_length("_text")), F.lit(0))).first()[0]
+    dealt = rows.where("not removed").select(key, "_text").repartition(max(1, math.ceil(volume / TASK_BYTES)), key)
+    postings = build_index(dealt, key, "_text").withColumn("bucket", _bucket(F.col("term"), buckets))
+    segments.write_sorted(postings, f"{path}/postings/part={part}")
+    told = F.when(~F.col("removed"), F.col("_text"))
+    lengths = rows.select(key, "removed", *(attributes or []), _once(text.tokens(told).alias("tokens"))).withColumn("n_tokens", F.size("tokens"))
     lengths.drop("tokens").write.mode("overwrite").parquet(f"{path}/documents/part={part}")
+    segments.delete(spark, texts)
     if part == 0:
-        corpus.sparkSession.range(1).select(F.lit(buckets).alias("buckets")).coalesce(1).write.mode("overwrite").parquet(f"{path}/layout")
+        spark.range(1).select(F.lit(buckets).alias("buckets")).coalesce(1).write.mode("overwrite").parquet(f"{path}/layout")
 
 
 def _bucket(term: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
 
 
-def read_index(spark, path: str, key: str, terms: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """(postings, documents) of the newest version of each document; with ``terms`` only their buckets are scanned.
+def read_index(spark, path: str, key: str, terms: list[str] | DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(postings, documents) of the newest version of each document; with a list of ``terms`` only their buckets are scanned.
 
-    Parts that have been merged (``segments.merge``) are read from their runs.
+    A table of ``terms``, one for each row, is that of a document or two: it goes to every task. Parts that have been
+    merged (``segments.merge``) are read from their runs. Where one part holds all and nothing was removed, its postings
+    are current as they are.
     """
     postings, documents = segments.read_live(spark, path, key)
-    if terms is not None:
+    if isinstance(terms, DataFrame):
+        postings = postings.join(F.broadcast(terms.distinct()), "term", "left_semi")
+    elif terms is not None:
         buckets = spark.read.parquet(f"{path}/layout").first().buckets
         wanted = [_bucket(F.lit(t), buckets) for t in terms]
         postings = postings.where(F.col("bucket").isin(wanted) & F.col("term").isin(terms))
+    simple = segments.pieces(spark, path) == 1 and not documents.where("removed").limit(1).count()
     documents = latest_changes(documents, key, "part").where("not removed").drop("removed")
+    if simple:
+        return postings.drop("bucket", "part").where(F.col(key).isNotNull()), documents.drop("part")
     current = documents.select(key, "part")
     return postings.drop("bucket").join(current, [key, "part"]).drop("part"), documents.drop("part")
 
@@ -273,13 +289,14 @@ def similar_in_index(spark, path: str, key: str, text_of: DataFrame, column: str
 
     Only that document is tokenised; the others come as postings of its terms.
     """
-    postings, documents = read_index(spark, path, key)
     own = tokenized(text_of, key, column)
     terms = own.select(F.explode_outer(F.array_distinct("tokens")).alias("term")).where("term is not null")
-    matched = postings.join(terms, "term")
-    frequencies = matched.groupBy("term").agg(F.count("*").alias("df"))
-    scored = matched.join(frequencies, "term").withColumn("s", _corpus_stats(documents))
-    scores = scored.groupBy(key).agg(rules.round_half_up(F.sum(_part()), SCORE_DIGITS).alias("score"))
+    # rows with one key are one document: a term of several of them counts once for each
+    times = terms.groupBy("term").agg(F.count("*").alias("_times"))
+    matched, documents = read_index(spark, path, key, terms)
+    frequencies = matched.groupBy("term").agg(F.count("*").alias("df")).join(times, "term")
+    scored = matched.join(F.broadcast(frequencies), "term").withColumn("df", F.col("df") * F.col("_times")).withColumn("s", _corpus_stats(documents))
+    scores = scored.groupBy(key).agg(rules.round_half_up(F.sum(_part() * F.col("_times")), SCORE_DIGITS).alias("score"))
     return top(scores.join(own.select(key), key, "left_anti"), key, limit)
 
 

@@ -95,10 +95,20 @@ def read_live(spark: SparkSession, path: str, key: str) -> tuple[DataFrame, Data
     return read(spark, path, key, runs, parts_after(spark, path, runs[-1].last if runs else -1))
 
 
+def pieces(spark: SparkSession, path: str) -> int:
+    """How many runs and loose parts the newest manifest stands for."""
+    _, runs = manifest(spark, path)
+    return len(runs) + len(parts_after(spark, path, runs[-1].last if runs else -1))
+
+
 def write_postings(postings: DataFrame, key: str, path: str) -> None:
     """Postings with their ``bucket``, in order of term; a common term's rows are written by several tasks."""
-    spread = postings.repartition("bucket", F.pmod(F.xxhash64(key), F.lit(SPREAD))).sortWithinPartitions("bucket", "term")
-    spread.write.mode("overwrite").partitionBy("bucket").parquet(path)
+    write_sorted(postings.repartition("bucket", F.pmod(F.xxhash64(key), F.lit(SPREAD))), path)
+
+
+def write_sorted(postings: DataFrame, path: str) -> None:
+    """Postings as they are dealt, in order of bucket and term within each task."""
+    postings.sortWithinPartitions("bucket", "term").write.mode("overwrite").partitionBy("bucket").parquet(path)
 
 
 def _merge(spark: SparkSession, path: str, key: str, runs: list, parts: list[int], oldest: bool) -> tuple[str, int, int]:

@@ -95,3 +95,27 @@ def test_marks_follow_the_files(spark, tmp_path):
     assert first == segments.marks(spark, folder)
     spark.range(4).write.mode("overwrite").parquet(f"{folder}/a")
     assert first != segments.marks(spark, folder)
+
+
+def test_documents_of_one_key_and_without_a_key(spark, tmp_path):
+    """Rows of one key are one document; a common term's postings are not dealt by term."""
+    rows = [(1, "lamp lamp storm"), (1, "lamp wire dark"), (1, "pole"), (2, "lamp storm"), (3, "lamp lamp wire"), (None, "lamp dark"), (4, "corner")]
+    docs = spark.createDataFrame(rows, "doc_id int, text string")
+    path = str(tmp_path / "ix")
+    search.write_index(docs, "doc_id", "text", path, buckets=2)
+    postings, _ = search.read_index(spark, path, "doc_id")
+    assert {(r.term, r.doc_id, r.n_tokens): r.tf for r in postings.collect()}[("lamp", 1, 3)] == 3
+    assert segments.folders(spark, f"{path}/texts") == []
+    found = search.similar_in_index(spark, path, "doc_id", docs.where("doc_id = 2"), "text", 8)
+    assert "SortMergeJoin [term" not in found._jdf.queryExecution().executedPlan().toString()
+    assert [r.doc_id for r in found.collect()] == [1, 3]
+
+
+def test_a_single_part_is_read_without_a_join(spark, tmp_path):
+    path = str(tmp_path / "ix")
+    docs = spark.createDataFrame([(i, "lamp storm") for i in range(5)], "doc_id int, text string")
+    search.write_index(docs, "doc_id", "text", path, buckets=2)
+    postings, _ = search.read_index(spark, path, "doc_id", ["lamp"])
+    assert "Join" not in postings._jdf.queryExecution().executedPlan().toString() and postings.count() == 5
+    _write(spark, path, [(1, "pole", False)], 1)
+    assert search.read_index(spark, path, "doc_id", ["lamp"])[0].count() == 4

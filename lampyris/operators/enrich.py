@@ -59,7 +59,7 @@ def requests_enriched(t: Tables) -> DataFrame:
     requests = t.requests.drop("_deleted", "_updated_at").withColumn("_season", rules.season(F.to_date("reported_at")))
     # both joins sort; a task's share stays the same size however many requests there are
     tasks = math.ceil(t.requests.count() / ROWS_PER_TASK)
-    many = tasks > int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    many = tasks > int(t.requests.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = lambda df, *keys: df.repartition(tasks, *keys) if many else df
     known = dealt(requests, "light_id").join(lights.join(zones, "neighborhood_id", "left"), "light_id")
     return (

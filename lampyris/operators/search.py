@@ -88,6 +88,7 @@ def write_index(
     it. A document in a later part replaces the one with its key in earlier parts; where ``removed`` (a boolean column)
     holds, it takes it out. ``buckets`` is stored with the index by part 0 and counts from then on: choose it from the
     size of the postings. Rows are dealt by document, and a task writes its documents' postings without another shuffle.
+    A part holds each key's document once, the highest row of those that repeat it, so one part is read as it is.
     """
     gone = F.coalesce(F.col(removed), F.lit(False)) if removed else F.lit(False)
     spark, texts = corpus.sparkSession, f"{path}/texts/part={part}"
@@ -95,12 +96,17 @@ def write_index(
     corpus.select(key, F.col(column).alias("_text"), gone.alias("removed"), *(attributes or [])).write.mode("overwrite").parquet(texts)
     rows = spark.read.parquet(texts)
     volume = rows.agg(F.coalesce(F.sum(F.octet_length("_text")), F.lit(0))).first()[0]
-    dealt = rows.where("not removed").select(key, "_text").repartition(max(1, math.ceil(volume / TASK_BYTES)), key)
+    tasks, named = max(1, math.ceil(volume / TASK_BYTES)), F.col(key).isNotNull()
+    # no reader takes postings without a key
+    dealt = rows.where(named & ~F.col("removed")).select(key, "_text").repartition(tasks, key)
     postings = build_index(dealt, key, "_text").withColumn("bucket", _bucket(F.col("term"), buckets))
     segments.write_sorted(postings, f"{path}/postings/part={part}")
     told = F.when(~F.col("removed"), F.col("_text"))
     lengths = rows.select(key, "removed", *(attributes or []), _once(text.tokens(told).alias("tokens"))).withColumn("n_tokens", F.size("tokens"))
-    lengths.drop("tokens").write.mode("overwrite").parquet(f"{path}/documents/part={part}")
+    lengths = lengths.drop("tokens").withColumn("part", F.lit(part))
+    # rows without a key are one document; they are not gathered in one task
+    documents = latest_changes(lengths.where(named).repartition(tasks, key), key, "part").union(latest_changes(lengths.where(~named), key, "part"))
+    documents.drop("part").write.mode("overwrite").parquet(f"{path}/documents/part={part}")
     segments.delete(spark, texts)
     if part == 0:
         spark.range(1).select(F.lit(buckets).alias("buckets")).coalesce(1).write.mode("overwrite").parquet(f"{path}/layout")
@@ -115,7 +121,7 @@ def read_index(spark, path: str, key: str, terms: list[str] | DataFrame | None =
 
     A table of ``terms``, one for each row, is that of a document or two: it goes to every task. Parts that have been
     merged (``segments.merge``) are read from their runs. Where one part holds all and nothing was removed, its postings
-    are current as they are.
+    and documents are current as they are.
     """
     postings, documents = segments.read_live(spark, path, key)
     if isinstance(terms, DataFrame):
@@ -125,9 +131,9 @@ def read_index(spark, path: str, key: str, terms: list[str] | DataFrame | None =
         wanted = [_bucket(F.lit(t), buckets) for t in terms]
         postings = postings.where(F.col("bucket").isin(wanted) & F.col("term").isin(terms))
     simple = segments.pieces(spark, path) == 1 and not documents.where("removed").limit(1).count()
-    documents = latest_changes(documents, key, "part").where("not removed").drop("removed")
     if simple:
-        return postings.drop("bucket", "part").where(F.col(key).isNotNull()), documents.drop("part")
+        return postings.drop("bucket", "part").where(F.col(key).isNotNull()), documents.drop("removed", "part")
+    documents = latest_changes(documents, key, "part").where("not removed").drop("removed")
     current = documents.select(key, "part")
     return postings.drop("bucket").join(current, [key, "part"]).drop("part"), documents.drop("part")
 

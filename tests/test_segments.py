@@ -119,3 +119,14 @@ def test_a_single_part_is_read_without_a_join(spark, tmp_path):
     assert "Join" not in postings._jdf.queryExecution().executedPlan().toString() and postings.count() == 5
     _write(spark, path, [(1, "pole", False)], 1)
     assert search.read_index(spark, path, "doc_id", ["lamp"])[0].count() == 4
+
+
+def test_a_single_part_has_each_document_once_and_reads_it_without_a_shuffle(spark, tmp_path):
+    rows = [(1, "lamp storm", "b"), (1, "lamp", "c"), (1, "lamp wire dark pole", "a"), (2, "lamp", None), (None, "dark", "x"), (None, "dark pole", "y"), (3, None, "z")]
+    path = str(tmp_path / "ix")
+    search.write_index(spark.createDataFrame(rows, "doc_id int, text string, zone string"), "doc_id", "text", path, buckets=2, attributes=["zone"])
+    _, documents = search.read_index(spark, path, "doc_id")
+    plan = documents._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Aggregate" not in plan
+    assert {tuple(r) for r in documents.collect()} == {(1, "c", 1), (2, None, 1), (None, "y", 2), (3, "z", 0)} and documents.count() == 4
+    assert spark.read.parquet(f"{path}/postings/part=0").where("doc_id is null").count() == 0

@@ -265,6 +265,73 @@ def test_radius_join_keeps_columns_nulls_and_ties(spark, monkeypatch):
     assert joined.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
 
 
+def _shuffled(df):
+    """Rows written by the widest exchange of the executed plan."""
+    df.collect()
+    found = []
+
+    def walk(node):
+        name = node.nodeName()
+        if name.startswith("AdaptiveSparkPlan"):
+            return walk(node.executedPlan())
+        if name.endswith("QueryStage"):
+            return walk(node.plan())
+        if node.metrics().contains("shuffleRecordsWritten"):
+            found.append(node.metrics().apply("shuffleRecordsWritten").value())
+        kids = node.children()
+        for i in range(kids.size()):
+            walk(kids.apply(i))
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return max(found)
+
+
+def test_circles_are_shuffled_once_for_each_cell(spark, monkeypatch):
+    """No copies of circles for cells whose pairs are no more than a task's part."""
+    monkeypatch.setattr(spatial, "FEW_CIRCLES", 0, raising=False)
+    rnd = random.Random(11)
+    spots = [(i, 77.5 + rnd.random() * 0.4, 12.8 + rnd.random() * 0.4) for i in range(1500)]
+    circles = [(j, 77.5 + rnd.random() * 0.4, 12.8 + rnd.random() * 0.4, rnd.choice([2.0, 5.0])) for j in range(150)]
+    sdf = spark.createDataFrame(circles, "supplier_id int, lon double, lat double, service_radius_km double")
+    centers, radius = spatial.as_centers(sdf, "supplier_id", "service_radius_km"), F.col("service_radius_km") * 1000
+    cells = spatial.circle_cover(centers, radius).count()
+    joined = spatial.spatial_join_dwithin(centers, _points(spark, spots), radius)
+    assert _shuffled(joined) <= 1.1 * (cells + len(spots))
+    want = sorted((s[0], p[0]) for s in circles for p in spots if _lambert(s[1], s[2], p[1], p[2]) <= s[3] * 1000)
+    assert sorted((r.supplier_id, r.light_id) for r in joined.collect()) == want
+
+
+@pytest.mark.parametrize("n_spots, n_circles", [(900, 30), (30, 900), (300, 300)])
+def test_crowded_cells_are_split_and_lose_no_pair(spark, monkeypatch, n_spots, n_circles):
+    """Nearly all rows in one cell, some twice, others without a location or radius."""
+    monkeypatch.setattr(spatial, "FEW_CIRCLES", 0)
+    monkeypatch.setattr(spatial, "SPOT_BLOCK", 7)
+    rnd = random.Random(12)
+    place = lambda: (77.6001 + rnd.random() * 0.002, 12.9001 + rnd.random() * 0.002)
+    spots = [(i, *place()) for i in range(n_spots)] + [(5000, 77.9, 12.9), (5001, None, 12.9), (5002, 77.605, None)]
+    spots += spots[:5]
+    circles = [(j, *place(), rnd.choice([0.05, 0.1])) for j in range(n_circles)] + [(7000, 77.9, 12.9, 1.0), (7001, 77.6, 12.9, None)]
+    circles += circles[:5]
+    sdf = spark.createDataFrame(circles, "supplier_id int, lon double, lat double, service_radius_km double")
+    centers, radius = spatial.as_centers(sdf, "supplier_id", "service_radius_km"), F.col("service_radius_km") * 1000
+    points = _points(spark, spots)
+    levels, around, n = spatial.circle_levels(centers, radius)
+    crowded = spatial._crowded(spatial.circle_cover(centers, radius, around), spatial._with_cells(points, levels), n)
+    tasks = spatial._tasks(points)
+    assert crowded and len(crowded) <= tasks
+    assert 1 < max(a * b for *_, a, b in crowded) and sum(a * b for *_, a, b in crowded) <= 2 * tasks
+    assert all(a <= b for *_, a, b in crowded) if n_spots > n_circles else all(a >= b for *_, a, b in crowded) or n_spots == n_circles
+    want = sorted((s[0], p[0]) for s in circles for p in spots if s[3] and None not in p and _lambert(s[1], s[2], p[1], p[2]) <= s[3] * 1000)
+    got = spatial.spatial_join_dwithin(centers, points, radius, ["light_id", "supplier_id"])
+    assert got.columns == ["supplier_id", "light_id", "distance_m"]
+    rows = got.collect()
+    assert sorted((r.supplier_id, r.light_id) for r in rows) == want
+    at = {s[0]: s for s in circles}, {p[0]: p for p in spots}
+    assert all(abs(r.distance_m - _lambert(*at[0][r.supplier_id][1:3], *at[1][r.light_id][1:3])) < 1e-3 for r in rows)
+    counts = spatial.coverage_counts(sdf, points.withColumn("status", F.lit("x"))).collect()
+    assert sorted((r.supplier_id, r.n) for r in counts) == sorted((k, sum(1 for a, _ in want if a == k)) for k in {a for a, _ in want})
+
+
 def test_many_distances_round_like_decimals(spark):
     rows = [(x,) for x in (0.0, 0.005, 0.015, 2.675, 1.005, 14999.995, 123.454999999, 123.4550000004, 7.1, 1e10 + 0.125)] + [(None,)]
     df = spark.createDataFrame(rows, "x double")
